@@ -5,21 +5,37 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash, toxicity
+from . import minhash, packing, topk, toxicity
 from .shared import table
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100, scale=1024)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), size=2048, end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash_near_dedup, op10_toxicity)}
+    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_topk, op8_packing, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
