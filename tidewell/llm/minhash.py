@@ -29,12 +29,12 @@ _MUL = _RNG.integers(0, 1 << 32, REGISTERS, np.uint32) | np.uint32(1)
 _XOR = _RNG.integers(0, 1 << 32, REGISTERS, np.uint32)
 
 
-def registers(shingles: np.ndarray) -> np.ndarray:
+def registers(shingles: np.ndarray, mul: np.ndarray = _MUL, xor: np.ndarray = _XOR) -> np.ndarray:
     """The sketch of a non-empty set of 64-bit hashes."""
     x = (shingles ^ (shingles >> np.uint64(32))).astype(np.uint32)
-    low = np.full(REGISTERS, 0xFFFFFFFF, np.uint32)
+    low = np.full(len(mul), 0xFFFFFFFF, np.uint32)
     for i in range(0, len(x), 2048):
-        np.minimum(low, ((x[None, i : i + 2048] ^ _XOR[:, None]) * _MUL[:, None]).min(axis=1), out=low)
+        np.minimum(low, ((x[None, i : i + 2048] ^ xor[:, None]) * mul[:, None]).min(axis=1), out=low)
     e = -np.log1p(-(low + 0.5) / 2**32)
     return np.clip(np.floor(1 - np.log(e) / np.log(B)) + OFFSET, 0, TOP).astype(np.uint16)
 
@@ -90,6 +90,41 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64).ravel()), pa.array(rep), pa.array(n)], ["band", "rep", "n"])
 
 
+#: Where a bucket still holds several components, so many further registers of its sets, shortened to four bits each
+#: and sixteen to a long, screen its pairs inside the join.
+LONG = 1024
+WORDS = LONG // 16
+#: Standard errors that a screen leaves below the least similarity.
+SLACK = 4.5
+_LONG_MUL = _RNG.integers(0, 1 << 32, LONG, np.uint32) | np.uint32(1)
+_LONG_XOR = _RNG.integers(0, 1 << 32, LONG, np.uint32)
+
+
+def _long_sketches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    shift = np.arange(16, dtype=np.uint64) * np.uint64(4)
+    for batch in batches:
+        words = np.zeros((batch.num_rows, WORDS), np.uint64)
+        for i, s in enumerate(shingle_sets(batch.column(1), k)):
+            if len(s):
+                with np.errstate(over="ignore"):
+                    r = mix(registers(s, _LONG_MUL, _LONG_XOR).astype(np.uint64) * M3) >> np.uint64(60)
+                words[i] = (r.reshape(WORDS, 16) << shift).sum(1)
+        words = words.view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(words[:, i])) for i in range(WORDS))], ["rep", *(f"w{i}" for i in range(WORDS))])
+
+
+def may_be_near(x: str, y: str, percent: int) -> str:
+    """SQL: the shortened registers of x and y differ in no more places than SLACK standard errors allow at the least similarity."""
+    differ = []
+    for i in range(WORDS):
+        d = f"({x}.w{i} ^ {y}.w{i})"
+        d = f"({d} | shiftright({d}, 1))"
+        differ.append(f"bit_count(({d} | shiftright({d}, 2)) & 1229782938247303441)")  # the lowest bit of each four
+    rate = (1 - percent / 100) * 15 / 16
+    most = LONG * rate + SLACK * (LONG * rate * (1 - rate)) ** 0.5
+    return f"{' + '.join(differ)} <= {int(most)}"
+
+
 def _shingles(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1), k)], pa.binary())], ["rep", "shingles"])
@@ -110,7 +145,7 @@ def _overlap(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (src, dst) whose full shingle sets have 100 * intersection >= percent * union."""
-    needed = pairs.select(F.explode(F.array("src", "dst")).alias("rep")).distinct()
+    needed = pairs.select(F.col("src").alias("rep")).union(pairs.select("dst")).distinct()
     sets = (
         semi_join(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), needed, "rep")
         .mapInArrow(lambda it: _shingles(it, k), "rep long, shingles binary")
@@ -132,11 +167,12 @@ def _screen(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Reco
 
 
 def screened(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose registers make a similarity of percent likely enough: at most 0.16, six standard errors, below it."""
+    """The pairs whose registers' joint estimate is at most SLACK standard errors below the least similarity."""
+    least = percent / 100 - SLACK * (percent / 100 * (1 - percent / 100) / REGISTERS) ** 0.5
     a, b = (reps.select(F.col("rep").alias(x), F.col("sketch").alias(s), F.col("n").alias(n)) for x, s, n in (("src", "ra", "na"), ("dst", "rb", "nb")))
     return (
         pairs.join(a, "src").join(b, "dst").select("src", "dst", "ra", "rb", "na", "nb")
-        .mapInArrow(lambda it: _screen(it, percent / 100 - 0.16), "src long, dst long")
+        .mapInArrow(lambda it: _screen(it, least), "src long, dst long")
     )
 
 
@@ -154,7 +190,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     Equal sets are merged first. Every other set meets the smallest doc_id of each of its buckets, and the most
     frequent of those is verified; then all pairs that share a bucket but not yet a component are tested. Two sets
-    at the least similarity share no bucket with a probability of (1 - 0.8**6)**40, or 5 in a million.
+    at the least similarity share no bucket with a probability of (1 - 0.8**6)**40, or 5 in a million, and fail a screen
+    with one of 3 in a million.
     """
     found = staged(sketches(docs, k), "sketch")
     reps = staged(
@@ -176,9 +213,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     marked = shared.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", "n", F.coalesce("component", "rep").alias("part"))
     open_buckets = marked.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("band")
     rest = staged(marked.join(open_buckets, "band", "left_semi"), "rest")
-    x, y = (rest.select("band", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "part"))) for s in "xy")
-    near = F.expr(f"part_x < part_y and 100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y)")
-    pairs = x.join(y, "band").where(near).select(F.greatest("rep_x", "rep_y").alias("src"), F.least("rep_x", "rep_y").alias("dst")).distinct()
+    texts = semi_join(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), rest, "rep")
+    more = texts.mapInArrow(lambda it: _long_sketches(it, k), "rep long, " + ", ".join(f"w{i} long" for i in range(WORDS)))
+    rest = rest.join(more, "rep")
+    near = f"x.band = y.band and x.part < y.part and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and {may_be_near('x', 'y', percent)}"
+    pairs = rest.alias("x").join(rest.alias("y"), F.expr(near)).select(F.greatest("x.rep", "y.rep").alias("src"), F.least("x.rep", "y.rep").alias("dst")).distinct()
     pairs = pairs.join(first.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")), ["src", "dst"], "left_anti")
     pairs = staged(screened(pairs, reps, percent), "pairs")
     more = staged(links.unionByName(verified(pairs, docs, k, percent)), "links")
