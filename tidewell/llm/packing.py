@@ -4,11 +4,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from array import array
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +19,7 @@ SENTENCE, WORD = 8, 24
 STEP = 16
 #: A partition is worked on in runs of about so many tokens; what is left of one run begins the next.
 RUN = 1 << 18
-CACHE = 200_000
+CACHE = 1_000_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -37,29 +35,40 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for w, i in self.tokenizer.get_vocab().items() if w.endswith("</w>")]] = True
         kinds = {k: "".join(f"\\u{c:04x}" for c in range(0x250) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
         self.split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{kinds['L']}]+|[{kinds['N']}]|[^\s{kinds['L']}{kinds['N']}]+").findall
         self.odd = re.compile(r"[^\u0000-\u001b -\u0084\u0086-įı-ɏ]|<\|").search
 
-    def plain(self, texts: list[str]) -> list[list[str]]:
-        out = [self.split(t.lower()) for t in texts]
-        new = list(set(chain.from_iterable(out)) - self.known.keys())
-        if len(self.known) + len(new) > CACHE:
-            self.known = {}
-            new = list(set(chain.from_iterable(out)))
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self.known[w] = tuple(e.ids)
-        return out
+    def learn(self, new: list[str]) -> None:
+        """Encode words that are not known yet: all at once, each ending with a token that ends a word."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, np.uint32)
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(new):
+            self.known |= {w: np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32).tobytes() for w in new}
+            return
+        data, a = ids.tobytes(), 0
+        for w, b in zip(new, (stops * 4).tolist(), strict=True):
+            self.known[w] = data[a:b]
+            a = b
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text as unsigned 32-bit numbers."""
-        odd = [bool(self.odd(t)) for t in texts]
-        words = iter(self.plain([t for t, o in zip(texts, odd, strict=True) if not o]))
+        words = [None if self.odd(t) else self.split(t.lower()) for t in texts]
+        new = set().union(*(w for w in words if w)) - self.known.keys()
+        if len(self.known) + len(new) > CACHE:
+            self.known = {}
+            new = set().union(*(w for w in words if w))
+        if new:
+            self.learn(list(new))
         get, out = self.known.__getitem__, []
-        for t, o in zip(texts, odd, strict=True):
-            ids = self.tokenizer.encode(t, add_special_tokens=False).ids if o else chain.from_iterable(map(get, next(words)))
-            out.append(np.frombuffer(array("I", ids), np.uint32) if not o or ids else np.zeros(0, np.uint32))
+        for t, w in zip(texts, words, strict=True):
+            if w is None:
+                out.append(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32))
+            else:
+                out.append(np.frombuffer(b"".join(map(get, w)), np.uint32))
         return out
 
     def sentence_ends(self) -> np.ndarray:
