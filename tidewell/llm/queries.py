@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, packing, topk, toxicity
+from . import html, minhash, mixing, packing, topk, toxicity
 from .shared import table
 
 
@@ -25,6 +25,18 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100, scale=1024)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    rows = mixing.mix(docs)
+    return rows.select(
+        F.col("doc").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), F.get("positions", F.lit(0)).alias("position")
+    )
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), size=2048, end_id=1)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -35,7 +47,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_topk, op8_packing, op10_toxicity)}
+    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_topk, op3_mixing, op8_packing, op9_html_text, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
