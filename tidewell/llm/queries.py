@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, minhash, mixing, packing, topk, toxicity
+from . import html, minhash, mixing, packing, quality, topk, toxicity
 from .shared import table
 
 
@@ -37,6 +37,10 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), size=2048, end_id=1)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -47,7 +51,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_topk, op3_mixing, op8_packing, op9_html_text, op10_toxicity)}
+    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_topk, op3_mixing, op7_quality_rules, op8_packing, op9_html_text, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
