@@ -103,14 +103,16 @@ _LONG_XOR = _RNG.integers(0, 1 << 32, LONG, np.uint32)
 def _long_sketches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     shift = np.arange(16, dtype=np.uint64) * np.uint64(4)
     for batch in batches:
-        words = np.zeros((batch.num_rows, WORDS), np.uint64)
+        words, sets = np.zeros((batch.num_rows, WORDS), np.uint64), []
         for i, s in enumerate(shingle_sets(batch.column(1), k)):
             if len(s):
                 with np.errstate(over="ignore"):
                     r = mix(registers(s, _LONG_MUL, _LONG_XOR).astype(np.uint64) * M3) >> np.uint64(60)
                 words[i] = (r.reshape(WORDS, 16) << shift).sum(1)
+            sets.append(s.view(np.int64))
         words = words.view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(words[:, i])) for i in range(WORDS))], ["rep", *(f"w{i}" for i in range(WORDS))])
+        columns = [batch.column(0), pa.array(sets, pa.list_(pa.int64())), *(pa.array(np.ascontiguousarray(words[:, i])) for i in range(WORDS))]
+        yield pa.RecordBatch.from_arrays(columns, ["rep", "shingles", *(f"w{i}" for i in range(WORDS))])
 
 
 def may_be_near(x: str, y: str, percent: int) -> str:
@@ -188,8 +190,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     are one document. A row without doc_id is never linked: component_id null, kept true. Other columns are not read.
     An empty table gives an empty result.
 
-    Equal sets are merged first. Every other set meets the smallest doc_id of each of its buckets, and the most
-    frequent of those is verified; then all pairs that share a bucket but not yet a component are tested. Two sets
+    Equal sets are merged first. Every other set meets the smallest doc_id of each of its buckets; the most frequent of
+    those is screened by likelihood and verified. Then all pairs that share a bucket but not yet a component are tested
+    inside the join, by longer sketches and then by the full sets, so that only true links leave it. Two sets
     at the least similarity share no bucket with a probability of (1 - 0.8**6)**40, or 5 in a million, and fail a screen
     with one of 3 in a million.
     """
@@ -207,20 +210,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         .groupBy("rep").agg(F.max(F.struct("c", (-F.col("center")).alias("m"))).alias("best"))
         .select(F.col("rep").alias("src"), (-F.col("best.m")).alias("dst"))
     )
-    first = staged(first, "first")
+    first = staged(screened(first, reps, percent), "first")
     links = staged(verified(first, docs, k, percent), "links")
     parts = connected_components(links)
     marked = shared.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", "n", F.coalesce("component", "rep").alias("part"))
     open_buckets = marked.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("band")
     rest = staged(marked.join(open_buckets, "band", "left_semi"), "rest")
+    # the buckets of several components
     texts = semi_join(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), rest, "rep")
-    more = texts.mapInArrow(lambda it: _long_sketches(it, k), "rep long, " + ", ".join(f"w{i} long" for i in range(WORDS)))
-    rest = rest.join(more, "rep")
-    near = f"x.band = y.band and x.part < y.part and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and {may_be_near('x', 'y', percent)}"
-    pairs = rest.alias("x").join(rest.alias("y"), F.expr(near)).select(F.greatest("x.rep", "y.rep").alias("src"), F.least("x.rep", "y.rep").alias("dst")).distinct()
-    pairs = pairs.join(first.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")), ["src", "dst"], "left_anti")
-    pairs = staged(screened(pairs, reps, percent), "pairs")
-    more = staged(links.unionByName(verified(pairs, docs, k, percent)), "links")
+    sketched = texts.mapInArrow(lambda it: _long_sketches(it, k), "rep long, shingles array<long>, " + ", ".join(f"w{i} long" for i in range(WORDS)))
+    rest = rest.join(sketched, "rep")
+    near = f"""x.band = y.band and x.part < y.part and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)
+        and {may_be_near('x', 'y', percent)}
+        and {100 + percent} * size(array_intersect(x.shingles, y.shingles)) >= {percent} * (x.n + y.n)"""
+    late = rest.alias("x").join(rest.alias("y"), F.expr(near)).select(F.col("x.rep").alias("src"), F.col("y.rep").alias("dst"))
+    more = staged(links.unionByName(late).distinct(), "links")
     parts = connected_components(more)
     named = reps.select("set_key", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
     return (
