@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, licenses, minhash, mixing, packing, quality, secrets, topk, toxicity
+from . import html, licenses, lines, minhash, mixing, packing, quality, secrets, topk, toxicity
 from .shared import table
 
 
@@ -37,6 +37,10 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents")).select("row.doc_id", "n_lines", "n_dropped", F.col("new_text").alias("text"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -59,7 +63,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_topk, op3_mixing, op5_secret_scan, op6_license_scan, op7_quality_rules, op8_packing, op9_html_text, op10_toxicity)}
+    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_topk, op3_mixing, op4_line_dedup, op5_secret_scan, op6_license_scan, op7_quality_rules, op8_packing, op9_html_text, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
