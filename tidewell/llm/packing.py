@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
@@ -20,9 +21,26 @@ STEP = 16
 #: A partition is worked on in runs of about so many tokens; what is left of one run begins the next.
 RUN = 1 << 18
 CACHE = 1_000_000
+#: Controls that only Python counts as white space, and how special tokens begin.
+RARE = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
+#: The byte-level vocabularies' sign of each byte: itself where it is printable Latin-1, else the next of those from U+0100 on.
+_PLAIN = [b for b in range(256) if 33 <= b <= 126 or b >= 161 and b != 173]
+SIGNS = {b: b if b in _PLAIN else 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))} | {b: b for b in _PLAIN}
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+class Known(dict):
+    """Ids of words as bytes; a word that is not known yet is encoded by the vocabulary's model, which reads each UTF-8 byte as a printable sign."""
+
+    def __init__(self, model):
+        self.model = model
+
+    def __missing__(self, w: str) -> bytes:
+        signs = w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(SIGNS)
+        self[w] = ids = array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
+        return ids
+
+
 class Words:
     """Ids of a text from the tokenizer file, word by word with a cache where that provably gives the same ids.
 
@@ -35,46 +53,28 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        self.ends[[i for w, i in self.tokenizer.get_vocab().items() if w.endswith("</w>")]] = True
+        self.known = Known(self.tokenizer.model)
         kinds = {k: "".join(f"\\u{c:04x}" for c in range(0x250) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
         self.split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{kinds['L']}]+|[{kinds['N']}]|[^\s{kinds['L']}{kinds['N']}]+").findall
         self.odd = re.compile(r"[^\u0000-\u001b -\u0084\u0086-įı-ɏ]|<\|").search
 
-    def learn(self, new: list[str]) -> None:
-        """Encode words that are not known yet: all at once, each ending with a token that ends a word."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, np.uint32)
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) != len(new):
-            self.known |= {w: np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32).tobytes() for w in new}
-            return
-        data, a = ids.tobytes(), 0
-        for w, b in zip(new, (stops * 4).tolist(), strict=True):
-            self.known[w] = data[a:b]
-            a = b
-
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text as unsigned 32-bit numbers."""
-        words = [None if self.odd(t) else self.split(t.lower()) for t in texts]
-        new = set().union(*(w for w in words if w)) - self.known.keys()
-        if len(self.known) + len(new) > CACHE:
-            self.known = {}
-            new = set().union(*(w for w in words if w))
-        if new:
-            self.learn(list(new))
+        if len(self.known) > CACHE:
+            self.known.clear()
         get, out = self.known.__getitem__, []
-        for t, w in zip(texts, words, strict=True):
-            if w is None:
+        for t in texts:
+            if any(c in t for c in RARE) or not t.isascii() and self.odd(t):
                 out.append(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32))
             else:
-                out.append(np.frombuffer(b"".join(map(get, w)), np.uint32))
+                out.append(np.frombuffer(b"".join(map(get, self.split(t.lower()))), np.uint32))
         return out
 
     def sentence_ends(self) -> np.ndarray:
-        """Ids of the tokens that end a word of closing signs such as '.' or '?"'."""
-        vocab = self.tokenizer.get_vocab()
-        return np.array([i for w, i in vocab.items() if re.fullmatch(r"[.!?…]+[\"')\]]*</w>", w)], np.uint32)
+        """For each id whether it ends a word of closing signs such as '.' or '?"'."""
+        out = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        out[[i for w, i in self.tokenizer.get_vocab().items() if re.fullmatch(r"[.!?]+[\"')\]]*</w>", w)]] = True
+        return out
 
 
 @lru_cache(1)
@@ -82,37 +82,43 @@ def words_of(path: str) -> Words:
     return Words(path)
 
 
-def cuts(cost: dict[int, int], total: int, size: int) -> list[int]:
-    """Positions, the last one total, where windows of at most `size` tokens end at the least sum of padding and cut costs.
+def cuts(places: np.ndarray, costs: np.ndarray, size: int) -> list[int]:
+    """Positions, the last place among them, where windows of at most `size` tokens end at the least sum of padding and cut costs.
 
-    cost: allowed positions, ascending, with the cost of a cut there. With f(j) the least cost of the tokens before j,
+    places: allowed positions, ascending, with the cost of a cut at each. With f(j) the least cost of the tokens before j,
     f(j) = cost(j) + size - j + min(f(i) + i) over allowed i from j - size on; a queue of rising f(i) + i gives each
     minimum in constant time.
     """
     queue, back = deque([(0, 0)]), {}
-    for j, c in cost.items():
+    pop, push, left = queue.pop, queue.append, queue.popleft
+    for j, c in zip(places.tolist(), (costs + size).tolist(), strict=True):
         while queue[0][1] < j - size:
-            queue.popleft()
+            left()
         best, back[j] = queue[0]
-        value = best + c + size  # f(j) + j
+        value = best + c  # f(j) + j
         while queue and queue[-1][0] >= value:
-            queue.pop()
-        queue.append((value, j))
-    out = [total]
+            pop()
+        push((value, j))
+    out = [int(places[-1])]
     while back[out[-1]]:
         out.append(back[out[-1]])
     return out[::-1]
 
 
-def allowed(ids: np.ndarray, ends: np.ndarray, closing: np.ndarray) -> dict[int, int]:
+def allowed(ids: np.ndarray, ends: np.ndarray, closing: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where a run of tokens may be cut, and at what cost: document ends, sentence ends, and within longer sentences."""
-    cost = dict.fromkeys((np.flatnonzero(np.isin(ids, closing)) + 1).tolist(), SENTENCE)
-    cost |= dict.fromkeys(ends.tolist(), 0)
-    at = np.array(sorted(cost))
-    gaps = np.diff(at, prepend=0)
-    for k in np.flatnonzero(gaps > STEP):
-        cost |= dict.fromkeys(range(int(at[k] - gaps[k]) + STEP, int(at[k]), STEP), WORD)
-    return dict(sorted(cost.items()))
+    cost = np.full(len(ids) + 1, WORD, np.int64)
+    stop = closing[ids]
+    cost[1:][stop] = SENTENCE
+    cost[ends] = 0
+    at = np.flatnonzero(cost < WORD)
+    last = np.zeros(len(ids) + 1, np.int64)
+    last[at] = at
+    np.maximum.accumulate(last, out=last)
+    since = np.arange(len(ids) + 1) - last
+    places = np.flatnonzero((cost < WORD) | (since % STEP == 0))
+    places = places[places > 0]
+    return places, cost[places]
 
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int) -> Iterator[pa.RecordBatch]:
@@ -142,8 +148,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int)
 
     def plan() -> list[int]:
         ids = np.concatenate([x[2] for x in waiting])
-        cost = allowed(ids, np.cumsum([len(x[2]) for x in waiting]), closing)
-        return cuts(cost, len(ids), size)
+        return cuts(*allowed(ids, np.cumsum([len(x[2]) for x in waiting]), closing), size)
 
     for batch in batches:
         docs = batch.column(0).to_pylist()
