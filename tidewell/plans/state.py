@@ -9,7 +9,10 @@ from ..functions.scalar import iso_micros
 from ..operators import governance, outbox
 from .registry import query
 
-NOW = F.lit("2000-06-01").cast("timestamp_ntz")
+def now():
+    return F.lit("2000-06-01").cast("timestamp_ntz")
+
+
 NOW_SQL = "TIMESTAMP '2000-06-01 00:00:00'"
 DUE_SQL = f"((state IN ('READY','FAILED_RETRYABLE') AND next_attempt_at <= {NOW_SQL}) OR (state = 'DELIVERING' AND lease_until < {NOW_SQL}))"
 HEAD_SQL = "NOT EXISTS (SELECT 1 FROM handoffs e WHERE e.run_id = h.run_id AND e.sequence_no < h.sequence_no AND e.state <> 'ACKED')"
@@ -24,17 +27,17 @@ def ack_watermark(handoffs):
 
 @query(f"SELECT run_id, sequence_no, state FROM handoffs h WHERE state <> 'ACKED' AND {HEAD_SQL} AND {DUE_SQL}", "handoffs")
 def next_deliverable(handoffs):
-    return outbox.next_deliverable(handoffs, NOW).select("run_id", "sequence_no", "state")
+    return outbox.next_deliverable(handoffs, now()).select("run_id", "sequence_no", "state")
 
 
 @query(f"SELECT run_id, partition_key, sequence_no, state FROM handoffs h WHERE {HEAD_SQL} AND {DUE_SQL}", "handoffs")
 def deliverable_handoffs(handoffs):
-    return outbox.deliverable_handoffs(handoffs, NOW).select("run_id", "partition_key", "sequence_no", "state")
+    return outbox.deliverable_handoffs(handoffs, now()).select("run_id", "partition_key", "sequence_no", "state")
 
 
 @query(f"SELECT run_id, sequence_no FROM handoffs WHERE state = 'DELIVERING' AND lease_until < {NOW_SQL}", "handoffs")
 def lease_expiry(handoffs):
-    return outbox.lease_expiry(handoffs, NOW).select("run_id", "sequence_no")
+    return outbox.lease_expiry(handoffs, now()).select("run_id", "sequence_no")
 
 
 @query(f"""SELECT run_id, sequence_no, CASE WHEN state = 'ACKED' OR durable THEN 'ACKED' ELSE 'FAILED_RETRYABLE' END AS new_state,
@@ -45,7 +48,7 @@ FROM (SELECT *, CASE WHEN payload_key % 3 <> 2 THEN payload_key % 3 = 0 END AS d
 def apply_receipts(handoffs):
     h = handoffs.withColumn("handoff_id", F.concat_ws(":", "run_id", "sequence_no"))
     receipts = h.where("payload_key % 3 <> 2").select("handoff_id", F.expr("payload_key % 3 = 0").alias("durable"), F.expr("concat('r', payload_key)").alias("receipt_ref"))
-    out = outbox.apply_receipts(h, receipts, NOW)
+    out = outbox.apply_receipts(h, receipts, now())
     return out.select("run_id", "sequence_no", "new_state", "receipt_ref", "error_code", iso_micros("retry_at").alias("retry_at"))
 
 
