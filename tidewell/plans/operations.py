@@ -1 +1,102 @@
-"""Queries."""
+"""Queries over incident transitions, and the ordered folds of health and back-pressure."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.scalar import iso_micros
+from ..operators import health
+from ..operators import incidents as I
+from .registry import query
+
+ISO = "'%Y-%m-%dT%H:%M:%S.%fZ'"
+REVISED = "(SELECT *, CAST(row_number() OVER (PARTITION BY tenant_id ORDER BY issue_id, issue_version) + 10 AS BIGINT) AS revision FROM transitions)"
+
+
+def revised(transitions):
+    clock = transitions.select("tenant_id").distinct().withColumn("last_revision", F.lit(10))
+    return I.allocate_revisions(transitions, clock)
+
+
+@query(f"SELECT tenant_id, issue_id, issue_version, revision FROM {REVISED}", "transitions")
+def allocate_revisions(transitions):
+    return revised(transitions).select("tenant_id", "issue_id", "issue_version", "revision")
+
+
+@query("""SELECT issue_id, transition_id, CAST(row_number() OVER (PARTITION BY issue_id ORDER BY transition_id) AS BIGINT) AS version FROM (
+ SELECT *, lag(severity) OVER w AS s, lag(lifecycle) OVER w AS l, row_number() OVER w AS k FROM transitions WINDOW w AS (PARTITION BY issue_id ORDER BY transition_id)
+) WHERE k = 1 OR s IS DISTINCT FROM severity OR l IS DISTINCT FROM lifecycle""", "transitions")
+def incident_versions(transitions):
+    return I.incident_versions(transitions, "issue_id", ["transition_id"], ["severity", "lifecycle"]).select("issue_id", "transition_id", "version")
+
+
+@query(f"SELECT transition_id, strftime(max(observed_at) OVER (PARTITION BY issue_id ORDER BY transition_id % 97, transition_id), {ISO}) AS last_updated FROM transitions", "transitions")
+def monotone_observation(transitions):
+    t = transitions.withColumn("shuffled", F.col("transition_id") % 97)
+    return I.monotone_observation(t, "issue_id", ["shuffled", "transition_id"], "observed_at").select("transition_id", iso_micros("last_updated").alias("last_updated"))
+
+
+@query(f"SELECT tenant_id, issue_id, issue_version, revision, lifecycle FROM (SELECT *, row_number() OVER (PARTITION BY tenant_id, issue_id ORDER BY revision DESC) AS k FROM {REVISED} WHERE revision <= 2000) WHERE k = 1", "transitions")
+def as_of_revision(transitions):
+    return I.as_of_revision(revised(transitions), 2000).select("tenant_id", "issue_id", "issue_version", "revision", "lifecycle")
+
+
+@query("SELECT issue_id, issue_version, severity, lifecycle FROM (SELECT *, row_number() OVER (PARTITION BY issue_id ORDER BY issue_version DESC) AS k FROM transitions) WHERE k = 1", "transitions")
+def latest_transition(transitions):
+    return I.latest_transition(transitions).select("issue_id", "issue_version", "severity", "lifecycle")
+
+
+PRIORITY = "lifecycle <> 'OPEN', severity <> 'ERROR', observed_at DESC, issue_id"
+
+
+@query(f"SELECT tenant_id, transition_id, row_number() OVER (PARTITION BY tenant_id ORDER BY {PRIORITY}) - 1 AS position FROM transitions", "transitions")
+def prioritise_incidents(transitions):
+    return I.prioritise_incidents(transitions).select("tenant_id", "transition_id", "position")
+
+
+@query(f"SELECT transition_id, severity, lifecycle FROM transitions ORDER BY {PRIORITY} LIMIT 25", "transitions")
+def top_incidents(transitions):
+    return I.top_incidents(transitions, 25).select("transition_id", "severity", "lifecycle")
+
+
+@query(f"SELECT tenant_id, transition_id, position, total > 250 AS has_next FROM (SELECT *, row_number() OVER (PARTITION BY tenant_id ORDER BY {PRIORITY}) - 1 AS position, count(*) OVER (PARTITION BY tenant_id) AS total FROM transitions) WHERE position >= 200 AND position < 250", "transitions")
+def snapshot_page(transitions):
+    return I.snapshot_page(I.prioritise_incidents(transitions), 200, 50).select("tenant_id", "transition_id", "position", "has_next")
+
+
+@query(f"SELECT tenant_id, issue_id, revision, 'DELTA' AS progress FROM (SELECT *, row_number() OVER (PARTITION BY tenant_id, issue_id ORDER BY revision DESC) AS k FROM {REVISED} WHERE revision > 1500 AND revision <= 2600) WHERE k = 1", "transitions")
+def resume_delta(transitions):
+    return I.resume_delta(revised(transitions), 1500, 2600).select("tenant_id", "issue_id", "revision", "progress")
+
+
+@query("SELECT session_id, greatest(1, CAST(ceil(n / 10.0) AS BIGINT)) AS needed, done, done >= greatest(1, CAST(ceil(n / 10.0) AS BIGINT)) AS may_bookmark FROM (SELECT user_id AS session_id, count(*) AS n, count(*) FILTER (event_type <> 'error' AND event_id % 5 = 0) AS done FROM events GROUP BY 1)", "events")
+def page_coverage(events):
+    pages = events.where("event_id % 5 = 0").select(F.col("user_id").alias("session_id"), F.col("event_id").alias("page"), (F.col("event_type") != "error").alias("complete"))
+    sessions = events.groupBy(F.col("user_id").alias("session_id")).agg(F.count("*").alias("item_count")).withColumn("page_limit", F.lit(10))
+    return I.page_coverage(pages, sessions)
+
+
+@query("SELECT tenant_id, page, sha256(string_agg(body, chr(10) ORDER BY position)) AS digest FROM (SELECT tenant_id, (row_number() OVER (PARTITION BY tenant_id ORDER BY transition_id) - 1) // 100 AS page, row_number() OVER (PARTITION BY tenant_id ORDER BY transition_id) AS position, concat(transition_id, severity) AS body FROM transitions) GROUP BY 1, 2", "transitions")
+def page_digest(transitions):
+    from pyspark.sql import Window
+
+    n = F.row_number().over(Window.partitionBy("tenant_id").orderBy("transition_id"))
+    items = transitions.select("tenant_id", n.alias("position"), F.concat("transition_id", "severity").alias("body")).withColumn("page", F.expr("(position - 1) div 100"))
+    return I.page_digest(items, ["tenant_id", "page"], "position", "body")
+
+
+@query("""WITH RECURSIVE days AS (SELECT run_id % 5 AS tenant_id, CAST(floor(epoch(next_attempt_at) / 86400) AS BIGINT) AS d, count(*) AS n FROM handoffs WHERE state <> 'ACKED' GROUP BY 1, 2),
+ seq AS (SELECT tenant_id, row_number() OVER (PARTITION BY tenant_id ORDER BY d) AS k, n FROM days),
+ fold AS (SELECT tenant_id, CAST(0 AS BIGINT) AS k, 'NORMAL' AS s FROM (SELECT DISTINCT tenant_id FROM seq)
+  UNION ALL SELECT f.tenant_id, q.k, CASE WHEN q.n >= 9 THEN 'HARD' WHEN f.s IN ('HARD','RECOVERY') THEN CASE WHEN q.n <= 2 THEN 'NORMAL' ELSE 'RECOVERY' END WHEN q.n >= 5 THEN 'SOFT' WHEN f.s = 'SOFT' AND q.n > 2 THEN 'SOFT' ELSE 'NORMAL' END
+  FROM fold f JOIN seq q ON q.tenant_id = f.tenant_id AND q.k = f.k + 1)
+SELECT tenant_id, arg_max(s, k) AS state FROM fold GROUP BY tenant_id""", "handoffs")
+def pressure_states(handoffs):
+    days = handoffs.where("state <> 'ACKED'").select((F.col("run_id") % 5).alias("tenant_id"), F.expr("unix_timestamp(next_attempt_at) div 86400").alias("at"))
+    return health.pressure_states(days.groupBy("tenant_id", "at").agg(F.count("*").alias("backlog")), 5, 9, 2)
+
+
+@query(None, "attempt_log")
+def circuit_states(attempt_log):
+    log = attempt_log.select("source_id", F.unix_timestamp("happened_at").alias("at_seconds"), "event_id", "outcome")
+    return health.circuit_states(log, window=86400)

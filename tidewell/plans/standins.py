@@ -74,6 +74,8 @@ def with_views(sql: str, *names: str) -> str:
     """DuckDB SQL that sees the named views."""
     parts = [f"{n} AS ({VIEWS[n][2].format(**{b: b for b in VIEWS[n][0] + VIEWS[n][1]})})" for n in names]
     body = sql.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return "WITH RECURSIVE " + ", ".join(parts) + ", " + body[15:]
     if body.upper().startswith("WITH "):
         return "WITH " + ", ".join(parts) + ", " + body[5:]
     return "WITH " + ", ".join(parts) + " " + body

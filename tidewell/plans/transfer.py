@@ -1 +1,185 @@
-"""Queries."""
+"""Queries over sources, sinks and streams; files and streams are derived from the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import outbox
+from ..sources import readers
+from ..streaming import jobs
+from .registry import query
+from .scratch import drained, folder, streamed
+
+
+@query("SELECT CAST(p_partkey AS STRING) AS p_partkey, concat(p_name, ';', chr(10), '\"', p_brand, '\"') AS p_name, CASE WHEN p_size % 5 = 0 THEN '' ELSE CAST(p_size AS STRING) END AS p_size, CAST(NULL AS STRING) AS error_code FROM part", "part")
+def read_delimited(part):
+    path = folder(part.sparkSession, "csv")
+    name = F.concat("p_name", F.lit(';\n"'), "p_brand", F.lit('"'))
+    rows = part.select(F.col("p_partkey").cast("string").alias("p_partkey"), name.alias("p_name"), F.when(F.col("p_size") % 5 == 0, F.lit(None)).otherwise(F.col("p_size")).cast("string").alias("p_size"))
+    rows.write.options(header=True, sep=";", escape='"', quoteAll=True, emptyValue="").csv(path)
+    out = readers.read_delimited(part.sparkSession, path, ";")
+    return out.select(*(F.col("payload")[c].alias(c) for c in ("p_partkey", "p_name", "p_size")), "error_code")
+
+
+@query("SELECT concat('f', p_size % 3) AS file, p_partkey + 1 AS ordinal, CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_name END AS name, p_brand AS brand, CASE WHEN p_partkey % 13 = 0 THEN 'ING_MANAGED_FORMULA_FORBIDDEN' WHEN p_partkey % 17 = 0 THEN 'ING_MANAGED_CELL_ERROR' END AS error_code FROM part", "part")
+def sheet_records(part):
+    p = part.select(F.expr("concat('f', p_size % 3)").alias("file"), (F.col("p_partkey") + 1).alias("row"), "*")
+    kind = F.when(F.col("p_partkey") % 13 == 0, "FORMULA").when(F.col("p_partkey") % 17 == 0, "ERROR").otherwise("STRING")
+    cells = p.select("file", F.lit("objects").alias("sheet"), "row", F.lit(0).alias("col"), F.when(F.col("p_partkey") % 11 == 0, "BLANK").otherwise("STRING").alias("cell_type"), F.col("p_name").alias("value")).unionByName(
+        p.select("file", F.lit("objects").alias("sheet"), "row", F.lit(1).alias("col"), kind.alias("cell_type"), F.col("p_brand").alias("value"))
+    )
+    head = p.select("file").distinct().withColumn("x", F.explode(F.array(F.struct(F.lit(0).alias("col"), F.lit(" name ").alias("value")), F.struct(F.lit(1).alias("col"), F.lit("brand").alias("value")))))
+    head = head.select("file", F.lit("objects").alias("sheet"), F.lit(0).cast("long").alias("row"), "x.col", F.lit("STRING").alias("cell_type"), "x.value")
+    out = readers.sheet_records(cells.unionByName(head), "objects")
+    return out.select("file", "ordinal", F.col("payload")["name"].alias("name"), F.col("payload")["brand"].alias("brand"), "error_code")
+
+
+def _pages(events):
+    item = F.struct("event_id", "event_type")
+    pages = events.groupBy(F.expr("event_id div 100").alias("page")).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    return pages.select("page", F.to_json(F.struct("items", F.concat(F.lit("p"), F.col("page") + 1).alias("nextPageToken"))).alias("body"))
+
+
+@query("""SELECT row_number() OVER (ORDER BY event_id) - 1 AS ordinal, event_id // 100 AS page, event_id, event_type FROM events""", "events")
+def json_page_records(events):
+    out = readers.json_page_records(_pages(events), "$.items")
+    return out.select("ordinal", "page", F.get_json_object("item", "$.event_id").cast("long").alias("event_id"), F.get_json_object("item", "$.event_type").alias("event_type"))
+
+
+@query("SELECT CASE WHEN p > 0 THEN concat('p', p) END AS page_token, CAST(p AS INTEGER) AS depth FROM (SELECT DISTINCT event_id // 100 AS p FROM events) WHERE p < 12", "events")
+def page_chain(events):
+    p = F.col("page")
+    pages = _pages(events).select(F.when(p > 0, F.concat(F.lit("p"), p)).alias("page_token"), F.get_json_object("body", "$.nextPageToken").alias("next_token"))
+    return readers.page_chain(pages, 12)
+
+
+@query("SELECT c_custkey // 10 AS doc, CAST(CASE WHEN (c_custkey // 10) % 9 <> 0 THEN c_custkey % 10 END AS BIGINT) AS ordinal, CASE WHEN (c_custkey // 10) % 9 <> 0 THEN c_name END AS name, CASE WHEN (c_custkey // 10) % 9 <> 0 THEN 'EPSG::4326' END AS srs_name, CASE WHEN (c_custkey // 10) % 9 = 0 THEN 'ING_XML_DOCTYPE_FORBIDDEN' END AS error_code FROM customer WHERE (c_custkey // 10) % 9 <> 0 OR c_custkey % 10 = 0", "customer")
+def xml_feature_records(customer):
+    one = F.format_string('<wfs:member><x:road gml:id="r%d"><x:name>%s</x:name><x:shape srsName="EPSG::4326"><gml:pos>1 2</gml:pos></x:shape></x:road></wfs:member>', "c_custkey", "c_name")
+    docs = customer.groupBy(F.expr("c_custkey div 10").alias("doc")).agg(F.array_sort(F.collect_list(F.struct("c_custkey", one.alias("m")))).alias("m"))
+    head = F.when(F.col("doc") % 9 == 0, "<!DOCTYPE x>").otherwise("")
+    docs = docs.select("doc", F.concat(head, F.lit("<wfs:FeatureCollection>"), F.array_join(F.transform("m", lambda x: x["m"]), ""), F.lit("</wfs:FeatureCollection>")).alias("body"))
+    return readers.xml_feature_records(docs, "AUTHORITY").select("doc", "ordinal", F.col("fields")["name"].alias("name"), "srs_name", "error_code")
+
+
+@query("SELECT concat('layer', s_suppkey) AS table_name, s_nationkey + 1 AS organization_id, 'geom' AS geometry_column, 'POINT' AS geometry_type, CASE WHEN s_suppkey % 2 = 0 THEN 3 ELSE 2 END AS column_count FROM supplier WHERE s_suppkey % 5 <> 0 AND s_nationkey % 7 <> 0 AND s_suppkey % 3 <> 0", "supplier nation")
+def layer_inventory(supplier, nation):
+    name = F.expr("concat('layer', s_suppkey)").alias("table_name")
+    contents = supplier.select(name, F.col("s_nationkey").alias("srs_id"), F.when(F.col("s_suppkey") % 5 == 0, "tiles").otherwise("features").alias("data_type"))
+    geoms = supplier.select(name, F.col("s_nationkey").alias("srs_id"), F.lit("geom").alias("geometry_column"), F.lit("POINT").alias("geometry_type"), F.lit(0).alias("z"), F.lit(0).alias("m"))
+    systems = nation.select(F.col("n_nationkey").alias("srs_id"), F.when(F.col("n_nationkey") % 7 == 0, "NONE").otherwise("EPSG").alias("organization"), (F.col("n_nationkey") + 1).alias("organization_id"))
+    base = supplier.select("s_suppkey", name)
+    columns = base.select("table_name", F.lit("fid").alias("column_name"), F.lit("INTEGER").alias("type"), (F.col("s_suppkey") % 3 != 0).alias("pk"))
+    columns = columns.unionByName(base.select("table_name", F.lit("geom").alias("column_name"), F.lit("POINT").alias("type"), F.lit(False).alias("pk")))
+    columns = columns.unionByName(base.where("s_suppkey % 2 = 0").select("table_name", F.lit("code").alias("column_name"), F.lit("TEXT").alias("type"), F.lit(False).alias("pk")))
+    return readers.layer_inventory(contents, geoms, systems, columns)
+
+
+@query("SELECT c_custkey, c_name, CASE WHEN c_custkey % 10 = 0 THEN 'ING_NUMBER_NOT_FINITE' END AS error_code FROM customer", "customer")
+def layer_features(customer):
+    c = customer.withColumn("c_acctbal", F.when(F.col("c_custkey") % 10 == 0, float("nan")).otherwise(F.col("c_acctbal")))
+    return readers.layer_features(c, "c_custkey", ["c_name", "c_acctbal"], ["c_acctbal"], 10_000_000).select("c_custkey", "c_name", "error_code")
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 6 <> 0 THEN '{"type": "Point", "coordinates": [13.0, 45.0]}' END AS geojson, CASE WHEN c_custkey % 6 = 0 THEN 'ING_GEOMETRY_INVALID' END AS error_code FROM customer""", "customer")
+def geometry_to_geojson(customer):
+    good = "475000" + "01" + "e6100000" + "01" + "01000000" + "0000000000002a40" + "0000000000804640"
+    big = "475000" + "00" + "000010e6" + "00" + "00000001" + "402a000000000000" + "4046800000000000"
+    blob = F.when(F.col("c_custkey") % 6 == 0, F.unhex(F.lit(good + "00"))).when(F.col("c_custkey") % 2 == 0, F.unhex(F.lit(good))).otherwise(F.unhex(F.lit(big)))
+    return readers.geometry_to_geojson(customer.withColumn("g", blob), "c_custkey", "g", 4326)
+
+
+@query("SELECT CAST(doc_id AS STRING) AS path, CASE WHEN doc_id % 5 = 0 THEN 'UNAPPROVED' WHEN doc_id % 7 = 0 THEN 'MISMATCH' ELSE 'EXACT' END AS state FROM documents", "documents")
+def asset_integrity(documents):
+    content = F.col("text").cast("binary")
+    assets = documents.select(F.col("doc_id").cast("string").alias("path"), content.alias("content"), "doc_id")
+    manifest = assets.where("doc_id % 5 <> 0").select("path", F.octet_length("content").alias("byte_length"), F.concat(F.lit("sha256:"), F.when(F.col("doc_id") % 7 == 0, F.lit("0")).otherwise(F.sha2("content", 256))).alias("hash"))
+    return readers.asset_integrity(assets.drop("doc_id"), manifest)
+
+
+@query("SELECT 'RAW' AS zone, source AS source_id, sha256(text) AS idempotency_key, concat('sha256:', sha256(text)) AS content_hash FROM (SELECT DISTINCT source, text FROM (SELECT min(source) OVER (PARTITION BY text) AS source, text FROM documents))", "documents")
+def write_zone_roundtrip(documents):
+    from pyspark.sql import Window
+
+    rows = documents.select(F.lit("RAW").alias("zone"), F.min("source").over(Window.partitionBy("text")).alias("source_id"), F.sha2("text", 256).alias("idempotency_key"), F.col("text").alias("content"))
+    path = folder(documents.sparkSession, "zone")
+    first = readers.write_zone(rows.where(F.crc32("idempotency_key") % 2 == 0), path)
+    return readers.write_zone(rows, path, first.select("idempotency_key")).select("zone", "source_id", "idempotency_key", "content_hash")
+
+
+@query("SELECT outcome, error_code, count(*) AS n FROM (SELECT CASE WHEN variant % 5 = 1 THEN 'QUARANTINED' WHEN variant IN (5) THEN 'QUARANTINED' WHEN variant = 4 THEN 'QUARANTINED' WHEN variant = 8 THEN 'QUARANTINED' ELSE 'STAGED' END AS outcome, CASE WHEN variant % 5 = 1 THEN 'ING_SCHEMA_INCOMPATIBLE' WHEN variant = 8 THEN 'ING_OPERATION_UNSUPPORTED' WHEN variant = 4 THEN 'ING_TEMPORAL_METADATA_INVALID' WHEN variant = 5 THEN 'ING_VALID_TIME_INVALID' END AS error_code FROM records) GROUP BY ALL", "records")
+def run_pipeline_outcomes(records):
+    from ..operators.pipeline import run_pipeline
+    from .intake import payloads
+
+    out = run_pipeline(payloads(records), ["id", "name", "segment"], [("id", "https://example.test/id", "IDENTITY"), ("name", "https://example.test/name", "IDENTITY")])
+    return out.groupBy("outcome", "error_code").agg(F.count("*").alias("n"))
+
+
+@query("SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN variant % 5 = 1 OR variant IN (4, 5, 8) THEN 'QUARANTINED' ELSE 'STAGED' END AS outcome FROM records) GROUP BY 1", "records")
+def stream_pipeline(records):
+    from ..operators.pipeline import run_pipeline
+    from .intake import payloads
+
+    stream = payloads(streamed(records, "records"))
+    out = run_pipeline(stream, ["id", "name", "segment"], [("id", "https://example.test/id", "IDENTITY"), ("name", "https://example.test/name", "IDENTITY")])
+    return drained(out.select("outcome", "ordinal"), "pipeline").groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@query("SELECT DISTINCT concat('k', user_id) AS idempotency_key FROM events", "events")
+def stream_dedupe_handoffs(events):
+    s = streamed(events.select(F.concat(F.lit("k"), "user_id").alias("idempotency_key"), F.col("ts").cast("timestamp").alias("at")), "handoffs")
+    return drained(jobs.dedupe_handoffs(s, "at", "60 days"), "deduped").select("idempotency_key")
+
+
+@query(None, "attempt_log")
+def stream_circuit_breaker(attempt_log):
+    s = streamed(attempt_log.select("source_id", "event_id", F.unix_timestamp("happened_at").alias("at_seconds"), "outcome"), "attempts")
+    return drained(jobs.circuit_breaker(s, window=86400), "circuit")
+
+
+@query(None, "handoffs")
+def stream_pressure_monitor(handoffs):
+    days = handoffs.where("state <> 'ACKED'").select((F.col("run_id") % 5).alias("tenant_id"), F.expr("unix_timestamp(next_attempt_at) div 86400").alias("at"))
+    return drained(jobs.pressure_monitor(streamed(days.groupBy("tenant_id", "at").agg(F.count("*").alias("backlog")), "backlog"), 5, 9, 2), "pressure")
+
+
+@query("""SELECT issue_id, transition_id, CAST(row_number() OVER (PARTITION BY issue_id ORDER BY transition_id) AS BIGINT) AS version FROM (
+ SELECT *, lag(severity) OVER w AS s, lag(lifecycle) OVER w AS l, row_number() OVER w AS k FROM transitions WINDOW w AS (PARTITION BY issue_id ORDER BY transition_id)
+) WHERE k = 1 OR s IS DISTINCT FROM severity OR l IS DISTINCT FROM lifecycle""", "transitions")
+def stream_incident_versioning(transitions):
+    return drained(jobs.incident_versioning(streamed(transitions.select("issue_id", "transition_id", "severity", "lifecycle"), "transitions")), "versions")
+
+
+@query("""SELECT run_id, max(sequence_no) AS watermark FROM (
+  SELECT *, sum(CASE WHEN state <> 'ACKED' THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY sequence_no) AS bad FROM handoffs
+) WHERE bad = 0 GROUP BY run_id""", "handoffs")
+def stream_ack_watermark(handoffs):
+    acks = streamed(handoffs.where("state = 'ACKED'").select("run_id", "sequence_no"), "acks")
+    return drained(jobs.ack_watermark_stream(acks), "watermarks").groupBy("run_id").agg(F.max("watermark").alias("watermark"))
+
+
+@query("""SELECT issue_key, event_id FROM (SELECT *, lag(action) OVER (PARTITION BY issue_key ORDER BY event_id) AS before FROM (
+ SELECT concat('i', user_id % 40) AS issue_key, event_id, CASE WHEN event_type = 'signup' THEN 'CLOSE' ELSE 'OPEN' END AS action FROM events)) WHERE action = 'OPEN' AND before IS DISTINCT FROM 'OPEN'""", "events")
+def stream_open_issues(events):
+    e = events.select(F.expr("concat('i', user_id % 40)").alias("issue_key"), "event_id", F.when(F.col("event_type") == "signup", "CLOSE").otherwise("OPEN").alias("action"))
+    return drained(jobs.open_issue_stream(streamed(e, "issues")), "opened")
+
+
+@query("SELECT tenant_id, count(*) AS published, min(revision) AS low, max(revision) AS high FROM (SELECT tenant_id, row_number() OVER (PARTITION BY tenant_id ORDER BY transition_id) AS revision FROM transitions) GROUP BY 1", "transitions")
+def publish_late_safe(transitions):
+    """Two batches, the later one holding earlier transitions: revisions stay dense."""
+    empty = transitions.select("tenant_id", "transition_id", F.lit(0).cast("long").alias("revision")).limit(0)
+    first = jobs.publish_late_safe(transitions.where("transition_id % 3 <> 0"), empty).select("tenant_id", "transition_id", "revision")
+    second = jobs.publish_late_safe(transitions, first).select("tenant_id", "transition_id", "revision")
+    return first.unionByName(second).groupBy("tenant_id").agg(F.count("*").alias("published"), F.min("revision").alias("low"), F.max("revision").alias("high"))
+
+
+@query("SELECT concat('k', user_id % 90) AS idempotency_key FROM events GROUP BY 1", "events")
+def stream_stage_handoffs(events):
+    rows = events.select(F.expr("concat('k', user_id % 90)").alias("idempotency_key"), F.expr("concat('p', user_id % 90)").alias("payload"))
+    spark = events.sparkSession
+    target = folder(spark, "outbox")
+    for _ in range(2):  # a replay of the same rows adds nothing
+        jobs.stage_batches(streamed(rows, "rows"), target, folder(spark, "offsets")).awaitTermination()
+    return spark.read.parquet(target).select("idempotency_key")
