@@ -145,3 +145,20 @@ def classify_blocking(code: Column, non_blocking: list[str]) -> tuple[Column, Co
 
 def stamped(df: DataFrame, error: Column, **values: Column) -> DataFrame:
     return df.withColumns({**values, "error_code": error})
+
+
+#: How many key fields each identity policy takes.
+POLICIES = {"NATIVE_KEY": (1, 1), "COMPOSITE": (2, None), "MANAGED_DETERMINISTIC": (0, 0)}
+
+
+def source_identity(policy: str, source: Column, fields: dict[str, Column], asset_hash: Column | None = None, sheet: Column | None = None, ordinal: Column | None = None) -> tuple[Column, Column]:
+    """(object_id, error_code) by policy: one native key, several, or the row's place in its asset."""
+    from ..functions import scalar as S
+
+    least, most = POLICIES[policy]
+    if len(fields) < least or most is not None and len(fields) > most:
+        raise ValueError("ING_SOURCE_IDENTITY_POLICY_INVALID")
+    if policy == "MANAGED_DETERMINISTIC":
+        return S.managed_row_id(source, asset_hash, sheet, ordinal), F.lit(None).cast("string")
+    key = S.managed_key_id(source, fields)
+    return key, F.when(key.isNull(), "ING_MANAGED_IDENTITY_MISSING")

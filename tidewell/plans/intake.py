@@ -285,3 +285,35 @@ def content_hash(records):
 @query("SELECT ordinal, CASE WHEN variant * 60 BETWEEN 60 AND 2678400 THEN CAST(variant * 60 AS BIGINT) END AS seconds, CASE WHEN ordinal % 2 = 0 THEN CAST(variant * 86400 + 3600 AS BIGINT) END AS long_form FROM (SELECT ordinal, variant FROM records)", "records")
 def iso_duration_seconds(records):
     return records.select("ordinal", S.iso_duration_seconds(F.expr("concat('PT', variant, 'M')")).alias("seconds"), F.when(F.col("ordinal") % 2 == 0, S.iso_duration_seconds(F.expr("if(variant = 0, 'PT1H', concat('P', variant, 'DT1H'))"))).alias("long_form"))
+
+
+@query("SELECT ordinal, CASE WHEN variant % 3 = 0 THEN NULL ELSE concat('managed:', sha256(concat_ws(chr(31), source_id, 'KEY', concat('id=', id), concat('segment=', segment)))) END AS object_id, CASE WHEN variant % 3 = 0 THEN 'ING_MANAGED_IDENTITY_MISSING' END AS error_code FROM records", "records")
+def source_identity(records):
+    blank = F.when(F.col("variant") % 3 == 0, F.lit("  ")).otherwise(F.col("segment"))
+    i, e = M.source_identity("COMPOSITE", F.col("source_id"), {"id": F.col("id"), "segment": blank})
+    return records.select("ordinal", i.alias("object_id"), e.alias("error_code"))
+
+
+@query("SELECT event_id, CAST(user_id AS STRING) AS found, CAST(NULL AS STRING) AS missing FROM events", "events")
+def path_get(events):
+    doc = F.to_json(F.struct(F.struct(F.struct(F.col("user_id").alias("c")).alias("b")).alias("a")))
+    return events.select("event_id", S.path_get(doc, "a.b.c").alias("found"), S.path_get(doc, "a.x.c").alias("missing"))
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS at FROM events", "events")
+def iso_micros(events):
+    return events.select("event_id", S.iso_micros(F.col("ts")).alias("at"))
+
+
+@query("SELECT event_id, least(900, 5 * CAST(pow(2, least(event_id % 12, 7)) AS INTEGER)) AS base, TRUE AS bounded FROM events", "events")
+def backoff_seconds(events):
+    a = F.col("event_id") % 12 + 1
+    base = F.least(F.lit(900), F.lit(5) * F.pow(F.lit(2), F.least(a - 1, F.lit(7))).cast("int"))
+    wait = S.backoff_seconds(a, F.col("user_id"))
+    return events.select("event_id", base.alias("base"), ((wait >= base) & (wait <= base * 1.2 + 1)).alias("bounded"))
+
+
+@query("SELECT ordinal, CASE WHEN ordinal % 3 = 0 THEN '' ELSE name END AS stripped, ordinal % 3 = 0 AS blank FROM records", "records")
+def strip_ws(records):
+    padded = F.when(F.col("ordinal") % 3 == 0, F.lit(" \t \n")).otherwise(F.concat(F.lit("  "), F.col("name"), F.lit("\r\n")))
+    return records.select("ordinal", S.strip_ws(padded).alias("stripped"), S.is_blank(padded).alias("blank"))
