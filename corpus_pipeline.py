@@ -12,11 +12,17 @@ from tidewell.llm.shared import staged, table
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def without(docs: DataFrame, ids: DataFrame, key: str, most: int = 1 << 20) -> DataFrame:
+    """docs less the rows of these ids: by broadcast if they are counted to be at most `most`, else by a shuffle."""
+    ids = staged(ids, "ids")
+    return docs.join(F.broadcast(ids) if ids.limit(most + 1).count() <= most else ids, F.col("doc_id") == F.col(key), "left_anti").select(*COLUMNS)
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not reject; a score depends on the text alone, so that one of an id speaks for its rows only if they agree."""
     judged = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
     bad = judged.where("predicted = 1").select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col("doc_id") == F.col("__bad"), "left_anti").select(*COLUMNS)
+    return without(docs, bad, "__bad")
 
 
 def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +35,7 @@ def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each near-duplicate class on five-word shingles at a similarity of 0.8."""
     gone = minhash.near_duplicates(docs, k=5, percent=80).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti").select(*COLUMNS)
+    return without(docs, gone, "__gone")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import staged
+from .shared import discard, staged
 from .wordhash import Hasher, chunks, mix, spans
 
 #: Labelled rows that are read for training at most (those of the smallest hashed doc_id), and features kept of them.
@@ -222,6 +222,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, modulus
     v = voters(train["hits"].tolist(), train["seeded"].to_numpy())
     logit = prior + sum(odds[k + 1][None, :] * (v == k) for k in (-1, 0, 1)).sum(1) + np.where(train["toxic"] > 0, GOLD, -GOLD)
     target = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+    discard(rows)
     w, b = fit_linear([np.frombuffer(h, np.uint16) for h in train["hits"]], target, len(chosen))
     scored = hits.select("doc_id", "hits").mapInArrow(lambda it: _score(it, w, b), "doc_id long, score double")
     return scored.select("doc_id", held_out, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
