@@ -1,8 +1,9 @@
 """Line dedup by a log-template tree (He et al., "Drain: An Online Log Parsing Approach with Fixed Depth Tree", 2017).
 
 A line goes down the tree by its number of tokens and its leading tokens, tokens with a digit being variable fields.
-In each leaf, the line of the most documents is the template, and lines that agree with it in most places join it;
-any other line is a template of its own. Templates that recur across documents are dropped.
+In each leaf, the line of the most documents is the first template, and lines that agree with it in most places join it;
+of the others the line of the most documents is the next template, until every line has one. Templates that recur
+across documents are dropped, whatever the length of their lines.
 """
 
 from __future__ import annotations
@@ -19,14 +20,12 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from .shared import discard, semi_join, staged
 from .wordhash import Hasher, M3, chunks, mix, powers, spans
 
-#: Leading tokens that the tree looks at, and the share of equal tokens that joins a line to its leaf's template.
+#: Leading tokens that the tree looks at, and the share of equal tokens that joins a line to a template of its leaf.
 DEPTH, SIMILAR = 3, 0.7
-#: Shorter lines are kept; a template recurs if it is in so many documents and has documents * tokens >= EVIDENCE.
-MIN_TOKENS, MIN_DOCS, EVIDENCE = 3, 2, 30
 VARIABLE = np.uint64(0x7FB5D329728EA185)
 
 
-LINE = ("doc_id", "leaf", "line", "tokens")
+LINE = ("doc_id", "leaf", "line", "row")
 
 
 def parsed(b: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -35,9 +34,12 @@ def parsed(b: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     begin = np.unique(np.concatenate([off[:-1], newline[newline < len(b)]]))
     start, end = spans(b, off)
     digit = np.concatenate([[0], np.cumsum((b >= 48) & (b <= 57))])
-    h = np.where(digit[end] > digit[start], VARIABLE, Hasher(b)(start, end))
     line = np.searchsorted(begin, start, "right") - 1
     n = np.bincount(line, minlength=len(begin))
+    # a line of variable fields only has nothing else that could recur: it counts as it is
+    field = digit[end] > digit[start]
+    field &= np.bincount(line[~field], minlength=len(begin))[line] > 0
+    h = np.where(field, VARIABLE, Hasher(b)(start, end))
     first = np.concatenate([[0], np.cumsum(n)])
     p, q = powers(1 << max(20, int(len(h) + 1).bit_length()))
     with np.errstate(over="ignore"):
@@ -52,24 +54,51 @@ def parsed(b: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _lines(batches: Iterator[pa.RecordBatch], toks: bool) -> Iterator[pa.RecordBatch]:
-    """One row for each distinct line of each text: (doc_id, leaf, line, tokens), and the tokens' short hashes if toks."""
+    """One row for each distinct line with a token of each text: (doc_id, leaf, line, number of the text), and the tokens' short hashes if toks."""
+    from pyspark import TaskContext
+
+    row = TaskContext.get().partitionId() << 40
     for batch in batches:
         for i, j, b, off in chunks(batch.column(1)):
             doc, _, n, leaf, whole, h, first = parsed(b, off)
             with np.errstate(over="ignore"):
                 _, at = np.unique(mix(whole + doc.astype(np.uint64) * M3), return_index=True)
-            at = np.sort(at[n[at] >= MIN_TOKENS])
+            at = np.sort(at[n[at] > 0])
             short = (h >> np.uint64(48)).astype(np.uint16)
-            columns = [batch.column(0).slice(i, j - i).take(pa.array(doc[at])), pa.array(leaf[at].view(np.int64)), pa.array(whole[at].view(np.int64)), pa.array(n[at].astype(np.int32))]
+            columns = [batch.column(0).slice(i, j - i).take(pa.array(doc[at])), pa.array(leaf[at].view(np.int64)), pa.array(whole[at].view(np.int64)), pa.array(row + i + doc[at])]
             if toks:
                 columns.append(pa.array([short[first[x] : first[x + 1]].tobytes() for x in at.tolist()], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, [*LINE, "toks"][: len(columns)])
+        row += batch.num_rows
 
 
 def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines with the first template of their leaf, or none if they do not agree with it."""
+    for batch in batches:
+        same = [(np.frombuffer(x, np.uint16) == np.frombuffer(y, np.uint16)).mean() >= SIMILAR for x, y in zip(batch.column(3).to_pylist(), batch.column(5).to_pylist(), strict=True)]
+        template = pa.compute.if_else(pa.array(same, pa.bool_()), batch.column(4), pa.scalar(None, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], template], ["leaf", "line", "docs", "toks", "template"])
+
+
+def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines that come leaf by leaf with the first earlier template of the leaf that they agree with; any other line is a new template."""
+    leaf, seeds, names = None, np.zeros((0, 0), np.uint16), []
     for batch in batches:
-        same = [(np.frombuffer(x, np.uint16) == np.frombuffer(y, np.uint16)).mean() >= SIMILAR for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["line", "template"]).filter(pa.array(same, pa.bool_()))
+        found = []
+        for at, line, toks in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            x = np.frombuffer(toks, np.uint16)
+            if at != leaf:
+                leaf, seeds, names = at, np.zeros((4, len(x)), np.uint16), []
+            same = np.flatnonzero((seeds[: len(names)] == x).mean(1) >= SIMILAR)
+            if len(same):
+                found.append(names[same[0]])
+                continue
+            if len(names) == len(seeds):
+                seeds = np.concatenate([seeds, np.zeros_like(seeds)])
+            seeds[len(names)] = x
+            names.append(line)
+            found.append(line)
+        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.int64())], ["line", "template"])
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,7 +113,7 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 x, y = int(off[r]), int(off[r + 1])
                 drop = drops[i + r].values
                 mine = slice(at[r], at[r + 1])
-                bad = np.isin(keys[mine], drop.to_numpy()) & (n[mine] >= MIN_TOKENS) if drop is not None and len(drop) and x < y else np.zeros(0, bool)
+                bad = np.isin(keys[mine], drop.to_numpy()) & (n[mine] > 0) if drop is not None and len(drop) and x < y else np.zeros(0, bool)
                 text = raw[x:y].split(b"\n")
                 total.append(len(text) if x < y else 0)
                 gone.append(int(bad.sum()))
@@ -98,31 +127,36 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def templates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(lines, recurring): the distinct lines of each document, and (line, first_doc, n_docs) of lines whose template recurs."""
-    source, kinds = docs.selectExpr("cast(doc_id as long) doc_id", "text"), "doc_id long, leaf long, line long, tokens int"
+    """(lines, recurring): the distinct lines of each document, and (line, first_doc) of lines whose template is in several documents."""
+    source, kinds = docs.selectExpr("cast(doc_id as long) doc_id", "text"), "doc_id long, leaf long, line long, row long"
     lines = staged(source.mapInArrow(lambda it: _lines(it, False), kinds), "lines")
-    counts = staged(lines.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"), F.count("*").alias("docs"), F.min("doc_id").alias("first")), "counts")
+    counts = lines.groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"), F.min("row").alias("low"), F.max("row").alias("high"))
+    counts = staged(counts, "counts")
     leaves = staged(counts.groupBy("leaf").agg(F.count("*").alias("n"), F.max(F.struct("docs", "line")).alias("top")).where("n > 1").select("leaf", F.col("top.line").alias("template")), "leaves")
     # only leaves of several lines need the lines themselves
-    full = semi_join(source.mapInArrow(lambda it: _lines(it, True), kinds + ", toks binary"), leaves, "leaf").groupBy("leaf", "line").agg(F.first("toks").alias("toks"))
+    full = semi_join(source.mapInArrow(lambda it: _lines(it, True), kinds + ", toks binary"), leaves, "leaf").groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.first("toks").alias("toks"))
     full = staged(full, "tokens")
     seeds = full.join(leaves.withColumnRenamed("leaf", "l"), F.expr("leaf = l and line = template")).select("leaf", "template", F.col("toks").alias("seed"))
-    joined = full.join(seeds, "leaf").where("line <> template").select("line", "template", "toks", "seed").mapInArrow(_agree, "line long, template long")
-    named = counts.select("line", "tokens", "docs", "first").join(joined, "line", "left").withColumn("template", F.coalesce("template", "line"))
+    met = full.join(seeds, "leaf").where("line <> template").select("leaf", "line", "docs", "toks", "template", "seed")
+    met = staged(met.mapInArrow(_agree, "leaf long, line long, docs long, toks binary, template long"), "met")
+    # what the first template leaves is sorted leaf by leaf; a task holds the templates of one leaf only
+    rest = met.where("template is null").select("leaf", "line", "toks", "docs").repartition("leaf").sortWithinPartitions("leaf", F.desc("docs"), F.desc("line"))
+    joined = met.where("template is not null").select("line", "template").unionByName(rest.mapInArrow(_lead, "line long, template long"))
+    named = counts.select("line", "first", "low", "high").join(joined, "line", "left").withColumn("template", F.coalesce("template", "line"))
     named = staged(named, "named")
-    discard(counts, full, leaves)
-    often = named.groupBy("template").agg(F.sum("docs").alias("n_docs"), F.min("first").alias("first_doc"), F.max("tokens").alias("tokens"))
-    often = often.where(f"n_docs >= {MIN_DOCS} and n_docs * tokens >= {EVIDENCE}").drop("tokens")
-    return lines, named.select("line", "template").join(often, "template").select("line", "first_doc", "n_docs")
+    discard(counts, full, leaves, met)
+    often = named.groupBy("template").agg(F.min("first").alias("first_doc"), F.min("low").alias("low"), F.max("high").alias("high"))
+    often = often.where("low < high").select("template", "first_doc")
+    return lines, named.select("line", "template").join(often, "template").select("line", "first_doc")
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """(row, new_text, n_lines, n_dropped) for each row of docs: its columns but the text, and the text without recurring lines.
 
-    Lines end at \\n; tokens are runs of bytes other than 0x20 and 0x09-0x0D. A line of MIN_TOKENS or more belongs to a
-    template (see above); a template that is in MIN_DOCS documents or more, with documents * tokens >= EVIDENCE, is
-    dropped from all but the one of the smallest doc_id, so that something of each group of copies stays. Other lines stay as they
-    are, in their order.
+    Lines end at \\n; tokens are runs of bytes other than 0x20 and 0x09-0x0D. A line with a token belongs to a template
+    (see above); a template that is in two documents or more, however short, is dropped from all but the one of the
+    smallest doc_id, so that something of each group of copies stays. Other lines stay as they are, in their order,
+    as do lines without a token.
 
     A null text stays null, an empty one empty, with no lines. Rows that share a doc_id count as documents each and lose
     the same lines; rows without doc_id take part, and lose every recurring line that a row with doc_id has. Lines of
