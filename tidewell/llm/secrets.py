@@ -16,8 +16,15 @@ from .shared import SPACE, staged
 #: Labelled findings of either kind that train the forest at most (those of the smallest hashed text).
 MAX_FINDINGS = 20_000
 #: Words before or inside a candidate that announce a secret.
-HINTS = "passw|secret|token|api_?key|access_?key|auth|credential|bearer|private_?key"
+HINTS = "passw|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|auth(?!ors?(?![a-z])|ored|orit|enti)|credential|bearer|private[_-]?key"
 #: Formats that label a finding as a secret, and those that label it as none.
+#: What stands before a value that is assigned to a telling name, in its own word or the two before it; words that are no value.
+NAMED = rf"(?i)({HINTS})[a-z0-9_.-]*[\"')\]}}]*\s?[=:]+>?\s?(?:(?:bearer|basic|token)\s)?[\"'(\[{{]*[^\s=:\"'(\[{{]\S*$"
+PASSWORD = r"(?i)(passw|passphrase|pwd)[a-z_]*[\"']?\s?[=:]+\s?[\"']?(?=\S*[0-9])(?=\S*[a-z])\S{6,}$"
+NO_VALUE = r"(?i)^(a|an|the|it|its|is|are|was|be|in|on|at|to|of|and|or|for|by|as|if|this|that|these|you|your|we|our|i|my|he|she|they|what|how|who|when|not|no|yes|none|null|nil|true|false|undefined|required|optional|string)$"
+#: URLs with user info, and long random parts, either of which may be a secret.
+USER_INFO = r"://[^\s/?#@]*:[^\s/?#@]+@"
+RANDOM = r"(?<![A-Za-z0-9_+-])(?=[A-Za-z_+-]*[0-9])(?=[0-9_+-]*[A-Za-z])[A-Za-z0-9_+-]{16,}"
 TRUE_FORMATS = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^sk_live_[0-9A-Za-z]{16,}$|^AIza[0-9A-Za-z_-]{35}$"
 ASSIGNED = rf"(?i)({HINTS})[a-z_]*[\"']?\s*[=:]+\s*[\"']?[A-Za-z0-9+/_=-]{{12,}}[\"']?[.,;]?$"
 FALSE_FORMATS = r"@|^[0-9 .,+()-]+$|^https?:|^www\.|[#$%&*|<>]{2,}|!!|^(.)\1+$"
@@ -25,16 +32,28 @@ FEATURES = ("length", "transitions", "digits", "uppers", "letters", "distinct",
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, word_no, word, value, previous, second, next): words of 12 characters or more with a digit, or assigned to a telling name."""
-    words = docs.where(F.col("text").rlike("[0-9]")).select(F.col("doc_id").cast("long").alias("doc_id"), F.filter(F.split("text", SPACE), lambda w: w != "").alias("w"))
-    long_enough = lambda w: (F.length(w) >= 12) & w.rlike("[0-9]")
-    at = F.filter(F.transform("w", lambda w, i: F.when(long_enough(w), i)), lambda i: i.isNotNull())
+    """(doc_id, word_no, word, value, previous, second, next): words of 12 characters or more with a digit, of a secret's format, or assigned to a telling name."""
+    # every candidate holds a digit, a hint or the start of a format, so that no document with one is left out
+    words = docs.where(F.col("text").rlike(rf"(?i)[0-9]|{HINTS}|AKIA|ASIA|gh[pousr]_|xox|sk_live_|AIza"))
+    words = words.select(F.col("doc_id").cast("long").alias("doc_id"), F.filter(F.split("text", SPACE), lambda w: w != "").alias("w"))
+
+    def wanted(w: Column, i: Column) -> Column:
+        told = lambda: F.concat_ws(" ", F.get("w", i - 2), F.get("w", i - 1), w)
+        near = lambda k: F.coalesce(F.get("w", i - k), F.lit("")).rlike("[=:]")
+        return (F.length(w) >= 12) & (w.rlike("[0-9]") | stripped(w).rlike(TRUE_FORMATS)) | (w.rlike("[=:]") | near(1) | near(2)) & told().rlike(NAMED)
+
+    at = F.filter(F.transform("w", lambda w, i: F.when(wanted(w, i), i)), lambda i: i.isNotNull())
     rows = words.select("doc_id", "w", F.explode(at).alias("word_no"))
     rows = rows.select("doc_id", "word_no", *(F.coalesce(F.get("w", F.col("word_no") + k), F.lit("")).alias(n) for n, k in (("second", -2), ("previous", -1), ("word", 0), ("next", 1))))
-    value = F.regexp_replace(F.regexp_replace("word", r"^.*?[=:]+(?=.)", ""), r"^[\"'(\[{]+|[\"')\]}.,;!?#$%&*|<>]+$", "")
+    value = stripped(F.col("word"))
     return rows.withColumn("value", F.when(F.length(value) > 0, value).otherwise(F.col("word")))
 
 
+def stripped(word: Column) -> Column:
+    """What a word assigns, or the word, without the marks around it."""
+    return F.regexp_replace(F.regexp_replace(word, r"^.*?[=:]+(?=.)", ""), r"^[\"'(\[{]+|[\"')\]}.,;!?#$%&*|<>]+$", "")
+
+
 def share(part: Column) -> Column:
     return F.when(F.length("value") > 0, part / F.length("value")).otherwise(0.0)
 
@@ -57,10 +76,10 @@ def with_features(found: DataFrame, docs: DataFrame) -> DataFrame:
     parts = staged(parts.withColumn("part", F.lower("part")), "parts")
     plain = F.filter(F.split("text", SPACE), lambda w: w.rlike("^[A-Za-z]{3,}$"))
     known = docs.where("text is not null").select(F.explode(plain).alias("part")).select(F.lower("part").alias("part"))
+    known = known.groupBy("part").agg(F.count("*").alias("c")).where("c >= 3").select("part")
     wanted = parts.select("part").distinct()
     if wanted.limit(MAX_PARTS + 1).count() <= MAX_PARTS:
         known = known.join(F.broadcast(wanted), "part", "left_semi")
-    known = known.groupBy("part").agg(F.count("*").alias("c")).where("c >= 3").select("part")
     covered = parts.join(known, "part").groupBy("value").agg(F.sum(F.length("part")).alias("covered"))
     return found.join(covered, "value", "left").withColumn("coverage", share(F.least(F.coalesce("covered", F.lit(0)), F.length("value")))).drop("covered")
 
@@ -70,10 +89,13 @@ MAX_PARTS = 1 << 19
 
 
 def seed_findings(found: DataFrame) -> DataFrame:
-    """Findings that their format labels beyond doubt: label 1.0 for secrets, 0.0 for others; the rest has none."""
+    """Findings that their format labels beyond doubt: label 1.0 for secrets, 0.0 for others; the rest has none, as have URLs that may hold a secret."""
     told = F.concat_ws(" ", F.regexp_replace(F.concat_ws(" ", "second", "previous"), r"^.* (?=\S+ \S+$)", ""), "word")
-    yes = F.col("value").rlike(TRUE_FORMATS) | told.rlike(ASSIGNED)
-    return found.withColumn("label", F.when(yes, 1.0).when(F.col("value").rlike(FALSE_FORMATS) | F.col("path").cast("boolean"), 0.0))
+    value = F.col("value")
+    yes = value.rlike(TRUE_FORMATS) | told.rlike(ASSIGNED) & ~value.rlike("^[A-Za-z]+$") | told.rlike(PASSWORD) & ~F.col("path").cast("boolean")
+    open_ = F.col("word").rlike(USER_INFO) | F.col("path").cast("boolean") & value.rlike(RANDOM) | told.rlike(NAMED) & ~value.rlike(NO_VALUE)
+    no = value.rlike(FALSE_FORMATS) | F.col("path").cast("boolean") | value.rlike(NO_VALUE)
+    return found.withColumn("label", F.when(yes, 1.0).when(no & ~open_, 0.0))
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None, least: float = 0.5, seed: int = 7) -> DataFrame:
