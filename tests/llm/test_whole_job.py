@@ -96,3 +96,22 @@ def test_urls_that_may_hold_a_secret_have_no_label(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     told = secrets.seed_findings(secrets.with_features(secrets.candidates(docs), docs))
     assert {r.doc_id: r.label for r in told.collect()} == {1: None, 2: None, 3: 0.0, 4: 0.0}
+
+
+@pytest.mark.parametrize("block", [16, 4096])
+def test_copies_of_a_vector_are_candidates_each(spark, monkeypatch, block):
+    from tidewell.llm import topk
+
+    monkeypatch.setattr(topk, "BLOCK", block)
+    monkeypatch.setattr(topk, "QUERIES", 2)
+    rng = np.random.default_rng(2)
+    v = rng.integers(-4, 5, (60, 6)).astype(float)
+    v[7] = 9.0
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] * 2 + [(7, v[7].tolist())] * 10
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    expected = []
+    for q in range(0, 60, 20):
+        best = sorted((-int(np.dot(v[q], x)), i) for i, x in rows if i != q)[:10]
+        expected += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, every=20, scale=1).collect())
+    assert got == expected

@@ -87,7 +87,7 @@ def exact_products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 
 def best_in_block(qid, q, floor, ids, v, turn, k) -> list[tuple]:
-    """(query_id, vec_id, score) of every candidate of one block that can be among a query's k best.
+    """(query_id, vec_id, score, place in the block) of every candidate of one block that can be among a query's k best.
 
     floor: a score that k candidates of the query are known to reach, or -inf. |q| * |v| bounds whole rows; then the
     partial sum over the leading rotated dimensions plus the product of the residual lengths bounds each pair.
@@ -112,24 +112,25 @@ def best_in_block(qid, q, floor, ids, v, turn, k) -> list[tuple]:
             if not len(at):
                 continue
             score = exact_products(np.broadcast_to(q[a], (len(at), q.shape[1])), v[at])
-            top += [(int(s), int(i)) for s, i in zip(score, ids[at], strict=True) if s >= least]
+            top += [(int(s), int(i), int(j)) for s, i, j in zip(score, ids[at], at, strict=True) if s >= least]
             top.sort(key=lambda x: (-x[0], x[1]))
             del top[k:]
             if len(top) == k:
                 least = max(least, top[-1][0])
-        out += [(int(qid[a]), i, s) for s, i in top]
+        out += [(int(qid[a]), i, s, j) for s, i, j in top]
     return out
 
 
 def _search(batches: Iterator[pa.RecordBatch], turn: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
     dim = len(turn)
     for batch in batches:
-        for qids, qs, fl, ids, vs in zip(*(batch.column(i) for i in range(5)), strict=True):
+        for qids, qs, fl, ids, vs, block in zip(*(batch.column(i) for i in range(6)), strict=True):
             qid, ids = np.frombuffer(qids.as_buffer(), np.int64), np.frombuffer(ids.as_buffer(), np.int64)
             q, v = (np.frombuffer(x.as_buffer(), np.float64).reshape(-1, dim) for x in (qs, vs))
             floor = np.frombuffer(fl.as_buffer(), np.float64) if fl.is_valid else np.full(len(qid), -np.inf)
             rows = best_in_block(qid, q, floor, ids, v, turn, k)
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(3)], ["query_id", "vec_id", "score"])
+            row = block.as_py() * BLOCK
+            yield pa.RecordBatch.from_arrays([*(pa.array([r[c] for r in rows], pa.int64()) for c in range(3)), pa.array([row + r[3] for r in rows], pa.int64())], ["query_id", "vec_id", "score", "row"])
 
 
 def _floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,9 +173,11 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024)
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
 
     def search(pairs: DataFrame) -> DataFrame:
-        return pairs.select("qids", "queries", "floor", "ids", "vectors").mapInArrow(lambda it: _search(it, turn, k), "query_id long, vec_id long, score long")
+        # row tells copies of a candidate apart; only what a repeated query finds twice is merged
+        found = pairs.select("qids", "queries", "floor", "ids", "vectors", "block").mapInArrow(lambda it: _search(it, turn, k), "query_id long, vec_id long, score long, row long")
+        return found.distinct()
 
-    head = blocks.where(F.col("block") == -first.m).select(F.lit(0).alias("one"), "ids", "vectors")
+    head = blocks.where(F.col("block") == -first.m).select(F.lit(0).alias("one"), "block", "ids", "vectors")
     begun = staged(search(qblocks.withColumn("one", F.lit(0)).withColumn("floor", F.lit(None).cast("binary")).join(F.broadcast(head), "one")), "first")
     floors = begun.groupBy("query_id").agg(F.count("*").alias("c"), F.min("score").cast("double").alias("low")).where(F.col("c") >= k)
     members = qblocks.select("qblock", "qids").mapInArrow(_members, "qblock long, query_id long")
@@ -188,7 +191,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024)
     numbered = ready.join(lowest, "qblock").selectExpr("qblock", "qlongest", "lowest").withColumn("spread", F.row_number().over(_by("qblock")) - 1)
     plan = plan.join(numbered, "spread").where("longest * qlongest * (1 + 1e-9) + 1e-6 >= lowest").select("block", "qblock")
     pairs = plan.join(blocks.select("block", "ids", "vectors"), "block").join(ready.select("qblock", "qids", "queries", "floor"), "qblock")
-    found = begun.unionByName(search(pairs)).distinct() if about.n > BLOCK else begun.distinct()
+    found = begun.unionByName(search(pairs)) if about.n > BLOCK else begun
     rank = F.row_number().over(_by(F.desc("score"), "vec_id", part="query_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
