@@ -1,8 +1,9 @@
-"""Toxicity by weak supervision (Ratner et al., "Data Programming", 2016; "Snorkel", 2017).
+"""Toxicity by a supervised classifier, helped by weak supervision (Ratner et al., "Data Programming", 2016; "Snorkel", 2017).
 
-Lexicons mined from labelled training rows and a few fixed patterns vote on every document. A generative model over
+Lexicons mined from labelled training rows and the count of English seed words vote on every document. A generative model over
 the counts of all vote vectors, fitted by expectation maximisation, estimates each voter's accuracy and, from the
-residuals, which voters repeat each other; its posterior labels train a linear classifier over words and word beginnings.
+residuals, which voters repeat each other. A linear classifier over words and word beginnings learns from the labelled
+rows alone: from their own labels plus what the model says of them.
 """
 
 from __future__ import annotations
@@ -93,7 +94,7 @@ def select_features(rows: DataFrame) -> pd.DataFrame:
 
 
 def _hits(batches: Iterator[pa.RecordBatch], known: np.ndarray, seeds: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """For each text the places in `known` of its features, and how many distinct seed words and shouted insults it has."""
+    """For each text the places in `known` of its features, and how many distinct seed words it has."""
     every = np.unique(np.concatenate([known, seeds]))
     may = np.zeros(1 << 20, bool)
     may[(every >> np.uint64(44)).astype(np.int64)] = True
