@@ -98,6 +98,32 @@ def test_urls_that_may_hold_a_secret_have_no_label(spark):
     assert {r.doc_id: r.label for r in told.collect()} == {1: None, 2: None, 3: 0.0, 4: 0.0}
 
 
+ARTICLE = "This is the text of the page and it is as long as it has to be for the rules to see that it was written by someone."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html class='no-js cookie'><body class='single has-sidebar comments-open'><article class='post widget'><p>{ARTICLE}</p></article></body></html>",
+        f"<body id='search'><main class='with-nav'><p>{ARTICLE}</p></main></body>",
+        f"<article><svg viewBox='0 0 1 1'/><iframe src='x' /><object/><p>{ARTICLE}</p></article>",
+        f"<article><video-player src='x'></video-player><button-group></button-group><style-guide></style-guide><p>{ARTICLE}</p></article>",
+        f"<article><svg><path d='M0'/>no text</svg><script>if (a > b) x</script><p>{ARTICLE}</p></article>",
+    ],
+)
+def test_pages_keep_their_article(page):
+    from tidewell.llm.html import main_text
+
+    assert main_text(page) == ARTICLE
+
+
+def test_copyright_sign_in_an_article():
+    from tidewell.llm.html import main_text
+
+    said = "The photograph that she took in the spring of that year, © Jane Doe, is in the museum and was lent to us."
+    assert main_text(f"<article><p>{ARTICLE}</p><p>{said}</p></article><p>© 2020 Us</p>") == f"{ARTICLE}\n\n{said}"
+
+
 @pytest.mark.parametrize("block", [16, 4096])
 def test_copies_of_a_vector_are_candidates_each(spark, monkeypatch, block):
     from tidewell.llm import topk

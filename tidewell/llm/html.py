@@ -28,6 +28,8 @@ BLOCK = frozenset(
 )
 HIDDEN = "script|style|noscript|template|iframe|object|svg|math|title|select|textarea|button|canvas|audio|video"
 BOILER = frozenset("nav footer aside form menu dialog".split())
+#: Elements that hold the page or its article, whatever their class or id says of its layout.
+WHOLE = frozenset("html body main article".split())
 #: Words of class, id and role names that mark menus, headers, footers, sidebars, notices, adverts, forms and comments.
 MARKS = frozenset(
     """ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs
@@ -38,7 +40,7 @@ MARKS = frozenset(
 #: Shortest block that decides for itself, in characters; long blocks; link density; stop-word densities.
 SHORT, LONG, LINKS, STOP_LOW, STOP_HIGH = 70, 200, 0.2, 0.15, 0.3
 
-_TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<({HIDDEN})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-z][a-z0-9]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S | re.I)
+_TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<({HIDDEN})(?=[\s/>])[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))|<(/?)([a-z][a-z0-9]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S | re.I)
 _NAME = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -86,7 +88,7 @@ def blocks(page: str) -> Iterator[tuple[str, float, bool, bool]]:
                         break
             elif name not in ("p", "hr", "li", "dt", "dd", "td", "th", "tr", "h1", "h2", "h3", "h4", "h5", "h6"):
                 bad, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-                bad = bad or name in BOILER or name == "header" and not inside or marked(m[4], inside)
+                bad = bad or name in BOILER or name == "header" and not inside or name not in WHOLE and marked(m[4], inside)
                 stack.append((name, bad, inside or name in ("article", "main")))
             elif marked(m[4], True):
                 text.append("\0")
@@ -110,7 +112,7 @@ def main_text(page: str) -> str:
     article = any(a and not b for _, _, a, b in found)
     labels: list[bool | None] = []
     for t, links, inside, bad in found:
-        if bad or article and not inside or "©" in t and len(t) < LONG:
+        if bad or article and not inside or not inside and "©" in t and len(t) < LONG:
             labels.append(False)
         elif links > (0.5 if inside else LINKS):
             labels.append(None if inside and len(t) < SHORT else False)
