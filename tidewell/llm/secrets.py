@@ -76,25 +76,19 @@ def with_features(found: DataFrame, docs: DataFrame) -> DataFrame:
     parts = staged(parts.withColumn("part", F.lower("part")), "parts")
     plain = F.filter(F.split("text", SPACE), lambda w: w.rlike("^[A-Za-z]{3,}$"))
     known = docs.where("text is not null").select(F.explode(plain).alias("part")).select(F.lower("part").alias("part"))
+    # counted before it meets the parts: an inner join, unlike a semi-join, is not moved below the count
     known = known.groupBy("part").agg(F.count("*").alias("c")).where("c >= 3").select("part")
-    wanted = parts.select("part").distinct()
-    if wanted.limit(MAX_PARTS + 1).count() <= MAX_PARTS:
-        known = known.join(F.broadcast(wanted), "part", "left_semi")
     covered = parts.join(known, "part").groupBy("value").agg(F.sum(F.length("part")).alias("covered"))
     return found.join(covered, "value", "left").withColumn("coverage", share(F.least(F.coalesce("covered", F.lit(0)), F.length("value")))).drop("covered")
 
 
-#: Distinct letter runs of candidates up to which they are broadcast against the corpus' words.
-MAX_PARTS = 1 << 19
-
-
 def seed_findings(found: DataFrame) -> DataFrame:
     """Findings that their format labels beyond doubt: label 1.0 for secrets, 0.0 for others; the rest has none, as have URLs that may hold a secret."""
     told = F.concat_ws(" ", F.regexp_replace(F.concat_ws(" ", "second", "previous"), r"^.* (?=\S+ \S+$)", ""), "word")
     value = F.col("value")
     yes = value.rlike(TRUE_FORMATS) | told.rlike(ASSIGNED) & ~value.rlike("^[A-Za-z]+$") | told.rlike(PASSWORD) & ~F.col("path").cast("boolean")
     open_ = F.col("word").rlike(USER_INFO) | F.col("path").cast("boolean") & value.rlike(RANDOM) | told.rlike(NAMED) & ~value.rlike(NO_VALUE)
-    no = value.rlike(FALSE_FORMATS) | F.col("path").cast("boolean") | value.rlike(NO_VALUE)
+    no = value.rlike(FALSE_FORMATS) | value.rlike(NO_VALUE)
     return found.withColumn("label", F.when(yes, 1.0).when(no & ~open_, 0.0))
 
 
