@@ -141,3 +141,47 @@ def test_copies_of_a_vector_are_candidates_each(spark, monkeypatch, block):
         expected += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
     got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, every=20, scale=1).collect())
     assert got == expected
+
+
+def near_by_hand(rows, k, percent):
+    """component_id of each row, with all rows of an id that have a word as one document."""
+    sets = []
+    for _, text in rows:
+        w = (text or "").lower().split()
+        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set())
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for n, (i, _) in enumerate(rows):
+        for m in range(n):
+            j = rows[m][0]
+            if sets[n] and sets[m]:
+                both = len(sets[n] & sets[m])
+                if 100 * both >= percent * (len(sets[n]) + len(sets[m]) - both):
+                    a, b = find(i), find(j)
+                    root[max(a, b)] = min(a, b)
+    return sorted((i, len(s), find(i) if s else i) for (i, _), s in zip(rows, sets))
+
+
+@pytest.mark.parametrize("cell", [4, 128])
+def test_near_duplicates_of_a_large_group_and_of_rows_of_one_id(spark, monkeypatch, cell):
+    from tidewell.llm import minhash
+
+    monkeypatch.setattr(minhash, "CELL", cell)
+    r = random.Random(3)
+    words = [f"{a}{b}{c}" for a in "bdfglmnprst" for b in "aeiou" for c in "klmnrst"]
+    base = [r.choice(words) for _ in range(60)]
+    texts = []
+    for i in range(60):  # a crowd of variants, of which some pairs only are near
+        t = list(base)
+        for _ in range(r.randrange(0, 7)):
+            t[r.randrange(len(t))] = r.choice(words)
+        texts.append(" ".join(t))
+    texts += [" ".join(r.choice(words) for _ in range(40)) for _ in range(20)]
+    rows = list(enumerate(texts)) + [(70, texts[65]), (71, "alone again or not"), (72, texts[61]), (72, texts[62]), (73, texts[62]), (5, texts[79]), (79, "other words than those")]
+    got = sorted((x.doc_id, x.n_shingles, x.component_id) for x in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80).collect())
+    assert got == near_by_hand(rows, 2, 80)

@@ -82,19 +82,21 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        r = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(-1, BANDS, ROWS).astype(np.uint64)
+        r = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, BANDS, ROWS).astype(np.uint64)
         h = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), r.shape[:2]).copy()
         with np.errstate(over="ignore"):
             for i in range(ROWS):
                 h = mix(h * M3 + r[:, :, i])
-        rep, n = (np.repeat(batch.column(i).to_numpy(), BANDS) for i in (0, 1))
-        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64).ravel()), pa.array(rep), pa.array(n)], ["band", "rep", "n"])
+        rep = np.repeat(batch.column(0).to_numpy(), BANDS)
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64).ravel()), pa.array(rep)], ["band", "rep"])
 
 
 #: Where a bucket still holds several components, so many further registers of its sets, shortened to a bit each, screen
 #: its pairs inside the join.
 LONG = 4096
 WORDS = LONG // 64
+#: Rows of a bucket in one cell: larger buckets are split, and each pair of their parts is a task's work.
+CELL = 128
 #: Standard errors that a screen leaves below the least similarity.
 SLACK = 4.5
 _LONG_MUL = _RNG.integers(0, 1 << 32, LONG, np.uint32) | np.uint32(1)
@@ -112,14 +114,17 @@ def _long_sketches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Rec
                 words[i] = (r.reshape(WORDS, 64) << shift).sum(1)
             sets.append(s.view(np.int64))
         words = words.view(np.int64)
-        columns = [batch.column(0), pa.array(sets, pa.list_(pa.int64())), *(pa.array(np.ascontiguousarray(words[:, i])) for i in range(WORDS))]
-        yield pa.RecordBatch.from_arrays(columns, ["rep", "shingles", *(f"w{i}" for i in range(WORDS))])
+        n = pa.array([len(s) for s in sets], pa.int64())
+        columns = [batch.column(0), n, pa.array(sets, pa.list_(pa.int64())), *(pa.array(np.ascontiguousarray(words[:, i])) for i in range(WORDS))]
+        yield pa.RecordBatch.from_arrays(columns, ["rep", "n", "shingles", *(f"w{i}" for i in range(WORDS))])
 
 
 def may_be_near(x: str, y: str, percent: int) -> str:
     """SQL: the bits of x and y differ in no more places than SLACK standard errors allow at the least similarity.
 
-    A quarter of them first. Bits differ half as often as registers.
+    A quarter of them first. Bits differ half as often as registers. A bit does not tell a smaller register from a larger
+    one, so that the likelihood of two sketches depends on the number of differing bits alone and falls with it: this
+    bound on the count is a bound on the likelihood ratio.
     """
     rate = (1 - percent / 100) / 2
 
@@ -181,6 +186,21 @@ def screened(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def in_cells(rest: DataFrame) -> DataFrame:
+    """The rows (band, rep, part) of buckets of `rows` rows with cell, low, high: a bucket is split into cells of about CELL rows, and a row goes to each pair of cells that has its own."""
+    cells = F.ceil(F.col("rows") / CELL).cast("int")
+    out = rest.withColumn("cells", cells).withColumn("cell", F.pmod(F.xxhash64("rep"), F.col("cells")).cast("int"))
+    out = out.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    return out.select("band", "rep", "part", "cell", F.least("cell", "other").alias("low"), F.greatest("cell", "other").alias("high"))
+
+
+def _texts_of_one_id(found: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links (src, dst) between a doc_id whose rows have different sets and the documents that stand for those."""
+    told = found.where("set_key is not null and doc_id is not null").select("doc_id", "set_key", F.xxhash64("set_key").alias("h"))
+    several = told.groupBy("doc_id").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").select("doc_id")
+    return semi_join(told, several, "doc_id").join(reps, "set_key").where("doc_id <> rep").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst")).distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row for each row of docs: doc_id, n_shingles, component_id, kept.
 
@@ -189,9 +209,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     100 * intersection >= percent * union are linked; component_id is the smallest doc_id that links reach, and
     kept says that it is the row's own.
 
-    A null or empty text has an empty set: linked with nothing, its own component, kept. Rows that share a doc_id
-    are one document. A row without doc_id is never linked: component_id null, kept true. Other columns are not read.
-    An empty table gives an empty result.
+    A null or empty text has an empty set: linked with nothing, its own component, kept. Rows that share a doc_id are one
+    document: a link of one's text is a link of all of them with a word. A row without doc_id is never linked:
+    component_id null, kept true. Other columns are not read. An empty table gives an empty result.
 
     Equal sets are merged first. Every other set meets the smallest doc_id of each of its buckets; the most frequent of
     those is screened by likelihood and verified. Then all pairs that share a bucket but not yet a component are tested
@@ -206,7 +226,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")),
             "reps",
         )
-        bands = staged(reps.select("rep", "n", "sketch").mapInArrow(_bands, "band long, rep long, n long"), "bands")
+        bands = staged(reps.select("rep", "sketch").mapInArrow(_bands, "band long, rep long"), "bands")
         buckets = bands.groupBy("band").agg(F.min("rep").alias("center"), F.count("*").alias("c")).where("c > 1").select("band", "center")
         shared = staged(bands.join(buckets, "band"), "shared")
         discard(bands)
@@ -216,17 +236,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             .select(F.col("rep").alias("src"), (-F.col("best.m")).alias("dst"))
         )
         first = staged(screened(first, reps, percent), "first")
-        links = staged(verified(first, docs, k, percent), "links")
+        links = staged(verified(first, docs, k, percent).unionByName(_texts_of_one_id(found, reps)), "links")
         parts = connected_components(links)
-        marked = shared.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", "n", F.coalesce("component", "rep").alias("part"))
-        open_buckets = marked.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("band")
-        rest = staged(marked.join(open_buckets, "band", "left_semi"), "rest")
+        marked = shared.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", F.coalesce("component", "rep").alias("part"))
         # the buckets of several components
+        open_buckets = marked.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("rows")).where("lo < hi").select("band", "rows")
+        rest = staged(marked.join(open_buckets, "band"), "rest")
         texts = semi_join(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), rest, "rep")
-        sketched = texts.mapInArrow(lambda it: _long_sketches(it, k), "rep long, shingles array<long>, " + ", ".join(f"w{i} long" for i in range(WORDS)))
-        full = rest.join(sketched, "rep")
-        near = f"""x.band = y.band and x.part < y.part and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)
-            and {may_be_near('x', 'y', percent)}
+        sketched = texts.mapInArrow(lambda it: _long_sketches(it, k), "rep long, n long, shingles array<long>, " + ", ".join(f"w{i} long" for i in range(WORDS)))
+        full = in_cells(rest).join(sketched, "rep")
+        near = f"""x.band = y.band and x.low = y.low and x.high = y.high and x.part < y.part and (x.low = x.high or x.cell <> y.cell)
+            and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and {may_be_near('x', 'y', percent)}
             and exists(array(struct(x.shingles as a, y.shingles as b)), p -> {100 + percent} * size(array_intersect(p.a, p.b)) >= {percent} * (x.n + y.n))"""
         # the exact test stands in a lambda, which is not compiled into the loop over pairs: that stays small enough for the JVM's compiler
         late = full.alias("x").join(full.alias("y"), F.expr(near)).select(F.col("x.rep").alias("src"), F.col("y.rep").alias("dst"))
