@@ -26,11 +26,8 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    rows = mixing.mix(docs)
-    return rows.select(
-        F.col("doc").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), F.get("positions", F.lit(0)).alias("position")
-    )
+    rows = mixing.mix(table(spark, sf_dir, "documents"))
+    return rows.select(F.col("doc").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "positions")
 
 
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
