@@ -185,3 +185,22 @@ def test_near_duplicates_of_a_large_group_and_of_rows_of_one_id(spark, monkeypat
     rows = list(enumerate(texts)) + [(70, texts[65]), (71, "alone again or not"), (72, texts[61]), (72, texts[62]), (73, texts[62]), (5, texts[79]), (79, "other words than those")]
     got = sorted((x.doc_id, x.n_shingles, x.component_id) for x in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80).collect())
     assert got == near_by_hand(rows, 2, 80)
+
+
+def test_licences_wrapped_in_clauses_and_as_texts(spark):
+    from tidewell.llm import licenses
+
+    text = dict(licenses.PASSAGES)
+    mit = "\n".join(" ".join(text["MIT"].split()[i : i + 12]) for i in range(0, len(text["MIT"].split()), 12)).replace("AUTHORS OR COPYRIGHT HOLDERS", "X CONSORTIUM")
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version."
+    rows = [
+        (1, f"Copyright 2020 Foo\n\n{mit}\nand the code follows"), (2, f"/* {gpl} */ int main"), (3, "// SPDX-License-Identifier: Apache-2.0\ncode"),
+        (4, "Copyright 2020 Foo, licensed under the MIT License, and more words after that"), (5, "this work was permitted and the licence of the poet is free"), (6, "MIT License\nmore"),
+        (7, text["BSD-3-Clause"]), (8, text["BSD-2-Clause"]), (9, text["Apache-2.0"]),
+    ]
+    got = {}
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, set()).add((r.unit, r.license_id))
+    assert ("window", "MIT") in got[1] and ("window", "GPL-3.0") in got[2] and got[3] == {("tag", "Apache-2.0")} and ("window", "MIT") in got[4]
+    assert 5 not in got and ("line", "MIT") in got[6]
+    assert {x for _, x in got[7]} >= {"BSD-3-Clause"} and {x for _, x in got[8]} == {"BSD-2-Clause"} and ("window", "Apache-2.0") in got[9]
