@@ -204,3 +204,32 @@ def test_licences_wrapped_in_clauses_and_as_texts(spark):
     assert ("window", "MIT") in got[1] and ("window", "GPL-3.0") in got[2] and got[3] == {("tag", "Apache-2.0")} and ("window", "MIT") in got[4]
     assert 5 not in got and ("line", "MIT") in got[6]
     assert {x for _, x in got[7]} >= {"BSD-3-Clause"} and {x for _, x in got[8]} == {"BSD-2-Clause"} and ("window", "Apache-2.0") in got[9]
+
+
+ODD_PAGES = [
+    (f"<article><p title=it's>{ARTICLE}</p></article>", ARTICLE),
+    (f"<article><p>\0{ARTICLE}</p></article>", "\0" + ARTICLE),
+    (f"<article><button>Share<p>{ARTICLE}</p></article>", f"Share\n\n{ARTICLE}"),
+    (f"<article><p data-x='a>b' data-y=\"<i>\">{ARTICLE}</p></article>", ARTICLE),
+    (f"<article><p>{ARTICLE}</p><p>zzyx qwv plorf grumf tnik</p></article>", f"{ARTICLE}\n\nzzyx qwv plorf grumf tnik"),
+    ("<article><p>" + "zzyx qwv plorf " * 20 + "</p></article>", ("zzyx qwv plorf " * 20).strip()),
+    (f"<article><p>{ARTICLE}</p><p><a href='a'>{'more of our stories ' * 6}</a></p><p>Tags</p><p><a href='a'>{'more of our stories ' * 6}</a></p></article>", ARTICLE),
+]
+
+
+@pytest.mark.parametrize("page, text", ODD_PAGES)
+def test_odd_pages(page, text):
+    from tidewell.llm.html import main_text
+
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize("piece", ["<a b='", "<a b=\"x", "<a<a", "<p = = ", "<p title='x", "</", "<!"])
+def test_broken_pages_take_linear_time(piece):
+    import time
+
+    from tidewell.llm.html import main_text
+
+    start = time.time()
+    main_text(piece * 20_000)
+    assert time.time() - start < 5

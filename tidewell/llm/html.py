@@ -26,7 +26,8 @@ BLOCK = frozenset(
     """p div h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption section article main nav header footer
     aside form fieldset blockquote pre figure figcaption hr address body html center details summary legend menu dialog""".split()
 )
-HIDDEN = "script|style|noscript|template|iframe|object|svg|math|title|select|textarea|button|canvas|audio|video"
+RAW = "script|style|noscript|iframe|title|textarea"
+HIDDEN = "template|object|svg|math|select|button|canvas|audio|video"
 BOILER = frozenset("nav footer aside form menu dialog".split())
 #: Elements that hold the page or its article, whatever their class or id says of its layout.
 WHOLE = frozenset("html body main article".split())
@@ -40,7 +41,14 @@ MARKS = frozenset(
 #: Shortest block that decides for itself, in characters; long blocks; link density; stop-word densities.
 SHORT, LONG, LINKS, STOP_LOW, STOP_HIGH = 70, 200, 0.2, 0.15, 0.3
 
-_TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<({HIDDEN})(?=[\s/>])[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))|<(/?)([a-z][a-z0-9]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S | re.I)
+#: Quotes count as such only after an equals sign; nothing is tried twice, so that pages of broken tags take linear time.
+_ATTRIBUTES = r"(?:[^<>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+"
+#: A raw element goes to its end or the page's; another hidden one that is not closed is its tag alone.
+_TAG = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>]){_ATTRIBUTES}(?:(?<=/)>|>.*?(?:</\1\s*>|\Z))|<({HIDDEN})(?=[\s/>]){_ATTRIBUTES}(?:(?<=/)>|>(?:.*?</\2\s*>)?)"
+    rf"|<(/?)([a-z][a-z0-9]*)({_ATTRIBUTES})>|<[!?/][^>]*>",
+    re.S | re.I,
+)
 _NAME = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -55,14 +63,16 @@ def blocks(page: str) -> Iterator[tuple[str, float, bool, bool]]:
     stack: list[tuple[str, bool, bool]] = []  # open containers: name, in boilerplate, in an article
     text: list[str] = []
     linked: list[str] = []
-    link, at, head = 0, 0, False
+    link, at, head, mark = 0, 0, False, False
 
     def flush() -> Iterator[tuple[str, float, bool, bool]]:
+        nonlocal mark
         whole = " ".join(unescape("".join(text)).split())
         if whole and not head:
             part = len(" ".join(unescape("".join(linked)).split()))
-            yield whole, part / len(whole), bool(stack and stack[-1][2]), bool(stack and stack[-1][1])
+            yield whole, part / len(whole), bool(stack and stack[-1][2]), mark or bool(stack and stack[-1][1])
         text.clear(), linked.clear()
+        mark = False
 
     for m in _TAG.finditer(page):
         if at < m.start():
@@ -70,28 +80,28 @@ def blocks(page: str) -> Iterator[tuple[str, float, bool, bool]]:
             if link:
                 linked.append(page[at : m.start()])
         at = m.end()
-        name = (m[3] or "").lower()
+        name = (m[4] or "").lower()
         if name in ("br", "img", "wbr", "input"):
             text.append(" " * (name != "wbr"))
         elif name == "a":
-            link = not m[2]
+            link = not m[3]
         elif name == "head":
             yield from flush()
-            head = not m[2]
+            head = not m[3]
         elif name in BLOCK:
             yield from flush()
             head = head and name != "body"
-            if m[2]:
+            if m[3]:
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == name:
                         del stack[k:]
                         break
             elif name not in ("p", "hr", "li", "dt", "dd", "td", "th", "tr", "h1", "h2", "h3", "h4", "h5", "h6"):
                 bad, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-                bad = bad or name in BOILER or name == "header" and not inside or name not in WHOLE and marked(m[4], inside)
+                bad = bad or name in BOILER or name == "header" and not inside or name not in WHOLE and marked(m[5], inside)
                 stack.append((name, bad, inside or name in ("article", "main")))
-            elif marked(m[4], True):
-                text.append("\0")
+            else:
+                mark = marked(m[5], True)
     if at < len(page):
         text.append(page[at:])
         if link:
@@ -102,42 +112,45 @@ def blocks(page: str) -> Iterator[tuple[str, float, bool, bool]]:
 def main_text(page: str) -> str:
     """The blocks of the article, joined by two newlines.
 
-    First pass: a block in a container of boilerplate, or full of links, is bad; without stop words a long one is bad,
-    with many it is good; a short one, or one between, waits. Blocks of an article or main element need no stop words,
-    and where a page has such an element with text the blocks outside it are bad. Second pass: a waiting block takes
-    the label of the nearest decided blocks before and after it, bad if they differ; one without neighbours is good
-    inside an article only.
+    First pass: containers of boilerplate, and all that lies outside an article or main element with text where the page
+    has one, are out. Of the rest, a block full of links is bad. A block of stop words is good, if it is long enough to
+    tell; outside articles a long one without any is bad. All others wait. Second pass: a waiting block takes
+    the label of the nearest decided blocks before and after it. Outside an article it needs good ones on both sides,
+    inside one it goes only where all that are decided around it are bad.
     """
-    found = [(t.replace("\0", ""), d, a, b or t.startswith("\0")) for t, d, a, b in blocks(page)]
+    found = list(blocks(page))
     article = any(a and not b for _, _, a, b in found)
     labels: list[bool | None] = []
+    out_of_play = []  # containers decide, and no neighbour inherits from them inside an article
     for t, links, inside, bad in found:
+        out_of_play.append(article and (bad or not inside))
         if bad or article and not inside or not inside and "©" in t and len(t) < LONG:
             labels.append(False)
         elif links > (0.5 if inside else LINKS):
             labels.append(None if inside and len(t) < SHORT else False)
         elif len(t) < SHORT:
             labels.append(None)
-        elif inside:
-            labels.append(True)
         else:
             words = _WORD.findall(t.lower())
             density = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
-            labels.append(True if density >= STOP_HIGH else (None if len(t) < LONG else True) if density >= STOP_LOW else False if len(t) >= LONG else None)
+            if inside:
+                labels.append(True if density >= STOP_LOW else None)
+            else:
+                labels.append(True if density >= STOP_HIGH else (None if len(t) < LONG else True) if density >= STOP_LOW else False if len(t) >= LONG else None)
     out = []
     before: list[bool | None] = [None]
-    for (_, _, inside, _), x in zip(found, labels, strict=True):
-        before.append(before[-1] if x is None or article and not inside else x)
+    for x, skip in zip(labels, out_of_play, strict=True):
+        before.append(before[-1] if x is None or skip else x)
     after = None
     for i in range(len(found) - 1, -1, -1):
         t, _, inside, _ = found[i]
         x = labels[i]
         if x is None:
             near = {y for y in (before[i], after) if y is not None}
-            keep = near == {True} or not near and inside or inside and True in near
+            keep = near == {True} or inside and near != {False}
         else:
             keep = x
-            after = after if article and not inside else x
+            after = after if out_of_play[i] else x
         if keep:
             out.append(t)
     return "\n\n".join(out[::-1])
