@@ -25,7 +25,10 @@ DEPTH, SIMILAR = 3, 0.7
 VARIABLE = np.uint64(0x7FB5D329728EA185)
 
 
-LINE = ("doc_id", "leaf", "line", "row")
+LINE = ("doc_id", "text_hash", "leaf", "line", "row")
+LINES = "doc_id long, text_hash long, leaf long, line long, row long"
+#: A line in more documents than that is looked up by broadcast rather than by a shuffle, as are all where no more than so many lines recur.
+COMMON, FEW = 1 << 16, 1 << 20
 
 
 def parsed(b: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -54,7 +57,7 @@ def parsed(b: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _lines(batches: Iterator[pa.RecordBatch], toks: bool) -> Iterator[pa.RecordBatch]:
-    """One row for each distinct line with a token of each text: (doc_id, leaf, line, number of the text), and the tokens' short hashes if toks."""
+    """One row for each distinct line with a token of each text (doc_id, text, its hash): LINES, row being the text's number, and the tokens' short hashes if toks."""
     from pyspark import TaskContext
 
     row = TaskContext.get().partitionId() << 40
@@ -64,8 +67,8 @@ def _lines(batches: Iterator[pa.RecordBatch], toks: bool) -> Iterator[pa.RecordB
             with np.errstate(over="ignore"):
                 _, at = np.unique(mix(whole + doc.astype(np.uint64) * M3), return_index=True)
             at = np.sort(at[n[at] > 0])
-            short = (h >> np.uint64(48)).astype(np.uint16)
-            columns = [batch.column(0).slice(i, j - i).take(pa.array(doc[at])), pa.array(leaf[at].view(np.int64)), pa.array(whole[at].view(np.int64)), pa.array(row + i + doc[at])]
+            short = (h >> np.uint64(32)).astype(np.uint32)
+            columns = [*(batch.column(c).slice(i, j - i).take(pa.array(doc[at])) for c in (0, 2)), pa.array(leaf[at].view(np.int64)), pa.array(whole[at].view(np.int64)), pa.array(row + i + doc[at])]
             if toks:
                 columns.append(pa.array([short[first[x] : first[x + 1]].tobytes() for x in at.tolist()], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, [*LINE, "toks"][: len(columns)])
@@ -75,20 +78,20 @@ def _lines(batches: Iterator[pa.RecordBatch], toks: bool) -> Iterator[pa.RecordB
 def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines with the first template of their leaf, or none if they do not agree with it."""
     for batch in batches:
-        same = [(np.frombuffer(x, np.uint16) == np.frombuffer(y, np.uint16)).mean() >= SIMILAR for x, y in zip(batch.column(3).to_pylist(), batch.column(5).to_pylist(), strict=True)]
+        same = [(np.frombuffer(x, np.uint32) == np.frombuffer(y, np.uint32)).mean() >= SIMILAR for x, y in zip(batch.column(3).to_pylist(), batch.column(5).to_pylist(), strict=True)]
         template = pa.compute.if_else(pa.array(same, pa.bool_()), batch.column(4), pa.scalar(None, pa.int64()))
         yield pa.RecordBatch.from_arrays([*batch.columns[:4], template], ["leaf", "line", "docs", "toks", "template"])
 
 
 def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines that come leaf by leaf with the first earlier template of the leaf that they agree with; any other line is a new template."""
-    leaf, seeds, names = None, np.zeros((0, 0), np.uint16), []
+    leaf, seeds, names = None, np.zeros((0, 0), np.uint32), []
     for batch in batches:
         found = []
         for at, line, toks in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            x = np.frombuffer(toks, np.uint16)
+            x = np.frombuffer(toks, np.uint32)
             if at != leaf:
-                leaf, seeds, names = at, np.zeros((4, len(x)), np.uint16), []
+                leaf, seeds, names = at, np.zeros((4, len(x)), np.uint32), []
             same = np.flatnonzero((seeds[: len(names)] == x).mean(1) >= SIMILAR)
             if len(same):
                 found.append(names[same[0]])
@@ -128,13 +131,13 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def templates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(lines, recurring): the distinct lines of each document, and (line, first_doc) of lines whose template is in several documents."""
-    source, kinds = docs.selectExpr("cast(doc_id as long) doc_id", "text"), "doc_id long, leaf long, line long, row long"
-    lines = staged(source.mapInArrow(lambda it: _lines(it, False), kinds), "lines")
+    source = docs.selectExpr("cast(doc_id as long) doc_id", "text", "xxhash64(text) text_hash")
+    lines = staged(source.mapInArrow(lambda it: _lines(it, False), LINES), "lines")
     counts = lines.groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"), F.min("row").alias("low"), F.max("row").alias("high"))
     counts = staged(counts, "counts")
     leaves = staged(counts.groupBy("leaf").agg(F.count("*").alias("n"), F.max(F.struct("docs", "line")).alias("top")).where("n > 1").select("leaf", F.col("top.line").alias("template")), "leaves")
     # only leaves of several lines need the lines themselves
-    full = semi_join(source.mapInArrow(lambda it: _lines(it, True), kinds + ", toks binary"), leaves, "leaf").groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.first("toks").alias("toks"))
+    full = semi_join(source.mapInArrow(lambda it: _lines(it, True), LINES + ", toks binary"), leaves, "leaf").groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.first("toks").alias("toks"))
     full = staged(full, "tokens")
     seeds = full.join(leaves.withColumnRenamed("leaf", "l"), F.expr("leaf = l and line = template")).select("leaf", "template", F.col("toks").alias("seed"))
     met = full.join(seeds, "leaf").where("line <> template").select("leaf", "line", "docs", "toks", "template", "seed")
@@ -142,12 +145,22 @@ def templates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # what the first template leaves is sorted leaf by leaf; a task holds the templates of one leaf only
     rest = met.where("template is null").select("leaf", "line", "toks", "docs").repartition("leaf").sortWithinPartitions("leaf", F.desc("docs"), F.desc("line"))
     joined = met.where("template is not null").select("line", "template").unionByName(rest.mapInArrow(_lead, "line long, template long"))
-    named = counts.select("line", "first", "low", "high").join(joined, "line", "left").withColumn("template", F.coalesce("template", "line"))
+    named = counts.select("line", "first", "low", "high", "docs").join(joined, "line", "left").withColumn("template", F.coalesce("template", "line"))
     named = staged(named, "named")
     discard(counts, full, leaves, met)
     often = named.groupBy("template").agg(F.min("first").alias("first_doc"), F.min("low").alias("low"), F.max("high").alias("high"))
     often = often.where("low < high").select("template", "first_doc")
-    return lines, named.select("line", "template").join(often, "template").select("line", "first_doc")
+    recurring = staged(named.select("line", "template", "docs").join(often, "template").select("line", "first_doc", "docs"), "recurring")
+    return lines, recurring
+
+
+def occurrences(lines: DataFrame, recurring: DataFrame) -> DataFrame:
+    """lines with first_doc, where they recur; no task gets all occurrences of a common line."""
+    if recurring.limit(FEW + 1).count() <= FEW:
+        return lines.join(F.broadcast(recurring), "line")
+    # lines in more than COMMON documents are fewer than the table's lines divided by that
+    common, rare = recurring.where(F.col("docs") > COMMON), recurring.where(F.col("docs") <= COMMON)
+    return lines.join(F.broadcast(common), "line", "left_anti").join(rare, "line").unionByName(lines.join(F.broadcast(common), "line"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -163,12 +176,13 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     any length count whole. Extra columns pass through. An empty table gives an empty result.
     """
     lines, recurring = templates(docs)
+    # by id and text, so that an array holds lines of one text only, also of rows without doc_id
     drop = (
-        lines.select("doc_id", "line").join(recurring, "line").where("not (doc_id <=> first_doc)")
-        .groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_set("line").alias("__drop"))
+        occurrences(lines.select("doc_id", "text_hash", "line"), recurring).where("not (doc_id <=> first_doc)")
+        .groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__of")).agg(F.collect_set("line").alias("__drop"))
     )
     rest = [c for c in docs.columns if c != "text"]
-    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in rest)).alias("row"), F.col("doc_id").cast("long").alias("__id"), "text")
-    both = row.join(drop, F.expr("__id <=> __doc"), "left").select("__id", "text", "__drop", "row")
+    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in rest)).alias("row"), F.col("doc_id").cast("long").alias("__id"), "text").withColumn("__text", F.xxhash64("text"))
+    both = row.join(drop, F.expr("__id <=> __doc and __text = __of"), "left").select("__id", "text", "__drop", "row")
     schema = StructType([StructField("row", docs.select(*(f"`{c}`" for c in rest)).schema), StructField("new_text", StringType()), StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
     return both.mapInArrow(_without, schema)
