@@ -167,11 +167,9 @@ def near_by_hand(rows, k, percent):
     return sorted((i, len(s), find(i) if s else i) for (i, _), s in zip(rows, sets))
 
 
-@pytest.mark.parametrize("cell", [4, 128])
-def test_near_duplicates_of_a_large_group_and_of_rows_of_one_id(spark, monkeypatch, cell):
+def test_near_duplicates_of_a_large_group_and_of_rows_of_one_id(spark):
     from tidewell.llm import minhash
 
-    monkeypatch.setattr(minhash, "CELL", cell)
     r = random.Random(3)
     words = [f"{a}{b}{c}" for a in "bdfglmnprst" for b in "aeiou" for c in "klmnrst"]
     base = [r.choice(words) for _ in range(60)]

@@ -95,8 +95,6 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 #: its pairs inside the join.
 LONG = 4096
 WORDS = LONG // 64
-#: Rows of a bucket in one cell: larger buckets are split, and each pair of their parts is a task's work.
-CELL = 128
 #: Standard errors that a screen leaves below the least similarity.
 SLACK = 4.5
 _LONG_MUL = _RNG.integers(0, 1 << 32, LONG, np.uint32) | np.uint32(1)
@@ -186,14 +184,6 @@ def screened(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def in_cells(rest: DataFrame) -> DataFrame:
-    """The rows (band, rep, part) of buckets of `rows` rows with cell, low, high: a bucket is split into cells of about CELL rows, and a row goes to each pair of cells that has its own."""
-    cells = F.ceil(F.col("rows") / CELL).cast("int")
-    out = rest.withColumn("cells", cells).withColumn("cell", F.pmod(F.xxhash64("rep"), F.col("cells")).cast("int"))
-    out = out.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-    return out.select("band", "rep", "part", "cell", F.least("cell", "other").alias("low"), F.greatest("cell", "other").alias("high"))
-
-
 def _texts_of_one_id(found: DataFrame, reps: DataFrame) -> DataFrame:
     """Links (src, dst) between a doc_id whose rows have different sets and the documents that stand for those."""
     told = found.where("set_key is not null and doc_id is not null").select("doc_id", "set_key", F.xxhash64("set_key").alias("h"))
@@ -240,12 +230,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         parts = connected_components(links)
         marked = shared.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", F.coalesce("component", "rep").alias("part"))
         # the buckets of several components
-        open_buckets = marked.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("rows")).where("lo < hi").select("band", "rows")
-        rest = staged(marked.join(open_buckets, "band"), "rest")
+        open_buckets = marked.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("band")
+        rest = staged(marked.join(open_buckets, "band", "left_semi"), "rest")
         texts = semi_join(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), rest, "rep")
         sketched = texts.mapInArrow(lambda it: _long_sketches(it, k), "rep long, n long, shingles array<long>, " + ", ".join(f"w{i} long" for i in range(WORDS)))
-        full = in_cells(rest).join(sketched, "rep")
-        near = f"""x.band = y.band and x.low = y.low and x.high = y.high and x.part < y.part and (x.low = x.high or x.cell <> y.cell)
+        full = rest.join(sketched, "rep")
+        near = f"""x.band = y.band and x.part < y.part
             and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and {may_be_near('x', 'y', percent)}
             and exists(array(struct(x.shingles as a, y.shingles as b)), p -> {100 + percent} * size(array_intersect(p.a, p.b)) >= {percent} * (x.n + y.n))"""
         # the exact test stands in a lambda, which is not compiled into the loop over pairs: that stays small enough for the JVM's compiler
