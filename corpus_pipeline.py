@@ -1,4 +1,10 @@
-"""Raw documents to packed training sequences: five stages, each over everything that its predecessor kept."""
+"""Raw documents to packed training sequences: five stages, each over everything that its predecessor kept.
+
+What every stage does with odd rows: a row without doc_id is never rejected or dropped as a copy, because decisions are
+taken by doc_id, and repeated rows of one doc_id share their fate. Null and empty texts are not toxic, have no lines,
+are copies of nothing, have no words to mix and pack into one token. Ties are settled by the smaller doc_id. Empty tables
+give empty tables. Columns other than COLUMNS do not pass.
+"""
 
 from __future__ import annotations
 
@@ -19,7 +25,7 @@ def without(docs: DataFrame, ids: DataFrame, key: str, most: int = 1 << 20) -> D
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier does not reject; a score depends on the text alone, so that one of an id speaks for its rows only if they agree."""
+    """Documents that the toxicity classifier does not reject. A score depends on the text alone; of rows that share a doc_id all go if one is rejected."""
     judged = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
     bad = judged.where("predicted = 1").select(F.col("doc_id").alias("__bad")).distinct()
     return without(docs, bad, "__bad")
@@ -33,7 +39,7 @@ def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each near-duplicate class on five-word shingles at a similarity of 0.8."""
+    """The document of the smallest doc_id of each near-duplicate class on five-word shingles at a similarity of 0.8. A copy with one word in twenty changed is less similar than that."""
     gone = minhash.near_duplicates(docs, k=5, percent=80).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
     return without(docs, gone, "__gone")
 
