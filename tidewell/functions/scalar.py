@@ -85,10 +85,54 @@ def path_get(json: Column, path: str) -> Column:
     return F.get_json_object(json, "$." + path)
 
 
-def canonical_json(m: Column) -> Column:
-    """A map of texts as JSON with sorted keys, nulls kept."""
-    pairs = F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), F.coalesce(F.concat(F.lit('"'), e["value"], F.lit('"')), F.lit("null"))))
-    return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
+def canonical_json(doc: Column) -> Column:
+    """A JSON text with the keys of every object sorted and nothing between its signs; null if it is none."""
+    return F.to_json(F.try_parse_json(doc))
+
+
+def quoted(c: Column) -> Column:
+    """A text as a JSON string."""
+    listed = F.to_json(F.array(c))
+    return F.substr(listed, F.lit(2), F.length(listed) - 2)
+
+
+def canonical_fingerprint(doc: Column, depth: int = 4) -> Column:
+    """canonical_json with the elements of arrays sorted by their texts too, down to `depth` levels of nesting; deeper ones keep their order."""
+
+    def text(v: Column, left: int) -> Column:
+        if not left:
+            return F.to_json(v)
+        kind = F.schema_of_variant(v)
+        parts = F.array_sort(F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: text(x, left - 1)))
+        fields = F.try_variant_get(v, "$", "map<string,variant>")
+        named = F.transform(F.array_sort(F.map_keys(fields)), lambda k: F.concat(quoted(k), F.lit(":"), F.coalesce(text(fields[k], left - 1), F.lit("null"))))
+        return F.when(kind.startswith("ARRAY"), F.concat(F.lit("["), F.array_join(parts, ",", "null"), F.lit("]"))).when(
+            kind.startswith("OBJECT"), F.concat(F.lit("{"), F.array_join(named, ","), F.lit("}"))
+        ).otherwise(F.to_json(v))
+
+    return text(F.try_parse_json(doc), depth)
+
+
+def any_value_equals(doc: Column, ref: Column) -> Column:
+    """Whether a text value anywhere in a JSON text, at any depth, equals ref; keys do not count. False for what is no JSON."""
+    return F.coalesce(F.array_contains(text_values(doc), quoted(ref)), F.lit(False))
+
+
+def text_values(doc: Column) -> Column:
+    """All text values of a JSON text at any depth, as JSON strings."""
+    told = F.regexp_extract_all(F.to_json(F.try_parse_json(doc)), F.lit(r'"(?:[^"\\]|\\.)*":?'), F.lit(0))
+    return F.filter(told, lambda t: ~t.endswith(":"))
+
+
+def retry_after_seconds(header: Column, now: Column) -> Column:
+    """What a Retry-After header gives: positive seconds, or an RFC 1123 date less `now`; null for anything else."""
+    text = strip_ws(header)
+    seconds = F.when(text.rlike("^[0-9]{1,18}$"), text.cast("long"))
+    months = F.map_from_arrays(F.array(*map(F.lit, "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split())), F.array(*(F.lit(f"{i:02d}") for i in range(1, 13))))
+    part = lambda i: F.regexp_extract(text, r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun), ([0-9]{1,2}) ([A-Z][a-z]{2}) ([0-9]{4}) ([0-9]{2}:[0-9]{2}:[0-9]{2}) GMT$", i)
+    at = F.try_to_timestamp(F.concat(part(3), F.lit("-"), F.try_element_at(months, part(2)), F.lit("-"), F.lpad(part(1), 2, "0"), F.lit("T"), part(4), F.lit("Z")))
+    wait = F.coalesce(seconds, F.unix_seconds(at) - F.unix_seconds(now))
+    return F.when(wait > 0, wait)
 
 
 def jittered_after(now: Column, attempt: Column, key: Column) -> Column:

@@ -26,6 +26,14 @@ def _get(v: Column, path: str, kind: str = "variant") -> Column:
     return F.try_variant_get(v, path, kind)
 
 
+def _equals(v: Column, value) -> Column:
+    """Whether v is the given JSON value: numbers by value, objects whatever the order of their keys."""
+    if isinstance(value, int | float) and not isinstance(value, bool):
+        same = F.coalesce(_get(v, "$", "decimal(38,10)") == F.lit(str(value)).try_cast("decimal(38,10)"), _get(v, "$", "double") == float(value))
+        return F.coalesce(_kind(v, "number") & same, F.lit(False))
+    return F.coalesce(F.to_json(v) == F.to_json(F.parse_json(F.lit(json.dumps(value, ensure_ascii=False)))), F.lit(False))
+
+
 def _path(name: str) -> str:
     return f"$['{name}']"
 
@@ -49,9 +57,9 @@ def violation(v: Column, schema: dict, root: dict | None = None, at: str = "$")
         found.append(here(~F.coalesce(_kind(v, schema["type"]), F.lit(False))))
     text = F.to_json(v)
     if "const" in schema:
-        found.append(here(text != json.dumps(schema["const"])))
+        found.append(here(~_equals(v, schema["const"])))
     if "enum" in schema:
-        found.append(here(~text.isin([json.dumps(x) for x in schema["enum"]])))
+        found.append(here(~reduce(lambda a, b: a | b, [_equals(v, x) for x in schema["enum"]], F.lit(False))))
     if "minLength" in schema:
         found.append(here(_kind(v, "string") & (F.length(_get(v, "$", "string")) < schema["minLength"])))
     if "minimum" in schema:

@@ -20,7 +20,12 @@ def fair_tenant_head(schedules: DataFrame) -> DataFrame:
 
 def eligible_sources(schedules: DataFrame, gated: DataFrame, runs: DataFrame, issues: DataFrame) -> DataFrame:
     """Enabled schedules whose source is not gated, has no running run and no open recovery incident."""
-    busy = runs.where("state = 'RUNNING'").select("source_id")
+    busy = runs.where("state = 'RUNNING'")
+    if "schedule_id" in runs.columns and "phase" in runs.columns:  # a schedule's own run that has not begun holds no other back
+        own = runs.where("state = 'PREFLIGHT'").select("source_id", "schedule_id").distinct()
+        other = own.join(schedules.select("source_id", F.col("schedule_id").alias("mine")), "source_id").where("mine <> schedule_id").select("source_id")
+        busy = busy.select("source_id").unionByName(other)
+    busy = busy.select("source_id")
     stuck = issues.where("status = 'OPEN' and issue_code = 'ING_RUN_RECOVERY_BUDGET_EXHAUSTED'").select("source_id")
     return schedules.where("state = 'ENABLED'").join(gated.select("source_id").unionByName(busy).unionByName(stuck).distinct(), "source_id", "left_anti")
 
@@ -62,11 +67,14 @@ def replay_outcomes(replays: DataFrame) -> DataFrame:
 
 
 def activation_retry(failures: DataFrame, most: int, delay: int, max_elapsed: int) -> DataFrame:
-    """Whether each failure of a source is retried: transient, within `most` attempts and `max_elapsed` seconds from the first."""
-    w = Window.partitionBy("source_id").orderBy("happened_at", "event_id")
+    """Whether each failure of a source is retried: transient, within `most` attempts and `max_elapsed` seconds from the first.
+
+    Where failures have publication_id, a new publication counts from its own first failure. A delay of 0 is never retried.
+    """
+    w = Window.partitionBy("source_id", *(["publication_id"] if "publication_id" in failures.columns else [])).orderBy("happened_at", "event_id")
     seconds = lambda c: F.unix_timestamp(c)
     out = failures.withColumn("attempt", F.row_number().over(w)).withColumn("__e", seconds(F.col("happened_at")) - seconds(F.first("happened_at").over(w)))
-    ok = (F.col("outcome") == "TRANSIENT") & (F.col("attempt") <= most) & (F.col("__e") + delay <= max_elapsed)
+    ok = (F.col("outcome") == "TRANSIENT") & (F.col("attempt") <= most) & (F.col("__e") + delay <= max_elapsed) & F.lit(delay > 0)
     return out.withColumn("decision", F.when(ok, "RETRY").otherwise("BLOCKED")).drop("__e")
 
 
@@ -94,6 +102,38 @@ def transition_audit(changes: DataFrame, key: list[str], order: list[str], state
     return changes.withColumn("previous", F.lag(state).over(Window.partitionBy(*key).orderBy(*order))).where(F.col("previous").isNotNull() & ~edges)
 
 
+def accept_publications(publications: DataFrame, schedules: DataFrame) -> DataFrame:
+    """The schedule that each source ends with: schedules(source_id, publication_id, sequence, checksum, state, next_run, activation_failures, activation_blocked,
+    consumed_publication_id) after publications(source_id, publication_id, sequence, checksum, enabled, once), with outcome.
+
+    ACCEPTED: the publication of the highest sequence, if that lies above the schedule's; REPEATED: the very one that it
+    has (sequence, id and checksum); REJECTED: any other. A new publication is due at once and resets the failures. A
+    publication that is not enabled, or is to run once and has, leaves DISABLED; a paused schedule stays paused, unless
+    a new publication lifts the block of failed activations; others are ACTIVE.
+    """
+    top = publications.groupBy("source_id").agg(F.max(F.struct("sequence", "publication_id", "checksum", "enabled", "once")).alias("p")).select("source_id", "p")
+    both = top.join(schedules.withColumn("__had", F.lit(True)), "source_id", "left")
+    p = F.col("p")
+    new = F.col("sequence").isNull() | (p["sequence"] > F.col("sequence"))
+    same = (p["sequence"] == F.col("sequence")) & (p["publication_id"] == F.col("publication_id")) & (p["checksum"] == F.col("checksum"))
+    outcome = F.when(new, "ACCEPTED").when(same, "REPEATED").otherwise("REJECTED")
+    changed = ~F.col("publication_id").eqNullSafe(p["publication_id"])
+    spent = p["once"] & F.col("consumed_publication_id").eqNullSafe(p["publication_id"])
+    held = (F.col("state") == "PAUSED") & (~F.coalesce("activation_blocked", F.lit(False)) | ~changed)
+    state = F.when(outcome == "REJECTED", F.col("state")).when(~p["enabled"] | spent, "DISABLED").when(F.coalesce(held, F.lit(False)), "PAUSED").otherwise("ACTIVE")
+    taken = outcome != "REJECTED"
+    return both.select(
+        "source_id", outcome.alias("outcome"), F.when(taken, p["publication_id"]).otherwise(F.col("publication_id")).alias("publication_id"), F.when(taken, p["sequence"]).otherwise(F.col("sequence")).alias("sequence"), state.alias("state"),
+        F.when(taken & changed, F.lit(0)).otherwise(F.col("next_run")).alias("next_run"), F.when(taken & changed, F.lit(0)).otherwise(F.col("activation_failures")).alias("activation_failures"),
+    )
+
+
+def next_due(slots: DataFrame, intervals: DataFrame) -> DataFrame:
+    """slots(schedule_id, due) with next_due and state from intervals(schedule_id, interval_seconds, once): a schedule that runs once is DISABLED after its slot."""
+    out = slots.join(intervals, "schedule_id")
+    return out.withColumn("next_due", F.when(~F.col("once"), F.col("due") + F.make_dt_interval(secs=F.col("interval_seconds").cast("double")))).withColumn("state", F.when(F.col("once"), "DISABLED").otherwise("ACTIVE"))
+
+
 def latest_publication(publications: DataFrame) -> DataFrame:
     """The publication that each source accepts: the one of the highest sequence."""
     return publications.groupBy("source_id").agg(F.max_by("run_id", "publication").alias("run_id"), F.max("publication").alias("publication"))

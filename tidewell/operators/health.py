@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import retry_after_seconds
 
-def classify_response(df: DataFrame, most_bytes: int) -> DataFrame:
-    """df(status, body_bytes, retry_after) with error_class and, for 429, the seconds that Retry-After gives."""
+
+def classify_response(df: DataFrame, most_bytes: int, now: Column | None = None) -> DataFrame:
+    """df(status, body_bytes, retry_after) with error_class and, for 429, the seconds that Retry-After gives: a number, or a date less `now`."""
     s = F.col("status")
     kind = (
         F.when(F.col("body_bytes") > most_bytes, "DATA").when(s.between(200, 299), "OK").when((s == 429) | (s == 408) | (s >= 500), "TRANSIENT")
         .when(s.isin(401, 403), "AUTH_ROUTE").otherwise("CONFIGURATION")
     )
-    seconds = F.when((s == 429) & F.col("retry_after").rlike("^[1-9][0-9]{0,9}$"), F.col("retry_after").cast("long"))
+    seconds = F.when(s == 429, retry_after_seconds(F.col("retry_after"), F.current_timestamp() if now is None else now))
     return df.withColumn("error_class", kind).withColumn("retry_after_seconds", seconds)
 
 
@@ -38,12 +40,16 @@ def pressure_states(backlog: DataFrame, soft: int = 1000, hard: int = 5000, reco
 
 
 def circuit_states(log: DataFrame, window: int = 900, most: int = 5, pause: int = 900) -> DataFrame:
-    """Per source the state after its outcomes (source_id, at_seconds, event_id, outcome) in order: status, failures, retry attempts in the window, gates.
+    """Per source the state after its outcomes (source_id, at_seconds, event_id, outcome; retry_after in seconds, if any) in order: status, failures, retry attempts in the window, gates.
 
     A transient failure counts up; the window runs `window` seconds from its first failure, the delay doubles from 5
     seconds to 900 at most; from `most` failures on the source pauses. Another failure degrades it and clears the
-    gates but not the window; a success clears all.
+    gates but not the window; a success clears all, so that only what came after a source's last one is folded. A retry
+    waits at least as long as the source asked for.
     """
+    log = log if "retry_after" in log.columns else log.withColumn("retry_after", F.lit(None).cast("long"))
+    last = log.where("outcome = 'SUCCESS'").groupBy("source_id").agg(F.max(F.struct("at_seconds", "event_id")).alias("__last"))
+    log = log.join(last, "source_id", "left").where(F.col("__last").isNull() | (F.struct("at_seconds", "event_id") >= F.col("__last"))).drop("__last")
     zero = F.struct(F.lit("HEALTHY").alias("status"), F.lit(0).alias("failures"), F.lit(-1).cast("long").alias("began"), F.lit(0).alias("attempts"), F.lit(0).cast("long").alias("retry_at"), F.lit(0).cast("long").alias("open_until"))
 
     def step(a, r):
@@ -52,6 +58,7 @@ def circuit_states(log: DataFrame, window: int = 900, most: int = 5, pause: int
         attempts = F.when(fresh, 1).otherwise(a["attempts"] + 1)
         failures = a["failures"] + 1
         delay = F.least(F.lit(900), F.lit(5) * F.pow(F.lit(2), F.least(attempts - 1, F.lit(7))).cast("int"))
+        delay = F.greatest(delay, F.coalesce(r["retry_after"], F.lit(0)))
         paused = failures >= most
         transient = F.struct(
             F.when(paused, "PAUSED").otherwise("DEGRADED").alias("status"), failures.alias("failures"), F.when(fresh, t).otherwise(a["began"]).alias("began"), attempts.alias("attempts"),
@@ -60,4 +67,4 @@ def circuit_states(log: DataFrame, window: int = 900, most: int = 5, pause: int
         other = F.struct(F.lit("DEGRADED").alias("status"), F.lit(0).alias("failures"), a["began"].alias("began"), a["attempts"].alias("attempts"), F.lit(0).cast("long").alias("retry_at"), F.lit(0).cast("long").alias("open_until"))
         return F.when(r["outcome"] == "TRANSIENT", transient).when(r["outcome"] == "SUCCESS", zero).otherwise(other)
 
-    return _fold(log, "source_id", ["at_seconds", "event_id"], ["outcome"], zero, step).select("source_id", "state.*")
+    return _fold(log, "source_id", ["at_seconds", "event_id"], ["outcome", "retry_after"], zero, step).select("source_id", "state.*")

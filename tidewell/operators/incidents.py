@@ -15,8 +15,9 @@ def incident_versions(changes: DataFrame, key: str, order: list[str], values: li
     return kept.withColumn("version", F.row_number().over(w).cast("long"))
 
 
-def monotone_observation(changes: DataFrame, key: str, order: list[str], at: str) -> DataFrame:
-    """last_updated: the latest time that the key's changes so far have seen."""
+def monotone_observation(changes: DataFrame, key: str, order: list[str], *times: str) -> DataFrame:
+    """last_updated: the latest of these times (the clock's, the resolution's) that the key's changes so far have seen; nulls are passed over."""
+    at = F.greatest(*times) if len(times) > 1 else F.col(times[0])
     return changes.withColumn("last_updated", F.max(at).over(Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
 
 
@@ -39,10 +40,23 @@ def latest_transition(transitions: DataFrame, order: str = "issue_version") -> D
     return transitions.groupBy("issue_id").agg(F.max(order).alias(order)).join(transitions, ["issue_id", order])
 
 
-def resume_delta(transitions: DataFrame, after: int, watermark: int, floor: int = 0) -> DataFrame:
-    """as_of_revision with progress NO_PROGRESS or DELTA; HISTORY_GAP where the kept history begins after the boundary."""
-    state = F.lit("HISTORY_GAP" if floor > after else "NO_PROGRESS" if watermark <= after else "DELTA")
-    return as_of_revision(transitions, watermark, after).withColumn("progress", state)
+def resume_status(transitions: DataFrame, bookmarks: DataFrame) -> DataFrame:
+    """One row for each of bookmarks(tenant_id, after, floor): high_watermark and progress.
+
+    HISTORY_GAP: the kept history begins after the boundary, so that changes may be missing. NO_PROGRESS: nothing was
+    published past it. DELTA: there are changes to read.
+    """
+    high = transitions.groupBy("tenant_id").agg(F.max("revision").alias("high_watermark"))
+    out = bookmarks.join(high, "tenant_id", "left").withColumn("high_watermark", F.coalesce("high_watermark", F.lit(0)).cast("long"))
+    state = F.when(F.col("floor") > F.col("after"), "HISTORY_GAP").when(F.col("high_watermark") <= F.col("after"), "NO_PROGRESS").otherwise("DELTA")
+    return out.withColumn("progress", state)
+
+
+def resume_delta(transitions: DataFrame, bookmarks: DataFrame) -> DataFrame:
+    """The newest versions past each tenant's boundary, for tenants whose resume_status is DELTA."""
+    at = resume_status(transitions, bookmarks).where("progress = 'DELTA'").select("tenant_id", F.col("after").alias("__after"), "progress")
+    rows = transitions.join(at, "tenant_id").where("revision > __after").drop("__after")
+    return as_of_revision(rows, (1 << 63) - 1)
 
 
 def priority() -> list[Column]:
@@ -80,11 +94,16 @@ def page_digest(items: DataFrame, key: list[str], order: str, body: str) -> Data
     return items.groupBy(*key).agg(F.sha2(F.array_join(F.transform(rows, lambda x: x[body]), "\n"), 256).alias("digest"))
 
 
-def incident_projection(issues: DataFrame) -> DataFrame:
+def incident_projection(issues: DataFrame, runs: DataFrame) -> DataFrame:
+    """The sixteen fields of an issue that its tenant may see, with tenant_id of its run and what is to be done."""
     open_ = F.col("status") == "OPEN"
-    return issues.select(
-        "issue_id", "source_id", "severity", F.when(open_, "OPEN").otherwise("RESOLVED").alias("lifecycle"), open_.alias("action_required"),
-        F.concat_ws(":", "source_id", "issue_code").alias("dedup_key"), recommended_action().alias("recommended_action"), F.concat(F.lit("EXPLAIN_"), F.col("issue_code")).alias("explanation"),
+    own = lambda c, kind: F.col(c) if c in issues.columns else F.lit(None).cast(kind)
+    rows = issues.join(runs.select("run_id", "tenant_id"), "run_id")
+    return rows.select(
+        "tenant_id", F.col("issue_id").alias("incident_id"), F.lit("INGESTION").alias("module"), F.col("issue_code").alias("event_type"), F.when(open_, "OPEN").otherwise("RESOLVED").alias("lifecycle_state"), "severity",
+        F.col("created_at").alias("first_seen_at"), F.col("last_updated_at").alias("last_seen_at"), own("resolved_at", "timestamp").alias("resolved_at"), F.col("run_id").alias("job_ref"), F.col("source_id").alias("source_ref"),
+        F.col("issue_code").alias("error_code"), own("correlation_id", "string").alias("correlation_id"), open_.alias("action_required"), F.concat(F.lit("Ingestion "), F.lower("status"), F.lit(" issue "), F.col("issue_code")).alias("impact_summary"),
+        F.concat_ws(":", "source_id", "issue_code").alias("dedup_key"), F.lit("TENANT_OPERATIONAL").alias("visibility_class"), recommended_action().alias("recommended_action"), F.concat(F.lit("EXPLAIN_"), F.col("issue_code")).alias("explanation"),
     )
 
 

@@ -36,21 +36,34 @@ def lease_expiry(handoffs: DataFrame, now: Column) -> DataFrame:
     return handoffs.where((F.col("state") == "DELIVERING") & (F.col("lease_until") < now))
 
 
-def stage_handoffs(new: DataFrame, existing: DataFrame) -> DataFrame:
-    """new(idempotency_key, payload) with outcome INSERT, NOOP (same payload) or CONFLICT against existing(idempotency_key, payload)."""
-    known = existing.select("idempotency_key", F.sha2("payload", 256).alias("__known"))
-    same = F.col("__known") == F.sha2("payload", 256)
-    outcome = F.when(F.col("__known").isNull(), "INSERT").when(same, "NOOP").otherwise("CONFLICT")
-    code = F.when(F.col("__known").isNotNull() & ~same, "ING_IDEMPOTENCY_CONFLICT")
-    return new.join(known, "idempotency_key", "left").withColumn("outcome", outcome).withColumn("error_code", code).drop("__known")
+def stage_handoffs(new: DataFrame, existing: DataFrame, order: str | None = None) -> DataFrame:
+    """new(idempotency_key, payload) with outcome, error_code and staged_id against existing(idempotency_key, payload).
+
+    INSERT: the key is new, and this is its first row by `order` (by the payload's hash without one). NOOP: the key is
+    there, or earlier among these rows, with the same payload. CONFLICT: with another payload. staged_id is the
+    handoff_id of the row that holds the key, old or new, where the frames have that column.
+    """
+    has_id = lambda df: F.col("handoff_id") if "handoff_id" in df.columns else F.lit(None).cast("string")
+    known = existing.select("idempotency_key", F.sha2("payload", 256).alias("__known"), has_id(existing).cast("string").alias("__old"))
+    rows = new.withColumn("__hash", F.sha2("payload", 256)).withColumn("__id", has_id(new).cast("string")).join(known, "idempotency_key", "left")
+    w = Window.partitionBy("idempotency_key").orderBy(*([order] if order else []), "__hash")
+    first = F.col("__known").isNull() & (F.row_number().over(w) == 1)
+    rows = rows.withColumn("__first", first).withColumn("__held", F.coalesce("__known", F.first("__hash").over(w))).withColumn("staged_id", F.coalesce("__old", F.first("__id").over(w)))
+    same = F.col("__held").eqNullSafe(F.col("__hash"))
+    rows = rows.withColumn("outcome", F.when(F.col("__first"), "INSERT").when(same, "NOOP").otherwise("CONFLICT"))
+    return rows.withColumn("error_code", F.when(F.col("outcome") == "CONFLICT", "ING_IDEMPOTENCY_CONFLICT")).drop("__known", "__old", "__hash", "__id", "__first", "__held")
 
 
 def apply_receipts(handoffs: DataFrame, receipts: DataFrame, now: Column, wait: int = 30) -> DataFrame:
     """handoffs with new_state, receipt_ref, error_code, retry_at from receipts(handoff_id, durable, receipt_ref).
 
     A durable receipt acknowledges, also once more; a receipt that is not durable, or none, is retried after `wait` seconds.
+    Where handoffs have expected_receipt_ref, a receipt of another reference counts as none.
     """
     r = receipts.select("handoff_id", "durable", "receipt_ref")
+    if "expected_receipt_ref" in handoffs.columns:
+        own = handoffs.select("handoff_id", "expected_receipt_ref").join(r, "handoff_id").where("expected_receipt_ref is null or expected_receipt_ref = receipt_ref")
+        r = own.select("handoff_id", "durable", "receipt_ref")
     acked = (F.col("state") == "ACKED") | F.coalesce(F.col("durable"), F.lit(False))
     code = F.when(~acked, F.when(F.col("durable").isNotNull(), "ING_ACK_NOT_DURABLE").otherwise("ING_DOWNSTREAM_UNAVAILABLE"))
     return (
@@ -78,11 +91,17 @@ def run_order(runs: DataFrame) -> DataFrame:
     return runs.withColumn("claim_order", F.row_number().over(Window.partitionBy("source_id").orderBy(F.col("phase") != "DELTA", "updated_at", "run_id")))
 
 
-def drained_runs(runs: DataFrame, handoffs: DataFrame, quarantine: DataFrame) -> DataFrame:
-    """Running runs without an open handoff or a blocking open quarantine, and the state in which they end."""
+def drained_runs(runs: DataFrame, handoffs: DataFrame, quarantine: DataFrame, partitions: DataFrame | None = None, issues: DataFrame | None = None) -> DataFrame:
+    """Running runs without an open handoff, a blocking open quarantine or a partition that has not succeeded, and the state in which they end.
+
+    Any quarantine that does not block, or open issue, makes it COMPLETED_WITH_WARNINGS.
+    """
+    if partitions is not None:
+        runs = runs.join(partitions.where("state <> 'SUCCEEDED'").select("run_id").distinct(), "run_id", "left_anti")
     open_h = handoffs.where("state <> 'ACKED'").select("run_id").distinct()
     held = quarantine.where("lifecycle_state not in ('RESOLVED', 'DISMISSED')")
-    blocked, warned = held.where("blocking").select("run_id").distinct(), held.where("not blocking").select("run_id").distinct().withColumn("w", F.lit(True))
+    blocked, warned = held.where("blocking").select("run_id").distinct(), held.where("not blocking").select("run_id")
+    warned = (warned if issues is None else warned.unionByName(issues.where("status = 'OPEN'").select("run_id"))).distinct().withColumn("w", F.lit(True))
     done = runs.where("state = 'RUNNING'").join(open_h, "run_id", "left_anti").join(blocked, "run_id", "left_anti").join(warned, "run_id", "left")
     return done.select("run_id", F.when(F.col("w"), "COMPLETED_WITH_WARNINGS").otherwise("SUCCEEDED").alias("final_state"))
 

@@ -7,6 +7,8 @@ import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import quoted, text_values
+
 
 def optional_filters(df: DataFrame, **equal) -> DataFrame:
     """Filters on the given values; None means no filter."""
@@ -51,9 +53,9 @@ def search_log(events: DataFrame, limit: int, **equal) -> DataFrame:
     return rows.withColumn("truncated", F.count("*").over(Window.partitionBy()) == max(1, min(limit, 200)))
 
 
-def aggregate_log(events: DataFrame, dimension: str, limit: int = 200, correlation_id: str | None = None) -> DataFrame:
-    """Counts by one dimension; of the search filters only the correlation applies."""
-    rows = optional_filters(events, correlation_id=correlation_id)
+def aggregate_log(events: DataFrame, dimension: str, limit: int = 200, correlation_id: str | None = None, window: tuple[datetime.datetime, datetime.datetime] | None = None) -> DataFrame:
+    """Counts by one dimension within a window of occurred_at; of the search filters only the correlation applies."""
+    rows = optional_filters(events if window is None else time_window(events, "occurred_at", *window), correlation_id=correlation_id)
     return bounded(rows.groupBy(F.col(dimension).alias("key")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "key"), limit)
 
 
@@ -88,6 +90,11 @@ def gauges(**frames: tuple[DataFrame, Column]) -> DataFrame:
     return out
 
 
+def pressure_level(backlog: Column, soft: int = 1000, hard: int = 5000) -> Column:
+    """The level that a backlog has by itself: 0 normal, 1 soft, 3 hard; 2, recovery, is known from a history only (see health.pressure_states)."""
+    return F.when(backlog < soft, 0).when(backlog < hard, 1).otherwise(3)
+
+
 def alert_conditions(samples: DataFrame, key: str, at_seconds: str, value: str, above: float, seconds: int) -> DataFrame:
     """Samples at which a series has stayed above a bound for at least so many seconds."""
     w = Window.partitionBy(key).orderBy(at_seconds).rangeBetween(-seconds, 0)
@@ -116,6 +123,22 @@ def legal_hold_state(events: DataFrame) -> DataFrame:
     return events.groupBy("ref").agg((F.max_by("action", F.struct("created_at", "event_id")) == "APPLY").alias("held"))
 
 
+def capacity_left(limits: dict[str, tuple[int, int, int]], **frames: DataFrame) -> DataFrame:
+    """(tenant_id, principal, available): what a principal may still take, the least that any of the frames leaves at any of the three levels.
+
+    limits: by frame name the most of all, of a tenant and of a principal.
+    """
+    out = None
+    for name, df in frames.items():
+        used = capacity_usage(df, limits[name])
+        whole = used.where("level = 'GLOBAL'").select(F.col("available").alias("g"))
+        tenant = used.where("level = 'TENANT'").select("tenant_id", F.col("available").alias("t"))
+        own = used.where("level = 'PRINCIPAL'").select("tenant_id", "principal", F.col("available").alias("p"))
+        part = own.join(tenant, "tenant_id").crossJoin(F.broadcast(whole)).select("tenant_id", "principal", F.least("g", "t", "p").alias("available"))  # whole is one row
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy("tenant_id", "principal").agg(F.min("available").alias("available"))
+
+
 def capacity_usage(items: DataFrame, limits: tuple[int, int, int]) -> DataFrame:
     """Counts at the levels all, tenant and principal against their limits, in one rollup."""
     level = F.when(F.grouping("tenant_id") == 1, "GLOBAL").when(F.grouping("principal") == 1, "TENANT").otherwise("PRINCIPAL")
@@ -124,20 +147,110 @@ def capacity_usage(items: DataFrame, limits: tuple[int, int, int]) -> DataFrame:
     return out.select("level", "tenant_id", "principal", "used", F.greatest(F.lit(0).cast("long"), most - F.col("used")).alias("available"))
 
 
+def replay_view(requests: DataFrame, executions: DataFrame) -> DataFrame:
+    """Replay requests with their executions (replay_id, state, attempts, …); requests without one drop out."""
+    return requests.join(executions, "replay_id")
+
+
+def replay_lineage(replays: DataFrame, quarantine: DataFrame, runs: DataFrame) -> DataFrame:
+    """Each replay with the reason of its quarantine and the source of that one's run."""
+    held = quarantine.select("quarantine_id", "run_id", "reason_code")
+    return replays.join(held, "quarantine_id").join(runs.select("run_id", "source_id"), "run_id").select("replay_id", "reason_code", "source_id")
+
+
+def live_custody(items: DataFrame, issues: DataFrame, runs: DataFrame, tenant: str) -> DataFrame:
+    """Captured items(session_id, issue_id) with visible: whether the issue still belongs to the tenant; partial: whether the session has any that does not."""
+    mine = tenant_scope(issues, runs, tenant).select("issue_id").distinct().withColumn("__v", F.lit(True))
+    shown = items.join(mine, "issue_id", "left").withColumn("visible", F.coalesce("__v", F.lit(False))).drop("__v")
+    partial = shown.groupBy("session_id").agg((F.count_if(~F.col("visible")) > 0).alias("partial"))
+    return shown.join(partial, "session_id")
+
+
+def superseded_runs(runs: DataFrame, schedules: DataFrame, now: Column) -> DataFrame:
+    """PREFLIGHT runs of schedules without a live lease whose publication is another one by now, or is switched off."""
+    s = schedules.select("schedule_id", "publication_checksum", "publication_enabled", "lease_until")
+    both = runs.where("state = 'PREFLIGHT'").join(s, "schedule_id").where(F.col("lease_until").isNull() | (F.col("lease_until") <= now))
+    return both.where((F.col("bundle_checksum") != F.col("publication_checksum")) | ~F.col("publication_enabled")).select("run_id")
+
+
+def pending_publication(transitions: DataFrame, issues: DataFrame, runs: DataFrame) -> DataFrame:
+    """(tenant_id, source_id, lag) for every tenant and source with runs: whether a transition of one of their issues has no revision yet."""
+    waiting = transitions.where("revision is null").select("issue_id").distinct()
+    lagging = issues.join(waiting, "issue_id", "left_semi").select("run_id").distinct()
+    scoped = runs.select("run_id", "tenant_id", "source_id")
+    lag = scoped.join(lagging, "run_id", "left_semi").select("tenant_id", "source_id").distinct().withColumn("__lag", F.lit(True))
+    every = scoped.select("tenant_id", "source_id").distinct()
+    return every.join(lag, ["tenant_id", "source_id"], "left").select("tenant_id", "source_id", F.coalesce("__lag", F.lit(False)).alias("lag"))
+
+
+def bookmark_scope_match(cursors: DataFrame, sessions: DataFrame, scopes: DataFrame) -> DataFrame:
+    """cursors(token, session_id, tenant_id, source_id, state, parent_token) of a session of the same tenant and of a granted scope(tenant_id, source_id, state).
+
+    A null source or state means all of them, and is equal to null only. A cursor with a parent must name a cursor of the same session.
+    """
+    s = sessions.select("session_id", F.col("tenant_id").alias("s_tenant"), F.col("source_id").alias("s_source"), F.col("state").alias("s_state"))
+    g = scopes.select(F.col("tenant_id").alias("g_tenant"), F.col("source_id").alias("g_source"), F.col("state").alias("g_state")).distinct()
+    parents = cursors.select(F.col("token").alias("p_token"), F.col("session_id").alias("p_session"))
+    both = cursors.join(s, "session_id").where(F.expr("tenant_id = s_tenant and source_id <=> s_source and state <=> s_state"))
+    both = both.join(g, F.expr("tenant_id = g_tenant and source_id <=> g_source and state <=> g_state"))
+    both = both.join(parents, F.expr("parent_token = p_token"), "left").where("parent_token is null or p_session = session_id")
+    return both.select("token", "session_id", "tenant_id", "source_id", "state", "parent_token")
+
+
+def review_queue(reviews: DataFrame, issues: DataFrame, now: Column, limit: int = 100) -> DataFrame:
+    """The oldest due reviews(review_key, issue_id, state, next_attempt_at, created_at) with their issue."""
+    due = reviews.where(F.col("state").isin("READY", "FAILED_RETRYABLE") & (F.col("next_attempt_at") <= now))
+    return due.join(issues.select("issue_id", "source_id", "issue_code", "status"), "issue_id").orderBy("created_at", "review_key").limit(limit)
+
+
+def acknowledged_reviews(issues: DataFrame, reviews: DataFrame) -> DataFrame:
+    """issues with review_ref: the reference of an ACKED review, on open issues only."""
+    done = reviews.where("state = 'ACKED'").groupBy("issue_id").agg(F.max("review_ref").alias("__ref"))
+    return issues.join(done, "issue_id", "left").withColumn("review_ref", F.when(F.col("status") == "OPEN", F.col("__ref"))).drop("__ref")
+
+
+def quarantine_preview(quarantine: DataFrame) -> DataFrame:
+    """quarantine with the object's fingerprint for its id, and without references to payload and decision."""
+    return quarantine.withColumn("object_fingerprint", F.sha2("source_object_id", 256)).drop("source_object_id", "payload_ref", "decision_ref")
+
+
+def deep_references(docs: DataFrame, refs: DataFrame, **columns: str) -> DataFrame:
+    """(ref, origin): one row for each document of docs and reference of refs(ref) that stands as a text value anywhere in a JSON column; columns: origin = column.
+
+    Every text value of a document is taken out once and joined with the references.
+    """
+    out = None
+    for origin, column in columns.items():
+        values = docs.select(F.explode(F.array_distinct(text_values(F.col(column)))).alias("__q"))
+        part = values.join(refs.select("ref", quoted(F.col("ref")).alias("__q")).distinct(), "__q").select("ref", F.lit(origin).alias("origin"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def audit_trail(**feeds: tuple[DataFrame, str, str, list[str]]) -> DataFrame:
-    """(action, actor, resource, detail): one row per governed action of each feed (frame, actor column, resource column, detail columns)."""
+    """(action, actor, resource, detail, outcome, correlation_id, tenant_id, decision_ref): one row per governed action of each feed (frame, actor column, resource column, detail columns).
+
+    outcome is DENIED where a frame's column `allowed` says no, else ALLOWED; the last three come from the columns of those names, if there.
+    """
     out = None
     for action, (df, actor, resource, detail) in feeds.items():
-        row = df.select(F.lit(action).alias("action"), F.col(actor).cast("string").alias("actor"), F.col(resource).cast("string").alias("resource"), F.to_json(F.struct(*detail)).alias("detail"))
+        own = lambda c: (F.col(c) if c in df.columns else F.lit(None)).cast("string").alias(c)  # noqa: B023, E731
+        denied = ~F.col("allowed") if "allowed" in df.columns else F.lit(False)
+        row = df.select(
+            F.lit(action).alias("action"), F.col(actor).cast("string").alias("actor"), F.col(resource).cast("string").alias("resource"), F.to_json(F.struct(*detail)).alias("detail"),
+            F.when(denied, "DENIED").otherwise("ALLOWED").alias("outcome"), own("correlation_id"), own("tenant_id"), own("decision_ref"),
+        )
         out = row if out is None else out.unionByName(row)
     return out
 
 
 def queue_reviews(issues: DataFrame, queued: DataFrame, version: int) -> DataFrame:
-    """Reviews of open issues at the expected version that are not queued yet, by their key."""
+    """(review_key, issue_id, review_id, outcome) of open issues at the expected version: QUEUED under a new id, or REPEATED with that of queued(review_key, review_id)."""
     key = F.concat_ws(":", F.lit("ingestion-issue"), "issue_id", "operational_version")
     rows = issues.where((F.col("status") == "OPEN") & (F.col("operational_version") == version)).select(key.alias("review_key"), "issue_id")
-    return rows.join(queued, "review_key", "left_anti")
+    had = queued.groupBy("review_key").agg(F.min("review_id").alias("__id"))
+    out = rows.join(had, "review_key", "left")
+    return out.select("review_key", "issue_id", F.coalesce("__id", F.sha2("review_key", 256)).alias("review_id"), F.when(F.col("__id").isNull(), "QUEUED").otherwise("REPEATED").alias("outcome"))
 
 
 def audit_append_only(before: DataFrame, after: DataFrame, key: str, fixed: list[str]) -> DataFrame:

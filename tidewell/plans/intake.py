@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..operators import contracts, mapping as M
+from ..operators import pipeline
+from ..operators import policies as P
 from .registry import query
+from .scratch import written
 
 
 def payloads(records: DataFrame) -> DataFrame:
@@ -50,7 +53,7 @@ def layer_feature_id(records):
 
 @query("SELECT source_id, nation, count(*) AS n FROM records GROUP BY ALL HAVING count(*) > 1", "records")
 def duplicate_identities(records):
-    return records.groupBy("source_id", "nation").agg(F.count("*").alias("n")).where("n > 1")
+    return P.duplicate_identities(records, "source_id", "nation")
 
 
 @query(f"""SELECT ordinal, CASE WHEN variant = 11 THEN 'UNKNOWN_VERSION' WHEN variant % 5 = 1 THEN 'INCOMPATIBLE' WHEN variant % 5 = 2 THEN 'COMPATIBLE_ADDITIVE' ELSE 'MATCH' END AS outcome,
@@ -211,62 +214,163 @@ def validate_contract_conditional(records):
     return _validated(records.withColumn("doc", doc), "ordinal", schema)
 
 
-@query("SELECT CASE WHEN min(e) IS NULL THEN 'COMPATIBLE' ELSE 'INCOMPATIBLE' END AS status, count(*) AS validated_rows, min(e) AS error_code FROM (SELECT CASE WHEN variant % 5 = 1 THEN 'ING_MAPPING_SOURCE_FIELD_MISSING' END AS e FROM records)", "records")
+REFS = {"sourceSchemaRef": "schema:1", "semanticPublicationSetRef": "set:1", "adapterProfileRef": "adapter:1"}
+#: Schemas of the three documents, for what the queries check.
+CONTRACTS = {
+    "envelope": {"type": "object", "required": ["envelopeVersion", "runId", "sourceObjectId", "operation"], "properties": {"envelopeVersion": {"const": "1.0"}, "operation": {"enum": ["UPSERT", "DELETE", "TOMBSTONE"]}}},
+    "lineage": {"required": ["lineageId", "source", "outcome"], "properties": {"source": {"required": ["sourceId", "sourceObjectId"]}, "processing": {"properties": {"transformationIds": {"type": "array", "minItems": 1}}}}},
+    "handoff": {"required": ["handoffId", "contentHash"], "if": {"properties": {"operation": {"const": "UPSERT"}}}, "then": {"required": ["canonicalPayload"]}},
+}
+
+
+def commands(records: DataFrame) -> DataFrame:
+    """records as the pipeline takes them: one run per source, in the order of their numbers."""
+    return payloads(records).select(
+        F.col("source_id").alias("run_id"), F.lit("default").alias("partition_key"), F.col("ordinal").alias("sequence_no"), F.lit(1).alias("attempt_no"), "source_id", F.lit("b1").alias("bundle_id"), F.lit("1").alias("bundle_version"),
+        F.lit("c1").alias("bundle_checksum"), F.col("id").alias("source_object_id"), F.concat(F.lit("corr-"), "nation").alias("correlation_id"), F.lit("2025-01-02T00:00:00Z").alias("acquired_at"), "payload", "provenance", "variant", "ordinal",
+    )
+
+
+def config(**more) -> pipeline.Config:
+    return pipeline.Config(MAPPINGS, REFS, expected_fields=["id", "name", "segment"], contracts=CONTRACTS, **more)
+
+
+def processed(records: DataFrame, **more) -> pipeline.Outcomes:
+    """The pipeline's outcomes, all of which read one written frame."""
+    return pipeline.process(commands(records), config(**more), lambda df: df.sparkSession.read.schema(df.schema).parquet(written(df, "judged")))
+
+
+@query("SELECT CASE WHEN min(e) IS NULL THEN 'PASS' ELSE 'FAIL' END AS status, count(*) AS validated_rows, min(e) AS error_code FROM (SELECT CASE WHEN variant % 5 = 1 THEN 'ING_SCHEMA_INCOMPATIBLE' WHEN variant = 8 THEN 'ING_OPERATION_UNSUPPORTED' WHEN variant = 4 THEN 'ING_TEMPORAL_METADATA_INVALID' WHEN variant = 5 THEN 'ING_VALID_TIME_INVALID' END AS e FROM records)", "records")
 def compatibility_report(records):
-    _, error = M.map_properties(F.col("payload"), MAPPINGS)
-    n, e = F.count("*"), F.min(error)
-    code = F.when(n == 0, "ING_COMPAT_EMPTY_ASSET_UNPROVEN").otherwise(e)
-    return payloads(records).agg(F.when(code.isNull(), "COMPATIBLE").otherwise("INCOMPATIBLE").alias("status"), n.alias("validated_rows"), code.alias("error_code"))
+    return pipeline.compatibility_report(commands(records), config()).select("status", "validated_rows", "error_code")
+
+
+@query("""SELECT source_id, CASE WHEN count(*) FILTER (variant % 5 = 1) > 0 THEN 'ING_SCHEMA_INCOMPATIBLE' WHEN count(*) FILTER (variant = 8) > 0 THEN 'x' END IS NULL AS clean FROM records WHERE source_id = 'src-none' GROUP BY 1
+ UNION ALL SELECT 'none', FALSE""", "records")
+def compatibility_of_nothing(records):
+    """An asset without rows proves nothing."""
+    none = commands(records.where("source_id = 'src-none'"))
+    return pipeline.compatibility_report(none, config()).select(F.lit("none").alias("source_id"), (F.col("error_code") != "ING_COMPAT_EMPTY_ASSET_UNPROVEN").alias("clean"))
+
 
+ERROR_SQL = "CASE WHEN variant % 5 = 1 THEN 'ING_SCHEMA_INCOMPATIBLE' WHEN variant = 8 THEN 'ING_OPERATION_UNSUPPORTED' WHEN variant = 4 THEN 'ING_TEMPORAL_METADATA_INVALID' WHEN variant = 5 THEN 'ING_VALID_TIME_INVALID' END"
+PAYLOAD_SQL = """concat('{"id":"', id, '","segment":"', segment, '"', CASE WHEN variant % 5 <> 1 THEN concat(',"name":"', name, '"') ELSE '' END, CASE WHEN variant % 5 = 2 THEN ',"extra":"x"' ELSE '' END, '}')"""
+KEY_SQL = "concat_ws(':', source_id, 'default', ordinal, {})"
 
-@query("""SELECT ordinal, v, CASE WHEN ordinal % 7 = 0 THEN 'ING_ADAPTER_VERSION_INVALID' WHEN NOT (CAST(variant AS INT) BETWEEN 5 AND 12) THEN 'ING_ADAPTER_VERSION_UNSUPPORTED' END AS code FROM (SELECT *, CASE WHEN ordinal % 7 = 0 THEN '1.x' ELSE concat('1.', CAST(variant AS STRING), '.0') END AS v FROM records)""", "records")
+
+@query(f"""SELECT 'RAW' AS zone, id AS source_object_id, {KEY_SQL.format("'raw'")} AS idempotency_key, concat('sha256:', sha256({PAYLOAD_SQL})) AS content_hash FROM records
+ UNION ALL SELECT 'NORMALIZED', id, {KEY_SQL.format("'normalized'")}, NULL FROM records WHERE {ERROR_SQL} IS NULL
+ UNION ALL SELECT 'CURATED', id, {KEY_SQL.format("'curated'")}, concat('sha256:', sha256(CASE WHEN variant = 7 THEN concat('{{"operation":"DELETE","sourceObjectId":"', id, '","sourceRevision":"', nation, '"}}')
+  ELSE concat('{{"https://example.test/id":"', id, '","https://example.test/name":"', name, '"}}') END)) FROM records WHERE {ERROR_SQL} IS NULL""", "records")
+def pipeline_zones(records):
+    z = processed(records).zones
+    return z.select("zone", "source_object_id", "idempotency_key", F.when(F.col("zone") != "NORMALIZED", F.col("content_hash")).alias("content_hash"))
+
+
+@query(f"SELECT id AS source_object_id, source_id AS run_id, 'b1:1:c1' AS bundle_ref, 'sha256:' AS raw_hash, id AS object_id, 'SUCCESS' AS status, nation AS revision, '1.1.0' AS version FROM records WHERE {ERROR_SQL} IS NULL", "records")
+def pipeline_lineage(records):
+    at = lambda p: F.get_json_object("evidence", p)
+    return processed(records).lineage.select(
+        "source_object_id", "run_id", "bundle_ref", F.substring(at("$.data.rawHash"), 1, 7).alias("raw_hash"), at("$.source.sourceObjectId").alias("object_id"), at("$.outcome.status").alias("status"),
+        at("$.source.sourceRevision").alias("revision"), at("$.processing.pipelineVersion").alias("version"),
+    )
+
+
+@query(f"""SELECT {KEY_SQL.format("'handoff'")} AS idempotency_key, ordinal AS sequence_no, CASE WHEN variant = 7 THEN 'DELETE' ELSE 'UPSERT' END AS operation, CASE WHEN variant <> 7 THEN name END AS name,
+ CASE WHEN variant = 3 THEN '2024-12-31T23:00:00.000000Z' ELSE '2025-06-01T00:00:00.000000Z' END AS valid_from, CASE WHEN variant % 4 = 0 THEN id END AS base, 'OPEN' AS label FROM records WHERE {ERROR_SQL} IS NULL""", "records")
+def pipeline_handoffs(records):
+    doc = F.parse_json("payload")
+    at = lambda p: F.try_variant_get(doc, p, "string")
+    return processed(records, labels=["OPEN"]).handoffs.select(
+        "idempotency_key", "sequence_no", at("$.operation").alias("operation"), at("$.canonicalPayload['https://example.test/name']").alias("name"), at("$.sourceIdentity.validFrom").alias("valid_from"),
+        at("$.changeRepresentation.baseRevisionRef").alias("base"), at("$.dataAccessLabels[0]").alias("label"),
+    )
+
+
+@query(f"SELECT state, reason_code, count(*) AS n FROM (SELECT CASE WHEN {ERROR_SQL} IS NULL THEN 'SUCCEEDED' ELSE 'FAILED' END AS state, {ERROR_SQL} AS reason_code FROM records) GROUP BY ALL", "records")
+def pipeline_attempts(records):
+    return processed(records).attempts.groupBy("state", "reason_code").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT id AS source_object_id, {ERROR_SQL} AS reason_code, concat_ws('/', 'RAW', {KEY_SQL.format(chr(39) + 'raw' + chr(39))}) AS payload_ref, concat('contract-or-mapping:', {ERROR_SQL}) AS evidence_ref, {ERROR_SQL} <> 'ING_VALID_TIME_INVALID' AS blocking FROM records WHERE {ERROR_SQL} IS NOT NULL", "records")
+def pipeline_quarantine(records):
+    return processed(records, non_blocking=["ING_VALID_TIME_INVALID"]).quarantine.select("source_object_id", "reason_code", "payload_ref", "evidence_ref", "blocking")
+
+
+@query(f"SELECT source_id, severity, count(*) AS n FROM (SELECT source_id, CASE WHEN {ERROR_SQL} = 'ING_VALID_TIME_INVALID' THEN 'WARNING' ELSE 'ERROR' END AS severity FROM records WHERE {ERROR_SQL} IS NOT NULL) GROUP BY ALL", "records")
+def pipeline_issues(records):
+    return processed(records, non_blocking=["ING_VALID_TIME_INVALID"]).issues.groupBy("source_id", "severity").agg(F.count("*").alias("n"))
+
+
+@query(f"""SELECT zone, count(*) AS n FROM (SELECT unnest(CASE WHEN variant IN (9, 10) THEN [] WHEN {ERROR_SQL} IS NOT NULL THEN ['RAW'] ELSE ['RAW','NORMALIZED','CURATED'] END) AS zone FROM records) GROUP BY 1
+ UNION ALL SELECT 'HANDOFF', count(*) FROM records WHERE variant NOT IN (9, 10) AND {ERROR_SQL} IS NULL AND variant % 4 = 0""", "records")
+def pipeline_delta_zones(records):
+    """Times of observation from the records, and patches that need a base: what a record keeps depends on the step that failed."""
+    out = processed(records, observation_policy="PROVENANCE_OBSERVED_AT", change_mode="DELTA_PATCH")
+    return out.zones.groupBy("zone").agg(F.count("*").alias("n")).unionByName(out.handoffs.agg(F.count("*").alias("n")).select(F.lit("HANDOFF").alias("zone"), "n"))
+
+
+@query("""SELECT ordinal, v, CASE WHEN ordinal % 11 = 0 THEN 'ING_ADAPTER_ID_MISMATCH' WHEN ordinal % 7 = 0 THEN 'ING_ADAPTER_VERSION_INVALID' WHEN NOT (CAST(variant AS INT) BETWEEN 5 AND 12) THEN 'ING_ADAPTER_VERSION_UNSUPPORTED' END AS code FROM (SELECT *, CASE WHEN ordinal % 7 = 0 THEN '1.x' ELSE concat('1.', CAST(variant AS STRING), '.0') END AS v FROM records)""", "records")
 def version_window(records):
     v = F.when(F.col("ordinal") % 7 == 0, "1.x").otherwise(F.concat(F.lit("1."), F.col("nation"), F.lit(".0")))
-    inside = S.version_within(F.col("v"), F.lit("1.5.0"), F.lit("1.12.9"))
-    return records.withColumn("v", v).select("ordinal", "v", F.when(S.version_parts(F.col("v")).isNull(), "ING_ADAPTER_VERSION_INVALID").when(~inside, "ING_ADAPTER_VERSION_UNSUPPORTED").alias("code"))
+    adapter = F.when(F.col("ordinal") % 11 == 0, "other").otherwise("adapter")
+    return records.select("ordinal", v.alias("v"), P.version_window(adapter, v, "adapter", "1.5.0", "1.12.9").alias("code"))
 
 
 @query("""SELECT event_id, CASE WHEN body > 90 THEN 'DATA' WHEN st BETWEEN 200 AND 299 THEN 'OK' WHEN st IN (408, 429) OR st >= 500 THEN 'TRANSIENT' WHEN st IN (401, 403) THEN 'AUTH_ROUTE' ELSE 'CONFIGURATION' END AS error_class,
- CASE WHEN st = 429 AND ra ~ '^[1-9][0-9]*$' THEN CAST(ra AS BIGINT) END AS retry_after FROM (SELECT event_id, [200, 401, 403, 404, 408, 429, 503][event_id % 7 + 1] AS st, user_id % 100 AS body, CASE WHEN user_id % 2 = 0 THEN CAST(user_id AS STRING) ELSE 'x' END AS ra FROM events)""", "events")
+ CASE WHEN st = 429 AND ra ~ '^[1-9][0-9]*$' THEN CAST(ra AS BIGINT) WHEN st = 429 AND ra LIKE 'Wed%' THEN user_id % 60 + 60 END AS retry_after FROM (SELECT event_id, user_id, [200, 401, 403, 404, 408, 429, 503][event_id % 7 + 1] AS st, user_id % 100 AS body,
+ CASE user_id % 4 WHEN 0 THEN CAST(user_id AS STRING) WHEN 1 THEN 'Wed' WHEN 2 THEN 'Tue, past' ELSE 'x' END AS ra FROM events)""", "events")
 def classify_response(events):
     from ..operators.health import classify_response as classify
 
-    e = events.select("event_id", F.get(F.array(*map(F.lit, [200, 401, 403, 404, 408, 429, 503])), (F.col("event_id") % 7).cast("int")).alias("status"), (F.col("user_id") % 100).alias("body_bytes"), F.when(F.col("user_id") % 2 == 0, F.col("user_id").cast("string")).otherwise("x").alias("retry_after"))
-    return classify(e, 90).select("event_id", "error_class", F.col("retry_after_seconds").alias("retry_after"))
+    date = F.concat(F.lit("Wed, 1 Jan 2025 00:01:"), F.lpad((F.col("user_id") % 60).cast("string"), 2, "0"), F.lit(" GMT"))
+    header = F.when(F.col("user_id") % 4 == 0, F.col("user_id").cast("string")).when(F.col("user_id") % 4 == 1, date).when(F.col("user_id") % 4 == 2, "Tue, 31 Dec 2024 00:00:00 GMT").otherwise("x")
+    e = events.select("event_id", F.get(F.array(*map(F.lit, [200, 401, 403, 404, 408, 429, 503])), (F.col("event_id") % 7).cast("int")).alias("status"), (F.col("user_id") % 100).alias("body_bytes"), header.alias("retry_after"))
+    return classify(e, 90, F.lit("2025-01-01T00:00:00Z").cast("timestamp")).select("event_id", "error_class", F.col("retry_after_seconds").alias("retry_after"))
 
 
-@query("""SELECT c_custkey, array_to_string(list_filter([CASE WHEN NOT (p BETWEEN 60 AND 2678400) THEN 'poll' END, CASE WHEN NOT (t BETWEEN 1 AND 300) THEN 'timeout' END, CASE WHEN NOT (r BETWEEN 0 AND 100) THEN 'retries' END], lambda x: x IS NOT NULL), ',') AS violations
- FROM (SELECT c_custkey, c_custkey AS p, c_nationkey * 20 AS t, c_nationkey * 6 AS r FROM customer)""", "customer")
+@query("""SELECT c_custkey, array_to_string(list_filter([CASE WHEN CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 2 = 0 ELSE c_custkey % 2 = 1 OR NOT (c_custkey BETWEEN 60 AND 2678400) END THEN 'poll' END, CASE WHEN NOT (t BETWEEN 1 AND 300) THEN 'timeout' END, CASE WHEN NOT (r BETWEEN 0 AND 100) THEN 'retries' END,
+ CASE WHEN NOT (c_nationkey * 5000 BETWEEN 1 AND 86400) THEN 'backoff' END, CASE WHEN NOT (c_nationkey * 200 BETWEEN 30 AND 3650) THEN 'retention' END], lambda x: x IS NOT NULL), ',') AS violations
+ FROM (SELECT c_custkey, c_nationkey, c_nationkey * 20 AS t, c_nationkey * 6 AS r FROM customer)""", "customer")
 def policy_bounds(customer):
-    bounds = {"poll": (F.col("c_custkey"), 60, 2678400), "timeout": (F.col("c_nationkey") * 20, 1, 300), "retries": (F.col("c_nationkey") * 6, 0, 100)}
-    found = F.filter(F.array(*(F.when(~c.between(a, b), k) for k, (c, a, b) in bounds.items())), lambda x: x.isNotNull())
-    return customer.select("c_custkey", F.array_join(found, ",").alias("violations"))
+    nation, poll = F.col("c_nationkey"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey"))
+    found = P.policy_violations({"poll": poll, "timeout": nation * 20, "retries": nation * 6, "backoff": nation * 5000, "retention": nation * 200}, F.col("c_custkey") % 3 == 0)
+    order = F.filter(F.array(*map(F.lit, ["poll", "timeout", "retries", "backoff", "retention"])), lambda x: F.array_contains(found, x))
+    return customer.select("c_custkey", F.array_join(order, ",").alias("violations"))
 
 
 @query("""SELECT c_custkey, CASE WHEN c_nationkey % 4 = 0 THEN NULL WHEN c_nationkey % 4 = 1 THEN 'OPEN' ELSE 'OPEN,PERSONAL' END AS labels, CASE WHEN c_nationkey % 4 = 0 THEN 'ING_ACCESS_LABEL_INVALID' END AS code FROM customer""", "customer")
 def access_labels(customer):
     v = F.col("c_nationkey") % 4
     given = F.when(v == 0, F.array(F.lit("OPEN"), F.lit("SECRET"))).when(v == 1, F.array(F.lit("OPEN"), F.lit("OPEN"))).otherwise(F.array(F.lit("OPEN"), F.lit("PERSONAL"), F.lit("OPEN")))
-    known = F.array(*map(F.lit, ["OPEN", "ANONYMOUS", "PERSONAL", "SENSITIVE", "RESTRICTED"]))
-    bad = (F.size(given) == 0) | (F.size(F.array_except(given, known)) > 0)
-    return customer.select("c_custkey", F.when(~bad, F.array_join(F.array_distinct(given), ",")).alias("labels"), F.when(bad, "ING_ACCESS_LABEL_INVALID").alias("code"))
+    labels, code = P.access_labels(given)
+    return customer.select("c_custkey", F.array_join(labels, ",").alias("labels"), code.alias("code"))
 
 
-@query("""SELECT ordinal, concat('sha256:', sha256(concat('{"a":"', name, '","b":"', nation, '","c":null}'))) AS hash, ordinal % 2 = 0 AS matches FROM records""", "records")
+@query("""SELECT ordinal, concat('sha256:', sha256(concat('{"a":"', name, '\\"q","b":{"x":[2,1],"y":"', nation, '"},"c":null}'))) AS hash, ordinal % 2 = 0 AS matches FROM records""", "records")
 def configuration_hash(records):
-    m = F.create_map(F.lit("c"), F.lit(None).cast("string"), F.lit("b"), F.col("nation"), F.lit("a"), F.col("name"))
-    r = records.withColumn("hash", S.content_hash(S.canonical_json(m)))
+    plain = F.struct(F.col("b.y").alias("y"), F.col("b.x").alias("x"))
+    r = records.withColumn("b", F.struct(F.array(F.lit(2), F.lit(1)).alias("x"), F.col("nation").alias("y"))).withColumn("hash0", F.lit("x"))
+    doc = F.to_json(F.struct(F.lit("zzz").alias("checksum"), F.lit(None).cast("string").alias("c"), plain.alias("b"), F.concat("name", F.lit('"q')).alias("a")), {"ignoreNullFields": "false"})
+    r = r.withColumn("hash", P.configuration_hash(doc))
     declared = F.when(F.col("ordinal") % 2 == 0, F.col("hash")).otherwise("sha256:0")
     return r.select("ordinal", "hash", (F.col("hash") == declared).alias("matches"))
 
 
-@query("""WITH refs AS (SELECT DISTINCT bundle_id AS id FROM runs), b AS (SELECT DISTINCT concat('b', CAST(c_nationkey % 9 AS STRING)) AS id FROM customer)
-SELECT coalesce(refs.id, b.id) AS id, CASE WHEN b.id IS NULL THEN 'UNBOUND' WHEN refs.id IS NULL THEN 'UNUSED' ELSE 'EXACT' END AS state FROM refs FULL OUTER JOIN b ON refs.id = b.id""", "runs customer")
+@query("""SELECT ordinal, concat('{"a":"', name, '","list":["', least(id, nation), '","', greatest(id, nation), '"]}') AS fingerprint, ordinal % 2 = 0 AS found, FALSE AS as_key FROM records""", "records")
+def canonical_fingerprint(records):
+    doc = F.to_json(F.struct(F.array("id", "nation").alias("list"), F.col("name").alias("a")))
+    ref = F.when(F.col("ordinal") % 2 == 0, F.col("name")).otherwise("nowhere")
+    return records.select("ordinal", S.canonical_fingerprint(doc).alias("fingerprint"), S.any_value_equals(doc, ref).alias("found"), S.any_value_equals(doc, F.lit("list")).alias("as_key"))
+
+
+@query("""WITH refs AS (SELECT DISTINCT bundle_id AS id FROM runs), b AS (SELECT concat('b', CAST(c_nationkey % 9 AS STRING)) AS id, count(*) AS n, min(CASE WHEN c_nationkey % 9 = 2 THEN 0 ELSE 1 END) AS ok FROM (SELECT DISTINCT c_nationkey % 18 AS c_nationkey FROM customer WHERE c_nationkey % 18 < 9 OR c_nationkey % 18 = 12) GROUP BY 1)
+SELECT coalesce(refs.id, b.id) AS ref, CASE WHEN b.id IS NULL THEN 'UNBOUND' WHEN refs.id IS NULL THEN 'UNUSED' WHEN n > 1 THEN 'AMBIGUOUS' WHEN ok = 0 THEN 'INACTIVE' ELSE 'EXACT' END AS state FROM refs FULL OUTER JOIN b ON refs.id = b.id""", "runs customer")
 def exact_bindings(runs, customer):
-    refs = runs.select(F.col("bundle_id").alias("id")).distinct()
-    bound = customer.select(F.expr("concat('b', c_nationkey % 9)").alias("id")).distinct()
-    both = refs.withColumn("r", F.lit(1)).join(bound.withColumn("b", F.lit(1)), "id", "full")
-    return both.select("id", F.when(F.col("b").isNull(), "UNBOUND").when(F.col("r").isNull(), "UNUSED").otherwise("EXACT").alias("state"))
+    refs = runs.select(F.col("bundle_id").alias("ref")).distinct()
+    keys = customer.select((F.col("c_nationkey") % 18).alias("k")).distinct().where("k < 9 or k = 12")
+    bound = keys.select(F.expr("concat('b', k % 9)").alias("ref"), F.when(F.col("k") % 9 == 2, "DEPRECATED").otherwise("ACTIVE").alias("status"))
+    return P.exact_bindings(refs, bound)
 
 
 @query("SELECT count(*) = 0 AS equal FROM ((SELECT DISTINCT bundle_id FROM runs EXCEPT SELECT DISTINCT concat('b', CAST(c_nationkey % 7 AS STRING)) FROM customer) UNION ALL (SELECT DISTINCT concat('b', CAST(c_nationkey % 7 AS STRING)) FROM customer EXCEPT SELECT DISTINCT bundle_id FROM runs))", "runs customer")

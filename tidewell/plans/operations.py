@@ -64,9 +64,25 @@ def snapshot_page(transitions):
     return I.snapshot_page(I.prioritise_incidents(transitions), 200, 50).select("tenant_id", "transition_id", "position", "has_next")
 
 
-@query(f"SELECT tenant_id, issue_id, revision, 'DELTA' AS progress FROM (SELECT *, row_number() OVER (PARTITION BY tenant_id, issue_id ORDER BY revision DESC) AS k FROM {REVISED} WHERE revision > 1500 AND revision <= 2600) WHERE k = 1", "transitions")
+#: Where three readers stopped: one with changes to read, one with none, one whose boundary the kept history no longer reaches.
+BOOKMARKS = "(VALUES ('tenant-0', 100, 0), ('tenant-1', 900000000, 0), ('tenant-2', 10, 50)) b(tenant_id, after, floor)"
+
+
+def bookmarks(transitions):
+    t = F.col("tenant_id")
+    after = F.when(t == "tenant-0", 100).when(t == "tenant-1", 900000000).otherwise(10)
+    return transitions.select("tenant_id").distinct().withColumn("after", after).withColumn("floor", F.when(t == "tenant-2", 50).otherwise(0))
+
+
+@query(f"SELECT tenant_id, issue_id, revision, 'DELTA' AS progress FROM (SELECT *, row_number() OVER (PARTITION BY tenant_id, issue_id ORDER BY revision DESC) AS k FROM {REVISED} WHERE tenant_id = 'tenant-0' AND revision > 100) WHERE k = 1", "transitions")
 def resume_delta(transitions):
-    return I.resume_delta(revised(transitions), 1500, 2600).select("tenant_id", "issue_id", "revision", "progress")
+    return I.resume_delta(revised(transitions), bookmarks(transitions)).select("tenant_id", "issue_id", "revision", "progress")
+
+
+@query(f"""SELECT b.tenant_id, after, high AS high_watermark, CASE WHEN floor > after THEN 'HISTORY_GAP' WHEN high <= after THEN 'NO_PROGRESS' ELSE 'DELTA' END AS progress
+ FROM {BOOKMARKS} JOIN (SELECT tenant_id, max(revision) AS high FROM {REVISED} GROUP BY 1) h ON h.tenant_id = b.tenant_id""", "transitions")
+def resume_status(transitions):
+    return I.resume_status(revised(transitions), bookmarks(transitions)).select("tenant_id", "after", "high_watermark", "progress")
 
 
 @query("SELECT session_id, greatest(1, CAST(ceil(n / 10.0) AS BIGINT)) AS needed, done, done >= greatest(1, CAST(ceil(n / 10.0) AS BIGINT)) AS may_bookmark FROM (SELECT user_id AS session_id, count(*) AS n, count(*) FILTER (event_type <> 'error' AND event_id % 5 = 0) AS done FROM events GROUP BY 1)", "events")
@@ -96,7 +112,19 @@ def pressure_states(handoffs):
     return health.pressure_states(days.groupBy("tenant_id", "at").agg(F.count("*").alias("backlog")), 5, 9, 2)
 
 
-@query(None, "attempt_log")
+FRESH = "(f.began < 0 OR q.t - f.began >= 86400)"
+#: The fold of circuit_states, row by row.
+CIRCUITS = f"""WITH RECURSIVE seq AS (SELECT source_id, event_id, CAST(floor(epoch(happened_at)) AS BIGINT) AS t, outcome, row_number() OVER (PARTITION BY source_id ORDER BY floor(epoch(happened_at)), event_id) AS k FROM attempt_log),
+ fold AS (SELECT DISTINCT source_id, CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS event_id, 'HEALTHY' AS status, CAST(0 AS BIGINT) AS failures, CAST(-1 AS BIGINT) AS began, CAST(0 AS BIGINT) AS attempts, CAST(0 AS BIGINT) AS retry_at, CAST(0 AS BIGINT) AS open_until FROM seq
+  UNION ALL SELECT f.source_id, q.k, q.event_id, CASE q.outcome WHEN 'SUCCESS' THEN 'HEALTHY' WHEN 'TRANSIENT' THEN CASE WHEN f.failures + 1 >= 5 THEN 'PAUSED' ELSE 'DEGRADED' END ELSE 'DEGRADED' END,
+   CASE q.outcome WHEN 'TRANSIENT' THEN f.failures + 1 ELSE 0 END, CASE q.outcome WHEN 'SUCCESS' THEN -1 WHEN 'TRANSIENT' THEN CASE WHEN {FRESH} THEN q.t ELSE f.began END ELSE f.began END,
+   CASE q.outcome WHEN 'SUCCESS' THEN 0 WHEN 'TRANSIENT' THEN CASE WHEN {FRESH} THEN 1 ELSE f.attempts + 1 END ELSE f.attempts END,
+   CASE q.outcome WHEN 'TRANSIENT' THEN q.t + CAST(least(900, 5 * pow(2, least(CASE WHEN {FRESH} THEN 0 ELSE f.attempts END, 7))) AS BIGINT) ELSE 0 END,
+   CASE WHEN q.outcome = 'TRANSIENT' AND f.failures + 1 >= 5 THEN q.t + 900 ELSE 0 END
+  FROM fold f JOIN seq q ON q.source_id = f.source_id AND q.k = f.k + 1)"""
+
+
+@query(CIRCUITS + " SELECT source_id, arg_max(status, k) AS status, arg_max(failures, k) AS failures, arg_max(began, k) AS began, arg_max(attempts, k) AS attempts, arg_max(retry_at, k) AS retry_at, arg_max(open_until, k) AS open_until FROM fold GROUP BY source_id", "attempt_log")
 def circuit_states(attempt_log):
     log = attempt_log.select("source_id", F.unix_timestamp("happened_at").alias("at_seconds"), "event_id", "outcome")
     return health.circuit_states(log, window=86400)

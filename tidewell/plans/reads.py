@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import iso_micros
 from ..operators import incidents as I
 from ..operators import reports as R
+from ..operators.policies import pinned_contract
 from .registry import query
 
 ISO = "'%Y-%m-%dT%H:%M:%S.%fZ'"
@@ -80,9 +81,9 @@ def observation_search(records):
     return R.search(seen, [F.desc("last")], 3, source_id="src-4").select("source_id", "segment", "n")
 
 
-@query("SELECT conv_id, turn, role FROM conversations WHERE conv_id < 40 ORDER BY conv_id, turn LIMIT 80", "conversations")
+@query("SELECT conv_id, turn, role FROM conversations ORDER BY conv_id, turn LIMIT 80", "conversations")
 def lineage_page(conversations):
-    return R.bounded(conversations.where("conv_id < 40").orderBy("conv_id", "turn"), 80).select("conv_id", "turn", "role")
+    return R.bounded(conversations.orderBy("conv_id", "turn"), 80).select("conv_id", "turn", "role")
 
 
 @query("SELECT quarantine_id FROM quarantine WHERE run_id IN (SELECT run_id FROM runs WHERE tenant_id = 'tenant-1')", "quarantine runs")
@@ -90,14 +91,14 @@ def tenant_scope(quarantine, runs):
     return R.tenant_scope(quarantine, runs, "tenant-1").select("quarantine_id")
 
 
-@query("SELECT replay_id, replay_mode, p.state AS publication_state, attempts FROM replays JOIN (SELECT event_id AS replay_id, severity AS state FROM ops_events) p USING (replay_id)", "replays ops_events")
-def replay_view(replays, ops_events):
-    return replays.drop("state").join(ops_events.select(F.col("event_id").alias("replay_id"), F.col("severity").alias("publication_state")), "replay_id").select("replay_id", "replay_mode", "publication_state", "attempts")
+@query("SELECT replay_id, replay_mode, quarantine_id, state, attempts FROM replays WHERE attempts > 0", "replays")
+def replay_view(replays):
+    return R.replay_view(replays.select("replay_id", "quarantine_id", "replay_mode"), replays.where("attempts > 0").select("replay_id", "state", "attempts"))
 
 
 @query("SELECT p.replay_id, q.reason_code, r.source_id FROM replays p JOIN quarantine q USING (quarantine_id) JOIN runs r USING (run_id)", "replays quarantine runs")
 def replay_lineage(replays, quarantine, runs):
-    return replays.join(quarantine.select("quarantine_id", "run_id", "reason_code"), "quarantine_id").join(runs.select("run_id", "source_id"), "run_id").select("replay_id", "reason_code", "source_id")
+    return R.replay_lineage(replays, quarantine, runs)
 
 
 @query("SELECT quarantine_id, r.source_id, CASE WHEN r.run_id % 2 = 0 THEN concat('T', r.run_id % 4) ELSE 'UNKNOWN' END AS type_code, reason_code FROM quarantine q JOIN runs r ON r.run_id = q.run_id", "quarantine runs")
@@ -106,37 +107,60 @@ def quarantine_issue_rows(quarantine, runs):
     return R.quarantine_issue_rows(quarantine, runs, snaps)
 
 
-@query("SELECT issue_id, run_id IN (SELECT run_id FROM runs WHERE tenant_id = 'tenant-2') AS visible FROM issues", "issues runs")
-def live_custody(issues, runs):
-    mine = runs.where("tenant_id = 'tenant-2'").select("run_id", F.lit(True).alias("v"))
-    return issues.join(mine, "run_id", "left").select("issue_id", F.coalesce("v", F.lit(False)).alias("visible"))
+@query("""WITH mine AS (SELECT issue_id FROM issues WHERE run_id IN (SELECT run_id FROM runs WHERE tenant_id = 'tenant-2')), items AS (SELECT transition_id % 50 AS session_id, transition_id AS issue_id FROM transitions)
+SELECT session_id, issue_id, issue_id IN (SELECT issue_id FROM mine) AS visible, count(*) FILTER (issue_id NOT IN (SELECT issue_id FROM mine)) OVER (PARTITION BY session_id) > 0 AS partial FROM items""", "transitions issues runs")
+def live_custody(transitions, issues, runs):
+    items = transitions.select((F.col("transition_id") % 50).alias("session_id"), F.col("transition_id").alias("issue_id"))
+    return R.live_custody(items, issues, runs, "tenant-2").select("session_id", "issue_id", "visible", "partial")
 
 
-@query("SELECT r.run_id FROM runs r JOIN (SELECT schedule_id, max(bundle_version) AS c FROM runs GROUP BY 1) s ON s.schedule_id = r.schedule_id AND s.c <> r.bundle_version WHERE r.state = 'PAUSED'", "runs")
-def superseded_preflight(runs):
-    current = runs.groupBy("schedule_id").agg(F.max("bundle_version").alias("c"))
-    return runs.where("state = 'PAUSED'").join(current, "schedule_id").where("c <> bundle_version").select("run_id")
-
-
-@query("SELECT tenant_id, count(*) > 0 AS lag FROM transitions WHERE issue_version > 150 GROUP BY 1", "transitions")
-def pending_publication(transitions):
-    return transitions.where("issue_version > 150").groupBy("tenant_id").agg((F.count("*") > 0).alias("lag"))
-
-
-@query("SELECT a.schedule_id AS a, count(*) AS n FROM schedules a JOIN schedules b ON a.tenant_id = b.tenant_id AND a.last_dispatched IS NOT DISTINCT FROM b.last_dispatched AND a.state = b.state GROUP BY 1", "schedules")
-def bookmark_scope_match(schedules):
-    a, b = schedules.alias("a"), schedules.alias("b")
-    on = (F.col("a.tenant_id") == F.col("b.tenant_id")) & F.col("a.last_dispatched").eqNullSafe(F.col("b.last_dispatched")) & (F.col("a.state") == F.col("b.state"))
-    return a.join(b, on).groupBy(F.col("a.schedule_id").alias("a")).agg(F.count("*").alias("n"))
+@query("""SELECT r.run_id FROM runs r JOIN (SELECT schedule_id, concat('c', CAST(activation_failures % 4 AS STRING)) AS checksum, state <> 'DISABLED' AS enabled, CASE WHEN last_dispatched % 2 = 1 THEN TIMESTAMP '2100-01-01' END AS lease FROM schedules) s ON s.schedule_id = r.schedule_id
+WHERE r.state = 'PAUSED' AND (lease IS NULL OR lease <= TIMESTAMP '2030-01-01') AND (bundle_checksum <> checksum OR NOT enabled)""", "runs schedules")
+def superseded_preflight(runs, schedules):
+    waiting = runs.withColumn("state", F.when(F.col("state") == "PAUSED", "PREFLIGHT").otherwise(F.col("state")))
+    published = schedules.select(
+        "schedule_id", F.expr("concat('c', activation_failures % 4)").alias("publication_checksum"), (F.col("state") != "DISABLED").alias("publication_enabled"),
+        F.when(F.col("last_dispatched") % 2 == 1, F.lit("2100-01-01").cast("timestamp_ntz")).alias("lease_until"),
+    )
+    return R.superseded_runs(waiting, published, F.lit("2030-01-01").cast("timestamp_ntz"))
+
+
+@query("""WITH waiting AS (SELECT DISTINCT i.run_id FROM issues i JOIN transitions t ON t.transition_id = i.issue_id WHERE t.issue_version > 3)
+SELECT tenant_id, source_id, count(*) FILTER (run_id IN (SELECT run_id FROM waiting)) > 0 AS lag FROM runs GROUP BY 1, 2""", "transitions issues runs")
+def pending_publication(transitions, issues, runs):
+    published = transitions.select(F.col("transition_id").alias("issue_id"), F.when(F.col("issue_version") <= 3, F.col("issue_version")).alias("revision"))
+    return R.pending_publication(published, issues, runs)
+
+
+@query("""WITH c AS (SELECT event_id AS token, user_id % 90 AS session_id, concat('tenant-', CAST(user_id % 3 AS STRING)) AS tenant_id, CASE WHEN user_id % 90 % 4 <> 0 THEN concat('src-', CAST(user_id % 90 % 20 AS STRING)) END AS source_id,
+   CASE WHEN event_type <> 'view' THEN 'OPEN' END AS state, CASE WHEN event_id % 3 = 0 THEN event_id - event_id % 90 END AS parent_token FROM events),
+ s AS (SELECT DISTINCT user_id % 90 AS session_id, concat('tenant-', CAST(user_id % 90 % 3 AS STRING)) AS tenant_id, CASE WHEN user_id % 90 % 4 <> 0 THEN concat('src-', CAST(user_id % 90 % 20 AS STRING)) END AS source_id, CASE WHEN user_id % 90 % 5 <> 0 THEN 'OPEN' END AS state FROM events),
+ g AS (SELECT DISTINCT tenant_id, source_id, state FROM s WHERE session_id % 7 <> 0)
+SELECT c.token, c.session_id, c.tenant_id, c.source_id, c.state, c.parent_token FROM c JOIN s ON c.session_id = s.session_id AND c.tenant_id = s.tenant_id AND c.source_id IS NOT DISTINCT FROM s.source_id AND c.state IS NOT DISTINCT FROM s.state
+ JOIN g ON c.tenant_id = g.tenant_id AND c.source_id IS NOT DISTINCT FROM g.source_id AND c.state IS NOT DISTINCT FROM g.state LEFT JOIN c p ON p.token = c.parent_token WHERE c.parent_token IS NULL OR p.session_id = c.session_id""", "events")
+def bookmark_scope_match(events):
+    session = F.col("user_id") % 90
+    source = F.when(session % 4 != 0, F.concat(F.lit("src-"), session % 20))
+    cursors = events.select(
+        F.col("event_id").alias("token"), session.alias("session_id"), F.expr("concat('tenant-', user_id % 3)").alias("tenant_id"), source.alias("source_id"),
+        F.when(F.col("event_type") != "view", "OPEN").alias("state"), F.when(F.col("event_id") % 3 == 0, F.col("event_id") - F.col("event_id") % 90).alias("parent_token"),
+    )
+    sessions = events.select(session.alias("session_id"), F.concat(F.lit("tenant-"), session % 3).alias("tenant_id"), source.alias("source_id"), F.when(session % 5 != 0, "OPEN").alias("state")).distinct()
+    return R.bookmark_scope_match(cursors, sessions, sessions.where("session_id % 7 <> 0"))
 
 
-@query("SELECT q.quarantine_id, i.issue_code, row_number() OVER (ORDER BY q.created_at, q.quarantine_id) AS turn FROM quarantine q JOIN issues i ON i.issue_id = q.quarantine_id WHERE q.lifecycle_state IN ('OPEN','RETRY_READY') AND i.status = 'OPEN' ORDER BY q.created_at, q.quarantine_id LIMIT 100", "quarantine issues")
+@query("""SELECT concat('r', CAST(q.quarantine_id AS STRING)) AS review_key, i.issue_code, i.status FROM quarantine q JOIN issues i ON i.issue_id = q.quarantine_id
+ WHERE q.quarantine_id % 3 <> 0 AND q.created_at <= TIMESTAMP '2024-01-20' ORDER BY q.created_at, review_key LIMIT 100""", "quarantine issues")
 def review_queue(quarantine, issues):
-    from pyspark.sql import Window
+    state = F.when(F.col("quarantine_id") % 3 == 0, "ACKED").when(F.col("quarantine_id") % 3 == 1, "READY").otherwise("FAILED_RETRYABLE")
+    reviews = quarantine.select(F.expr("concat('r', quarantine_id)").alias("review_key"), F.col("quarantine_id").alias("issue_id"), state.alias("state"), F.col("created_at").alias("next_attempt_at"), "created_at")
+    return R.review_queue(reviews, issues, F.lit("2024-01-20").cast("timestamp_ntz")).select("review_key", "issue_code", "status")
+
 
-    both = quarantine.where("lifecycle_state in ('OPEN', 'RETRY_READY')").join(issues.where("status = 'OPEN'").select(F.col("issue_id").alias("quarantine_id"), "issue_code"), "quarantine_id")
-    head = both.orderBy("created_at", "quarantine_id").limit(100)
-    return head.select("quarantine_id", "issue_code", F.row_number().over(Window.orderBy("created_at", "quarantine_id")).alias("turn"))
+@query("SELECT issue_id, CASE WHEN status = 'OPEN' AND issue_id IN (SELECT quarantine_id FROM quarantine WHERE quarantine_id % 3 = 0) THEN concat('ref-', CAST(issue_id AS STRING)) END AS review_ref FROM issues", "issues quarantine")
+def acknowledged_reviews(issues, quarantine):
+    reviews = quarantine.select(F.col("quarantine_id").alias("issue_id"), F.when(F.col("quarantine_id") % 3 == 0, "ACKED").otherwise("READY").alias("state"), F.expr("concat('ref-', quarantine_id)").alias("review_ref"))
+    return R.acknowledged_reviews(issues, reviews).select("issue_id", "review_ref")
 
 
 @query("SELECT count(*) FILTER (lifecycle = 'OPEN') AS open_incidents, CASE WHEN count(*) FILTER (lifecycle = 'OPEN') > 0 THEN 'DEGRADED' ELSE 'HEALTHY' END AS health FROM (SELECT * FROM transitions ORDER BY lifecycle <> 'OPEN', severity <> 'ERROR', observed_at DESC, issue_id LIMIT 50)", "transitions")
@@ -144,12 +168,24 @@ def operational_summary(transitions):
     return R.operational_summary(I.top_incidents(transitions, 50))
 
 
-@query("SELECT 'active_runs' AS gauge, count(*) AS value FROM runs WHERE state = 'RUNNING' UNION ALL SELECT 'due_schedules', count(*) FROM schedules WHERE state = 'ENABLED' AND next_run <= 500 UNION ALL SELECT 'outbox_backlog', count(*) FROM handoffs WHERE state <> 'ACKED' UNION ALL SELECT 'open_quarantine', count(*) FROM quarantine WHERE lifecycle_state = 'OPEN' UNION ALL SELECT 'replay_backlog', count(*) FROM replays WHERE state IN ('RETRY_WAIT','RUNNING') UNION ALL SELECT 'retry_attempts', CAST(sum(attempts) AS BIGINT) FROM replays", "runs schedules handoffs quarantine replays")
-def operational_gauges(runs, schedules, handoffs, quarantine, replays):
+GAUGES = """SELECT 'active_runs' AS gauge, count(*) AS value FROM runs WHERE state = 'RUNNING' UNION ALL SELECT 'due_schedules', count(*) FROM schedules WHERE state = 'ENABLED' AND next_run <= 500
+ UNION ALL SELECT 'outbox_backlog', count(*) FROM handoffs WHERE state <> 'ACKED' UNION ALL SELECT 'open_quarantine', count(*) FROM quarantine WHERE lifecycle_state = 'OPEN'
+ UNION ALL SELECT 'replay_backlog', count(*) FROM replays WHERE state IN ('RETRY_WAIT','RUNNING') UNION ALL SELECT 'retry_attempts', CAST(sum(attempts) AS BIGINT) FROM replays
+ UNION ALL SELECT 'open_circuits', count(*) FROM (SELECT source_id FROM attempt_log GROUP BY source_id HAVING arg_max(outcome, event_id) = 'TRANSIENT')
+ UNION ALL SELECT 'pressure_level', CASE WHEN count(*) < 1000 THEN 0 WHEN count(*) < 5000 THEN 1 ELSE 3 END FROM handoffs WHERE state <> 'ACKED'
+ UNION ALL SELECT 'watermark_max_age', CAST(floor(epoch(TIMESTAMP '2030-01-01' - min(next_attempt_at))) AS BIGINT) FROM handoffs WHERE state = 'ACKED'"""
+
+
+@query(GAUGES, "runs schedules handoffs quarantine replays attempt_log")
+def operational_gauges(runs, schedules, handoffs, quarantine, replays, attempt_log):
     n = F.count_if
+    last = attempt_log.groupBy("source_id").agg(F.max_by("outcome", "event_id").alias("outcome"))
+    backlog = n(F.col("state") != "ACKED")
+    committed = F.min(F.when(F.col("state") == "ACKED", F.unix_seconds(F.col("next_attempt_at").cast("timestamp"))))
     return R.gauges(
-        active_runs=(runs, n(F.col("state") == "RUNNING")), due_schedules=(schedules, n((F.col("state") == "ENABLED") & (F.col("next_run") <= 500))), outbox_backlog=(handoffs, n(F.col("state") != "ACKED")),
+        active_runs=(runs, n(F.col("state") == "RUNNING")), due_schedules=(schedules, n((F.col("state") == "ENABLED") & (F.col("next_run") <= 500))), outbox_backlog=(handoffs, backlog),
         open_quarantine=(quarantine, n(F.col("lifecycle_state") == "OPEN")), replay_backlog=(replays, n(F.col("state").isin("RETRY_WAIT", "RUNNING"))), retry_attempts=(replays, F.sum("attempts")),
+        open_circuits=(last, n(F.col("outcome") == "TRANSIENT")), pressure_level=(handoffs, R.pressure_level(backlog)), watermark_max_age=(handoffs, F.lit(1893456000) - committed),
     )
 
 
@@ -181,15 +217,21 @@ def capacity_usage(transitions):
     return R.capacity_usage(transitions.select("tenant_id", F.col("issue_id").alias("principal")), (20000, 3000, 60))
 
 
-@query("""SELECT 'RUN_PAUSED' AS action, tenant_id AS actor, CAST(run_id AS STRING) AS resource, concat('{"phase":"', phase, '"}') AS detail FROM runs WHERE state = 'PAUSED' UNION ALL SELECT 'QUARANTINE_RESOLVED', source_object_id, CAST(quarantine_id AS STRING), concat('{"reason_code":"', reason_code, '"}') FROM quarantine WHERE lifecycle_state = 'RESOLVED'""", "runs quarantine")
-def audit_trail(runs, quarantine):
-    return R.audit_trail(RUN_PAUSED=(runs.where("state = 'PAUSED'"), "tenant_id", "run_id", ["phase"]), QUARANTINE_RESOLVED=(quarantine.where("lifecycle_state = 'RESOLVED'"), "source_object_id", "quarantine_id", ["reason_code"]))
+@query("""SELECT 'RUN_PAUSED' AS action, tenant_id AS actor, CAST(run_id AS STRING) AS resource, concat('{"phase":"', phase, '"}') AS detail, 'ALLOWED' AS outcome, NULL AS correlation_id, tenant_id, NULL AS decision_ref FROM runs WHERE state = 'PAUSED'
+ UNION ALL SELECT 'QUARANTINE_RESOLVED', source_object_id, CAST(quarantine_id AS STRING), concat('{"reason_code":"', reason_code, '"}'), 'ALLOWED', NULL, NULL, evidence_ref FROM quarantine WHERE lifecycle_state = 'RESOLVED'
+ UNION ALL SELECT 'LOG_READ', source_id, CAST(event_id AS STRING), concat('{"event_type":"', event_type, '"}'), CASE WHEN event_type = 'signup' THEN 'DENIED' ELSE 'ALLOWED' END, correlation_id, NULL, NULL FROM ops_events WHERE severity <> 'ERROR'""", "runs quarantine ops_events")
+def audit_trail(runs, quarantine, ops_events):
+    return R.audit_trail(
+        RUN_PAUSED=(runs.where("state = 'PAUSED'"), "tenant_id", "run_id", ["phase"]),
+        QUARANTINE_RESOLVED=(quarantine.where("lifecycle_state = 'RESOLVED'").withColumn("decision_ref", F.col("evidence_ref")), "source_object_id", "quarantine_id", ["reason_code"]),
+        LOG_READ=(ops_events.where("severity <> 'ERROR'").withColumn("allowed", F.col("event_type") != "signup"), "source_id", "event_id", ["event_type"]),
+    )
 
 
-@query("SELECT concat_ws(':', 'ingestion-issue', issue_id, operational_version) AS review_key, issue_id FROM issues WHERE status = 'OPEN' AND operational_version = 4 AND issue_id % 2 = 1", "issues")
+@query("SELECT concat_ws(':', 'ingestion-issue', issue_id, operational_version) AS review_key, issue_id, CASE WHEN issue_id % 2 = 0 THEN 'REPEATED' ELSE 'QUEUED' END AS outcome, issue_id % 2 = 0 AS had FROM issues WHERE status = 'OPEN' AND operational_version = 4", "issues")
 def queue_reviews(issues):
-    queued = issues.where("issue_id % 2 = 0").select(F.concat_ws(":", F.lit("ingestion-issue"), "issue_id", "operational_version").alias("review_key"))
-    return R.queue_reviews(issues, queued, 4)
+    queued = issues.where("issue_id % 2 = 0").select(F.concat_ws(":", F.lit("ingestion-issue"), "issue_id", "operational_version").alias("review_key"), F.expr("concat('review-', issue_id)").alias("review_id"))
+    return R.queue_reviews(issues, queued, 4).select("review_key", "issue_id", "outcome", F.col("review_id").startswith("review-").alias("had"))
 
 
 @query("SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'DELETED' ELSE 'MUTATED' END AS violation FROM events WHERE event_id % 10 = 0 OR event_id % 7 = 0", "events")
@@ -207,14 +249,17 @@ def capture_operational_events(runs, handoffs, quarantine, replays, issues):
 
 @query("SELECT run_id, coalesce(a, b) AS contract FROM (SELECT run_id, CASE WHEN run_id % 2 = 0 THEN bundle_id END AS a, bundle_checksum AS b FROM runs)", "runs")
 def pinned_contracts(runs):
-    flat = F.to_json(F.struct(F.expr("if(run_id % 2 = 0, bundle_id, null)").alias("contract"), F.struct(F.col("bundle_checksum").alias("contract")).alias("published")))
-    doc = F.try_parse_json(flat)
-    return runs.select("run_id", F.coalesce(F.try_variant_get(doc, "$.contract", "string"), F.try_variant_get(doc, "$.published.contract", "string")).alias("contract"))
+    doc = F.to_json(F.struct(F.expr("if(run_id % 2 = 0, bundle_id, null)").alias("contract"), F.struct(F.col("bundle_checksum").alias("contract")).alias("published")))
+    return runs.select("run_id", pinned_contract(doc, "$.contract", "$.published.contract").alias("contract"))
 
 
-@query("SELECT issue_id, source_id, severity, CASE status WHEN 'OPEN' THEN 'OPEN' ELSE 'RESOLVED' END AS lifecycle, status = 'OPEN' AS action_required, concat(source_id, ':', issue_code) AS dedup_key, CASE WHEN issue_code LIKE '%SCHEMA%' THEN 'REQUEST_ONBOARDING_REVIEW' WHEN issue_code LIKE '%QUARANTINE%' THEN 'INSPECT_QUARANTINE_AND_REPROCESS' ELSE 'INSPECT_RUN_EVIDENCE' END AS recommended_action, concat('EXPLAIN_', issue_code) AS explanation FROM issues", "issues")
-def incident_projection(issues):
-    return I.incident_projection(issues)
+@query(f"""SELECT tenant_id, issue_id AS incident_id, 'INGESTION' AS module, issue_code AS event_type, CASE status WHEN 'OPEN' THEN 'OPEN' ELSE 'RESOLVED' END AS lifecycle_state, severity, strftime(created_at, {ISO}) AS first_seen_at, strftime(last_updated_at, {ISO}) AS last_seen_at,
+ CASE WHEN status <> 'OPEN' THEN strftime(last_updated_at, {ISO}) END AS resolved_at, i.run_id AS job_ref, i.source_id AS source_ref, issue_code AS error_code, concat('corr-', CAST(i.run_id % 7 AS STRING)) AS correlation_id, status = 'OPEN' AS action_required,
+ concat('Ingestion ', lower(status), ' issue ', issue_code) AS impact_summary, concat(i.source_id, ':', issue_code) AS dedup_key, 'TENANT_OPERATIONAL' AS visibility_class,
+ CASE WHEN issue_code LIKE '%SCHEMA%' THEN 'REQUEST_ONBOARDING_REVIEW' WHEN issue_code LIKE '%QUARANTINE%' THEN 'INSPECT_QUARANTINE_AND_REPROCESS' ELSE 'INSPECT_RUN_EVIDENCE' END AS recommended_action, concat('EXPLAIN_', issue_code) AS explanation FROM issues i JOIN runs r ON r.run_id = i.run_id""", "issues runs")
+def incident_projection(issues, runs):
+    i = issues.withColumn("resolved_at", F.when(F.col("status") != "OPEN", F.col("last_updated_at"))).withColumn("correlation_id", F.expr("concat('corr-', run_id % 7)"))
+    return I.incident_projection(i, runs).withColumns({c: iso_micros(c) for c in ("first_seen_at", "last_seen_at", "resolved_at")})
 
 
 @query("SELECT issue_id, CASE WHEN issue_code LIKE '%SCHEMA%' THEN 'REQUEST_ONBOARDING_REVIEW' WHEN issue_code LIKE '%QUARANTINE%' THEN 'INSPECT_QUARANTINE_AND_REPROCESS' ELSE 'INSPECT_RUN_EVIDENCE' END AS action FROM issues", "issues")
@@ -224,7 +269,7 @@ def explain_issue(issues):
 
 @query("SELECT quarantine_id, sha256(source_object_id) AS object_fingerprint, reason_code, lifecycle_state FROM quarantine", "quarantine")
 def quarantine_preview(quarantine):
-    return quarantine.select("quarantine_id", F.sha2("source_object_id", 256).alias("object_fingerprint"), "reason_code", "lifecycle_state")
+    return R.quarantine_preview(quarantine).select("quarantine_id", "object_fingerprint", "reason_code", "lifecycle_state")
 
 
 @query("WITH v AS (SELECT i.issue_id, r.tenant_id, i.source_id, i.source_id IN ('src-1','src-2','src-3') AS ok FROM issues i JOIN runs r ON r.run_id = i.run_id) SELECT issue_id, tenant_id, source_id, partial FROM v JOIN (SELECT tenant_id, count(*) FILTER (NOT ok) > 0 AS partial FROM v GROUP BY 1) USING (tenant_id) WHERE ok", "issues runs")
@@ -234,7 +279,34 @@ def redact_visible(issues, runs):
     return I.redact_visible(rows, grants).select("issue_id", "tenant_id", "source_id", "partial")
 
 
-@query("SELECT source_id, type_code, issue_code, c.evidence_ref, min(issue_id) AS issue_id FROM (SELECT * REPLACE (concat('e', issue_id % 30) AS evidence_ref) FROM issues WHERE issue_id % 2 = 0) c WHERE NOT EXISTS (SELECT 1 FROM issues o WHERE o.status = 'OPEN' AND o.issue_id % 2 = 1 AND o.issue_id < 2000 AND o.source_id = c.source_id AND o.type_code = c.type_code AND o.issue_code = c.issue_code AND concat('e', o.issue_id % 30) = c.evidence_ref) GROUP BY ALL", "issues")
+@query("""WITH e AS (SELECT source_id, type_code, issue_code, concat('e', CAST(issue_id % 3000 AS STRING)) AS evidence_ref, issue_id, status, operational_version FROM issues)
+SELECT source_id, type_code, issue_code, c.evidence_ref, min(issue_id) AS issue_id FROM e c WHERE operational_version >= 6
+ AND NOT EXISTS (SELECT 1 FROM e o WHERE o.operational_version < 6 AND o.status = 'OPEN' AND o.source_id = c.source_id AND o.type_code = c.type_code AND o.issue_code = c.issue_code AND o.evidence_ref = c.evidence_ref) GROUP BY ALL""", "issues")
 def open_issue_dedupe(issues):
-    e = issues.withColumn("evidence_ref", F.expr("concat('e', issue_id % 30)"))
-    return I.open_issue_dedupe(e.where("issue_id % 2 = 0"), e.where("issue_id % 2 = 1 and issue_id < 2000"))
+    e = issues.withColumn("evidence_ref", F.expr("concat('e', issue_id % 3000)"))
+    return I.open_issue_dedupe(e.where("operational_version >= 6"), e.where("operational_version < 6"))
+
+
+@query("""SELECT source_id AS key, count(*) AS n FROM ops_events WHERE occurred_at >= TIMESTAMP '2024-01-05 00:00:00' AND occurred_at < TIMESTAMP '2024-01-06 00:00:00' GROUP BY 1 ORDER BY n DESC, key LIMIT 30""", "ops_events")
+def aggregate_log_window(ops_events):
+    return R.aggregate_log(ops_events, "source_id", 30, window=(datetime.datetime(2024, 1, 5), datetime.datetime(2024, 1, 6)))
+
+
+@query("""WITH i AS (SELECT tenant_id, issue_id AS principal FROM transitions), b AS (SELECT tenant_id, issue_id AS principal FROM transitions WHERE severity = 'ERROR'),
+ a AS (SELECT tenant_id, principal, least(20000 - (SELECT count(*) FROM i), 9000 - (SELECT count(*) FROM i x WHERE x.tenant_id = i.tenant_id), 400 - count(*)) AS v FROM i GROUP BY 1, 2
+  UNION ALL SELECT tenant_id, principal, least(8000 - (SELECT count(*) FROM b), 3000 - (SELECT count(*) FROM b x WHERE x.tenant_id = b.tenant_id), 90 - count(*)) FROM b GROUP BY 1, 2)
+SELECT tenant_id, principal, greatest(0, min(v)) AS available FROM a GROUP BY 1, 2""", "transitions")
+def capacity_left(transitions):
+    t = transitions.select("tenant_id", F.col("issue_id").alias("principal"), "severity")
+    return R.capacity_left({"items": (20000, 9000, 400), "bookmarks": (8000, 3000, 90)}, items=t.drop("severity"), bookmarks=t.where("severity = 'ERROR'").drop("severity"))
+
+
+@query("""SELECT n_name AS ref, 'snapshot' AS origin, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1
+ UNION ALL SELECT n_name, 'lineage', count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 2 = 0 GROUP BY 1""", "customer nation")
+def deep_references(customer, nation):
+    c = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    docs = c.select(
+        F.to_json(F.struct(F.struct(F.array(F.struct(F.col("n_name").alias("r"))).alias("list")).alias("deep"), F.lit(1).alias("n"))).alias("config"),
+        F.to_json(F.struct(F.when(F.col("c_custkey") % 2 == 0, F.col("n_name")).otherwise("x").alias("a"))).alias("evidence"),
+    )
+    return R.deep_references(docs, nation.select(F.col("n_name").alias("ref")), snapshot="config", lineage="evidence").groupBy("ref", "origin").agg(F.count("*").alias("n"))

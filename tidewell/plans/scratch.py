@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession, label: str) -> str:
-    """A new path below spark.checkpoint.dir; below a folder of our own only where that is unset."""
+    """A new path below spark.checkpoint.dir. Where that is unset, below a folder of our own if all runs on this machine, else an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base}/tidewell/{label}-{uuid.uuid4().hex}"

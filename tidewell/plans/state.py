@@ -52,14 +52,17 @@ def apply_receipts(handoffs):
     return out.select("run_id", "sequence_no", "new_state", "receipt_ref", "error_code", iso_micros("retry_at").alias("retry_at"))
 
 
-@query("""SELECT n.idempotency_key, CASE WHEN e.k IS NULL THEN 'INSERT' WHEN e.payload = n.payload THEN 'NOOP' ELSE 'CONFLICT' END AS outcome,
-  CASE WHEN e.k IS NOT NULL AND e.payload <> n.payload THEN 'ING_IDEMPOTENCY_CONFLICT' END AS error_code
-FROM (SELECT concat('r', CAST(doc_id AS STRING)) AS idempotency_key, text AS payload FROM documents) n
-LEFT JOIN (SELECT concat('r', CAST(doc_id AS STRING)) AS k, CASE WHEN doc_id % 3 = 0 THEN text ELSE concat(text, '!') END AS payload FROM documents WHERE doc_id % 2 = 0) e ON e.k = n.idempotency_key""", "documents")
+@query("""WITH n AS (SELECT concat('r', CAST(doc_id AS STRING)) AS idempotency_key, 1 AS place, text AS payload FROM documents
+  UNION ALL SELECT concat('r', CAST(doc_id AS STRING)), 2, CASE WHEN doc_id % 10 = 0 THEN text ELSE concat(text, '?') END FROM documents WHERE doc_id % 5 = 0),
+ e AS (SELECT concat('r', CAST(doc_id AS STRING)) AS k, CASE WHEN doc_id % 3 = 0 THEN text ELSE concat(text, '!') END AS held FROM documents WHERE doc_id % 2 = 0),
+ b AS (SELECT n.*, coalesce(e.held, first_value(payload) OVER (PARTITION BY idempotency_key ORDER BY place)) AS held, e.k IS NULL AND place = 1 AS fresh FROM n LEFT JOIN e ON e.k = n.idempotency_key)
+SELECT idempotency_key, place, CASE WHEN fresh THEN 'INSERT' WHEN payload = held THEN 'NOOP' ELSE 'CONFLICT' END AS outcome, CASE WHEN NOT fresh AND payload <> held THEN 'ING_IDEMPOTENCY_CONFLICT' END AS error_code FROM b""", "documents")
 def stage_handoffs(documents):
-    new = documents.select(F.expr("concat('r', doc_id)").alias("idempotency_key"), F.col("text").alias("payload"))
-    old = documents.where("doc_id % 2 = 0").select(F.expr("concat('r', doc_id)").alias("idempotency_key"), F.expr("if(doc_id % 3 = 0, text, concat(text, '!'))").alias("payload"))
-    return outbox.stage_handoffs(new, old).select("idempotency_key", "outcome", "error_code")
+    key = F.expr("concat('r', doc_id)").alias("idempotency_key")
+    new = documents.select(key, F.lit(1).alias("place"), F.col("text").alias("payload"))
+    new = new.unionByName(documents.where("doc_id % 5 = 0").select(key, F.lit(2).alias("place"), F.expr("if(doc_id % 10 = 0, text, concat(text, '?'))").alias("payload")))
+    old = documents.where("doc_id % 2 = 0").select(key, F.expr("if(doc_id % 3 = 0, text, concat(text, '!'))").alias("payload"))
+    return outbox.stage_handoffs(new, old, "place").select("idempotency_key", "place", "outcome", "error_code")
 
 
 CHECKPOINTS = "SELECT source_id, CASE WHEN source_id = 'src-3' THEN 9000000 ELSE 700 END AS cp FROM (SELECT DISTINCT source_id FROM records)"
@@ -82,10 +85,12 @@ def batch_slice(records):
 
 
 @query("""WITH held AS (SELECT * FROM quarantine WHERE lifecycle_state NOT IN ('RESOLVED','DISMISSED'))
-SELECT run_id, CASE WHEN EXISTS (SELECT 1 FROM held q WHERE q.run_id = r.run_id AND NOT blocking) THEN 'COMPLETED_WITH_WARNINGS' ELSE 'SUCCEEDED' END AS final_state
-FROM runs r WHERE state = 'RUNNING' AND NOT EXISTS (SELECT 1 FROM handoffs h WHERE h.run_id = r.run_id AND h.state <> 'ACKED') AND NOT EXISTS (SELECT 1 FROM held q WHERE q.run_id = r.run_id AND blocking)""", "runs handoffs quarantine")
-def drained_runs(runs, handoffs, quarantine):
-    return outbox.drained_runs(runs, handoffs, quarantine)
+SELECT run_id, CASE WHEN EXISTS (SELECT 1 FROM held q WHERE q.run_id = r.run_id AND NOT blocking) OR EXISTS (SELECT 1 FROM issues i WHERE i.run_id = r.run_id AND i.status = 'OPEN' AND i.severity = 'WARNING') THEN 'COMPLETED_WITH_WARNINGS' ELSE 'SUCCEEDED' END AS final_state
+FROM runs r WHERE state = 'SUCCEEDED' AND run_id % 7 <> 0 AND NOT EXISTS (SELECT 1 FROM handoffs h WHERE h.run_id = r.run_id AND h.state <> 'ACKED') AND NOT EXISTS (SELECT 1 FROM held q WHERE q.run_id = r.run_id AND blocking)""", "runs handoffs quarantine issues")
+def drained_runs(runs, handoffs, quarantine, issues):
+    running = runs.withColumn("state", F.when(F.col("state") == "SUCCEEDED", "RUNNING").otherwise("PAUSED"))
+    partitions = runs.select("run_id", F.when(F.col("run_id") % 7 == 0, "RUNNING").otherwise("SUCCEEDED").alias("state"))
+    return outbox.drained_runs(running, handoffs, quarantine, partitions, issues.where("severity = 'WARNING'"))
 
 
 @query("""SELECT quarantine_id, q.run_id, q.source_object_id, q.attempt_no, max(h.n) AS done FROM quarantine q
@@ -176,10 +181,33 @@ def transition_audit(attempt_log):
     return governance.transition_audit(attempt_log, ["source_id"], ["happened_at", "event_id"], "outcome", edges).select("source_id", "event_id", "previous", "outcome")
 
 
-@query("""SELECT source_id, arg_max(run_id, k) AS run_id, max(k) AS publication FROM (SELECT source_id, run_id, control_version * 100000 + run_id AS k FROM runs) GROUP BY source_id""", "runs")
+@query("""WITH p AS (SELECT source_id, max(run_id) AS publication_id, arg_max(bundle_checksum, run_id) AS checksum FROM runs GROUP BY 1),
+ s AS (SELECT source_id, CAST(replace(source_id, 'src-', '') AS INTEGER) AS n, publication_id AS top, checksum FROM p),
+ o AS (SELECT *, CASE WHEN n % 4 = 3 OR n % 4 = 2 THEN 'ACCEPTED' WHEN n % 4 = 0 THEN 'REPEATED' ELSE 'REJECTED' END AS outcome FROM s)
+SELECT source_id, outcome, CASE WHEN outcome = 'REJECTED' THEN top + 1 ELSE top END AS publication_id,
+ CASE WHEN outcome = 'REJECTED' THEN 'PAUSED' WHEN top % 5 = 0 OR (top % 2 = 0 AND n % 4 = 0 AND n % 3 = 0) THEN 'DISABLED' WHEN n % 4 = 0 THEN 'PAUSED' WHEN n % 4 = 2 AND n % 3 <> 0 THEN 'PAUSED' ELSE 'ACTIVE' END AS state,
+ CASE WHEN outcome = 'ACCEPTED' THEN 0 ELSE 77 END AS next_run, CASE WHEN outcome = 'ACCEPTED' THEN 0 ELSE 3 END AS activation_failures FROM o""", "runs")
 def accept_publications(runs):
-    p = runs.select("source_id", "run_id", F.expr("control_version * 100000 + run_id").alias("publication"))
-    return governance.latest_publication(p)
+    """Publications of all runs against schedules that have the newest one already, one beyond it, the one before, or none."""
+    p = runs.select("source_id", F.col("run_id").alias("publication_id"), F.col("run_id").alias("sequence"), F.col("bundle_checksum").alias("checksum"), (F.col("run_id") % 5 != 0).alias("enabled"), (F.col("run_id") % 2 == 0).alias("once"))
+    n = F.regexp_replace("source_id", "src-", "").cast("int")
+    top = p.groupBy("source_id").agg(F.max("sequence").alias("top"), F.max_by("checksum", "sequence").alias("checksum")).withColumn("n", n)
+    has = F.when(F.col("n") % 4 == 0, F.col("top")).when(F.col("n") % 4 == 1, F.col("top") + 1).otherwise(F.col("top") - 1)
+    consumed = F.when((F.col("n") % 4 == 0) & (F.col("n") % 3 == 0), F.col("top"))
+    s = top.where("n % 4 <> 3").select(
+        "source_id", has.alias("publication_id"), has.alias("sequence"), "checksum", F.lit("PAUSED").alias("state"), F.lit(77).alias("next_run"), F.lit(3).alias("activation_failures"), (F.col("n") % 3 == 0).alias("activation_blocked"),
+        consumed.alias("consumed_publication_id"),
+    )
+    return governance.accept_publications(p, s).select("source_id", "outcome", "publication_id", "state", "next_run", "activation_failures")
+
+
+@query("""SELECT schedule_id, strftime(updated_at, '%Y-%m-%d') AS slot, run_id, CASE WHEN NOT once THEN strftime(updated_at + INTERVAL 3600 SECOND, '%Y-%m-%dT%H:%M:%S.%fZ') END AS next_due, CASE WHEN once THEN 'DISABLED' ELSE 'ACTIVE' END AS state
+ FROM (SELECT schedule_id, updated_at, min(run_id) AS run_id, CAST(replace(schedule_id, 'schedule-', '') AS INTEGER) % 2 = 1 AS once FROM runs GROUP BY 1, 2)""", "runs")
+def next_due(runs):
+    slots = governance.preflight_slots(runs, "updated_at").withColumnRenamed("updated_at", "due")
+    intervals = runs.select("schedule_id").distinct().select("schedule_id", F.lit(3600).alias("interval_seconds"), (F.regexp_replace("schedule_id", "schedule-", "").cast("int") % 2 == 1).alias("once"))
+    out = governance.next_due(slots, intervals)
+    return out.select("schedule_id", F.date_format("due", "yyyy-MM-dd").alias("slot"), "run_id", iso_micros("next_due").alias("next_due"), "state")
 
 
 @query("""SELECT state, count(*) FILTER (phase = 'CATCH_UP') AS "CATCH_UP", count(*) FILTER (phase = 'DELTA') AS "DELTA", count(*) FILTER (phase = 'FULL_SNAPSHOT') AS "FULL_SNAPSHOT" FROM runs GROUP BY state""", "runs")

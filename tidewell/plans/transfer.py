@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import outbox
 from ..sources import readers
 from ..streaming import jobs
+from .operations import CIRCUITS
 from .registry import query
 from .scratch import drained, folder, streamed
 
@@ -21,19 +22,31 @@ def read_delimited(part):
     return out.select(*(F.col("payload")[c].alias(c) for c in ("p_partkey", "p_name", "p_size")), "error_code")
 
 
-@query("SELECT concat('f', p_size % 3) AS file, p_partkey + 1 AS ordinal, CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_name END AS name, p_brand AS brand, CASE WHEN p_partkey % 13 = 0 THEN 'ING_MANAGED_FORMULA_FORBIDDEN' WHEN p_partkey % 17 = 0 THEN 'ING_MANAGED_CELL_ERROR' END AS error_code FROM part", "part")
+@query("SELECT concat('f', p_size % 3) AS file, p_partkey + 1 AS ordinal, CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_name END AS name, p_brand AS brand, CASE WHEN p_partkey % 13 = 0 THEN 'ING_MANAGED_FORMULA_FORBIDDEN' WHEN p_partkey % 17 = 0 THEN 'ING_MANAGED_CELL_ERROR' END AS error_code FROM part UNION ALL SELECT 'twice', 0, NULL, NULL, 'ING_MANAGED_HEADER_INVALID'", "part")
 def sheet_records(part):
     p = part.select(F.expr("concat('f', p_size % 3)").alias("file"), (F.col("p_partkey") + 1).alias("row"), "*")
     kind = F.when(F.col("p_partkey") % 13 == 0, "FORMULA").when(F.col("p_partkey") % 17 == 0, "ERROR").otherwise("STRING")
     cells = p.select("file", F.lit("objects").alias("sheet"), "row", F.lit(0).alias("col"), F.when(F.col("p_partkey") % 11 == 0, "BLANK").otherwise("STRING").alias("cell_type"), F.col("p_name").alias("value")).unionByName(
         p.select("file", F.lit("objects").alias("sheet"), "row", F.lit(1).alias("col"), kind.alias("cell_type"), F.col("p_brand").alias("value"))
     )
-    head = p.select("file").distinct().withColumn("x", F.explode(F.array(F.struct(F.lit(0).alias("col"), F.lit(" name ").alias("value")), F.struct(F.lit(1).alias("col"), F.lit("brand").alias("value")))))
+    # the same cells once more as a file whose header names a column twice
+    cells = cells.unionByName(cells.withColumn("file", F.lit("twice")))
+    header = F.when(F.col("file") == "twice", F.lit("name")).otherwise(F.lit("brand"))
+    head = cells.select("file").distinct().withColumn("x", F.explode(F.array(F.struct(F.lit(0).alias("col"), F.lit(" name ").alias("value")), F.struct(F.lit(1).alias("col"), header.alias("value")))))
     head = head.select("file", F.lit("objects").alias("sheet"), F.lit(0).cast("long").alias("row"), "x.col", F.lit("STRING").alias("cell_type"), "x.value")
     out = readers.sheet_records(cells.unionByName(head), "objects")
     return out.select("file", "ordinal", F.col("payload")["name"].alias("name"), F.col("payload")["brand"].alias("brand"), "error_code")
 
 
+@query("""WITH r AS (SELECT concat('f', p_size % 10) AS file, p_partkey AS ordinal, CASE WHEN p_size % 10 = 3 AND p_partkey % 4 = 0 THEN 'ING_MANAGED_CELL_TOO_LONG' END AS error_code, CASE WHEN p_size % 10 = 5 THEN 'same' ELSE concat(p_partkey, '') END AS identity FROM part)
+SELECT file, count(*) AS n FROM r WHERE file NOT IN (SELECT file FROM r WHERE error_code IS NOT NULL) AND file NOT IN (SELECT file FROM (SELECT file, identity FROM r GROUP BY 1, 2 HAVING count(*) > 1)) GROUP BY 1""", "part")
+def release_assets(part):
+    file = F.expr("p_size % 10")
+    code = F.when((file == 3) & (F.col("p_partkey") % 4 == 0), "ING_MANAGED_CELL_TOO_LONG")
+    rows = part.select(F.concat(F.lit("f"), file).alias("file"), F.col("p_partkey").alias("ordinal"), code.alias("error_code"), F.when(file == 5, "same").otherwise(F.col("p_partkey").cast("string")).alias("identity"))
+    return readers.release_assets(rows, 1 << 40, "identity").groupBy("file").agg(F.count("*").alias("n"))
+
+
 def _pages(events):
     item = F.struct("event_id", "event_type")
     pages = events.groupBy(F.expr("event_id div 100").alias("page")).agg(F.array_sort(F.collect_list(item)).alias("items"))
@@ -53,13 +66,18 @@ def page_chain(events):
     return readers.page_chain(pages, 12)
 
 
-@query("SELECT c_custkey // 10 AS doc, CAST(CASE WHEN (c_custkey // 10) % 9 <> 0 THEN c_custkey % 10 END AS BIGINT) AS ordinal, CASE WHEN (c_custkey // 10) % 9 <> 0 THEN c_name END AS name, CASE WHEN (c_custkey // 10) % 9 <> 0 THEN 'EPSG::4326' END AS srs_name, CASE WHEN (c_custkey // 10) % 9 = 0 THEN 'ING_XML_DOCTYPE_FORBIDDEN' END AS error_code FROM customer WHERE (c_custkey // 10) % 9 <> 0 OR c_custkey % 10 = 0", "customer")
+@query("""SELECT c_custkey // 10 AS doc, CAST(CASE WHEN ok THEN c_custkey % 10 END AS BIGINT) AS ordinal, CASE WHEN ok THEN concat(c_name, ' & co') END AS name, CASE WHEN ok THEN '1 2' END AS shape, CASE WHEN ok THEN 'EPSG::4326' END AS srs_name,
+ CASE WHEN ok THEN concat('r', c_custkey) END AS gml_id, CASE (c_custkey // 10) % 9 WHEN 0 THEN 'ING_XML_DOCTYPE_FORBIDDEN' WHEN 4 THEN 'ING_WFS_XML_INVALID' END AS error_code
+ FROM (SELECT *, (c_custkey // 10) % 9 NOT IN (0, 4) AS ok FROM customer) WHERE ok OR c_custkey % 10 = 0""", "customer")
 def xml_feature_records(customer):
-    one = F.format_string('<wfs:member><x:road gml:id="r%d"><x:name>%s</x:name><x:shape srsName="EPSG::4326"><gml:pos>1 2</gml:pos></x:shape></x:road></wfs:member>', "c_custkey", "c_name")
+    one = F.format_string('<wfs:member><x:road gml:id="r%d"><x:name>old</x:name><x:name>%s &amp; co</x:name><x:shape srsName="EPSG::4326"><gml:pos>1 2</gml:pos></x:shape></x:road><x:rest/></wfs:member>', "c_custkey", "c_name")
     docs = customer.groupBy(F.expr("c_custkey div 10").alias("doc")).agg(F.array_sort(F.collect_list(F.struct("c_custkey", one.alias("m")))).alias("m"))
     head = F.when(F.col("doc") % 9 == 0, "<!DOCTYPE x>").otherwise("")
-    docs = docs.select("doc", F.concat(head, F.lit("<wfs:FeatureCollection>"), F.array_join(F.transform("m", lambda x: x["m"]), ""), F.lit("</wfs:FeatureCollection>")).alias("body"))
-    return readers.xml_feature_records(docs, "AUTHORITY").select("doc", "ordinal", F.col("fields")["name"].alias("name"), "srs_name", "error_code")
+    root = F.lit('<wfs:FeatureCollection xmlns:wfs="http://www.opengis.net/wfs/2.0" xmlns:gml="http://www.opengis.net/gml" xmlns:x="urn:x">')
+    end = F.when(F.col("doc") % 9 == 4, "").otherwise("</wfs:FeatureCollection>")
+    docs = docs.select("doc", F.concat(head, root, F.array_join(F.transform("m", lambda x: x["m"]), ""), end).alias("body"))
+    out = readers.xml_feature_records(docs, "AUTHORITY")
+    return out.select("doc", "ordinal", F.col("fields")["name"].alias("name"), F.col("fields")["shape"].alias("shape"), "srs_name", "gml_id", "error_code")
 
 
 @query("SELECT concat('layer', s_suppkey) AS table_name, s_nationkey + 1 AS organization_id, 'geom' AS geometry_column, 'POINT' AS geometry_type, CASE WHEN s_suppkey % 2 = 0 THEN 3 ELSE 2 END AS column_count FROM supplier WHERE s_suppkey % 5 <> 0 AND s_nationkey % 7 <> 0 AND s_suppkey % 3 <> 0", "supplier nation")
@@ -75,10 +93,24 @@ def layer_inventory(supplier, nation):
     return readers.layer_inventory(contents, geoms, systems, columns)
 
 
-@query("SELECT c_custkey, c_name, CASE WHEN c_custkey % 10 = 0 THEN 'ING_NUMBER_NOT_FINITE' END AS error_code FROM customer", "customer")
+@query("""SELECT concat('layer', s_suppkey) AS table_name, CASE WHEN s_nationkey % 7 = 0 THEN 'ING_LAYER_SRS_UNSUPPORTED' WHEN s_suppkey % 4 = 1 THEN 'ING_LAYER_GEOMETRY_UNSUPPORTED' ELSE 'ING_LAYER_KEY_INVALID' END AS error_code FROM supplier WHERE s_suppkey % 5 <> 0 AND (s_nationkey % 7 = 0 OR s_suppkey % 4 = 1 OR s_suppkey % 3 = 0)
+ UNION ALL SELECT NULL, 'ING_LAYER_LIMIT_EXCEEDED' FROM (SELECT count(*) AS n FROM supplier WHERE s_suppkey % 5 <> 0) WHERE n > 3""", "supplier nation")
+def layer_violations(supplier, nation):
+    name = F.expr("concat('layer', s_suppkey)").alias("table_name")
+    contents = supplier.select(name, F.col("s_nationkey").alias("srs_id"), F.when(F.col("s_suppkey") % 5 == 0, "tiles").otherwise("features").alias("data_type"))
+    geoms = supplier.select(name, F.col("s_nationkey").alias("srs_id"), F.lit("geom").alias("geometry_column"), F.when(F.col("s_suppkey") % 4 == 1, "CURVE").otherwise("POINT").alias("geometry_type"), F.lit(0).alias("z"), F.lit(0).alias("m"))
+    systems = nation.select(F.col("n_nationkey").alias("srs_id"), F.when(F.col("n_nationkey") % 7 == 0, "NONE").otherwise("EPSG").alias("organization"), (F.col("n_nationkey") + 1).alias("organization_id"))
+    base = supplier.select("s_suppkey", name)
+    columns = base.select("table_name", F.lit("fid").alias("column_name"), F.lit("INTEGER").alias("type"), (F.col("s_suppkey") % 3 != 0).alias("pk")).unionByName(base.select("table_name", F.lit("geom").alias("column_name"), F.lit("POINT").alias("type"), F.lit(False).alias("pk")))
+    return readers.layer_violations(contents, geoms, systems, columns, max_layers=3)
+
+
+@query("SELECT c_custkey, c_name, CASE WHEN c_custkey % 10 = 0 THEN 'ING_NUMBER_NOT_FINITE' WHEN c_custkey % 7 = 0 THEN 'ING_LAYER_TEXT_TOO_LONG' WHEN c_custkey % 11 = 0 THEN 'ING_LAYER_BLOB_FORBIDDEN' END AS error_code, CAST(c_custkey AS STRING) AS feature FROM (SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN repeat('x', 40) ELSE c_name END AS c_name FROM customer)", "customer")
 def layer_features(customer):
-    c = customer.withColumn("c_acctbal", F.when(F.col("c_custkey") % 10 == 0, float("nan")).otherwise(F.col("c_acctbal")))
-    return readers.layer_features(c, "c_custkey", ["c_name", "c_acctbal"], ["c_acctbal"], 10_000_000).select("c_custkey", "c_name", "error_code")
+    c = customer.withColumn("c_acctbal", F.when(F.col("c_custkey") % 10 == 0, float("nan")).otherwise(F.col("c_acctbal"))).withColumn("c_name", F.when(F.col("c_custkey") % 7 == 0, F.repeat(F.lit("x"), F.lit(40))).otherwise(F.col("c_name")))
+    c = c.withColumn("extra", F.when(F.col("c_custkey") % 11 == 0, F.lit("blob").cast("binary")))
+    out = readers.layer_features(c, "c_custkey", ["c_name", "c_acctbal"], ["c_acctbal"], 1 << 40, ["c_name"], 30, ["extra"], {"layer": "customer", "sourceCrs": "EPSG:4326"})
+    return out.select("c_custkey", "c_name", "error_code", F.col("provenance")["featureId"].alias("feature"))
 
 
 @query("""SELECT c_custkey, CASE WHEN c_custkey % 6 <> 0 THEN '{"type": "Point", "coordinates": [13.0, 45.0]}' END AS geojson, CASE WHEN c_custkey % 6 = 0 THEN 'ING_GEOMETRY_INVALID' END AS error_code FROM customer""", "customer")
@@ -118,12 +150,23 @@ def run_pipeline_outcomes(records):
 
 @query("SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN variant % 5 = 1 OR variant IN (4, 5, 8) THEN 'QUARANTINED' ELSE 'STAGED' END AS outcome FROM records) GROUP BY 1", "records")
 def stream_pipeline(records):
-    from ..operators.pipeline import run_pipeline
-    from .intake import payloads
+    from .intake import commands, config
+
+    spark = records.sparkSession
+    places = {name: folder(spark, name) for name in ("zones", "handoffs", "quarantine", "attempts")}
+    jobs.stream_pipeline(commands(streamed(records, "records")), config(), {k: jobs.parquet_sink(v) for k, v in places.items()}, folder(spark, "restart")).awaitTermination()
+    n = lambda name, outcome: spark.read.parquet(places[name]).agg(F.count("*").alias("n")).select(F.lit(outcome).alias("outcome"), "n")
+    return n("handoffs", "STAGED").unionByName(n("quarantine", "QUARANTINED"))
+
+
+@query("SELECT zone, count(*) AS n FROM (SELECT unnest(CASE WHEN variant % 5 = 1 OR variant IN (4, 5, 8) THEN ['RAW'] ELSE ['RAW','NORMALIZED','CURATED'] END) AS zone FROM records) GROUP BY 1", "records")
+def pipeline_zone_store(records):
+    """The zones of all records, after those of half of them: each object is written once."""
+    from .intake import processed
 
-    stream = payloads(streamed(records, "records"))
-    out = run_pipeline(stream, ["id", "name", "segment"], [("id", "https://example.test/id", "IDENTITY"), ("name", "https://example.test/name", "IDENTITY")])
-    return drained(out.select("outcome", "ordinal"), "pipeline").groupBy("outcome").agg(F.count("*").alias("n"))
+    path = folder(records.sparkSession, "zones")
+    first = readers.write_zone(processed(records.where("segment < 'G'")).zones, path)
+    return readers.write_zone(processed(records).zones, path, first.select("idempotency_key")).groupBy("zone").agg(F.count("*").alias("n"))
 
 
 @query("SELECT DISTINCT concat('k', user_id) AS idempotency_key FROM events", "events")
@@ -132,13 +175,18 @@ def stream_dedupe_handoffs(events):
     return drained(jobs.dedupe_handoffs(s, "at", "60 days"), "deduped").select("idempotency_key")
 
 
-@query(None, "attempt_log")
+@query(CIRCUITS + " SELECT source_id, event_id, status, failures, attempts FROM fold WHERE k > 0", "attempt_log")
 def stream_circuit_breaker(attempt_log):
     s = streamed(attempt_log.select("source_id", "event_id", F.unix_timestamp("happened_at").alias("at_seconds"), "outcome"), "attempts")
     return drained(jobs.circuit_breaker(s, window=86400), "circuit")
 
 
-@query(None, "handoffs")
+@query("""WITH RECURSIVE days AS (SELECT run_id % 5 AS tenant_id, CAST(floor(epoch(next_attempt_at) / 86400) AS BIGINT) AS d, count(*) AS n FROM handoffs WHERE state <> 'ACKED' GROUP BY 1, 2),
+ seq AS (SELECT tenant_id, d, row_number() OVER (PARTITION BY tenant_id ORDER BY d) AS k, n FROM days),
+ fold AS (SELECT tenant_id, CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS "at", 'NORMAL' AS s FROM (SELECT DISTINCT tenant_id FROM seq)
+  UNION ALL SELECT f.tenant_id, q.k, q.d, CASE WHEN q.n >= 9 THEN 'HARD' WHEN f.s IN ('HARD','RECOVERY') THEN CASE WHEN q.n <= 2 THEN 'NORMAL' ELSE 'RECOVERY' END WHEN q.n >= 5 THEN 'SOFT' WHEN f.s = 'SOFT' AND q.n > 2 THEN 'SOFT' ELSE 'NORMAL' END
+  FROM fold f JOIN seq q ON q.tenant_id = f.tenant_id AND q.k = f.k + 1)
+SELECT tenant_id, "at", s AS state FROM fold WHERE k > 0""", "handoffs")
 def stream_pressure_monitor(handoffs):
     days = handoffs.where("state <> 'ACKED'").select((F.col("run_id") % 5).alias("tenant_id"), F.expr("unix_timestamp(next_attempt_at) div 86400").alias("at"))
     return drained(jobs.pressure_monitor(streamed(days.groupBy("tenant_id", "at").agg(F.count("*").alias("backlog")), "backlog"), 5, 9, 2), "pressure")
@@ -151,12 +199,19 @@ def stream_incident_versioning(transitions):
     return drained(jobs.incident_versioning(streamed(transitions.select("issue_id", "transition_id", "severity", "lifecycle"), "transitions")), "versions")
 
 
-@query("""SELECT run_id, max(sequence_no) AS watermark FROM (
-  SELECT *, sum(CASE WHEN state <> 'ACKED' THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY sequence_no) AS bad FROM handoffs
-) WHERE bad = 0 GROUP BY run_id""", "handoffs")
+@query("""SELECT run_id, partition_key, max(sequence_no) AS watermark FROM (
+  SELECT *, sum(CASE WHEN state <> 'ACKED' THEN 1 ELSE 0 END) OVER (PARTITION BY run_id, partition_key ORDER BY sequence_no) AS bad FROM (SELECT run_id, concat('p', CAST(sequence_no % 2 AS STRING)) AS partition_key, sequence_no, state FROM handoffs)
+) WHERE bad = 0 GROUP BY run_id, partition_key""", "handoffs")
 def stream_ack_watermark(handoffs):
-    acks = streamed(handoffs.where("state = 'ACKED'").select("run_id", "sequence_no"), "acks")
-    return drained(jobs.ack_watermark_stream(acks), "watermarks").groupBy("run_id").agg(F.max("watermark").alias("watermark"))
+    """Two partitions a run, so that the numbers of each have gaps."""
+    changes = handoffs.select("run_id", F.expr("concat('p', sequence_no % 2)").alias("partition_key"), "sequence_no", "state")
+    return drained(jobs.ack_watermark_stream(streamed(changes, "acks")), "watermarks").groupBy("run_id", "partition_key").agg(F.max("watermark").alias("watermark"))
+
+
+@query(None, "attempt_log")
+def stream_recovery_probes(attempt_log):
+    s = streamed(attempt_log.select("source_id", "event_id", F.col("happened_at").cast("timestamp").alias("at"), "outcome"), "outcomes")
+    return drained(jobs.recovery_probes(s, pause=900, most=2), "probes")
 
 
 @query("""SELECT issue_key, event_id FROM (SELECT *, lag(action) OVER (PARTITION BY issue_key ORDER BY event_id) AS before FROM (

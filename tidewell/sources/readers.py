@@ -21,22 +21,26 @@ def register_source(mode: str, reader: Callable[..., DataFrame]) -> None:
 
 
 def read_delimited(spark: SparkSession, path: str, delimiter: str = ",", max_cell: int = 32_767, max_columns: int = 1024) -> DataFrame:
-    """(ordinal, payload, error_code): rows of a delimited file with a unique header.
+    """(file, ordinal, payload, error_code): rows of delimited files with one unique header, numbered from 1 within their file.
 
     A row with more fields than the header has ING_DELIMITED_TOO_MANY_FIELDS, one with fewer lacks the keys; an empty
-    cell is "". The header is read by itself because Spark renames duplicates.
+    cell is "". A file whose header differs from the first one's has ING_MANAGED_HEADER_INVALID in all its rows. Quoted
+    line breaks keep a file in one piece, so that its rows come in order; see release_assets() for whole files.
     """
     if delimiter not in (",", ";"):
         raise ValueError("ING_MANAGED_DELIMITER_INVALID")
-    options = {"sep": delimiter, "escape": '"', "multiLine": True, "encoding": "UTF-8"}
-    first = spark.read.options(header=False, **options).csv(path).limit(1).first()
-    names = [(c or "").lstrip("﻿").strip() for c in first] if first else []
+    options = {"sep": delimiter, "escape": '"', "multiLine": True, "encoding": "UTF-8", "header": False}
+    first = spark.read.options(**options).csv(path).limit(1).first()
+    names = [(c or "").lstrip("\ufeff").strip() for c in first] if first else []
     if not names or "" in names or len(set(names)) < len(names) or len(names) > max_columns:
         raise ValueError("ING_MANAGED_HEADER_INVALID")
     # a spare column shows rows that are too long; names by number keep any header text out of the schema
     schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))] + [StructField("corrupt", StringType())])
-    rows = spark.read.options(header=True, enforceSchema=True, columnNameOfCorruptRecord="corrupt", **options).schema(schema).csv(path)
-    rows = rows.withColumn("ordinal", F.monotonically_increasing_id())
+    rows = spark.read.options(enforceSchema=True, columnNameOfCorruptRecord="corrupt", **options).schema(schema).csv(path)
+    rows = rows.select("*", F.col("_metadata.file_path").alias("file")).withColumn("n", F.monotonically_increasing_id())
+    cell = lambda i: F.trim(F.ltrim(F.coalesce(F.col(f"c{i}"), F.lit("")), F.lit("\ufeff")))
+    heads = rows.groupBy("file").agg(F.min(F.struct("n", F.array(*map(cell, range(len(names)))).alias("names"))).alias("head")).select("file", F.col("head.n").alias("top"), F.col("head.names").alias("names"))
+    rows = rows.join(heads, "file").where("n > top")
     fields = F.when(F.col("corrupt").isNull(), len(names)).otherwise(F.size(F.regexp_extract_all(F.col("corrupt"), F.lit(f'(?:"(?:[^"]|"")*"|[^{delimiter}"])*(?:{delimiter}|$)'), F.lit(0))) - 1)
     entries = F.filter(
         F.array(*(F.struct(F.lit(n).alias("k"), F.coalesce(F.col(f"c{i}"), F.lit("")).alias("v"), F.lit(i).alias("i")) for i, n in enumerate(names))), lambda e: e["i"] < F.col("fields")
@@ -44,33 +48,70 @@ def read_delimited(spark: SparkSession, path: str, delimiter: str = ",", max_cel
     payload = F.map_from_entries(F.transform(entries, lambda e: F.struct(e["k"].alias("key"), e["v"].alias("value"))))
     wide = F.exists(F.map_values("payload"), lambda v: F.length(v) > max_cell)
     out = rows.withColumn("fields", fields).withColumn("payload", payload)
-    code = F.when(F.col("fields") > len(names), "ING_DELIMITED_TOO_MANY_FIELDS").when(wide, "ING_MANAGED_CELL_TOO_LONG")
-    return out.select((F.col("ordinal") + 1).alias("ordinal"), "payload", code.alias("error_code"))
+    other = F.col("names") != F.array(*map(F.lit, names))
+    code = F.when(other, "ING_MANAGED_HEADER_INVALID").when(F.col("fields") > len(names), "ING_DELIMITED_TOO_MANY_FIELDS").when(wide, "ING_MANAGED_CELL_TOO_LONG")
+    return out.select("file", (F.col("n") - F.col("top")).alias("ordinal"), "payload", code.alias("error_code"))
+
+
+def asset_status(rows: DataFrame, max_rows: int = 100_000, identity: str | None = None) -> DataFrame:
+    """(file, n_rows, asset_error) of rows(file, ordinal, error_code): the code of the first bad row, else of too many rows or of an identity that comes twice."""
+    first = F.min(F.when(F.col("error_code").isNotNull(), F.struct("ordinal", "error_code")))["error_code"]
+    out = rows.groupBy("file").agg(F.count("*").alias("n_rows"), first.alias("bad"))
+    twice = F.lit(None).cast("boolean")
+    if identity is not None:
+        again = rows.groupBy("file", identity).agg(F.count("*").alias("c")).where("c > 1").select("file").distinct().withColumn("again", F.lit(True))
+        out, twice = out.join(again, "file", "left"), F.col("again")
+    code = F.coalesce("bad", F.when(F.col("n_rows") > max_rows, "ING_MANAGED_TOO_MANY_ROWS"), F.when(twice, "ING_MANAGED_IDENTITY_DUPLICATE"))
+    return out.select("file", "n_rows", code.alias("asset_error"))
+
+
+def release_assets(rows: DataFrame, max_rows: int = 100_000, identity: str | None = None) -> DataFrame:
+    """The rows of files without any error: all rows of a file are judged before one is released."""
+    good = asset_status(rows, max_rows, identity).where("asset_error is null").select("file")
+    return rows.join(good, "file", "left_semi").drop("error_code")
 
 
 def sheet_records(cells: DataFrame, sheet: str) -> DataFrame:
-    """(file, ordinal, payload, error_code) from cells(file, sheet, row, col, cell_type, value): the first row is the header."""
+    """(file, ordinal, payload, error_code) from cells(file, sheet, row, col, cell_type, value): the first row is the header.
+
+    A header with a blank, missing or repeated name is ING_MANAGED_HEADER_INVALID: one row with its ordinal and no
+    payload, and none of the file's records.
+    """
     own = cells.where(F.col("sheet") == sheet)
     top = own.groupBy("file").agg(F.min("row").alias("top"))
     own = own.join(top, "file")
-    header = own.where("row = top").select("file", "col", F.trim("value").alias("name"))
-    body = own.where("row > top").join(header, ["file", "col"])
+    header = own.where("row = top").select("file", "top", "col", F.trim("value").alias("name"))
+    told = header.groupBy("file", "top").agg(F.count("*").alias("cells"), F.countDistinct(F.nullif("name", F.lit(""))).alias("names")).withColumn("bad", F.col("cells") != F.col("names"))
+    body = own.where("row > top").join(told.where("not bad").select("file"), "file", "left_semi").join(header.drop("top"), ["file", "col"])
     code = F.when(F.col("cell_type") == "FORMULA", "ING_MANAGED_FORMULA_FORBIDDEN").when(F.col("cell_type") == "ERROR", "ING_MANAGED_CELL_ERROR")
     value = F.when(F.col("cell_type") != "BLANK", F.col("value"))
     entries = F.array_sort(F.collect_list(F.struct(F.col("name").alias("key"), value.alias("value"))))
-    return body.groupBy("file", F.col("row").alias("ordinal")).agg(F.map_from_entries(entries).alias("payload"), F.min(code).alias("error_code"))
+    rows = body.groupBy("file", F.col("row").alias("ordinal")).agg(F.map_from_entries(entries).alias("payload"), F.min(code).alias("error_code"))
+    refused = told.where("bad").select("file", F.col("top").alias("ordinal"), F.lit(None).cast("map<string,string>").alias("payload"), F.lit("ING_MANAGED_HEADER_INVALID").alias("error_code"))
+    return rows.unionByName(refused)
 
 
-def json_page_records(pages: DataFrame, items: str, max_bytes: int = 1 << 20) -> DataFrame:
-    """(ordinal, page, item, error_code): the objects at `items` of pages(page, body), in page order from 0."""
+def json_page_records(pages: DataFrame, items: str, next_token: str = "$.nextPageToken", max_bytes: int = 1 << 20, max_pages: int = 1000, max_records: int = 100_000) -> DataFrame:
+    """(ordinal, page, item, next_token, error_code): the objects at `items` of pages(page, body), in page order from 0.
+
+    A page that is too large, is no JSON, lacks the array or holds anything but objects is one row with its code. Pages from
+    the max_pages-th and records from the max_records-th on have ING_PAGE_LIMIT_EXCEEDED or ING_RECORD_LIMIT_EXCEEDED.
+    """
     doc = F.try_parse_json("body")
-    found = pages.withColumn("items", F.try_variant_get(doc, items, "array<variant>"))
-    code = F.when(F.octet_length("body") > max_bytes, "ING_PAGE_TOO_LARGE").when(F.col("items").isNull(), "ING_PAGE_ITEMS_MISSING")
+    token = F.nullif(F.trim(F.try_variant_get(doc, next_token, "string")), F.lit(""))
+    found = pages.select("page", F.octet_length("body").alias("bytes"), doc.isNull().alias("broken"), F.try_variant_get(doc, items, "array<variant>").alias("items"), token.alias("next_token"))
+    plain = F.exists("items", lambda x: ~F.coalesce(F.schema_of_variant(x).startswith("OBJECT"), F.lit(False)))
+    code = F.when(F.col("bytes") > max_bytes, "ING_PAGE_TOO_LARGE").when(F.col("broken"), "ING_JSON_INVALID").when(F.col("items").isNull(), "ING_JSON_ITEMS_INVALID").when(plain, "ING_JSON_RECORD_INVALID")
     found = found.withColumn("error_code", code)
+    # a row for each page: its number and how many records come before it
     counts = found.groupBy("page").agg(F.sum(F.coalesce(F.when(F.col("error_code").isNull(), F.size("items")), F.lit(0))).alias("n"))
-    base = counts.withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy("page").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("page", "base")
-    rows = found.join(base, "page").select("page", "base", "error_code", F.posexplode_outer(F.when(F.col("error_code").isNull(), F.col("items"))).alias("i", "v"))
-    return rows.select(F.when(F.col("error_code").isNull(), F.col("base") + F.col("i")).alias("ordinal"), "page", F.to_json("v").alias("item"), "error_code").where("item is not null or error_code is not null")
+    before = Window.orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select("page", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"), F.row_number().over(Window.orderBy("page")).alias("page_no"))
+    found = found.join(base, "page").withColumn("error_code", F.when(F.col("page_no") > max_pages, "ING_PAGE_LIMIT_EXCEEDED").otherwise(F.col("error_code")))
+    rows = found.select("page", "base", "next_token", "error_code", F.posexplode_outer(F.when(F.col("error_code").isNull(), F.col("items"))).alias("i", "v"))
+    ordinal = F.when(F.col("error_code").isNull(), F.col("base") + F.col("i"))
+    over = F.when(ordinal >= max_records, "ING_RECORD_LIMIT_EXCEEDED")
+    return rows.select(ordinal.alias("ordinal"), "page", F.to_json("v").alias("item"), "next_token", F.coalesce("error_code", over).alias("error_code")).where("item is not null or error_code is not null")
 
 
 def page_chain(pages: DataFrame, most: int) -> DataFrame:
@@ -84,28 +125,88 @@ def page_chain(pages: DataFrame, most: int) -> DataFrame:
     )
 
 
-def xml_feature_records(docs: DataFrame, axis_order: str) -> DataFrame:
-    """(doc, ordinal, fields, srs_name, axis_order, error_code): the members of feature collections(doc, body).
+_GML_ID = "{http://www.opengis.net/gml}id"
 
-    A document with a DOCTYPE is refused. fields maps the local names of a feature's children to their texts.
+
+def _features(body: str) -> list[tuple[dict[str, str], str | None, str | None]]:
+    """(fields, srsName, gml:id) of each feature of a collection; ValueError for what is no XML or has a DOCTYPE."""
+    import xml.etree.ElementTree as ET
+    from xml.parsers import expat
+
+    def refuse(*_):
+        raise ValueError("ING_XML_DOCTYPE_FORBIDDEN")
+
+    try:
+        strict = expat.ParserCreate()
+        strict.StartDoctypeDeclHandler = refuse
+        strict.Parse(body, True)
+        root = ET.fromstring(body)
+    except (expat.ExpatError, ET.ParseError) as e:
+        raise ValueError("ING_WFS_XML_INVALID") from e
+    local = lambda e: e.tag.rsplit("}", 1)[-1]
+    members = [e for e in root.iter() if local(e) == "member"] or [e for e in root.iter() if local(e) == "featureMember"]
+    out = []
+    for m in members:
+        for feature in list(m)[:1]:
+            srs = next((e.attrib["srsName"] for e in feature.iter() if "srsName" in e.attrib), None)
+            out.append(({local(c): "".join(c.itertext()) for c in feature}, srs, feature.attrib.get(_GML_ID) or None))
+    return out
+
+
+def xml_feature_records(docs: DataFrame, axis_order: str, page_size: int | None = None) -> DataFrame:
+    """(doc, ordinal, fields, srs_name, gml_id, axis_order, is_last, error_code): the features of collections(doc, body), the first element of each member.
+
+    fields maps the local names of a feature's children to all text in them; of a name that comes twice the last one
+    counts. srs_name is the first srsName on the feature or below it. A document that is no XML, or has a DOCTYPE, is
+    one row with its code. is_last: the page has fewer features than page_size.
     """
     if axis_order not in ("AUTHORITY", "LON_LAT", "LAT_LON"):
-        raise ValueError("ING_AXIS_ORDER_INVALID")
-    refused = F.col("body").rlike("(?i)<!DOCTYPE")
-    member = r"(?s)<(?:\w+:)?(?:featureMember|member)(?:\s[^>]*)?>(.*?)</(?:\w+:)?(?:featureMember|member)>"
-    rows = docs.withColumn("error_code", F.when(refused, "ING_XML_DOCTYPE_FORBIDDEN")).withColumn("members", F.when(~refused, F.regexp_extract_all("body", F.lit(member), F.lit(1))))
-    rows = rows.select("doc", "error_code", F.posexplode_outer("members").alias("i", "m"))
-    plain = F.regexp_replace("m", r"(</?)\w+:", "$1")
-    names = F.regexp_extract_all(plain, F.lit(r"<(\w+)(?:\s[^>]*)?>[^<]*</\1>"), F.lit(1))
-    values = F.regexp_extract_all(plain, F.lit(r"<(\w+)(?:\s[^>]*)?>([^<]*)</\1>"), F.lit(2))
-    srs = F.nullif(F.regexp_extract("m", "srsName=[\"']([^\"']*)", 1), F.lit(""))
-    return rows.select("doc", F.col("i").cast("long").alias("ordinal"), F.map_from_arrays(names, values).alias("fields"), srs.alias("srs_name"), F.lit(axis_order).alias("axis_order"), "error_code")
+        raise ValueError("ING_WFS_AXIS_ORDER_INVALID")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for doc, body in zip(pdf["doc"], pdf["body"], strict=True):
+                try:
+                    found = _features(body or "")
+                    last = page_size is None or len(found) < page_size
+                    rows += [(doc, i, fields, srs, gml, last, None) for i, (fields, srs, gml) in enumerate(found)]
+                except ValueError as e:
+                    rows.append((doc, None, None, None, None, None, str(e)))
+            yield pd.DataFrame(rows, columns=["doc", "ordinal", "fields", "srs_name", "gml_id", "is_last", "error_code"]).astype({"ordinal": "Int64", "is_last": "boolean"})
+
+    kind = dict(docs.dtypes)["doc"]
+    out = docs.select("doc", "body").mapInPandas(run, f"doc {kind}, ordinal long, fields map<string,string>, srs_name string, gml_id string, is_last boolean, error_code string")
+    return out.withColumn("axis_order", F.lit(axis_order))
+
+
+#: The geometry types of feature layers.
+GEOMETRY_TYPES = ("GEOMETRY", "POINT", "LINESTRING", "POLYGON", "MULTIPOINT", "MULTILINESTRING", "MULTIPOLYGON", "GEOMETRYCOLLECTION")
+
+
+def layer_violations(contents: DataFrame, geometry_columns: DataFrame, systems: DataFrame, columns: DataFrame, max_layers: int = 64, max_columns: int = 256) -> DataFrame:
+    """(table_name, error_code): why feature tables are no layers of layer_inventory(), and ING_LAYER_LIMIT_EXCEEDED with a null name if there are too many."""
+    a = contents.where("data_type = 'features'").select("table_name", "srs_id")
+    g = geometry_columns.select("table_name", F.col("srs_id").alias("g_srs"), "geometry_column", "geometry_type", "z", "m")
+    s = systems.select("srs_id", "organization", "organization_id")
+    per = columns.join(g.select("table_name", "geometry_column"), "table_name").groupBy("table_name").agg(
+        F.count_if(F.col("pk") & (F.col("type") == "INTEGER")).alias("keys"), F.count_if(F.col("column_name") == F.col("geometry_column")).alias("geoms"), F.count("*").alias("n")
+    )
+    both = a.join(g, "table_name", "left").join(s, "srs_id", "left").join(per, "table_name", "left")
+    code = (
+        F.when(F.col("g_srs").isNull() | (F.col("g_srs") != F.col("srs_id")), "ING_LAYER_SRS_MISMATCH")
+        .when(~F.coalesce((F.col("organization") == "EPSG") & F.col("organization_id").between(1, 999999), F.lit(False)), "ING_LAYER_SRS_UNSUPPORTED")
+        .when((F.col("z") != 0) | (F.col("m") != 0) | ~F.upper("geometry_type").isin(*GEOMETRY_TYPES), "ING_LAYER_GEOMETRY_UNSUPPORTED")
+        .when(F.coalesce("keys", F.lit(0)) != 1, "ING_LAYER_KEY_INVALID").when(F.coalesce("geoms", F.lit(0)) != 1, "ING_LAYER_GEOMETRY_MISSING").when(F.col("n") > max_columns, "ING_LAYER_TOO_MANY_COLUMNS")
+    )
+    many = a.agg(F.count("*").alias("c")).where(F.col("c") > max_layers).select(F.lit(None).cast("string").alias("table_name"), F.lit("ING_LAYER_LIMIT_EXCEEDED").alias("error_code"))
+    return both.select("table_name", code.alias("error_code")).where("error_code is not null").unionByName(many)
 
 
 def layer_inventory(contents: DataFrame, geometry_columns: DataFrame, systems: DataFrame, columns: DataFrame) -> DataFrame:
     """Feature layers whose geometry column and reference system agree, with one integer key and their geometry column present."""
     a = contents.where("data_type = 'features'").select("table_name", "srs_id")
-    g = geometry_columns.where("z = 0 and m = 0").select("table_name", "srs_id", "geometry_column", "geometry_type")
+    g = geometry_columns.where("z = 0 and m = 0").where(F.upper("geometry_type").isin(*GEOMETRY_TYPES)).select("table_name", "srs_id", "geometry_column", "geometry_type")
     s = systems.where("organization = 'EPSG' and organization_id between 1 and 999999").select("srs_id", "organization_id")
     both = a.join(g, ["table_name", "srs_id"]).join(s, "srs_id")
     per = columns.join(both.select("table_name", "geometry_column"), "table_name").groupBy("table_name").agg(
@@ -114,14 +215,28 @@ def layer_inventory(contents: DataFrame, geometry_columns: DataFrame, systems: D
     return both.join(per.where("keys = 1 and geoms = 1 and n <= 256"), "table_name").select("table_name", "organization_id", "geometry_column", "geometry_type", F.col("n").alias("column_count"))
 
 
-def layer_features(features: DataFrame, key: str, columns: list[str], doubles: list[str], max_rows: int) -> DataFrame:
-    """Declared columns in key order with error_code; more than max_rows rows, or a non-finite number, is an error."""
-    rows = features.select(key, *columns).orderBy(key).limit(max_rows + 1)
-    odd = F.lit(False)
+def layer_features(
+    features: DataFrame, key: str, columns: list[str], doubles: list[str], max_rows: int, texts: list[str] = (), max_cell: int = 32_767, blobs: list[str] = (), provenance: dict[str, str] | None = None
+) -> DataFrame:
+    """Declared columns with error_code; more than max_rows rows, a non-finite number, a long text or a blob beside the geometry is an error.
+
+    provenance: constants (layer, sourceCrs, srsId, geometryColumn, contentHash) that each row carries with its featureId, as a map.
+    """
+    rows = features.select(key, *columns, *blobs)
+    odd, long, blob = F.lit(False), F.lit(False), F.lit(False)
     for c in doubles:
         odd = odd | F.isnan(c) | F.col(c).isin(float("inf"), float("-inf"))
-    over = F.count("*").over(Window.partitionBy()) > max_rows
-    return rows.withColumn("error_code", F.when(over, "ING_LAYER_TOO_MANY_ROWS").when(odd, "ING_NUMBER_NOT_FINITE"))
+    for c in texts:
+        long = long | F.coalesce(F.length(c) > max_cell, F.lit(False))
+    for c in blobs:
+        blob = blob | F.col(c).isNotNull()
+    total = rows.agg(F.count("*").alias("__n"))
+    code = F.when(F.col("__n") > max_rows, "ING_LAYER_TOO_MANY_ROWS").when(F.coalesce(odd, F.lit(False)), "ING_NUMBER_NOT_FINITE").when(long, "ING_LAYER_TEXT_TOO_LONG").when(blob, "ING_LAYER_BLOB_FORBIDDEN")
+    out = rows.crossJoin(F.broadcast(total)).withColumn("error_code", code).drop("__n", *blobs)  # one row
+    if provenance is None:
+        return out
+    pairs = [x for k, v in provenance.items() for x in (F.lit(k), F.lit(v))]
+    return out.withColumn("provenance", F.create_map(*pairs, F.lit("featureId"), F.col(key).cast("string")))
 
 
 _TYPES = {1: "Point", 2: "LineString", 3: "Polygon", 4: "MultiPoint", 5: "MultiLineString", 6: "MultiPolygon", 7: "GeometryCollection"}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,17 +16,19 @@ def dedupe_handoffs(stream: DataFrame, at: str, late: str = "1 day") -> DataFram
     return stream.withWatermark(at, late).dropDuplicatesWithinWatermark(["idempotency_key"])
 
 
-def _stateful(stream: DataFrame, key: str, output: str, state: str, step) -> DataFrame:
-    """applyInPandasWithState in append mode: step(state tuple or None, sorted rows) -> (state tuple, frame of output rows)."""
+def _stateful(stream: DataFrame, key: str | list[str], output: str, state: str, step) -> DataFrame:
+    """applyInPandasWithState in append mode: step(state tuple or None, rows) -> (state tuple, frame of output rows)."""
+    keys = [key] if isinstance(key, str) else key
 
     def run(k, batches: Iterator[pd.DataFrame], held) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(batches))
         new, out = step(tuple(held.get) if held.exists else None, rows)
         held.update(new)
-        out.insert(0, key, k[0])
+        for i, name in enumerate(keys):
+            out.insert(i, name, k[i])
         yield out
 
-    return stream.groupBy(key).applyInPandasWithState(run, output, state, "append", "NoTimeout")
+    return stream.groupBy(*keys).applyInPandasWithState(run, output, state, "append", "NoTimeout")
 
 
 def circuit_breaker(stream: DataFrame, window: int = 900, most: int = 5) -> DataFrame:
@@ -50,6 +52,44 @@ def circuit_breaker(stream: DataFrame, window: int = 900, most: int = 5) -> Data
     return _stateful(stream, "source_id", "source_id long, event_id long, status string, failures int, attempts int", "failures int, began long, attempts int", step)
 
 
+def recovery_probes(stream: DataFrame, pause: int = 900, most: int = 5) -> DataFrame:
+    """(source_id, at, action) of outcomes (source_id, event_id, at timestamp, outcome), with a timer per source.
+
+    OPEN: `most` transient failures in a row pause the source. PROBE: `pause` seconds later by the watermark of `at`, one
+    attempt may go. Its success closes the circuit (CLOSE), its failure opens it again (OPEN). Outcomes of a paused
+    source that come before its probe change nothing.
+    """
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    def run(k, batches: Iterator[pd.DataFrame], held) -> Iterator[pd.DataFrame]:
+        failures, mode = tuple(held.get) if held.exists else (0, "CLOSED")
+        out = []
+        if held.hasTimedOut:
+            mode = "PROBING"
+            out.append((pd.Timestamp(held.getCurrentWatermarkMs(), unit="ms"), "PROBE"))
+        else:
+            for r in pd.concat(list(batches)).sort_values(["at", "event_id"]).itertuples():
+                if mode == "OPEN":
+                    continue
+                if r.outcome == "TRANSIENT":
+                    failures += 1
+                    if mode == "PROBING" or failures >= most:
+                        mode, until = "OPEN", r.at.timestamp() + pause
+                        out.append((r.at, "OPEN"))
+                else:
+                    if mode == "PROBING":
+                        out.append((r.at, "CLOSE"))
+                    failures, mode = 0, "CLOSED"
+        held.update((int(failures), mode))
+        if mode == "OPEN":
+            held.setTimeoutTimestamp(max(int(until * 1000), held.getCurrentWatermarkMs() + 1))
+        if out:
+            yield pd.DataFrame({"source_id": [k[0]] * len(out), "at": [x[0] for x in out], "action": [x[1] for x in out]})
+
+    rows = stream.withWatermark("at", "0 seconds")
+    return rows.groupBy("source_id").applyInPandasWithState(run, "source_id long, at timestamp, action string", "failures int, mode string", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def pressure_monitor(stream: DataFrame, soft: int = 1000, hard: int = 5000, recovery: int = 500) -> DataFrame:
     """(tenant_id, at, state) after each measurement (tenant_id, at, backlog)."""
 
@@ -84,21 +124,26 @@ def incident_versioning(stream: DataFrame) -> DataFrame:
 
 
 def ack_watermark_stream(stream: DataFrame) -> DataFrame:
-    """(run_id, watermark) whenever acknowledgements (run_id, sequence_no) of numbers without gaps move a run's prefix on.
+    """(run_id, partition_key, watermark) whenever changes (run_id, partition_key, sequence_no, state) move a key's acknowledged prefix on.
 
-    The state holds the prefix and the numbers acknowledged beyond it.
+    Numbers may have gaps: a handoff is known once a change of any state told of it, and the watermark is the highest
+    acknowledged number below the first known one that is open. The state holds the open numbers, and the acknowledged
+    ones above the first of them; both are bounded by what is out for delivery.
     """
 
     def step(held, rows):
-        mark, beyond = held or (0, [])
-        late = set(beyond) | set(rows["sequence_no"].astype(int))
-        old = mark
-        while mark + 1 in late:
-            mark += 1
-        late = sorted(x for x in late if x > mark)
-        return (int(mark), [int(x) for x in late]), pd.DataFrame({"watermark": [mark] if mark > old else []})
+        mark, open_, acked = held or (-1, [], [])
+        still, done = set(open_), set(acked)
+        ack = rows["state"] == "ACKED"
+        done |= set(rows["sequence_no"][ack].astype(int))
+        still = (still | set(rows["sequence_no"][~ack].astype(int))) - done
+        first = min(still, default=None)
+        below = [x for x in done if first is None or x < first]
+        new = max(below, default=mark)
+        new, moved = max(mark, new), new > mark
+        return (int(new), sorted(int(x) for x in still if x > new), sorted(int(x) for x in done if x > new)), pd.DataFrame({"watermark": [new] if moved else []})
 
-    return _stateful(stream, "run_id", "run_id long, watermark long", "mark long, beyond array<long>", step)
+    return _stateful(stream, ["run_id", "partition_key"], "run_id long, partition_key string, watermark long", "mark long, still array<long>, done array<long>", step)
 
 
 def open_issue_stream(stream: DataFrame) -> DataFrame:
@@ -134,7 +179,38 @@ def stage_batches(stream: DataFrame, target: str, checkpoint: str):
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             existing = batch.sparkSession.createDataFrame([], batch.schema)
-        staged = outbox.stage_handoffs(batch.dropDuplicates(["idempotency_key"]), existing)
+        staged = outbox.stage_handoffs(batch, existing)
         staged.where("outcome = 'INSERT'").select(*batch.columns).write.mode("append").parquet(target)
 
     return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+#: What takes the rows of a micro-batch: the frame and the batch's number. A sink must take a batch that it has had before as done.
+Sink = Callable[[DataFrame, int], None]
+
+
+def parquet_sink(path: str) -> Sink:
+    """A sink that writes each batch to a folder of its own, so that a batch that is run again replaces itself."""
+    return lambda rows, batch: rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
+def receipt_port(deliver: Callable[[DataFrame], DataFrame], handoffs: DataFrame, now) -> DataFrame:
+    """handoffs after delivery: deliver gives receipts(handoff_id, durable, receipt_ref), which apply_receipts() judges."""
+    return outbox.apply_receipts(handoffs, deliver(handoffs), now)
+
+
+def stream_pipeline(stream: DataFrame, cfg, sinks: dict[str, Sink], checkpoint: str):
+    """A query that runs the record pipeline on each micro-batch and gives zones, lineage, handoffs, attempts, quarantine and issues to their sinks.
+
+    The query's checkpoint is where a restart goes on; what was acknowledged downstream is another matter, see ack_watermark_stream().
+    """
+    from ..operators.pipeline import process
+
+    def run(batch: DataFrame, number: int) -> None:
+        held = []
+        outcomes = process(batch, cfg, lambda df: held.append(df.persist()) or held[0])
+        for name, sink in sinks.items():
+            sink(getattr(outcomes, name), number)
+        held[0].unpersist()
+
+    return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
