@@ -132,6 +132,12 @@ def test_absent_is_not_null(spark):
         ({"enum": ["a", 1]}, "1", None),
         ({"allOf": [{"type": "object"}, {"required": ["q"]}]}, "{}", "$.q"),
         ({"type": "object"}, "not json", "$"),
+        ({"const": "città"}, '"città"', None),
+        ({"const": {"b": 1, "a": [2]}}, '{"a":[2],"b":1}', None),
+        ({"const": 1}, "1.0", None),
+        ({"const": 1}, '"1"', "$"),
+        ({"enum": [{"b": 1}, "è"]}, '{"b": 1}', None),
+        ({"enum": [True]}, "1", "$"),
     ],
 )
 def test_contract_keywords(spark, schema, document, path):
@@ -149,6 +155,7 @@ def test_delimited(spark, tmp_path):
     f = tmp_path / "a.csv"
     f.write_bytes("﻿nome_teatro;precisione\r\nA;\"edificio; circa\n10 m\"\r\nB;\r\nC\r\nD;1;2\r\n".encode())
     got = {r.payload["nome_teatro"]: (r.payload, r.error_code) for r in readers.read_delimited(spark, str(f), ";").collect()}
+    assert set(got) == {"A", "B", "C", "D"}
     assert got["A"] == ({"nome_teatro": "A", "precisione": "edificio; circa\n10 m"}, None)
     assert got["B"] == ({"nome_teatro": "B", "precisione": ""}, None)
     assert got["C"] == ({"nome_teatro": "C"}, None)
@@ -158,6 +165,109 @@ def test_delimited(spark, tmp_path):
         readers.read_delimited(spark, str(f))
 
 
+def test_delimited_rows_are_numbered_within_their_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\nA,Alpha\nB,Beta\n")
+    (tmp_path / "b.csv").write_text("id,name\nC,x,y\nD,z\n")
+    (tmp_path / "c.csv").write_text("id,other\nE,x\n")
+    rows = readers.read_delimited(spark, str(tmp_path))
+    got = {(r.file[-5:], r.ordinal): (r.payload.get("id"), r.error_code) for r in rows.collect()}
+    assert got == {
+        ("a.csv", 1): ("A", None), ("a.csv", 2): ("B", None), ("b.csv", 1): ("C", "ING_DELIMITED_TOO_MANY_FIELDS"), ("b.csv", 2): ("D", None), ("c.csv", 1): ("E", "ING_MANAGED_HEADER_INVALID"),
+    }
+    assert {r.payload["id"] for r in readers.release_assets(rows).collect()} == {"A", "B"}
+    assert readers.release_assets(rows, max_rows=1).count() == 0
+
+
+def test_features_of_xml(spark):
+    space = 'xmlns:w="http://www.opengis.net/wfs/2.0" xmlns:gml="http://www.opengis.net/gml"'
+    docs = [
+        (1, f'<w:FC {space}><w:member><r gml:id="r1"><name>A &amp; B</name><name>last</name><shape srsName="EPSG::4326"><gml:pos>1 <b>2</b></gml:pos></shape></r><s/></w:member><w:member/></w:FC>'),
+        (2, "<!DOCTYPE x []><x/>"), (3, "<x><open></x>"), (4, None), (5, "<x><featureMember><r/></featureMember></x>"),
+    ]
+    got = [(r.doc, r.fields, r.srs_name, r.gml_id, r.error_code) for r in readers.xml_feature_records(spark.createDataFrame(docs, "doc long, body string"), "LON_LAT").orderBy("doc").collect()]
+    assert got == [
+        (1, {"name": "last", "shape": "1 2"}, "EPSG::4326", "r1", None), (2, None, None, None, "ING_XML_DOCTYPE_FORBIDDEN"), (3, None, None, None, "ING_WFS_XML_INVALID"), (4, None, None, None, "ING_WFS_XML_INVALID"), (5, {}, None, None, None),
+    ]
+
+
+def test_pages_with_limits(spark):
+    pages = spark.createDataFrame([(1, '{"items":[{"id":1},{"id":2}],"nextPageToken":"p2"}'), (2, '{"items":[{"id":3}],"nextPageToken":" "}'), (3, '{"items":[1]}'), (4, "no"), (5, "{}")], "page long, body string")
+    got = [(r.page, r.ordinal, r.next_token, r.error_code) for r in readers.json_page_records(pages, "$.items", max_records=2, max_pages=4).orderBy("page", "ordinal").collect()]
+    assert got == [(1, 0, "p2", None), (1, 1, "p2", None), (2, 2, None, "ING_RECORD_LIMIT_EXCEEDED"), (3, None, None, "ING_JSON_RECORD_INVALID"), (4, None, None, "ING_JSON_INVALID"), (5, None, None, "ING_PAGE_LIMIT_EXCEEDED")]
+
+
+def test_first_row_of_a_batch_holds_the_key(spark):
+    new = spark.createDataFrame([("k", "p", 1, "h1"), ("k", "p", 2, "h2"), ("k", "q", 3, "h3")], "idempotency_key string, payload string, at int, handoff_id string")
+    none = new.limit(0)
+    got = {r.at: (r.outcome, r.staged_id, r.error_code) for r in outbox.stage_handoffs(new, none, "at").collect()}
+    assert got == {1: ("INSERT", "h1", None), 2: ("NOOP", "h1", None), 3: ("CONFLICT", "h1", "ING_IDEMPOTENCY_CONFLICT")}
+
+
+def test_canonical_texts(spark):
+    doc = F.lit('{"b":[3,{"z":1,"a":"x\\"y"},"2"],"a":null}')
+    r = spark.range(1).select(
+        scalar.canonical_json(doc).alias("c"), scalar.canonical_fingerprint(doc).alias("f"), scalar.any_value_equals(doc, F.lit('x"y')).alias("found"), scalar.any_value_equals(doc, F.lit("z")).alias("key"), scalar.any_value_equals(F.lit("no"), F.lit("z")).alias("none")
+    ).first()
+    assert r.c == '{"a":null,"b":[3,{"a":"x\\"y","z":1},"2"]}' and r.f == '{"a":null,"b":["2",3,{"a":"x\\"y","z":1}]}'
+    assert (r.found, r.key, r.none) == (True, False, False)
+
+
+@pytest.mark.parametrize("header, seconds", [("120", 120), ("0", None), (" 7 ", 7), ("Wed, 01 Jan 2025 00:01:00 GMT", 60), ("Wed, 1 Jan 2025 00:01:00 GMT", 60), ("Tue, 31 Dec 2024 00:00:00 GMT", None), ("soon", None), (None, None)])
+def test_retry_after(spark, header, seconds):
+    now = F.lit("2025-01-01T00:00:00Z").cast("timestamp")
+    assert spark.range(1).select(scalar.retry_after_seconds(F.lit(header).cast("string"), now).alias("s")).first().s == seconds
+
+
+def test_circuit_waits_as_long_as_it_is_asked_to(spark):
+    log = spark.createDataFrame([(1, 10, 1, "SUCCESS", None), (1, 20, 2, "TRANSIENT", 300)], "source_id long, at_seconds long, event_id long, outcome string, retry_after long")
+    r = health.circuit_states(log).first()
+    assert (r.status, r.failures, r.retry_at) == ("DEGRADED", 1, 320)
+
+
+def test_watermark_of_a_stream_with_gaps_and_late_changes(spark, tmp_path):
+    def batch(n, rows):
+        spark.createDataFrame(rows, "run_id long, partition_key string, sequence_no long, state string").coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+
+    def run():
+        source = spark.readStream.schema("run_id long, partition_key string, sequence_no long, state string").option("recursiveFileLookup", True).parquet(f"{tmp_path}/in")
+        out = jobs.ack_watermark_stream(source).writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).outputMode("append").start(f"{tmp_path}/out")
+        out.awaitTermination()
+        return sorted(r.watermark for r in spark.read.parquet(f"{tmp_path}/out").collect())
+
+    batch(1, [(1, "p", 2, "READY"), (1, "p", 5, "READY"), (1, "p", 9, "READY"), (1, "p", 5, "ACKED")])
+    assert run() == []
+    batch(2, [(1, "p", 2, "ACKED")])
+    assert run() == [5]
+    batch(3, [(1, "p", 9, "ACKED"), (1, "p", 2, "ACKED")])
+    assert run() == [5, 9]
+
+
+def test_pipeline_keeps_what_its_steps_had_written(spark):
+    from tidewell.operators import pipeline
+
+    base = {"operation": None, "validFrom": "2025-01-01T00:00:00+01:00", "observedAt": "2025-01-01T00:00:00Z"}
+    rows = [
+        (1, {"name": "Town Hall"}, base), (2, {"name": "x"}, base | {"observedAt": None}), (3, {"unexpected": "x"}, base), (4, {"name": "x"}, base | {"operation": "TOMBSTONE", "baseRevisionRef": "r"}), (5, {"name": "x"}, base | {"baseRevisionRef": "r"}),
+    ]
+    df = spark.createDataFrame([("run", "p", i, 1, "s", "b", "1", "c", f"o{i}", "corr", "2025-02-01T00:00:00Z", p, q) for i, p, q in rows],
+        "run_id string, partition_key string, sequence_no long, attempt_no int, source_id string, bundle_id string, bundle_version string, bundle_checksum string, source_object_id string, correlation_id string, acquired_at string, payload map<string,string>, provenance map<string,string>")
+    cfg = pipeline.Config([("name", "https://example.test/name", "IDENTITY")], {"sourceSchemaRef": "s"}, observation_policy="PROVENANCE_OBSERVED_AT", change_mode="DELTA_PATCH", expected_fields=["name"])
+    out = pipeline.process(df, cfg)
+    zones = {}
+    for r in out.zones.collect():
+        zones.setdefault(r.source_object_id, set()).add(r.zone)
+    whole = {"RAW", "NORMALIZED", "CURATED"}
+    assert zones == {"o1": whole, "o3": {"RAW"}, "o4": whole, "o5": whole}
+    assert {r.source_object_id: r.reason_code for r in out.quarantine.collect()} == {"o1": "ING_DELTA_BASE_REQUIRED", "o2": "ING_OBSERVED_AT_MISSING", "o3": "ING_SCHEMA_INCOMPATIBLE"}
+    assert {r.source_object_id: r.payload_ref for r in out.quarantine.collect()}["o2"] == "source-object:o2"
+    import json
+
+    docs = {json.loads(r.payload)["sourceIdentity"]["sourceObjectId"]: json.loads(r.payload) for r in out.handoffs.collect()}
+    assert set(docs) == {"o4", "o5"} and docs["o5"]["canonicalPayload"] == {"https://example.test/name": "x"} and "canonicalPayload" not in docs["o4"]
+    assert docs["o5"]["sourceIdentity"]["validFrom"].startswith("2024-12-31T23:00:00") and docs["o5"]["changeRepresentation"]["mode"] == "DELTA_PATCH"
+    assert out.attempts.where("state = 'FAILED'").count() == 3 and out.issues.count() == 3 and out.lineage.count() == 2
+
+
 def test_geometry_defects(spark):
     good = bytes.fromhex("475000" + "01" + "e6100000" + "01" + "01000000" + "0000000000002a40" + "0000000000804640")
     bad = [good[:-1], good + b"\0", b"XX" + good[2:], good[:4] + b"\0\0\0\0" + good[8:], good[:9] + b"\x09" + good[10:], b"", None]
