@@ -223,7 +223,7 @@ def test_toxicity_on_held_out_rows(spark):
     held = [(label[r.doc_id], r.predicted) for r in out if r.held_out and r.doc_id in label]
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in out)
     hit, false = sum(a and b for a, b in held), sum(b and not a for a, b in held)
-    assert hit >= 0.6 * sum(a for a, _ in held) and false <= 0.02 * len(held)
+    assert hit >= 0.9 * sum(a for a, _ in held) and false <= 0.01 * len(held)
 
 
 def test_secrets(spark):
@@ -233,3 +233,48 @@ def test_secrets(spark):
     rows = [(i, f"some words password={h} and more words") for i, h in enumerate(hexes)] + [(100 + i, f"write to name{i}.07@mail{i}.example.com or call 47995678898645{i:02d} now") for i in range(40)]
     out = scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert all(r.is_secret for r in out if r.doc_id < 100) and not any(r.is_secret for r in out if r.doc_id >= 100)
+
+
+def test_quality_score(run, docs):
+    """The score by hand: tokens and their neighbours by their own counts; hashing puts different ones into a bucket at times."""
+    from math import log
+
+    from tidewell.llm import quality as Q
+
+    good = {r["doc_id"] for r in pq.read_table(f"{SF}/labels.parquet").to_pylist() if r["quality"] == 1}
+    grams = {}
+    raw, trusted = Counter(), Counter()
+    for d in docs:
+        t = re.findall(Q.TOKEN, d["text"] or "")
+        grams[d["doc_id"]] = [*t, *zip(t, t[1:])]
+        raw.update(grams[d["doc_id"]])
+        if d["doc_id"] in good:
+            trusted.update(grams[d["doc_id"]])
+    n, m = sum(raw.values()) + Q.BUCKETS, sum(trusted.values()) + Q.BUCKETS
+    got = {r.doc_id: (r.score, r.base_failed, r.kept) for r in run("op7_quality_rules").collect()}
+    near = 0
+    for i, g in grams.items():
+        score, failed, kept = got[i]
+        assert (score is None) == (not g) and kept == (not failed and (score or 0) >= Q.THRESHOLD)
+        if g:
+            near += abs(score - sum(log((trusted[x] + 1) / m) - log((raw[x] + 1) / n) for x in g) / len(g)) < 0.15
+    assert near >= 0.95 * sum(map(bool, grams.values()))
+
+
+def test_forest_finds_a_format_that_it_was_not_shown(spark):
+    """Labelled findings without any AKIA key: the forest tells them by their shape and surroundings."""
+    from tidewell.llm import secrets
+
+    rng = np.random.default_rng(5)
+    letters, hexes = list("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), list("0123456789abcdef")
+    pick = lambda of, n: "".join(rng.choice(of, n))
+    rows = [(i, f"some words token = {pick(hexes, 40)} and more words") for i in range(60)] + [(100 + i, f"ghp_{pick(list('abcdefghijkmnopqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789'), 36)} was left here") for i in range(60)]
+    rows += [(200 + i, f"write to name{i}.07@mail{i}.example.com or call 47995678898645{i:02d} now, see https://www.example.com/archive/20{i:02d}/page") for i in range(60)]
+    rows += [(300 + i, f"the key AKIA{pick(letters, 16)} of the account") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = secrets.with_features(secrets.candidates(docs), docs)
+    told = secrets.seed_findings(found).where("value not like 'AKIA%'")
+    out = secrets.scan(docs, told).collect()
+    held = [r.is_secret for r in out if r.doc_id >= 300 and r.value.startswith("AKIA")]
+    clean = [r.is_secret for r in out if 200 <= r.doc_id < 300]
+    assert len(held) == 60 and sum(held) >= 54 and sum(clean) <= 0.02 * len(clean)
