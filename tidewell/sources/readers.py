@@ -38,16 +38,16 @@ def read_delimited(spark: SparkSession, path: str, delimiter: str = ",", max_cel
     schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))] + [StructField("corrupt", StringType())])
     rows = spark.read.options(enforceSchema=True, columnNameOfCorruptRecord="corrupt", **options).schema(schema).csv(path)
     rows = rows.select("*", F.col("_metadata.file_path").alias("file")).withColumn("n", F.monotonically_increasing_id())
-    cell = lambda i: F.trim(F.ltrim(F.coalesce(F.col(f"c{i}"), F.lit("")), F.lit("\ufeff")))
-    heads = rows.groupBy("file").agg(F.min(F.struct("n", F.array(*map(cell, range(len(names)))).alias("names"))).alias("head")).select("file", F.col("head.n").alias("top"), F.col("head.names").alias("names"))
+    tops = rows.groupBy("file").agg(F.min("n").alias("top"))
+    cells = F.array(*(F.coalesce(F.col(f"c{i}"), F.lit("")) for i in range(len(names))))
+    heads = rows.join(tops.withColumnRenamed("top", "n"), ["file", "n"]).select("file", F.col("n").alias("top"), F.transform(cells, lambda c: F.trim(F.ltrim(c, F.lit("\ufeff")))).alias("names"))
     rows = rows.join(heads, "file").where("n > top")
     fields = F.when(F.col("corrupt").isNull(), len(names)).otherwise(F.size(F.regexp_extract_all(F.col("corrupt"), F.lit(f'(?:"(?:[^"]|"")*"|[^{delimiter}"])*(?:{delimiter}|$)'), F.lit(0))) - 1)
-    entries = F.filter(
-        F.array(*(F.struct(F.lit(n).alias("k"), F.coalesce(F.col(f"c{i}"), F.lit("")).alias("v"), F.lit(i).alias("i")) for i, n in enumerate(names))), lambda e: e["i"] < F.col("fields")
-    )
-    payload = F.map_from_entries(F.transform(entries, lambda e: F.struct(e["k"].alias("key"), e["v"].alias("value"))))
-    wide = F.exists(F.map_values("payload"), lambda v: F.length(v) > max_cell)
-    out = rows.withColumn("fields", fields).withColumn("payload", payload)
+    rows = rows.select("file", "n", "top", "names", fields.alias("fields"), cells.alias("cells"))
+    held = F.least(F.col("fields"), F.lit(len(names)))
+    payload = F.map_from_arrays(F.slice(F.array(*map(F.lit, names)), F.lit(1), held), F.slice("cells", F.lit(1), held))
+    wide = F.exists("cells", lambda v: F.length(v) > max_cell)
+    out = rows.withColumn("payload", payload)
     other = F.col("names") != F.array(*map(F.lit, names))
     code = F.when(other, "ING_MANAGED_HEADER_INVALID").when(F.col("fields") > len(names), "ING_DELIMITED_TOO_MANY_FIELDS").when(wide, "ING_MANAGED_CELL_TOO_LONG")
     return out.select("file", (F.col("n") - F.col("top")).alias("ordinal"), "payload", code.alias("error_code"))
