@@ -174,9 +174,19 @@ def test_tokenizer_words(text):
     from tokenizers import Tokenizer
 
     words = packing.Words(queries.tokenizer_path())
+    assert words.by_word
     assert words([text])[0].tolist() == Tokenizer.from_file(queries.tokenizer_path()).encode(text, add_special_tokens=False).ids
 
 
+def test_words_of_another_vocabulary():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    words, text = packing.Words(path), "Don't WON'T  split me by word, 12 é"
+    assert not words.by_word and words([text])[0].tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
 def test_cuts_are_the_best_ones():
     rng = np.random.default_rng(3)
     for _ in range(50):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from array import array
@@ -26,6 +27,14 @@ RARE = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 #: The byte-level vocabularies' sign of each byte: itself where it is printable Latin-1, else the next of those from U+0100 on.
 _PLAIN = [b for b in range(256) if 33 <= b <= 126 or b >= 161 and b != 173]
 SIGNS = {b: b if b in _PLAIN else 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))} | {b: b for b in _PLAIN}
+#: The steps of a tokenizer file before its model that Words repeats word by word.
+STEPS = {
+    "normalizer": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    "pre_tokenizer": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -44,15 +53,19 @@ class Known(dict):
 class Words:
     """Ids of a text from the tokenizer file, word by word with a cache where that provably gives the same ids.
 
-    The tokenizer composes (NFC), lowers case, and splits into runs of letters, single digits and runs of other signs,
-    which it encodes one by one. For texts of characters below U+0250 without rare controls and marks these steps are
-    the same here, so that each distinct word is encoded once; any other text goes through the tokenizer as it is.
+    A tokenizer of these STEPS composes (NFC), lowers case, and splits into runs of letters, single digits and runs of other
+    signs, which it encodes one by one. For texts of characters below U+0250 without rare controls and marks these steps
+    are the same here, so that each distinct word is encoded once; any other text, and every text of a tokenizer of other
+    steps, goes through the tokenizer as it is.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        told = json.loads(self.tokenizer.to_str())
+        steps = {k: (told[k] or {}).get("pretokenizers" if k == "pre_tokenizer" else "normalizers") for k in STEPS}
+        self.by_word = steps == STEPS and told["model"].get("dropout") is None and not told["model"].get("ignore_merges")
         self.known = Known(self.tokenizer.model)
         kinds = {k: "".join(f"\\u{c:04x}" for c in range(0x250) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
         self.split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{kinds['L']}]+|[{kinds['N']}]|[^\s{kinds['L']}{kinds['N']}]+").findall
@@ -64,7 +77,7 @@ class Words:
             self.known.clear()
         get, out = self.known.__getitem__, []
         for t in texts:
-            if any(c in t for c in RARE) or not t.isascii() and self.odd(t):
+            if not self.by_word or any(c in t for c in RARE) or not t.isascii() and self.odd(t):
                 out.append(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32))
             else:
                 out.append(np.frombuffer(b"".join(map(get, self.split(t.lower()))), np.uint32))
