@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from conftest import DATA
+from pyspark.sql import functions as F
 from tidewell.llm import lines as L
 from tidewell.llm import packing, queries, wordhash
 
@@ -246,45 +247,48 @@ def test_secrets(spark):
 
 
 def test_quality_score(run, docs):
-    """The score by hand: tokens and their neighbours by their own counts; hashing puts different ones into a bucket at times."""
+    """The score by hand, with the same hash of every token and pair from another library."""
     from math import log
 
+    import xxhash
     from tidewell.llm import quality as Q
 
     good = {r["doc_id"] for r in pq.read_table(f"{SF}/labels.parquet").to_pylist() if r["quality"] == 1}
-    grams = {}
-    raw, trusted = Counter(), Counter()
+    grams, raw, trusted = {}, Counter(), Counter()
     for d in docs:
-        t = re.findall(Q.TOKEN, d["text"] or "")
-        grams[d["doc_id"]] = [*t, *zip(t, t[1:])]
-        raw.update(grams[d["doc_id"]])
+        h = [xxhash.xxh64_intdigest(t.encode(), 42) for t in re.findall(Q.TOKEN, d["text"] or "")]
+        pairs = [xxhash.xxh64_intdigest(b.to_bytes(8, "little"), xxhash.xxh64_intdigest(a.to_bytes(8, "little"), 42)) for a, b in zip(h, h[1:])]
+        g = grams[d["doc_id"]] = [x % Q.BUCKETS for x in h + pairs]
+        raw.update(g)
         if d["doc_id"] in good:
-            trusted.update(grams[d["doc_id"]])
+            trusted.update(g)
     n, m = sum(raw.values()) + Q.BUCKETS, sum(trusted.values()) + Q.BUCKETS
     got = {r.doc_id: (r.score, r.base_failed, r.kept) for r in run("op7_quality_rules").collect()}
-    near = 0
     for i, g in grams.items():
         score, failed, kept = got[i]
         assert (score is None) == (not g) and kept == (not failed and (score or 0) >= Q.THRESHOLD)
-        if g:
-            near += abs(score - sum(log((trusted[x] + 1) / m) - log((raw[x] + 1) / n) for x in g) / len(g)) < 0.15
-    assert near >= 0.95 * sum(map(bool, grams.values()))
+        assert not g or abs(score - sum(log((trusted[x] + 1) / m) - log((raw[x] + 1) / n) for x in g) / len(g)) < 1e-4
 
 
-def test_forest_finds_a_format_that_it_was_not_shown(spark):
-    """Labelled findings without any AKIA key: the forest tells them by their shape and surroundings."""
+def test_forest_finds_formats_that_it_was_not_shown(spark):
+    """Labelled findings without any of one format: the forest tells them from others by their shape and surroundings."""
     from tidewell.llm import secrets
 
     rng = np.random.default_rng(5)
-    letters, hexes = list("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), list("0123456789abcdef")
-    pick = lambda of, n: "".join(rng.choice(of, n))
-    rows = [(i, f"some words token = {pick(hexes, 40)} and more words") for i in range(60)] + [(100 + i, f"ghp_{pick(list('abcdefghijkmnopqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789'), 36)} was left here") for i in range(60)]
-    rows += [(200 + i, f"write to name{i}.07@mail{i}.example.com or call 47995678898645{i:02d} now, see https://www.example.com/archive/20{i:02d}/page") for i in range(60)]
-    rows += [(300 + i, f"the key AKIA{pick(letters, 16)} of the account") for i in range(60)]
+    hexes, upper, mixed = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijkmnopqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"
+    pick = lambda of, n: "".join(rng.choice(list(of), n))
+    kinds = {
+        "token": lambda: f"some words token = {pick(hexes, 40)} and more", "AKIA": lambda: f"the key AKIA{pick(upper, 16)} of the account", "ghp": lambda: f"ghp_{pick(mixed, 36)} was left here",
+        "xox": lambda: f"a hook xoxb-{pick(hexes[:10], 12)}-{pick(mixed, 24)} was left", "sk": lambda: f"charge with sk_live_{pick(mixed, 24)} now", "AIza": lambda: f"maps need AIza{pick(mixed, 35)} to load",
+    }
+    rows = [(1000 * j + i, f()) for j, f in enumerate(kinds.values()) for i in range(50)]
+    rows += [(9000 + i, f"write to name{i}.07@mail{i}.example.com or call 47995678898645{i:03d} now, see https://www.example.com/archive/20{i:02d}/page in section12.3.4.5.6.7 of version-2024.11.{i}") for i in range(90)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = secrets.with_features(secrets.candidates(docs), docs)
-    told = secrets.seed_findings(found).where("value not like 'AKIA%'")
-    out = secrets.scan(docs, told).collect()
-    held = [r.is_secret for r in out if r.doc_id >= 300 and r.value.startswith("AKIA")]
-    clean = [r.is_secret for r in out if 200 <= r.doc_id < 300]
-    assert len(held) == 60 and sum(held) >= 54 and sum(clean) <= 0.02 * len(clean)
+    found = secrets.with_features(secrets.candidates(docs), docs).cache()
+    told = secrets.seed_findings(found)
+    for j, kind in enumerate(kinds):
+        if kind in ("AKIA", "ghp", "xox"):
+            out = secrets.scan(docs, told.where(F.col("doc_id").between(1000 * j, 1000 * j + 999) == F.lit(False))).collect()
+            held = [r.is_secret for r in out if r.doc_id // 1000 == j and len(r.value) >= 16]
+            clean = [r.is_secret for r in out if r.doc_id >= 9000]
+            assert len(held) == 50 and sum(held) >= 45 and sum(clean) <= 0.02 * len(clean)

@@ -21,7 +21,7 @@ SENTENCE, WORD = 8, 24
 STEP = 16
 #: A partition is worked on in runs of about so many tokens; what is left of one run begins the next.
 RUN = 1 << 18
-CACHE = 1_000_000
+CACHE = 200_000
 #: Controls that only Python counts as white space, and how special tokens begin.
 RARE = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 #: The byte-level vocabularies' sign of each byte: itself where it is printable Latin-1, else the next of those from U+0100 on.
@@ -63,9 +63,9 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        told = json.loads(self.tokenizer.to_str())
-        steps = {k: (told[k] or {}).get("pretokenizers" if k == "pre_tokenizer" else "normalizers") for k in STEPS}
-        self.by_word = steps == STEPS and told["model"].get("dropout") is None and not told["model"].get("ignore_merges")
+        told = {k: json.loads(getattr(self.tokenizer, k).__getstate__()) if getattr(self.tokenizer, k) is not None else {} for k in STEPS}
+        steps = {k: v.get("pretokenizers" if k == "pre_tokenizer" else "normalizers") for k, v in told.items()}
+        self.by_word = steps == STEPS and getattr(self.tokenizer.model, "dropout", None) is None
         self.known = Known(self.tokenizer.model)
         kinds = {k: "".join(f"\\u{c:04x}" for c in range(0x250) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
         self.split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{kinds['L']}]+|[{kinds['N']}]|[^\s{kinds['L']}{kinds['N']}]+").findall

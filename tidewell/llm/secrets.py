@@ -28,6 +28,8 @@ RANDOM = r"(?<![A-Za-z0-9_+-])(?=[A-Za-z_+-]*[0-9])(?=[0-9_+-]*[A-Za-z])[A-Za-z0
 TRUE_FORMATS = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^sk_live_[0-9A-Za-z]{16,}$|^AIza[0-9A-Za-z_-]{35}$"
 ASSIGNED = rf"(?i)({HINTS})[a-z_]*[\"']?\s*[=:]+\s*[\"']?[A-Za-z0-9+/_=-]{{12,}}[\"']?[.,;]?$"
 FALSE_FORMATS = r"@|^[0-9 .,+()-]+$|^https?:|^www\.|[#$%&*|<>]{2,}|!!|^(.)\1+$"
+#: URLs and host names, and words, dates, versions and numbers of short parts, as they stand in the text.
+FALSE_WORDS = r"(?i)^[\"'(<\[]*(https?|ftp)://|^[\"'(<\[]*[a-z0-9-]+(\.[a-z0-9-]+)*\.[a-z]{2,6}(/\S*)?[.,;:)\]>\"']*$|^[\"'(\[]*[a-z-]*[0-9]{1,6}([.,:/_-][0-9a-z]{1,6})*[.,;:!?)\]\"']*$"
 FEATURES = ("length", "transitions", "digits", "uppers", "letters", "distinct", "coverage", "path", "before", "inside", "sentence")
 
 
@@ -88,7 +90,7 @@ def seed_findings(found: DataFrame) -> DataFrame:
     value = F.col("value")
     yes = value.rlike(TRUE_FORMATS) | told.rlike(ASSIGNED) & ~value.rlike("^[A-Za-z]+$") | told.rlike(PASSWORD) & ~F.col("path").cast("boolean")
     open_ = F.col("word").rlike(USER_INFO) | F.col("path").cast("boolean") & value.rlike(RANDOM) | told.rlike(NAMED) & ~value.rlike(NO_VALUE)
-    no = value.rlike(FALSE_FORMATS) | value.rlike(NO_VALUE)
+    no = value.rlike(FALSE_FORMATS) | value.rlike(NO_VALUE) | F.col("word").rlike(FALSE_WORDS)
     return found.withColumn("label", F.when(yes, 1.0).when(no & ~open_, 0.0))
 
 
