@@ -134,9 +134,9 @@ def ack_watermark_stream(stream: DataFrame) -> DataFrame:
     def step(held, rows):
         mark, open_, acked = held or (-1, [], [])
         still, done = set(open_), set(acked)
-        ack = rows["state"] == "ACKED"
-        done |= set(rows["sequence_no"][ack].astype(int))
-        still = (still | set(rows["sequence_no"][~ack].astype(int))) - done
+        told = list(zip(rows["sequence_no"].tolist(), rows["state"].tolist(), strict=True))
+        done |= {n for n, state in told if state == "ACKED"}
+        still = (still | {n for n, _ in told}) - done
         first = min(still, default=None)
         below = [x for x in done if first is None or x < first]
         new = max(below, default=mark)
