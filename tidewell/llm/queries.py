@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, licenses, lines, minhash, mixing, packing, quality, secrets, topk, toxicity
+from . import html, licenses, lines, merkle, minhash, mixing, packing, quality, secrets, topk, toxicity
 from .shared import table
 
 
@@ -59,6 +59,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 TOP_K_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
@@ -74,7 +78,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_topk, op3_mixing, op4_line_dedup, op5_secret_scan, op6_license_scan, op7_quality_rules, op8_packing, op9_html_text, op10_toxicity)}
+    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_topk, op3_mixing, op4_line_dedup, op5_secret_scan, op6_license_scan, op7_quality_rules, op8_packing, op9_html_text, op10_toxicity, op11_merkle_manifest)}
 
 
 def oracle_sql() -> dict[str, str]:
