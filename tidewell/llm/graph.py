@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import staged
+from .shared import numbered, staged
 
 #: Distinct vectors in a shard at most, edges that pruning leaves, edges from which on a node is pruned again, places in a beam while building, and by how much a pruned edge is longer than the one to its detour.
 SHARD, EDGES, ROOM, BEAM, SLACK = 1 << 15, 32, 48, 64, 1.2
@@ -17,17 +17,16 @@ SHARD, EDGES, ROOM, BEAM, SLACK = 1 << 15, 32, 48, 64, 1.2
 WIDE, TOGETHER, STEP = 128, 512, 4
 
 
-def lifted(v: np.ndarray) -> np.ndarray:
-    """Vectors with one more component that makes all as long as the longest: then the nearest is the one of the largest inner product."""
-    n2 = np.einsum("ij,ij->i", v, v)
-    return np.concatenate([v, np.sqrt(np.maximum(n2.max(initial=0.0) - n2, 0.0))[:, None]], 1).astype(np.float32)
+def directions(v: np.ndarray) -> np.ndarray:
+    """Vectors at length 1."""
+    return (v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]).astype(np.float32)
 
 
 def beam_search(v: np.ndarray, out: np.ndarray, q: np.ndarray, start: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each query of q the (nodes, distances) of its `beam` nearest that the graph leads to from `start`, nearest first; node -1 where there are fewer.
+    """For each query of q the (nodes, distances) of the `beam` nodes of largest inner product that the graph leads to from `start`, largest first; node -1 where there are fewer.
 
-    All queries go in step: each expands its nearest STEP unexpanded nodes, until none is left in its beam. v and q are
-    of one length each, so that the distance is minus the inner product.
+    All queries go in step: each expands its nearest STEP unexpanded nodes, until none is left in its beam. The
+    distance is minus the inner product.
     """
     n, most = len(q), out.shape[1] * STEP
     ids = np.full((n, beam), -1, np.int32)
@@ -91,7 +90,7 @@ def pruned(v: np.ndarray, node: np.ndarray, pool: np.ndarray) -> np.ndarray:
 
 
 def built(v: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, int]:
-    """The graph (out-edges of each node, -1 for none) over lifted vectors, and the node where searches start.
+    """The graph (out-edges of each node, -1 for none) over directions, and the node where searches start.
 
     Nodes enter in batches of at most a sixteenth of the graph so far: each batch searches the graph, prunes what it met
     into edges, and is linked back; a node with more than ROOM edges is pruned again.
@@ -154,7 +153,7 @@ def nodes_of(rows: DataFrame, k: int) -> DataFrame:
 def _shard_index(frames: Iterator[pa.Table], dim: int) -> Iterator[pa.RecordBatch]:
     """One shard's rows (shard, v, ids) with node, the edges out of it and whether searches start there."""
     t = pa.concat_tables([pa.Table.from_batches([b]) for b in frames]).combine_chunks()
-    v = lifted(stacked(t.column("v").combine_chunks(), dim))
+    v = directions(stacked(t.column("v").combine_chunks(), dim))
     out, start = built(v)
     edges = pa.array([[int(x) for x in row if x >= 0] for row in out], pa.list_(pa.int32()))
     node = np.arange(len(v), dtype=np.int32)
@@ -177,16 +176,18 @@ def stacked(col: pa.Array, dim: int) -> np.ndarray:
 def index(vectors: DataFrame, k: int, shard: int = SHARD) -> tuple[DataFrame, DataFrame, int, int]:
     """The staged index (shard, node, starts, v, ids, edges) of every row of vectors(vec_id, embedding), the rows that take part, the number of shards and the longest vector's components.
 
-    Distinct vectors are dealt to shards of `shard` at most, at random; each shard's graph is built in one task.
+    Distinct vectors are dealt to shards of `shard` at most by their length, those of equal length at random. A graph
+    links what lies in like directions and is searched by inner products, which agree the better the more alike a
+    shard's lengths are. Each shard's graph is built in one task.
     """
     rows = staged(clean(vectors), "vectors")
-    nodes = staged(nodes_of(rows, k).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    nodes = staged(nodes_of(rows, k), "nodes")
     about = nodes.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim")).first()
-    slots = max(2, vectors.sparkSession.sparkContext.defaultParallelism)
-    # shards that fill evenly leave a tenth for the spread of a random deal
-    shards = max(1, -(-about.n * 10 // (shard * 9)), min(slots, about.n // 2048))
-    dealt = nodes.select(F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard"), "v", "ids")
-    dim = about.dim or 1
+    dim, slots = about.dim or 1, max(2, vectors.sparkSession.sparkContext.defaultParallelism)
+    shards = max(1, -(-about.n // shard), min(slots, about.n // 2048))
+    length = F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double"))
+    placed = numbered(nodes.select("v", "ids", F.round(length, 5).alias("length"), F.xxhash64("v").alias("turn"), F.lit(0).alias("all")), "all", ["length", "turn"], "placed")
+    dealt = placed.select(F.floor(F.col("idx") * shards / F.col("n")).cast("int").alias("shard"), "v", "ids")
     made = dealt.groupBy("shard").applyInArrow(lambda t: pa.Table.from_batches(_shard_index(iter(t.to_batches()), dim)), "shard int, node int, starts boolean, v array<float>, ids array<long>, edges array<int>")
     return staged(made, "index"), rows, shards, dim
 
@@ -226,7 +227,7 @@ def _answers(batches: Iterator[pa.RecordBatch], dim: int, k: int, wide: int) ->
 
 
 def held(t: pa.Table, dim: int) -> tuple:
-    """A shard in memory: original vectors, lifted ones, edges, start, and the vec_ids of each node."""
+    """A shard in memory: original vectors, the same in floats with the longest at length 1, edges, start, and the vec_ids of each node."""
     t = t.sort_by("node").combine_chunks()
     v = stacked(t.column("v"), dim)
     edges = t.column("edges").combine_chunks()
@@ -235,14 +236,13 @@ def held(t: pa.Table, dim: int) -> tuple:
     out[np.repeat(np.arange(len(v)), n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)] = edges.flatten().to_numpy()
     ids = t.column("ids").combine_chunks()
     start = int(np.flatnonzero(t.column("starts").combine_chunks().to_numpy(zero_copy_only=False))[0])
-    return v, lifted(v), out, start, ids.offsets.to_numpy(), ids.flatten().to_numpy()
+    return v, (v / np.sqrt(np.einsum("ij,ij->i", v, v).max())).astype(np.float32), out, start, ids.offsets.to_numpy(), ids.flatten().to_numpy()
 
 
 def searched(graph: tuple, qid: np.ndarray, own: np.ndarray, q: np.ndarray, k: int, wide: int) -> pa.RecordBatch:
     """(query_id, own, vec_id, score) of what a shard holds near the queries: of each query its k best of other ids, scored in doubles on the original vectors."""
-    v, long, out, start, off, ids = graph
-    turned = np.concatenate([q, np.zeros((len(q), 1))], 1).astype(np.float32)
-    nodes, _ = beam_search(long, out, turned, start, min(wide, len(v)))
+    v, scaled, out, start, off, ids = graph
+    nodes, _ = beam_search(scaled, out, directions(q), start, min(wide, len(v)))
     r, c = np.nonzero(nodes >= 0)
     node = nodes[r, c]
     score = np.concatenate([np.einsum("ij,ij->i", q[r[a : a + 65536]], v[node[a : a + 65536]]) for a in range(0, len(r), 65536)] or [np.zeros(0)])

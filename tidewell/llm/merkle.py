@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import discard, staged
+from .shared import discard, numbered, staged
 
 #: Nodes under one parent.
 FAN = 16
@@ -18,20 +18,6 @@ def leaf_hash(*fields: Column) -> Column:
     return F.sha2(F.concat(*(F.coalesce(F.concat(F.octet_length(f).cast("string"), F.lit(":"), f), F.lit("-")) for f in text)), 256)
 
 
-def numbered(rows: DataFrame, key: str, order: list[str], label: str) -> DataFrame:
-    """rows with idx from 0 within their key (null is a key) and n, the key's rows, as a staged table; of a key's rows no window sees more than one a partition."""
-    laid = staged(rows.repartitionByRange(key, *order).sortWithinPartitions(key, *order).withColumn("at", F.monotonically_increasing_id()), label)
-    laid = laid.withColumn("part", F.shiftright("at", 33))
-    runs = laid.groupBy(F.col(key).alias("k"), F.col("part").alias("p")).agg(F.min("at").alias("first"), F.count("*").alias("held"))
-    all_of = Window.partitionBy("k")
-    earlier = all_of.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("before", F.coalesce(F.sum("held").over(earlier), F.lit(0))).withColumn("n", F.sum("held").over(all_of))
-    out = laid.join(runs, F.col(key).eqNullSafe(F.col("k")) & (F.col("part") == F.col("p")))
-    out = staged(out.withColumn("idx", F.col("at") - F.col("first") + F.col("before")).drop("at", "part", "k", "p", "first", "held", "before"), label)
-    discard(laid)
-    return out
-
-
 def parents(nodes: DataFrame) -> DataFrame:
     """One level up: nodes(tree, idx, n, digest), of which FAN at most share a parent, as (tree, idx, n, kids, digest); kids are the digests from left to right."""
     kids = F.transform(F.array_sort(F.collect_list(F.struct("idx", "digest"))), lambda x: x["digest"])

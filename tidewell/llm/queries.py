@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import graph, html, licenses, lines, merkle, minhash, mixing, packing, quality, secrets, topk, toxicity
+from . import graph, html, licenses, lines, merkle, minhash, mixing, packing, quality, repair, secrets, topk, toxicity
 from .shared import table
 
 
@@ -63,6 +63,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
 def op13_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.neighbours(table(spark, sf_dir, "embeddings"), k=20, every=20)
 
@@ -82,7 +86,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_topk, op3_mixing, op4_line_dedup, op5_secret_scan, op6_license_scan, op7_quality_rules, op8_packing, op9_html_text, op10_toxicity, op11_merkle_manifest, op13_graph_neighbours)}
+    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_topk, op3_mixing, op4_line_dedup, op5_secret_scan, op6_license_scan, op7_quality_rules, op8_packing, op9_html_text, op10_toxicity, op11_merkle_manifest, op12_conversation_repair, op13_graph_neighbours)}
 
 
 def oracle_sql() -> dict[str, str]:
