@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import ranked, running
+
 
 def incident_versions(changes: DataFrame, key: str, order: list[str], values: list[str]) -> DataFrame:
     """Changes that really change a value, null-safe, with version from 1 per key; no-ops go."""
@@ -18,14 +20,19 @@ def incident_versions(changes: DataFrame, key: str, order: list[str], values: li
 def monotone_observation(changes: DataFrame, key: str, order: list[str], *times: str) -> DataFrame:
     """last_updated: the latest of these times (the clock's, the resolution's) that the key's changes so far have seen; nulls are passed over."""
     at = F.greatest(*times) if len(times) > 1 else F.col(times[0])
-    return changes.withColumn("last_updated", F.max(at).over(Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+    return running(changes, [key], order, {}, {"last_updated": at})
 
 
 def allocate_revisions(pending: DataFrame, clock: DataFrame, batch: int | None = None) -> DataFrame:
-    """pending with revision: dense per tenant after clock(tenant_id, last_revision), by issue_id and version; at most `batch` per tenant."""
-    n = F.row_number().over(Window.partitionBy("tenant_id").orderBy("issue_id", "issue_version"))
-    out = pending.join(clock, "tenant_id", "left").withColumn("__n", n)
-    out = out if batch is None else out.where(F.col("__n") <= batch)
+    """pending with revision: dense per tenant after clock(tenant_id, last_revision), by issue_id and version; at most `batch` per tenant.
+
+    Without a batch a tenant's rows are ranked over many tasks; a batch is the head of a window, which Spark cuts before the shuffle.
+    """
+    if batch is None:
+        out = ranked(pending, ["tenant_id"], ["issue_id", "issue_version"], "__n")
+    else:
+        out = pending.withColumn("__n", F.row_number().over(Window.partitionBy("tenant_id").orderBy("issue_id", "issue_version"))).where(F.col("__n") <= batch)
+    out = out.join(clock, "tenant_id", "left")
     return out.withColumn("revision", (F.col("__n") + F.coalesce("last_revision", F.lit(0))).cast("long")).drop("__n", "last_revision")
 
 
@@ -65,7 +72,8 @@ def priority() -> list[Column]:
 
 
 def prioritise_incidents(incidents: DataFrame) -> DataFrame:
-    return incidents.withColumn("position", (F.row_number().over(Window.partitionBy("tenant_id").orderBy(*priority())) - 1).cast("long"))
+    """incidents with their position from 0 in their tenant's order of priority; a tenant's rows are ranked over many tasks."""
+    return ranked(incidents, ["tenant_id"], priority(), "position").withColumn("position", F.col("position") - 1)
 
 
 def top_incidents(incidents: DataFrame, limit: int) -> DataFrame:

@@ -27,9 +27,8 @@ def due(now: Column) -> Column:
 
 
 def deliverable_handoffs(handoffs: DataFrame, now: Column) -> DataFrame:
-    """Claimable handoffs with no earlier open one of their key, by a running count instead of a self-join."""
-    earlier = F.sum((F.col("state") != "ACKED").cast("int")).over(Window.partitionBy(*KEY).orderBy("sequence_no").rowsBetween(Window.unboundedPreceding, -1))
-    return handoffs.withColumn("__open", F.coalesce(earlier, F.lit(0))).where((F.col("__open") == 0) & due(now)).drop("__open")
+    """Claimable handoffs with no earlier open one of their key: what is due is open itself, so that it is its key's first open one, a minimum."""
+    return next_deliverable(handoffs, now)
 
 
 def lease_expiry(handoffs: DataFrame, now: Column) -> DataFrame:
@@ -55,20 +54,25 @@ def stage_handoffs(new: DataFrame, existing: DataFrame, order: str | None = None
 
 
 def apply_receipts(handoffs: DataFrame, receipts: DataFrame, now: Column, wait: int = 30) -> DataFrame:
-    """handoffs with new_state, receipt_ref, error_code, retry_at from receipts(handoff_id, durable, receipt_ref).
+    """handoffs with new_state, receipt_ref, error_code, retry_at from receipts(handoff_id, durable, receipt_ref): one row for each handoff.
 
-    A durable receipt acknowledges, also once more; a receipt that is not durable, or none, is retried after `wait` seconds.
-    Where handoffs have expected_receipt_ref, a receipt of another reference counts as none.
+    A durable receipt acknowledges, and gives its reference; of several the least reference counts, so that reruns agree.
+    What was ACKED before stays so and keeps the receipt_ref that it has (none where handoffs have no such column). A
+    receipt that is not durable, or none, is retried after `wait` seconds. Where handoffs have expected_receipt_ref, a
+    receipt of another reference counts as none.
     """
-    r = receipts.select("handoff_id", "durable", "receipt_ref")
+    r = receipts.select("handoff_id", F.coalesce("durable", F.lit(False)).alias("durable"), F.col("receipt_ref").alias("__ref"))
     if "expected_receipt_ref" in handoffs.columns:
-        own = handoffs.select("handoff_id", "expected_receipt_ref").join(r, "handoff_id").where("expected_receipt_ref is null or expected_receipt_ref = receipt_ref")
-        r = own.select("handoff_id", "durable", "receipt_ref")
-    acked = (F.col("state") == "ACKED") | F.coalesce(F.col("durable"), F.lit(False))
-    code = F.when(~acked, F.when(F.col("durable").isNotNull(), "ING_ACK_NOT_DURABLE").otherwise("ING_DOWNSTREAM_UNAVAILABLE"))
+        own = handoffs.select("handoff_id", "expected_receipt_ref").distinct().join(r, "handoff_id").where("expected_receipt_ref is null or expected_receipt_ref = __ref")
+        r = own.select("handoff_id", "durable", "__ref")
+    r = r.groupBy("handoff_id").agg(F.max("durable").alias("__durable"), F.min(F.when(F.col("durable"), F.col("__ref"))).alias("__ref"))
+    held = F.col("receipt_ref") if "receipt_ref" in handoffs.columns else F.lit(None).cast("string")
+    before, acks = F.coalesce(F.col("state") == "ACKED", F.lit(False)), F.coalesce("__durable", F.lit(False))
+    code = F.when(~before & ~acks, F.when(F.col("__durable").isNotNull(), "ING_ACK_NOT_DURABLE").otherwise("ING_DOWNSTREAM_UNAVAILABLE"))
+    ref = F.when(before, held).when(acks, F.col("__ref"))
     return (
-        handoffs.join(r, "handoff_id", "left").withColumn("new_state", F.when(acked, "ACKED").otherwise("FAILED_RETRYABLE"))
-        .withColumn("error_code", code).withColumn("retry_at", F.when(~acked, now + F.make_dt_interval(secs=F.lit(wait)))).withColumn("receipt_ref", F.when(acked, F.col("receipt_ref"))).drop("durable")
+        handoffs.join(r, "handoff_id", "left").withColumn("new_state", F.when(before | acks, "ACKED").otherwise("FAILED_RETRYABLE"))
+        .withColumn("error_code", code).withColumn("retry_at", F.when(code.isNotNull(), now + F.make_dt_interval(secs=F.lit(wait)))).withColumn("receipt_ref", ref).drop("__durable", "__ref")
     )
 
 

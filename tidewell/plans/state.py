@@ -41,13 +41,16 @@ def lease_expiry(handoffs):
 
 
 @query(f"""SELECT run_id, sequence_no, CASE WHEN state = 'ACKED' OR durable THEN 'ACKED' ELSE 'FAILED_RETRYABLE' END AS new_state,
-  CASE WHEN state = 'ACKED' OR durable THEN receipt_ref END AS receipt_ref,
+  CASE WHEN state = 'ACKED' THEN concat('held', CAST(payload_key AS STRING)) WHEN durable THEN concat('r', CAST(payload_key AS STRING)) END AS receipt_ref,
   CASE WHEN state = 'ACKED' OR durable THEN NULL WHEN durable IS NOT NULL THEN 'ING_ACK_NOT_DURABLE' ELSE 'ING_DOWNSTREAM_UNAVAILABLE' END AS error_code,
   CASE WHEN state = 'ACKED' OR durable THEN NULL ELSE strftime({NOW_SQL} + INTERVAL 30 SECOND, '%Y-%m-%dT%H:%M:%S.%fZ') END AS retry_at
-FROM (SELECT *, CASE WHEN payload_key % 3 <> 2 THEN payload_key % 3 = 0 END AS durable, CASE WHEN payload_key % 3 <> 2 THEN concat('r', CAST(payload_key AS STRING)) END AS receipt_ref FROM handoffs)""", "handoffs")
+FROM (SELECT *, CASE WHEN payload_key % 3 <> 2 THEN payload_key % 3 = 0 END AS durable FROM handoffs)""", "handoffs")
 def apply_receipts(handoffs):
-    h = handoffs.withColumn("handoff_id", F.concat_ws(":", "run_id", "sequence_no"))
-    receipts = h.where("payload_key % 3 <> 2").select("handoff_id", F.expr("payload_key % 3 = 0").alias("durable"), F.expr("concat('r', payload_key)").alias("receipt_ref"))
+    """Receipts that come once, twice alike, and a second time without being durable; acknowledged handoffs have theirs."""
+    h = handoffs.withColumn("handoff_id", F.concat_ws(":", "run_id", "sequence_no")).withColumn("receipt_ref", F.expr("case when state = 'ACKED' then concat('held', payload_key) end"))
+    once = h.where("payload_key % 3 <> 2").select("handoff_id", F.expr("payload_key % 3 = 0").alias("durable"), F.expr("concat('r', payload_key)").alias("receipt_ref"), "payload_key")
+    weak = once.where("payload_key % 6 = 0").select("handoff_id", F.lit(False).alias("durable"), F.lit("a-weak-one").alias("receipt_ref"))
+    receipts = once.unionByName(once.where("payload_key % 4 = 0")).drop("payload_key").unionByName(weak)
     out = outbox.apply_receipts(h, receipts, now())
     return out.select("run_id", "sequence_no", "new_state", "receipt_ref", "error_code", iso_micros("retry_at").alias("retry_at"))
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..operators.ordered import running
+
 #: Readers by acquisition mode; register_source adds others.
 READERS: dict[str, Callable[..., DataFrame]] = {}
 
@@ -105,8 +107,7 @@ def json_page_records(pages: DataFrame, items: str, next_token: str = "$.nextPag
     found = found.withColumn("error_code", code)
     # a row for each page: its number and how many records come before it
     counts = found.groupBy("page").agg(F.sum(F.coalesce(F.when(F.col("error_code").isNull(), F.size("items")), F.lit(0))).alias("n"))
-    before = Window.orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select("page", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"), F.row_number().over(Window.orderBy("page")).alias("page_no"))
+    base = running(counts, [], ["page"], {"base": F.col("n"), "page_no": F.lit(1)}).select("page", (F.col("base") - F.col("n")).alias("base"), "page_no")
     found = found.join(base, "page").withColumn("error_code", F.when(F.col("page_no") > max_pages, "ING_PAGE_LIMIT_EXCEEDED").otherwise(F.col("error_code")))
     rows = found.select("page", "base", "next_token", "error_code", F.posexplode_outer(F.when(F.col("error_code").isNull(), F.col("items"))).alias("i", "v"))
     ordinal = F.when(F.col("error_code").isNull(), F.col("base") + F.col("i"))
