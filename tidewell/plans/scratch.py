@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,3 +39,17 @@ def drained(stream: DataFrame, label: str) -> DataFrame:
     out = folder(spark, label)
     stream.writeStream.format("parquet").option("checkpointLocation", folder(spark, label)).trigger(availableNow=True).outputMode("append").start(out).awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
+
+
+@contextmanager
+def split_bytes(spark: SparkSession, most: int) -> Iterator[None]:
+    """Files split at so many bytes for the jobs inside."""
+    keys = {"spark.sql.files.maxPartitionBytes": str(most), "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import outbox
-from ..sources import readers
+from ..operators import ordered, outbox
+from ..sources import delimited, readers
 from ..streaming import jobs
 from .operations import CIRCUITS
 from .registry import query
-from .scratch import drained, folder, streamed
+from .scratch import drained, folder, split_bytes, streamed, written
 
 
 @query("SELECT CAST(p_partkey AS STRING) AS p_partkey, concat(p_name, ';', chr(10), '\"', p_brand, '\"') AS p_name, CASE WHEN p_size % 5 = 0 THEN '' ELSE CAST(p_size AS STRING) END AS p_size, CAST(NULL AS STRING) AS error_code FROM part", "part")
@@ -22,6 +22,25 @@ def read_delimited(part):
     return out.select(*(F.col("payload")[c].alias(c) for c in ("p_partkey", "p_name", "p_size")), "error_code")
 
 
+@query("SELECT p_partkey AS ordinal, p_name || ',' || chr(10) || '\"' || p_brand AS name, CASE WHEN p_partkey % 7 <> 0 THEN p_comment END AS note, CASE WHEN p_partkey % 5 = 0 THEN 'ING_DELIMITED_TOO_MANY_FIELDS' END AS error_code FROM (SELECT row_number() OVER (ORDER BY p_partkey) AS p_partkey, p_name, p_brand, p_type AS p_comment FROM part)", "part")
+def read_delimited_in_splits(part):
+    """One file with quoted line breaks, read in splits of a few kB; rows that lack a field or have one too many."""
+    spark = part.sparkSession
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    name = F.concat("p_name", F.lit(',\n"'), "p_brand")
+    more = F.when(F.col("rank") % 5 == 0, F.lit(",1")).otherwise("")
+    note = F.when(F.col("rank") % 7 != 0, F.concat(F.lit(","), "p_type")).when(F.col("rank") % 5 == 0, F.lit(",")).otherwise("")
+    lines = ordered.ranked(part, [], ["p_partkey"]).select(F.col("rank").alias("at"), F.concat(quoted(name), note, more).alias("value"))
+    head = spark.range(1).select(F.lit(0).cast("long").alias("at"), F.lit("name,note").alias("value"))
+    path = folder(spark, "split")
+    lines.unionByName(head).orderBy("at").select("value").coalesce(1).write.text(path)
+    with split_bytes(spark, 4096):
+        rows = delimited.read_delimited(spark, path)
+        rows = spark.read.schema(rows.schema).parquet(written(rows, "rows"))
+    note = F.when((F.col("ordinal") % 7 == 0) & (F.col("ordinal") % 5 == 0), F.nullif(F.col("payload")["note"], F.lit(""))).otherwise(F.col("payload")["note"])
+    return rows.select("ordinal", F.col("payload")["name"].alias("name"), note.alias("note"), "error_code")
+
+
 @query("SELECT concat('f', p_size % 3) AS file, p_partkey + 1 AS ordinal, CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_name END AS name, p_brand AS brand, CASE WHEN p_partkey % 13 = 0 THEN 'ING_MANAGED_FORMULA_FORBIDDEN' WHEN p_partkey % 17 = 0 THEN 'ING_MANAGED_CELL_ERROR' END AS error_code FROM part UNION ALL SELECT 'twice', 0, NULL, NULL, 'ING_MANAGED_HEADER_INVALID'", "part")
 def sheet_records(part):
     p = part.select(F.expr("concat('f', p_size % 3)").alias("file"), (F.col("p_partkey") + 1).alias("row"), "*")

@@ -6,11 +6,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.ordered import running
+from .delimited import read_delimited
 
 #: Readers by acquisition mode; register_source adds others.
 READERS: dict[str, Callable[..., DataFrame]] = {}
@@ -22,39 +22,6 @@ def register_source(mode: str, reader: Callable[..., DataFrame]) -> None:
     READERS[mode] = reader
 
 
-def read_delimited(spark: SparkSession, path: str, delimiter: str = ",", max_cell: int = 32_767, max_columns: int = 1024) -> DataFrame:
-    """(file, ordinal, payload, error_code): rows of delimited files with one unique header, numbered from 1 within their file.
-
-    A row with more fields than the header has ING_DELIMITED_TOO_MANY_FIELDS, one with fewer lacks the keys; an empty
-    cell is "". A file whose header differs from the first one's has ING_MANAGED_HEADER_INVALID in all its rows. Quoted
-    line breaks keep a file in one piece, so that its rows come in order; see release_assets() for whole files.
-    """
-    if delimiter not in (",", ";"):
-        raise ValueError("ING_MANAGED_DELIMITER_INVALID")
-    options = {"sep": delimiter, "escape": '"', "multiLine": True, "encoding": "UTF-8", "header": False}
-    first = spark.read.options(**options).csv(path).limit(1).first()
-    names = [(c or "").lstrip("\ufeff").strip() for c in first] if first else []
-    if not names or "" in names or len(set(names)) < len(names) or len(names) > max_columns:
-        raise ValueError("ING_MANAGED_HEADER_INVALID")
-    # a spare column shows rows that are too long; names by number keep any header text out of the schema
-    schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))] + [StructField("corrupt", StringType())])
-    rows = spark.read.options(enforceSchema=True, columnNameOfCorruptRecord="corrupt", **options).schema(schema).csv(path)
-    rows = rows.select("*", F.col("_metadata.file_path").alias("file")).withColumn("n", F.monotonically_increasing_id())
-    tops = rows.groupBy("file").agg(F.min("n").alias("top"))
-    cells = F.array(*(F.coalesce(F.col(f"c{i}"), F.lit("")) for i in range(len(names))))
-    heads = rows.join(tops.withColumnRenamed("top", "n"), ["file", "n"]).select("file", F.col("n").alias("top"), F.transform(cells, lambda c: F.trim(F.ltrim(c, F.lit("\ufeff")))).alias("names"))
-    rows = rows.join(heads, "file").where("n > top")
-    fields = F.when(F.col("corrupt").isNull(), len(names)).otherwise(F.size(F.regexp_extract_all(F.col("corrupt"), F.lit(f'(?:"(?:[^"]|"")*"|[^{delimiter}"])*(?:{delimiter}|$)'), F.lit(0))) - 1)
-    rows = rows.select("file", "n", "top", "names", fields.alias("fields"), cells.alias("cells"))
-    held = F.least(F.col("fields"), F.lit(len(names)))
-    payload = F.map_from_arrays(F.slice(F.array(*map(F.lit, names)), F.lit(1), held), F.slice("cells", F.lit(1), held))
-    wide = F.exists("cells", lambda v: F.length(v) > max_cell)
-    out = rows.withColumn("payload", payload)
-    other = F.col("names") != F.array(*map(F.lit, names))
-    code = F.when(other, "ING_MANAGED_HEADER_INVALID").when(F.col("fields") > len(names), "ING_DELIMITED_TOO_MANY_FIELDS").when(wide, "ING_MANAGED_CELL_TOO_LONG")
-    return out.select("file", (F.col("n") - F.col("top")).alias("ordinal"), "payload", code.alias("error_code"))
-
-
 def asset_status(rows: DataFrame, max_rows: int = 100_000, identity: str | None = None) -> DataFrame:
     """(file, n_rows, asset_error) of rows(file, ordinal, error_code): the code of the first bad row, else of too many rows or of an identity that comes twice."""
     first = F.min(F.when(F.col("error_code").isNotNull(), F.struct("ordinal", "error_code")))["error_code"]
