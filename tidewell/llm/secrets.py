@@ -28,8 +28,6 @@ RANDOM = r"(?<![A-Za-z0-9_+-])(?=[A-Za-z_+-]*[0-9])(?=[0-9_+-]*[A-Za-z])[A-Za-z0
 TRUE_FORMATS = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^sk_live_[0-9A-Za-z]{16,}$|^AIza[0-9A-Za-z_-]{35}$"
 ASSIGNED = rf"(?i)({HINTS})[a-z_]*[\"']?\s*[=:]+\s*[\"']?[A-Za-z0-9+/_=-]{{12,}}[\"']?[.,;]?$"
 FALSE_FORMATS = r"@|^[0-9 .,+()-]+$|^https?:|^www\.|[#$%&*|<>]{2,}|!!|^(.)\1+$"
-#: URLs and host names, and words, dates, versions and numbers of short parts, as they stand in the text.
-FALSE_WORDS = r"(?i)^[\"'(<\[]*(https?|ftp)://|^[\"'(<\[]*[a-z0-9-]+(\.[a-z0-9-]+)*\.[a-z]{2,6}(/\S*)?[.,;:)\]>\"']*$|^[\"'(\[]*[a-z-]*[0-9]{1,6}([.,:/_-][0-9a-z]{1,6})*[.,;:!?)\]\"']*$"
 FEATURES = ("length", "transitions", "digits", "uppers", "letters", "distinct", "coverage", "path", "before", "inside", "sentence")
 
 
@@ -56,6 +54,21 @@ def stripped(word: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(word, r"^.*?[=:]+(?=.)", ""), r"^[\"'(\[{]+|[\"')\]}.,;!?#$%&*|<>]+$", "")
 
 
+def plain_word(word: Column) -> Column:
+    """Whether a word as it stands is a URL, a host name with or without a path, or a word, date, version or number of short parts.
+
+    Parts are split off and looked at one by one: a repeated group in one pattern would take a stack frame for each part.
+    """
+    w = F.lower(word)
+    url = w.rlike(r"^[\"'(<\[]*(https?|ftp)://")
+    host = F.split(F.rtrim(F.substring_index(F.ltrim(w, F.lit("\"'(<[")), "/", 1), F.lit(".,;:)]>\"'")), r"\.")
+    named = (F.size(host) > 1) & F.forall(host, lambda p: p.rlike("^[a-z0-9-]+$")) & F.element_at(host, -1).rlike("^[a-z]{2,6}$")
+    rest = F.regexp_replace(F.ltrim(F.rtrim(w, F.lit(".,;:!?)]\"'")), F.lit("\"'([")), "^[a-z-]*", "")
+    parts = F.split(rest, "[.,:/_-]")
+    short = F.element_at(parts, 1).rlike("^[0-9]{1,6}$") & F.forall(parts, lambda p: p.rlike("^[0-9a-z]{1,6}$"))
+    return url | named | short
+
+
 def share(part: Column) -> Column:
     return F.when(F.length("value") > 0, part / F.length("value")).otherwise(0.0)
 
@@ -90,7 +103,7 @@ def seed_findings(found: DataFrame) -> DataFrame:
     value = F.col("value")
     yes = value.rlike(TRUE_FORMATS) | told.rlike(ASSIGNED) & ~value.rlike("^[A-Za-z]+$") | told.rlike(PASSWORD) & ~F.col("path").cast("boolean")
     open_ = F.col("word").rlike(USER_INFO) | F.col("path").cast("boolean") & value.rlike(RANDOM) | told.rlike(NAMED) & ~value.rlike(NO_VALUE)
-    no = value.rlike(FALSE_FORMATS) | value.rlike(NO_VALUE) | F.col("word").rlike(FALSE_WORDS)
+    no = value.rlike(FALSE_FORMATS) | value.rlike(NO_VALUE) | plain_word(F.col("word"))
     return found.withColumn("label", F.when(yes, 1.0).when(no & ~open_, 0.0))
 
 
