@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from tidewell.functions import scalar
 from tidewell.operators import contracts, governance, health, incidents, mapping, outbox, reports
-from tidewell.sources import readers
+from tidewell.sources import delimited, readers
 from tidewell.streaming import jobs
 
 T = datetime(2025, 1, 1)
@@ -154,7 +154,7 @@ def test_unknown_reference(spark):
 def test_delimited(spark, tmp_path):
     f = tmp_path / "a.csv"
     f.write_bytes("﻿nome_teatro;precisione\r\nA;\"edificio; circa\n10 m\"\r\nB;\r\nC\r\nD;1;2\r\n".encode())
-    got = {r.payload["nome_teatro"]: (r.payload, r.error_code) for r in readers.read_delimited(spark, str(f), ";").collect()}
+    got = {r.payload["nome_teatro"]: (r.payload, r.error_code) for r in delimited.read_delimited(spark, str(f), ";").collect()}
     assert set(got) == {"A", "B", "C", "D"}
     assert got["A"] == ({"nome_teatro": "A", "precisione": "edificio; circa\n10 m"}, None)
     assert got["B"] == ({"nome_teatro": "B", "precisione": ""}, None)
@@ -162,14 +162,14 @@ def test_delimited(spark, tmp_path):
     assert got["D"][1] == "ING_DELIMITED_TOO_MANY_FIELDS"
     f.write_text("a,a\n1,2\n")
     with pytest.raises(ValueError):
-        readers.read_delimited(spark, str(f))
+        delimited.read_delimited(spark, str(f))
 
 
 def test_delimited_rows_are_numbered_within_their_file(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,name\nA,Alpha\nB,Beta\n")
     (tmp_path / "b.csv").write_text("id,name\nC,x,y\nD,z\n")
     (tmp_path / "c.csv").write_text("id,other\nE,x\n")
-    rows = readers.read_delimited(spark, str(tmp_path))
+    rows = delimited.read_delimited(spark, str(tmp_path))
     got = {(r.file[-5:], r.ordinal): (r.payload.get("id"), r.error_code) for r in rows.collect()}
     assert got == {
         ("a.csv", 1): ("A", None), ("a.csv", 2): ("B", None), ("b.csv", 1): ("C", "ING_DELIMITED_TOO_MANY_FIELDS"), ("b.csv", 2): ("D", None), ("c.csv", 1): ("E", "ING_MANAGED_HEADER_INVALID"),

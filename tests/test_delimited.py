@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from tidewell.sources import delimited, readers
+from tidewell.sources import delimited
 
 
 def one_piece(text, delimiter):
@@ -63,7 +63,7 @@ def test_any_split(spark, tmp_path, seed):
         for size in ("90b", "900b"):
             spark.conf.set("spark.sql.files.maxPartitionBytes", size)
             spark.conf.set("spark.sql.files.openCostInBytes", "1b")
-            assert got(readers.read_delimited(spark, str(f), ";", max_cell=60)) == want(text, ";", 60)
+            assert got(delimited.read_delimited(spark, str(f), ";", max_cell=60)) == want(text, ";", 60)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
@@ -73,11 +73,11 @@ def test_long_cells_in_malformed_rows(spark, tmp_path):
     cell = '"' + 'quoted, "" and\nbroken ' * 1460 + '"'
     f = tmp_path / "a.csv"
     f.write_text(f"a,b\n{cell}\n1,{cell},3\n{cell}x,2\n" + "1,2\n" * 3)
-    rows = got(readers.read_delimited(spark, str(f)))
+    rows = got(delimited.read_delimited(spark, str(f)))
     assert [rows[i][1] for i in range(1, 7)] == [None, "ING_DELIMITED_TOO_MANY_FIELDS", "ING_MANAGED_CSV_INVALID", None, None, None]
     assert len(rows[1][0]["a"]) > 30_000 and "b" not in rows[1][0]
     f.write_text("a,b\n" + "x" * 40_000 + ",1\n\n")
-    assert {k: v[1] for k, v in got(readers.read_delimited(spark, str(f))).items()} == {1: "ING_MANAGED_CELL_TOO_LONG", 2: None}
+    assert {k: v[1] for k, v in got(delimited.read_delimited(spark, str(f))).items()} == {1: "ING_MANAGED_CELL_TOO_LONG", 2: None}
 
 
 def test_splits_that_are_shuffled_to_their_lines(spark, tmp_path, monkeypatch):
@@ -87,7 +87,7 @@ def test_splits_that_are_shuffled_to_their_lines(spark, tmp_path, monkeypatch):
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "300b")
         spark.conf.set("spark.sql.files.openCostInBytes", "1b")
-        rows = got(readers.read_delimited(spark, str(f)))
+        rows = got(delimited.read_delimited(spark, str(f)))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
@@ -98,11 +98,11 @@ def test_files_of_differing_headers(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,name\nA,Alpha\n")
     (tmp_path / "b.csv").write_text("id,other,more\nB,x,y\n")
     (tmp_path / "c.csv").write_text("id,id\nC,x\n")
-    rows = {r.payload.get("id"): (r.payload, r.error_code) for r in readers.read_delimited(spark, str(tmp_path), same_header=False).collect()}
+    rows = {r.payload.get("id"): (r.payload, r.error_code) for r in delimited.read_delimited(spark, str(tmp_path), same_header=False).collect()}
     assert rows["A"] == ({"id": "A", "name": "Alpha"}, None) and rows["B"] == ({"id": "B", "other": "x", "more": "y"}, None)
     assert [r[1] for r in rows.values() if r[1]] == ["ING_MANAGED_HEADER_INVALID"]
     for text in ("a,a\n1,2\n", "a,\n1,2\n", ",".join(f"c{i}" for i in range(1025)) + "\n1\n"):
         (tmp_path / "d").mkdir(exist_ok=True)
         (tmp_path / "d" / "x.csv").write_text(text)
         with pytest.raises(ValueError, match="ING_MANAGED_HEADER_INVALID"):
-            readers.read_delimited(spark, str(tmp_path / "d"))
+            delimited.read_delimited(spark, str(tmp_path / "d"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import ordered, outbox
-from ..sources import delimited, readers
+from ..sources import acquisition, delimited, readers
+from ..sources.acquisition import Bundle
 from ..streaming import jobs
 from .operations import CIRCUITS
 from .registry import query
@@ -18,7 +19,7 @@ def read_delimited(part):
     name = F.concat("p_name", F.lit(';\n"'), "p_brand", F.lit('"'))
     rows = part.select(F.col("p_partkey").cast("string").alias("p_partkey"), name.alias("p_name"), F.when(F.col("p_size") % 5 == 0, F.lit(None)).otherwise(F.col("p_size")).cast("string").alias("p_size"))
     rows.write.options(header=True, sep=";", escape='"', quoteAll=True, emptyValue="").csv(path)
-    out = readers.read_delimited(part.sparkSession, path, ";")
+    out = delimited.read_delimited(part.sparkSession, path, ";")
     return out.select(*(F.col("payload")[c].alias(c) for c in ("p_partkey", "p_name", "p_size")), "error_code")
 
 
@@ -66,6 +67,51 @@ def release_assets(part):
     return readers.release_assets(rows, 1 << 40, "identity").groupBy("file").agg(F.count("*").alias("n"))
 
 
+ACQUIRED = """SELECT row_number() OVER (ORDER BY event_id) - 1 AS ordinal, event_id, CASE WHEN event_id < 1000 THEN '' ELSE concat('p', CAST(event_id // 1000 AS STRING)) END AS page_token,
+ CAST(row_number() OVER (PARTITION BY event_id // 1000 ORDER BY event_id) AS INTEGER) AS page_offset, concat('native:', sha256(concat('events', chr(31), 'EVENT', chr(31), 'event_id=', CAST(event_id AS STRING)))) AS source_object_id FROM events"""
+
+
+def _chain(events, root: str, cut: int | None = None) -> Bundle:
+    """All events as pages of 1,000 below root; with cut, the last page has so many events as yet."""
+    rows = events.withColumn("page", F.expr("event_id div 1000"))
+    ends = rows.agg(F.max("page").alias("last"), F.min("page").alias("first"))
+    rows = rows.join(F.broadcast(ends))
+    if cut is not None:
+        rows = rows.where((F.col("page") < F.col("last")) | (F.col("event_id") % 1000 < cut))
+    pages = rows.groupBy("page", "first", "last").agg(F.array_sort(F.collect_list(F.struct("event_id", "event_type"))).alias("items"))
+    after = F.when(F.col("page") < F.col("last"), F.concat(F.lit("p"), F.col("page") + 1))
+    token = F.when(F.col("page") == F.col("first"), "start").otherwise(F.concat(F.lit("p"), "page"))
+    body = F.to_json(F.struct("items", after.alias("nextPageToken")))
+    writer = pages.select(F.lit("events").alias("binding"), token.alias("page"), body.alias("body")).write.partitionBy("binding", "page").mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").text(root)
+    return Bundle("events", "REST_JSON", "gateway://events", config={"root": root, "identityFields": ["event_id"], "typeCode": "EVENT", "maxPages": 100_000, "maxRecords": 1_000_000})
+
+
+def _acquired(rows):
+    return rows.select("ordinal", F.get_json_object("payload", "$.event_id").cast("long").alias("event_id"), F.col("checkpoint.pageToken").alias("page_token"), F.col("checkpoint.pageOffset").alias("page_offset"), "source_object_id")
+
+
+@query(ACQUIRED, "events")
+def acquire_pages(events):
+    """A chain of pages as a batch: up to the middle of a page, then on from that checkpoint."""
+    spark = events.sparkSession
+    bundle = _chain(events, folder(spark, "pages"))
+    first = acquisition.ADAPTERS.acquire(spark, bundle).where("ordinal < 350")
+    at = first.orderBy(F.desc("ordinal")).select("checkpoint.*").first().asDict()
+    return _acquired(first.unionByName(acquisition.ADAPTERS.acquire(spark, bundle, at)))
+
+
+@query(ACQUIRED, "events")
+def stream_acquire_pages(events):
+    """The chain as a stream that stops in the middle of the last page, and goes on from its checkpoint when the page has grown."""
+    spark = events.sparkSession
+    root, state, out = folder(spark, "pages"), folder(spark, "state"), folder(spark, "taken")
+    for cut in (300, None):
+        rows = _acquired(acquisition.ADAPTERS.acquire(spark, _chain(events, root, cut), stream=True))
+        rows.writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(out)
+
+
 def _pages(events):
     item = F.struct("event_id", "event_type")
     pages = events.groupBy(F.expr("event_id div 100").alias("page")).agg(F.array_sort(F.collect_list(item)).alias("items"))

@@ -1,25 +1,15 @@
-"""Sources as DataFrames: delimited files, sheet cells, paged JSON, XML features, feature layers and their geometries."""
+"""Sources as DataFrames: assets, sheet cells, paged JSON, XML features, feature layers and their geometries."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordered import running
-from .delimited import read_delimited
-
-#: Readers by acquisition mode; register_source adds others.
-READERS: dict[str, Callable[..., DataFrame]] = {}
-
-
-def register_source(mode: str, reader: Callable[..., DataFrame]) -> None:
-    if mode in READERS:
-        raise ValueError(f"ING_ADAPTER_DUPLICATE: {mode}")
-    READERS[mode] = reader
 
 
 def asset_status(rows: DataFrame, max_rows: int = 100_000, identity: str | None = None) -> DataFrame:
@@ -299,10 +289,3 @@ def write_zone(df: DataFrame, path: str, existing: DataFrame | None = None) -> D
     empty = spark.createDataFrame([], "idempotency_key string")
     new_zone_objects(df, existing if existing is not None else empty).write.mode("append").partitionBy("zone", "source_id").parquet(path)
     return spark.read.parquet(path)
-
-
-register_source("DELIMITED", read_delimited)
-register_source("SHEET", sheet_records)
-register_source("JSON_PAGES", json_page_records)
-register_source("XML_FEATURES", xml_feature_records)
-register_source("LAYER", layer_features)
