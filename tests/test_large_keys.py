@@ -17,7 +17,7 @@ def circuit(rows, window=900, most=5, pause=900):
             fresh = began < 0 or t - began >= window
             began, attempts, failures = (t, 1, failures + 1) if fresh else (began, attempts + 1, failures + 1)
             retry = t + max(min(900, 5 * 2 ** min(attempts - 1, 7)), after or 0)
-            status, until = ("PAUSED", t + pause) if failures >= most else ("DEGRADED", 0)
+            status, until = ("PAUSED", t + pause) if attempts >= most else ("DEGRADED", 0)
         else:
             status, failures, retry, until = "DEGRADED", 0, 0, 0
     return status, failures, began, attempts, retry, until

@@ -126,7 +126,7 @@ def circuit_states(log: DataFrame, window: int = 900, most: int = 5, pause: int
     """Per source the state after its outcomes (source_id, at_seconds, event_id, outcome; retry_after in seconds, if any) in order: status, failures, retry attempts in the window, gates.
 
     A transient failure counts up; the window runs `window` seconds from its first failure, the delay doubles from 5
-    seconds to 900 at most; from `most` failures on the source pauses. Another failure degrades it and clears the
+    seconds to 900 at most; from `most` failures in the window on the source pauses. Another failure degrades it and clears the
     gates but not the window; a success clears all, so that only what came after a source's last one counts. A retry
     waits at least as long as the source asked for. Rows without source_id or time are left out; an outcome that is null
     is another failure.
@@ -149,7 +149,7 @@ def circuit_states(log: DataFrame, window: int = 900, most: int = 5, pause: int
     failures, attempts = (F.when(failing, F.coalesce("failures", zero)).otherwise(zero), F.coalesce(F.col("attempts").cast("int"), zero))
     delay = F.least(F.lit(900), F.lit(5) * F.pow(F.lit(2), F.least(attempts - 1, F.lit(7))).cast("int"))
     delay = F.greatest(delay, F.coalesce("end.retry_after", zero))
-    paused = failing & (failures >= most)
+    paused = failing & (attempts >= most)
     status = F.when(F.coalesce(F.col("end.outcome") == "SUCCESS", F.lit(False)), "HEALTHY").when(paused, "PAUSED").otherwise("DEGRADED")
     return out.select(
         "source_id", status.alias("status"), failures.alias("failures"), F.coalesce("began", F.lit(-1).cast("long")).alias("began"), attempts.alias("attempts"),

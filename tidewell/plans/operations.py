@@ -116,11 +116,11 @@ FRESH = "(f.began < 0 OR q.t - f.began >= 86400)"
 #: The fold of circuit_states, row by row.
 CIRCUITS = f"""WITH RECURSIVE seq AS (SELECT source_id, event_id, CAST(floor(epoch(happened_at)) AS BIGINT) AS t, outcome, row_number() OVER (PARTITION BY source_id ORDER BY floor(epoch(happened_at)), event_id) AS k FROM attempt_log),
  fold AS (SELECT DISTINCT source_id, CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS event_id, 'HEALTHY' AS status, CAST(0 AS BIGINT) AS failures, CAST(-1 AS BIGINT) AS began, CAST(0 AS BIGINT) AS attempts, CAST(0 AS BIGINT) AS retry_at, CAST(0 AS BIGINT) AS open_until FROM seq
-  UNION ALL SELECT f.source_id, q.k, q.event_id, CASE q.outcome WHEN 'SUCCESS' THEN 'HEALTHY' WHEN 'TRANSIENT' THEN CASE WHEN f.failures + 1 >= 5 THEN 'PAUSED' ELSE 'DEGRADED' END ELSE 'DEGRADED' END,
+  UNION ALL SELECT f.source_id, q.k, q.event_id, CASE q.outcome WHEN 'SUCCESS' THEN 'HEALTHY' WHEN 'TRANSIENT' THEN CASE WHEN NOT {FRESH} AND f.attempts + 1 >= 5 THEN 'PAUSED' ELSE 'DEGRADED' END ELSE 'DEGRADED' END,
    CASE q.outcome WHEN 'TRANSIENT' THEN f.failures + 1 ELSE 0 END, CASE q.outcome WHEN 'SUCCESS' THEN -1 WHEN 'TRANSIENT' THEN CASE WHEN {FRESH} THEN q.t ELSE f.began END ELSE f.began END,
    CASE q.outcome WHEN 'SUCCESS' THEN 0 WHEN 'TRANSIENT' THEN CASE WHEN {FRESH} THEN 1 ELSE f.attempts + 1 END ELSE f.attempts END,
    CASE q.outcome WHEN 'TRANSIENT' THEN q.t + CAST(least(900, 5 * pow(2, least(CASE WHEN {FRESH} THEN 0 ELSE f.attempts END, 7))) AS BIGINT) ELSE 0 END,
-   CASE WHEN q.outcome = 'TRANSIENT' AND f.failures + 1 >= 5 THEN q.t + 900 ELSE 0 END
+   CASE WHEN q.outcome = 'TRANSIENT' AND NOT {FRESH} AND f.attempts + 1 >= 5 THEN q.t + 900 ELSE 0 END
   FROM fold f JOIN seq q ON q.source_id = f.source_id AND q.k = f.k + 1)"""
 
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.scalar import iso_micros
 from ..operators import ordered, outbox
 from ..sources import acquisition, delimited, readers
 from ..sources.acquisition import Bundle
-from ..streaming import jobs
+from ..streaming import jobs, timed
 from .operations import CIRCUITS
 from .registry import query
-from .scratch import drained, folder, split_bytes, streamed, written
+from .scratch import drained, drained_by_clock, folder, split_bytes, streamed, written
 
 
 @query("SELECT CAST(p_partkey AS STRING) AS p_partkey, concat(p_name, ';', chr(10), '\"', p_brand, '\"') AS p_name, CASE WHEN p_size % 5 = 0 THEN '' ELSE CAST(p_size AS STRING) END AS p_size, CAST(NULL AS STRING) AS error_code FROM part", "part")
@@ -240,10 +241,19 @@ def stream_dedupe_handoffs(events):
     return drained(jobs.dedupe_handoffs(s, "at", "60 days"), "deduped").select("idempotency_key")
 
 
-@query(CIRCUITS + " SELECT source_id, event_id, status, failures, attempts FROM fold WHERE k > 0", "attempt_log")
+@query(CIRCUITS + " SELECT source_id, event_id, status, failures, attempts, retry_at, open_until FROM fold WHERE k > 0", "attempt_log")
 def stream_circuit_breaker(attempt_log):
     s = streamed(attempt_log.select("source_id", "event_id", F.unix_timestamp("happened_at").alias("at_seconds"), "outcome"), "attempts")
-    return drained(jobs.circuit_breaker(s, window=86400), "circuit")
+    out = drained(timed.circuit_breaker(s, window=86400), "circuit").where("action = 'OUTCOME'")
+    return out.select("source_id", "event_id", "status", "failures", "attempts", "retry_at", "open_until")
+
+
+@query(CIRCUITS + """ SELECT source_id, open_until AS "at", attempts FROM (SELECT *, lead(t) OVER (PARTITION BY source_id ORDER BY k) AS later FROM (SELECT f.*, q.t, max(q.t) OVER () AS seen FROM fold f JOIN seq q ON q.source_id = f.source_id AND q.k = f.k))
+ WHERE open_until > 0 AND open_until <= coalesce(later, seen)""", "attempt_log")
+def stream_recovery_probes(attempt_log):
+    """Probes of the same job: a paused source's time is up before its next outcome, or before the stream's last one."""
+    s = streamed(attempt_log.select("source_id", "event_id", F.unix_timestamp("happened_at").alias("at_seconds"), "outcome"), "attempts")
+    return drained(timed.circuit_breaker(s, window=86400, idle=400 * 86400), "circuit").where("action = 'PROBE'").select("source_id", "at", "attempts")
 
 
 @query("""WITH RECURSIVE days AS (SELECT run_id % 5 AS tenant_id, CAST(floor(epoch(next_attempt_at) / 86400) AS BIGINT) AS d, count(*) AS n FROM handoffs WHERE state <> 'ACKED' GROUP BY 1, 2),
@@ -257,11 +267,23 @@ def stream_pressure_monitor(handoffs):
     return drained(jobs.pressure_monitor(streamed(days.groupBy("tenant_id", "at").agg(F.count("*").alias("backlog")), "backlog"), 5, 9, 2), "pressure")
 
 
-@query("""SELECT issue_id, transition_id, CAST(row_number() OVER (PARTITION BY issue_id ORDER BY transition_id) AS BIGINT) AS version FROM (
- SELECT *, lag(severity) OVER w AS s, lag(lifecycle) OVER w AS l, row_number() OVER w AS k FROM transitions WINDOW w AS (PARTITION BY issue_id ORDER BY transition_id)
+@query("""SELECT issue_id, transition_id, CAST(row_number() OVER (PARTITION BY issue_id ORDER BY transition_id) AS BIGINT) AS version, newest AS last_updated FROM (
+ SELECT *, lag(severity) OVER w AS s, lag(lifecycle) OVER w AS l, row_number() OVER w AS k, epoch_us(max(observed_at) OVER w) AS newest FROM (SELECT * REPLACE (observed_at - INTERVAL 1 DAY * (transition_id % 5) AS observed_at) FROM transitions) WINDOW w AS (PARTITION BY issue_id ORDER BY transition_id)
 ) WHERE k = 1 OR s IS DISTINCT FROM severity OR l IS DISTINCT FROM lifecycle""", "transitions")
 def stream_incident_versioning(transitions):
-    return drained(jobs.incident_versioning(streamed(transitions.select("issue_id", "transition_id", "severity", "lifecycle"), "transitions")), "versions")
+    """Changes whose times go back and forth."""
+    at = F.unix_micros((F.col("observed_at") - F.make_dt_interval(days=(F.col("transition_id") % 5).cast("int"))).cast("timestamp"))
+    return drained_by_clock(timed.incident_versioning(streamed(transitions.select("issue_id", "transition_id", "severity", "lifecycle", at.alias("at")), "transitions")), "versions")
+
+
+@query("SELECT concat(CAST(run_id AS STRING), ':', CAST(sequence_no AS STRING)) AS handoff_id, CAST(attempts AS BIGINT) AS attempt, strftime(lease_until, '%Y-%m-%dT%H:%M:%S.%fZ') AS lease_until FROM handoffs WHERE state = 'DELIVERING' AND payload_key % 3 <> 0", "handoffs")
+def stream_lease_expiry(handoffs):
+    """Deliveries of the past; a third of them were acknowledged in the same attempt or fetched again for one whose lease has not ended."""
+    h = handoffs.select(F.concat_ws(":", "run_id", "sequence_no").alias("handoff_id"), F.col("attempts").cast("long").alias("attempt"), "state", F.col("lease_until").cast("timestamp").alias("lease_until"), "payload_key")
+    later = h.where("state = 'DELIVERING' and payload_key % 3 = 0").withColumn("attempt", F.col("attempt") + 1).withColumn("lease_until", F.lit("2100-01-01").cast("timestamp"))
+    later = later.withColumn("state", F.when(F.col("payload_key") % 2 == 0, "ACKED").otherwise("DELIVERING"))
+    out = drained_by_clock(timed.lease_expiry(streamed(h.unionByName(later).drop("payload_key"), "leases")), "expired")
+    return out.select("handoff_id", "attempt", iso_micros("lease_until").alias("lease_until"))
 
 
 @query("""SELECT run_id, partition_key, max(sequence_no) AS watermark FROM (
@@ -273,12 +295,6 @@ def stream_ack_watermark(handoffs):
     return drained(jobs.ack_watermark_stream(streamed(changes, "acks")), "watermarks").groupBy("run_id", "partition_key").agg(F.max("watermark").alias("watermark"))
 
 
-@query(None, "attempt_log")
-def stream_recovery_probes(attempt_log):
-    s = streamed(attempt_log.select("source_id", "event_id", F.col("happened_at").cast("timestamp").alias("at"), "outcome"), "outcomes")
-    return drained(jobs.recovery_probes(s, pause=900, most=2), "probes")
-
-
 @query("""SELECT issue_key, event_id FROM (SELECT *, lag(action) OVER (PARTITION BY issue_key ORDER BY event_id) AS before FROM (
  SELECT concat('i', user_id % 40) AS issue_key, event_id, CASE WHEN event_type = 'signup' THEN 'CLOSE' ELSE 'OPEN' END AS action FROM events)) WHERE action = 'OPEN' AND before IS DISTINCT FROM 'OPEN'""", "events")
 def stream_open_issues(events):

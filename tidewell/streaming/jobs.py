@@ -31,65 +31,6 @@ def _stateful(stream: DataFrame, key: str | list[str], output: str, state: str,
     return stream.groupBy(*keys).applyInPandasWithState(run, output, state, "append", "NoTimeout")
 
 
-def circuit_breaker(stream: DataFrame, window: int = 900, most: int = 5) -> DataFrame:
-    """(source_id, event_id, status, failures, attempts) after each outcome (source_id, event_id, at_seconds, outcome)."""
-
-    def step(held, rows):
-        failures, began, attempts = held or (0, -1, 0)
-        out = []
-        for r in rows.sort_values(["at_seconds", "event_id"]).itertuples():
-            if r.outcome == "SUCCESS":
-                failures, began, attempts, status = 0, -1, 0, "HEALTHY"
-            elif r.outcome == "TRANSIENT":
-                fresh = began < 0 or r.at_seconds - began >= window
-                began, attempts, failures = (r.at_seconds, 1, failures + 1) if fresh else (began, attempts + 1, failures + 1)
-                status = "PAUSED" if failures >= most else "DEGRADED"
-            else:
-                failures, status = 0, "DEGRADED"
-            out.append((r.event_id, status, failures, attempts))
-        return (int(failures), int(began), int(attempts)), pd.DataFrame(out, columns=["event_id", "status", "failures", "attempts"])
-
-    return _stateful(stream, "source_id", "source_id long, event_id long, status string, failures int, attempts int", "failures int, began long, attempts int", step)
-
-
-def recovery_probes(stream: DataFrame, pause: int = 900, most: int = 5) -> DataFrame:
-    """(source_id, at, action) of outcomes (source_id, event_id, at timestamp, outcome), with a timer per source.
-
-    OPEN: `most` transient failures in a row pause the source. PROBE: `pause` seconds later by the watermark of `at`, one
-    attempt may go. Its success closes the circuit (CLOSE), its failure opens it again (OPEN). Outcomes of a paused
-    source that come before its probe change nothing.
-    """
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    def run(k, batches: Iterator[pd.DataFrame], held) -> Iterator[pd.DataFrame]:
-        failures, mode = tuple(held.get) if held.exists else (0, "CLOSED")
-        out = []
-        if held.hasTimedOut:
-            mode = "PROBING"
-            out.append((pd.Timestamp(held.getCurrentWatermarkMs(), unit="ms"), "PROBE"))
-        else:
-            for r in pd.concat(list(batches)).sort_values(["at", "event_id"]).itertuples():
-                if mode == "OPEN":
-                    continue
-                if r.outcome == "TRANSIENT":
-                    failures += 1
-                    if mode == "PROBING" or failures >= most:
-                        mode, until = "OPEN", r.at.timestamp() + pause
-                        out.append((r.at, "OPEN"))
-                else:
-                    if mode == "PROBING":
-                        out.append((r.at, "CLOSE"))
-                    failures, mode = 0, "CLOSED"
-        held.update((int(failures), mode))
-        if mode == "OPEN":
-            held.setTimeoutTimestamp(max(int(until * 1000), held.getCurrentWatermarkMs() + 1))
-        if out:
-            yield pd.DataFrame({"source_id": [k[0]] * len(out), "at": [x[0] for x in out], "action": [x[1] for x in out]})
-
-    rows = stream.withWatermark("at", "0 seconds")
-    return rows.groupBy("source_id").applyInPandasWithState(run, "source_id long, at timestamp, action string", "failures int, mode string", "append", GroupStateTimeout.EventTimeTimeout)
-
-
 def pressure_monitor(stream: DataFrame, soft: int = 1000, hard: int = 5000, recovery: int = 500) -> DataFrame:
     """(tenant_id, at, state) after each measurement (tenant_id, at, backlog)."""
 
@@ -108,21 +49,6 @@ def pressure_monitor(stream: DataFrame, soft: int = 1000, hard: int = 5000, reco
     return _stateful(stream, "tenant_id", "tenant_id long, at long, state string", "state string", step)
 
 
-def incident_versioning(stream: DataFrame) -> DataFrame:
-    """(issue_id, transition_id, version) of changes (issue_id, transition_id, severity, lifecycle) that really change something."""
-
-    def step(held, rows):
-        version, severity, lifecycle = held or (0, None, None)
-        out = []
-        for r in rows.sort_values("transition_id").itertuples():
-            if version == 0 or (r.severity, r.lifecycle) != (severity, lifecycle):
-                version, severity, lifecycle = version + 1, r.severity, r.lifecycle
-                out.append((r.transition_id, version))
-        return (version, severity, lifecycle), pd.DataFrame(out, columns=["transition_id", "version"])
-
-    return _stateful(stream, "issue_id", "issue_id long, transition_id long, version long", "version long, severity string, lifecycle string", step)
-
-
 def ack_watermark_stream(stream: DataFrame) -> DataFrame:
     """(run_id, partition_key, watermark) whenever changes (run_id, partition_key, sequence_no, state) move a key's acknowledged prefix on.
 
