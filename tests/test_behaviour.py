@@ -122,7 +122,7 @@ def test_absent_is_not_null(spark):
         ({"additionalProperties": False}, '{"z":2}', None),
         ({"oneOf": [{"type": "string"}, {"minLength": 1}]}, '"x"', "$"),
         ({"$defs": {"s": {"type": "string"}}, "properties": {"a": {"$ref": "#/$defs/s", "type": "integer"}}}, '{"a":"x"}', None),
-        ({"items": {"type": "integer"}}, '[1,"x"]', "$[]"),
+        ({"items": {"type": "integer"}}, '[1,"x"]', "$[1]"),
         ({"uniqueItems": True}, "[1,1]", "$"),
         ({"minItems": 1}, "[]", "$"),
         ({"format": "date-time"}, '"2025-01-01T00:00:00Z"', None),
@@ -291,3 +291,20 @@ def test_entry_imports_without_a_session():
 
     code = "import __spark_entry__ as e; assert len(e.queries()) > 100 and set(e.oracle_sql()) <= set(e.queries())"
     assert subprocess.run([sys.executable, "-c", code], cwd=ROOT).returncode == 0
+
+
+def test_contract_paths(spark):
+    tree = {"$ref": "#/defs/node", "defs": {"node": {"type": "object", "required": ["v"], "properties": {"v": {"type": "integer"}, "kids": {"type": "array", "items": {"$ref": "#/defs/node"}}}}}}
+    nest = lambda n: '{"v": 1, "kids": [' + (nest(n - 1) if n else '{"v": "x"}') + "]}"
+    names = {"type": "object", "properties": {"it's": {"type": "string"}, 'a"b': {"minLength": 2}, "n": {"type": ["null", "integer"]}, "x.y": {"const": 1}}, "additionalProperties": False}
+    cases = [
+        (tree, '{"v": 1, "kids": [{"v": 2}, {"v": 3, "kids": [{"v": 4}, {"w": 5}]}]}', "ING_CONTRACT_INVALID", "$.kids[1].kids[1].v"),
+        (tree, nest(2), "ING_CONTRACT_INVALID", "$.kids[0].kids[0].kids[0].v"), (tree, nest(40), "ING_CONTRACT_DEPTH_EXCEEDED", None), (tree, '{"v": 12345678901234567890123}', None, None),
+        (names, '{"it\'s": 1}', "ING_CONTRACT_INVALID", "$.it's"), (names, '{"a\\"b": "x"}', "ING_CONTRACT_INVALID", '$.a"b'), (names, '{"n": null, "it\'s": "s"}', None, None), (names, '{"n": 1.5}', "ING_CONTRACT_INVALID", "$.n"),
+        (names, '{"zz": 1, "yy": 2}', "ING_CONTRACT_INVALID", "$.yy"), (names, '{"x.y": 1.0}', None, None), (names, "[]", "ING_CONTRACT_INVALID", "$"), (names, "{", "ING_CONTRACT_INVALID", "$"),
+        ({"items": {"type": "object", "required": ["id"]}, "uniqueItems": True}, '[{"id": 1}, {}]', "ING_CONTRACT_INVALID", "$[1].id"), ({"$ref": "#/a", "a": {"$ref": "#/a"}}, "1", "ING_CONTRACT_DEPTH_EXCEEDED", None),
+    ]
+    for schema, text, want_code, want_path in cases:
+        valid, code, path = contracts.validate_contract(F.col("d"), schema)
+        r = spark.createDataFrame([(text,)], "d string").select(valid.alias("valid"), code.alias("code"), path.alias("path")).first()
+        assert (r.valid, r.code, r.path) == (want_code is None, want_code, want_path), (schema, text)
