@@ -308,3 +308,25 @@ def test_contract_paths(spark):
         valid, code, path = contracts.validate_contract(F.col("d"), schema)
         r = spark.createDataFrame([(text,)], "d string").select(valid.alias("valid"), code.alias("code"), path.alias("path")).first()
         assert (r.valid, r.code, r.path) == (want_code is None, want_code, want_path), (schema, text)
+
+
+def test_a_capture_does_not_change(spark, tmp_path):
+    from tidewell.operators import snapshots
+
+    rows = [issue(i, "OPEN", "WARNING", i) for i in range(7)] + [issue(7, "OPEN", "ERROR", 0)]
+    df = spark.createDataFrame(rows, "issue_id long, tenant_id string, issue_version long, lifecycle string, severity string, observed_at timestamp")
+    path, now = str(tmp_path), F.lit(T)
+    sessions = snapshots.capture(df, path, "a", now, 2)
+    like = df.select("*", F.lit(0).cast("long").alias("position"), F.lit(0).cast("long").alias("page"), F.lit("").alias("session"))
+    items = snapshots.read_items(spark, path, like)
+    cursors = spark.createDataFrame([("a", "t", p) for p in (0, 2, 4, 6, 8)], "session string, tenant_id string, position int").withColumn("at", now)
+    read = lambda: [(r.cursor, r.issue_id, r.severity, r.has_next) for r in snapshots.pages(items, sessions, cursors).orderBy("cursor", "position").collect()]
+    first = read()
+    assert first[0] == (0, 7, "ERROR", True) and sorted(r[1] for r in first[:-1]) == list(range(8)) and first[-1] == (8, None, None, False)
+    snapshots.capture(df.withColumn("severity", F.lit("ERROR")), path, "a", now, 2, sessions)
+    assert read() == first and snapshots.altered(items, sessions).count() == 0
+    assert [r.error_code for r in snapshots.altered(items.where("position <> 3"), sessions).collect()] == ["ING_CURSOR_EVIDENCE_INVALID"]
+    scan = items.where("session = 'a' and tenant_id = 't' and position >= 2 and position < 4")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(session" in scan and "GreaterThanOrEqual(position,2)" in scan
+    with pytest.raises(ValueError, match="ING_OPERATIONAL_QUERY_INVALID"):
+        snapshots.capture(df, path, "b", now, 101)

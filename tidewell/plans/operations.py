@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalar import iso_micros
-from ..operators import health
+from ..operators import health, snapshots
 from ..operators import incidents as I
 from .registry import query
+from .scratch import folder
 
 ISO = "'%Y-%m-%dT%H:%M:%S.%fZ'"
 REVISED = "(SELECT *, CAST(row_number() OVER (PARTITION BY tenant_id ORDER BY issue_id, issue_version) + 10 AS BIGINT) AS revision FROM transitions)"
@@ -64,6 +65,30 @@ def snapshot_page(transitions):
     return I.snapshot_page(I.prioritise_incidents(transitions), 200, 50).select("tenant_id", "transition_id", "position", "has_next")
 
 
+CURSORS = "SELECT tenant_id, t.c AS cursor, CAST(t.l AS BOOLEAN) AS late FROM (SELECT DISTINCT tenant_id FROM transitions UNION ALL SELECT 'nobody') CROSS JOIN (VALUES (0, 0), (100, 0), (150, 0), (200, 1), (900000000, 0)) t(c, l)"
+
+
+@query(f"""WITH p AS (SELECT tenant_id, transition_id, severity, row_number() OVER (PARTITION BY tenant_id ORDER BY {PRIORITY}) - 1 AS position, count(*) OVER (PARTITION BY tenant_id) AS total FROM transitions),
+ n AS (SELECT tenant_id, any_value(total) AS total FROM p GROUP BY 1),
+ c AS (SELECT k.*, n.total, CASE WHEN n.total IS NULL OR cursor > n.total OR cursor % 50 <> 0 THEN 'ING_CURSOR_UNAVAILABLE' WHEN late THEN 'ING_CURSOR_EXPIRED' WHEN n.total > 10000 THEN 'ING_CURSOR_CAPACITY_UNAVAILABLE' END AS error_code FROM ({CURSORS}) k LEFT JOIN n ON n.tenant_id = k.tenant_id)
+SELECT c.tenant_id, c.cursor, c.late, CASE WHEN error_code IS NULL THEN c.cursor + 50 < c.total END AS has_next, error_code, p.transition_id, p.severity, p.position
+FROM c LEFT JOIN p ON p.tenant_id = c.tenant_id AND error_code IS NULL AND p.position >= c.cursor AND p.position < c.cursor + 50""", "transitions")
+def captured_snapshot(transitions):
+    """Pages of a capture, read after all incidents have changed and a repeat of the capture has altered nothing."""
+    spark, now = transitions.sparkSession, F.lit("2000-06-01 00:00:00").cast("timestamp")
+    path = folder(spark, "snapshot")
+    kept = transitions.select("tenant_id", "transition_id", "issue_id", "severity", "lifecycle", "observed_at")
+    sessions = snapshots.capture(kept, path, "s1", now, 50)
+    changed = kept.withColumn("severity", F.lit("ERROR")).withColumn("lifecycle", F.lit("RESOLVED"))
+    sessions = snapshots.capture(changed, path, "s1", now, 50, sessions)
+    like = kept.select("*", F.lit(0).cast("long").alias("position"), F.lit(0).cast("long").alias("page"), F.lit("").alias("session"))
+    cursors = transitions.select("tenant_id").distinct().unionByName(spark.range(1).select(F.lit("nobody").alias("tenant_id")))
+    asked = F.explode(F.array(*(F.struct(F.lit(c).alias("c"), F.lit(late).alias("late")) for c, late in ((0, False), (100, False), (150, False), (200, True), (900000000, False)))))
+    cursors = cursors.withColumn("x", asked).select(F.lit("s1").alias("session"), "tenant_id", F.col("x.c").alias("position"), F.when(F.col("x.late"), now + F.expr("interval 31 minutes")).otherwise(now).alias("at"))
+    out = snapshots.pages(snapshots.read_items(spark, path, like), sessions, cursors)
+    return out.select("tenant_id", "cursor", (F.col("at") > now).alias("late"), "has_next", "error_code", "transition_id", "severity", "position")
+
+
 #: Where three readers stopped: one with changes to read, one with none, one whose boundary the kept history no longer reaches.
 BOOKMARKS = "(VALUES ('tenant-0', 100, 0), ('tenant-1', 900000000, 0), ('tenant-2', 10, 50)) b(tenant_id, after, floor)"
 
