@@ -330,3 +330,15 @@ def test_a_capture_does_not_change(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(session" in scan and "GreaterThanOrEqual(position,2)" in scan
     with pytest.raises(ValueError, match="ING_OPERATIONAL_QUERY_INVALID"):
         snapshots.capture(df, path, "b", now, 101)
+
+
+def test_page_chains(spark):
+    def chain(rows, most=100):
+        return [tuple(r) for r in readers.page_chain(spark.createDataFrame(rows, "page_token string, next_token string"), most).orderBy("depth").collect()]
+
+    line = [(None, "a"), ("a", "b"), ("b", "c"), ("c", " "), ("x", "y"), ("y", "x")]
+    assert chain(line) == [(None, 0, None), ("a", 1, None), ("b", 2, None), ("c", 3, None)]
+    assert chain(line, 3) == [(None, 0, None), ("a", 1, None), ("b", 2, "ING_PAGE_LIMIT_EXCEEDED")] and chain(line, 4)[-1] == ("c", 3, None)
+    assert chain([*line[:3], ("c", "a")])[-1] == ("c", 3, "ING_PAGE_CYCLE") and chain([(None, "gone")]) == [(None, 0, None)]
+    assert chain([("a", "b")]) == [] and chain([(None, "a"), ("a", "a")])[-1] == ("a", 1, "ING_PAGE_CYCLE")
+    assert chain([(None, "b"), (None, "a"), ("a", None), ("b", None)]) == [(None, 0, None), ("a", 1, None)]

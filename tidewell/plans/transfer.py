@@ -125,11 +125,14 @@ def json_page_records(events):
     return out.select("ordinal", "page", F.get_json_object("item", "$.event_id").cast("long").alias("event_id"), F.get_json_object("item", "$.event_type").alias("event_type"))
 
 
-@query("SELECT CASE WHEN p > 0 THEN concat('p', p) END AS page_token, CAST(p AS INTEGER) AS depth FROM (SELECT DISTINCT event_id // 100 AS p FROM events) WHERE p < 12", "events")
+@query("SELECT CASE WHEN p > 0 THEN concat('p', p) END AS page_token, CAST(p AS INTEGER) AS depth, CASE WHEN p = max(p) OVER () THEN 'ING_PAGE_CYCLE' END AS error_code FROM (SELECT DISTINCT event_id // 20 AS p FROM events)", "events")
 def page_chain(events):
-    p = F.col("page")
-    pages = _pages(events).select(F.when(p > 0, F.concat(F.lit("p"), p)).alias("page_token"), F.get_json_object("body", "$.nextPageToken").alias("next_token"))
-    return readers.page_chain(pages, 12)
+    """A page for each 20 events; the last one leads back to the sixth."""
+    pages = events.select(F.expr("event_id div 20").alias("p")).distinct()
+    last = pages.agg(F.max("p").alias("last"))
+    after = F.when(F.col("p") == F.col("last"), F.lit("p5")).otherwise(F.concat(F.lit("p"), F.col("p") + 1))
+    rows = pages.join(F.broadcast(last)).select(F.when(F.col("p") > 0, F.concat(F.lit("p"), "p")).alias("page_token"), after.alias("next_token"))
+    return readers.page_chain(rows, 1 << 20)
 
 
 @query("""SELECT c_custkey // 10 AS doc, CAST(CASE WHEN ok THEN c_custkey % 10 END AS BIGINT) AS ordinal, CASE WHEN ok THEN concat(c_name, ' & co') END AS name, CASE WHEN ok THEN '1 2' END AS shape, CASE WHEN ok THEN 'EPSG::4326' END AS srs_name,

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordered import running
+from ..plans.scratch import written
 
 
 def asset_status(rows: DataFrame, max_rows: int = 100_000, identity: str | None = None) -> DataFrame:
@@ -73,14 +74,38 @@ def json_page_records(pages: DataFrame, items: str, next_token: str = "$.nextPag
 
 
 def page_chain(pages: DataFrame, most: int) -> DataFrame:
-    """(page_token, depth): the pages(page_token, next_token) that follow one another from the null token, at most `most`."""
-    return pages.sparkSession.sql(
-        f"""WITH RECURSIVE chain (page_token, next_token, depth) AS (
-          SELECT page_token, next_token, 0 FROM {{pages}} WHERE page_token IS NULL
-          UNION ALL SELECT p.page_token, p.next_token, c.depth + 1 FROM chain c JOIN {{pages}} p ON p.page_token = c.next_token WHERE c.next_token <> '' AND c.depth + 1 < {int(most)}
-        ) SELECT page_token, depth FROM chain""",
-        pages=pages,
-    )
+    """(page_token, depth, error_code): the pages(page_token, next_token) that follow one another from the null token, at most `most`.
+
+    A blank or missing next token, or one without a page, ends the chain. The page that leads back to one before it has
+    ING_PAGE_CYCLE, the last of `most` ING_PAGE_LIMIT_EXCEEDED if another would follow. Of several pages of one token the
+    one of the least next token counts.
+
+    Every page holds where a jump leads from it; the chain's begin is doubled by one jump of all its pages, and jumps are
+    doubled by a self-join, so that a chain of n pages takes about log2(n) rounds, each an equi-join of narrow rows.
+    """
+    spark = pages.sparkSession
+    kept = lambda df, label: spark.read.schema(df.schema).parquet(written(df, label))
+    # "0" is the first page's key, and a token's key is "1" and the token
+    key = F.when(F.col("page_token").isNull(), "0").otherwise(F.concat(F.lit("1"), "page_token"))
+    step = F.when(F.trim("next_token") != "", F.concat(F.lit("1"), "next_token"))
+    links = kept(pages.groupBy(key.alias("p")).agg(F.min(step).alias("n")), "links")
+    jumps = links.join(links.select(F.col("p").alias("n")), "n", "left_semi").select("p", "n")
+    chain, reach = kept(links.where("p = '0'").select("p", F.lit(0).cast("long").alias("depth")), "chain"), 1
+    size = chain.count()
+    while size:
+        further = chain.join(jumps, "p").select(F.col("n").alias("p"), (F.col("depth") + reach).alias("depth"))
+        # a page that is met again lies on a cycle, and keeps its first place
+        grown = chain.unionByName(further).where(F.col("depth") < most).groupBy("p").agg(F.min("depth").alias("depth"))
+        chain = kept(grown, "chain")
+        before, size, reach = size, chain.count(), reach * 2
+        if size == before or reach >= most:
+            break
+        far = jumps.select(F.col("p").alias("n"), F.col("n").alias("far"))
+        jumps = kept(jumps.join(far, "n").select("p", F.col("far").alias("n")), "jumps")
+    on = chain.join(links, "p").join(chain.select(F.col("p").alias("n"), F.col("depth").alias("then")), "n", "left")
+    follows = on.join(links.select(F.col("p").alias("n"), F.lit(True).alias("there")), "n", "left")
+    code = F.when(F.col("then") <= F.col("depth"), "ING_PAGE_CYCLE").when((F.col("depth") == most - 1) & F.col("there"), "ING_PAGE_LIMIT_EXCEEDED")
+    return follows.select(F.when(F.col("p") != "0", F.substr("p", F.lit(2))).alias("page_token"), F.col("depth").cast("int").alias("depth"), code.alias("error_code"))
 
 
 _GML_ID = "{http://www.opengis.net/gml}id"
