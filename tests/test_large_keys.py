@@ -119,3 +119,20 @@ def test_revisions_of_one_tenant(spark):
     rows = incidents.allocate_revisions(pending, clock).orderBy("issue_id", "issue_version").collect()
     assert [r.revision for r in rows] == list(range(8, 3008))
     assert [r.revision for r in incidents.allocate_revisions(pending, clock, 3).orderBy("revision").collect()] == [8, 9, 10]
+
+
+def test_a_batch_reads_its_buckets(spark, tmp_path):
+    """The second batch prunes the other buckets and does not shuffle the table; a repeat adds nothing."""
+    from tidewell.operators import buckets
+
+    path, schema = str(tmp_path / "t"), "k string, v long"
+    rows = spark.range(2000).selectExpr("concat('k', id) k", "id v")
+    assert buckets.held_rows(rows, path, schema, "k").count() == 0
+    buckets.append(rows, path, "k")
+    few = rows.where("v in (3, 5)")
+    held = buckets.held_rows(few, path, schema, "k")
+    assert {tuple(r) for r in held.collect()} == {("k3", 3), ("k5", 5)}
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("FileScan parquet") :]
+    assert "PartitionFilters: [bucket" in plan and "BroadcastHashJoin" in plan and "hashpartitioning(k" not in plan.split("BroadcastExchange")[0]
+    assert scan

@@ -204,8 +204,8 @@ def write_zone_roundtrip(documents):
 
     rows = documents.select(F.lit("RAW").alias("zone"), F.min("source").over(Window.partitionBy("text")).alias("source_id"), F.sha2("text", 256).alias("idempotency_key"), F.col("text").alias("content"))
     path = folder(documents.sparkSession, "zone")
-    first = readers.write_zone(rows.where(F.crc32("idempotency_key") % 2 == 0), path)
-    return readers.write_zone(rows, path, first.select("idempotency_key")).select("zone", "source_id", "idempotency_key", "content_hash")
+    readers.write_zone(rows.where(F.crc32("idempotency_key") % 2 == 0), path)
+    return readers.write_zone(rows, path).select("zone", "source_id", "idempotency_key", "content_hash")
 
 
 @query("SELECT outcome, error_code, count(*) AS n FROM (SELECT CASE WHEN variant % 5 = 1 THEN 'QUARANTINED' WHEN variant IN (5) THEN 'QUARANTINED' WHEN variant = 4 THEN 'QUARANTINED' WHEN variant = 8 THEN 'QUARANTINED' ELSE 'STAGED' END AS outcome, CASE WHEN variant % 5 = 1 THEN 'ING_SCHEMA_INCOMPATIBLE' WHEN variant = 8 THEN 'ING_OPERATION_UNSUPPORTED' WHEN variant = 4 THEN 'ING_TEMPORAL_METADATA_INVALID' WHEN variant = 5 THEN 'ING_VALID_TIME_INVALID' END AS error_code FROM records) GROUP BY ALL", "records")
@@ -234,8 +234,8 @@ def pipeline_zone_store(records):
     from .intake import processed
 
     path = folder(records.sparkSession, "zones")
-    first = readers.write_zone(processed(records.where("segment < 'G'")).zones, path)
-    return readers.write_zone(processed(records).zones, path, first.select("idempotency_key")).groupBy("zone").agg(F.count("*").alias("n"))
+    readers.write_zone(processed(records.where("segment < 'G'")).zones, path)
+    return readers.write_zone(processed(records).zones, path).groupBy("zone").agg(F.count("*").alias("n"))
 
 
 @query("SELECT DISTINCT concat('k', user_id) AS idempotency_key FROM events", "events")

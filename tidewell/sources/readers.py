@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import buckets
 from ..operators.ordered import running
 from ..plans.scratch import written
 
@@ -302,15 +303,18 @@ def asset_integrity(assets: DataFrame, manifest: DataFrame) -> DataFrame:
     return both.select("path", F.when(F.col("hash").isNull(), "UNAPPROVED").when(same, "EXACT").otherwise("MISMATCH").alias("state"))
 
 
-def new_zone_objects(df: DataFrame, existing: DataFrame) -> DataFrame:
-    """One object per idempotency key that a zone does not hold yet: (zone, source_id, idempotency_key, content, content_hash)."""
-    one = df.groupBy("zone", "source_id", "idempotency_key").agg(F.min("content").alias("content"))
-    return one.join(existing.select("idempotency_key"), "idempotency_key", "left_anti").withColumn("content_hash", F.concat(F.lit("sha256:"), F.sha2("content", 256)))
+ZONE = "zone string, source_id string, idempotency_key string, content string, content_hash string"
 
 
-def write_zone(df: DataFrame, path: str, existing: DataFrame | None = None) -> DataFrame:
-    """Append the new objects of df below path, partitioned by zone and source, and read the zone back."""
-    spark = df.sparkSession
-    empty = spark.createDataFrame([], "idempotency_key string")
-    new_zone_objects(df, existing if existing is not None else empty).write.mode("append").partitionBy("zone", "source_id").parquet(path)
-    return spark.read.parquet(path)
+def write_zone(df: DataFrame, path: str) -> DataFrame:
+    """Append one object for each idempotency key of df(zone, source_id, idempotency_key, content) that is not below path yet, by zone and bucket of the key, and read the zone back.
+
+    A key is an object once over all zones and sources; of several in a batch the one of the least zone, source and
+    content counts. What is there is looked up in the buckets of the batch's keys alone.
+    """
+    rows = df.select("zone", F.col("source_id").cast("string").alias("source_id"), "idempotency_key", "content")
+    held = buckets.held_rows(rows, path, ZONE, "idempotency_key").select("idempotency_key")
+    one = rows.groupBy("idempotency_key").agg(F.min(F.struct("zone", "source_id", "content")).alias("x")).select("x.zone", "x.source_id", "idempotency_key", "x.content")
+    new = one.join(held, "idempotency_key", "left_anti").withColumn("content_hash", F.concat(F.lit("sha256:"), F.sha2("content", 256)))
+    buckets.append(new, path, "idempotency_key", "zone")
+    return buckets.held_at(df.sparkSession, path, ZONE)

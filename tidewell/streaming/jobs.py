@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import outbox
+from ..operators import buckets, outbox
 
 
 def dedupe_handoffs(stream: DataFrame, at: str, late: str = "1 day") -> DataFrame:
@@ -95,18 +95,12 @@ def publish_late_safe(batch: DataFrame, published: DataFrame) -> DataFrame:
 
 
 def stage_batches(stream: DataFrame, target: str, checkpoint: str):
-    """A query that appends new handoffs (idempotency_key, payload) to a Parquet folder once each, batch by batch."""
+    """A query that appends new handoffs (idempotency_key, payload) to a folder of Parquet once each, batch by batch; a batch reads the buckets of its own keys."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema)
 
     def run(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        try:
-            existing = spark.read.parquet(target)
-        except Exception as e:  # the folder does not exist before the first batch
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            existing = batch.sparkSession.createDataFrame([], batch.schema)
-        staged = outbox.stage_handoffs(batch, existing)
-        staged.where("outcome = 'INSERT'").select(*batch.columns).write.mode("append").parquet(target)
+        staged = outbox.stage_handoffs(batch, buckets.held_rows(batch, target, schema, "idempotency_key"))
+        buckets.append(staged.where("outcome = 'INSERT'").select(*batch.columns), target, "idempotency_key")
 
     return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
