@@ -281,6 +281,9 @@ def test_log_window_is_bounded(spark):
     assert reports.time_window(df, "at", T, T + timedelta(hours=1)).count() == 1
     with pytest.raises(ValueError):
         reports.time_window(df, "at", T, T + timedelta(hours=25))
+    for end, purpose, severity, code in [(25, "p", None, "WINDOW_INVALID"), (0, "p", None, "WINDOW_INVALID"), (1, " ", None, "PURPOSE_REQUIRED"), (1, None, None, "PURPOSE_REQUIRED"), (1, "p", "DEBUG", "SEVERITY_INVALID")]:
+        with pytest.raises(ValueError, match=f"ING_LOG_{code}"):
+            reports.search_log(df, 5, T, T + timedelta(hours=end), purpose, severity=severity)
 
 
 def test_entry_imports_without_a_session():

@@ -140,7 +140,8 @@ def latest_publication(publications: DataFrame) -> DataFrame:
 
 
 def completion_counts(runs: DataFrame) -> DataFrame:
-    return runs.groupBy("state").pivot("phase", ["CATCH_UP", "DELTA", "FULL_SNAPSHOT"]).count().na.fill(0)
+    """Runs of each tenant by state, a column for each phase."""
+    return runs.groupBy("tenant_id", "state").pivot("phase", ["CATCH_UP", "DELTA", "FULL_SNAPSHOT"]).count().na.fill(0)
 
 
 def resume_gate(runs: DataFrame, quarantine: DataFrame, version: int) -> DataFrame:

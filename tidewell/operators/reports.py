@@ -47,9 +47,20 @@ def search(df: DataFrame, order: list[Column], limit: int, most: int = 200, **eq
     return bounded(optional_filters(df, **equal).orderBy(*order), limit, most)
 
 
-def search_log(events: DataFrame, limit: int, **equal) -> DataFrame:
-    """Newest events first; truncated says that there are exactly as many as the limit."""
-    rows = search(events, [F.desc("occurred_at"), F.desc("event_id")], limit, **equal)
+def log_window(events: DataFrame, start: datetime.datetime, end: datetime.datetime, purpose: str | None, severity: str | None = None) -> DataFrame:
+    """Events of a window of at most a day, for a stated purpose; severity is only checked."""
+    if not start < end or end - start > datetime.timedelta(hours=24):
+        raise ValueError("ING_LOG_WINDOW_INVALID")
+    if purpose is None or not purpose.strip() or len(purpose) > 500:
+        raise ValueError("ING_LOG_PURPOSE_REQUIRED")
+    if severity is not None and severity not in ("INFO", "WARN", "ERROR"):
+        raise ValueError("ING_LOG_SEVERITY_INVALID")
+    return time_window(events, "occurred_at", start, end)
+
+
+def search_log(events: DataFrame, limit: int, start: datetime.datetime, end: datetime.datetime, purpose: str | None, **equal) -> DataFrame:
+    """Newest events of a window first; truncated says that there are exactly as many as the limit. See log_window() for what is refused."""
+    rows = search(log_window(events, start, end, purpose, equal.get("severity")), [F.desc("occurred_at"), F.desc("event_id")], limit, **equal)
     return rows.withColumn("truncated", F.count("*").over(Window.partitionBy()) == max(1, min(limit, 200)))
 
 
@@ -90,9 +101,9 @@ def gauges(**frames: tuple[DataFrame, Column]) -> DataFrame:
     return out
 
 
-def pressure_level(backlog: Column, soft: int = 1000, hard: int = 5000) -> Column:
-    """The level that a backlog has by itself: 0 normal, 1 soft, 3 hard; 2, recovery, is known from a history only (see health.pressure_states)."""
-    return F.when(backlog < soft, 0).when(backlog < hard, 1).otherwise(3)
+def pressure_number(state: Column) -> Column:
+    """What a gauge shows for a state of health.pressure_states()."""
+    return F.when(state == "NORMAL", 0).when(state == "SOFT", 1).when(state == "RECOVERY", 2).otherwise(3)
 
 
 def alert_conditions(samples: DataFrame, key: str, at_seconds: str, value: str, above: float, seconds: int) -> DataFrame:
@@ -259,3 +270,11 @@ def audit_append_only(before: DataFrame, after: DataFrame, key: str, fixed: list
     both = before.select(key, h.alias("__a")).join(after.select(key, h.alias("__b")), key, "left")
     state = F.when(F.col("__b").isNull(), "DELETED").when(F.col("__a") != F.col("__b"), "MUTATED")
     return both.withColumn("violation", state).where("violation is not null").select(key, "violation")
+
+
+def lineage_page(lineage: DataFrame, runs: DataFrame, tenant: str, run_id: str, limit: int = 200) -> DataFrame:
+    """The first lineage records (lineage_id, source_object_id, bundle_ref, evidence, created_at) of a tenant's run by creation and id, with the contracts that their evidence names."""
+    own = runs.where((F.col("tenant_id") == tenant) & (F.col("run_id") == run_id)).select("run_id")
+    rows = lineage.where(F.col("run_id") == run_id).join(own, "run_id", "left_semi").orderBy("created_at", "lineage_id")
+    refs = F.to_json(F.try_variant_get(F.try_parse_json("evidence"), "$.contracts", "variant"))
+    return bounded(rows, limit).select("lineage_id", "source_object_id", "bundle_ref", refs.alias("contract_refs"), "created_at")

@@ -9,6 +9,7 @@ from ..functions import scalar as S
 from ..operators import contracts, mapping as M
 from ..operators import pipeline
 from ..operators import policies as P
+from ..operators import reports as R
 from .registry import query
 from .scratch import written
 
@@ -276,6 +277,14 @@ def pipeline_lineage(records):
     )
 
 
+@query(f"""SELECT sha256(concat({KEY_SQL.format("'lineage'")}, ':1')) AS lineage_id, id AS source_object_id, 'b1:1:c1' AS bundle_ref, 'b1:1:c1' AS contract FROM records WHERE source_id = 'src-6' AND {ERROR_SQL} IS NULL ORDER BY lineage_id LIMIT 150""", "records")
+def lineage_page(records):
+    lineage = processed(records).lineage.withColumn("created_at", F.get_json_object("evidence", "$.times.processedAt"))
+    runs = records.select(F.col("source_id").alias("run_id"), F.expr("concat('tenant-', cast(substring(source_id, 5) as int) % 5)").alias("tenant_id")).distinct()
+    page = R.lineage_page(lineage, runs, "tenant-1", "src-6", 150)
+    return page.select("lineage_id", "source_object_id", "bundle_ref", F.get_json_object("contract_refs", "$.bundleRef").alias("contract"))
+
+
 @query(f"""SELECT {KEY_SQL.format("'handoff'")} AS idempotency_key, ordinal AS sequence_no, CASE WHEN variant = 7 THEN 'DELETE' ELSE 'UPSERT' END AS operation, CASE WHEN variant <> 7 THEN name END AS name,
  CASE WHEN variant = 3 THEN '2024-12-31T23:00:00.000000Z' ELSE '2025-06-01T00:00:00.000000Z' END AS valid_from, CASE WHEN variant % 4 = 0 THEN id END AS base, 'OPEN' AS label FROM records WHERE {ERROR_SQL} IS NULL""", "records")
 def pipeline_handoffs(records):

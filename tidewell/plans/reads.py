@@ -7,9 +7,11 @@ import datetime
 from pyspark.sql import functions as F
 
 from ..functions.scalar import iso_micros
+from ..operators import health
 from ..operators import incidents as I
 from ..operators import reports as R
 from ..operators.policies import pinned_contract
+from .operations import CIRCUITS
 from .registry import query
 
 ISO = "'%Y-%m-%dT%H:%M:%S.%fZ'"
@@ -25,9 +27,10 @@ def run_history(runs):
     return R.search(runs, [F.desc("updated_at"), F.col("run_id")], 50, tenant_id="tenant-2", source_id="src-7").select("run_id", "state")
 
 
-@query("SELECT event_id, severity, count(*) OVER () = 20 AS truncated FROM (SELECT * FROM ops_events WHERE severity = 'ERROR' ORDER BY occurred_at DESC, event_id DESC LIMIT 20)", "ops_events")
+@query("SELECT event_id, severity, count(*) OVER () = 20 AS truncated FROM (SELECT * FROM ops_events WHERE severity = 'ERROR' AND occurred_at >= TIMESTAMP '2024-01-05' AND occurred_at < TIMESTAMP '2024-01-06' ORDER BY occurred_at DESC, event_id DESC LIMIT 20)", "ops_events")
 def search_log(ops_events):
-    return R.search_log(ops_events, 20, severity="ERROR", run_id=None).select("event_id", "severity", "truncated")
+    day = datetime.datetime(2024, 1, 5)
+    return R.search_log(ops_events, 20, day, day + datetime.timedelta(days=1), "incident review", severity="ERROR", run_id=None).select("event_id", "severity", "truncated")
 
 
 @query("SELECT source_id AS key, count(*) AS n FROM ops_events WHERE correlation_id = 'corr-3' GROUP BY 1 ORDER BY n DESC, key LIMIT 15", "ops_events")
@@ -81,11 +84,6 @@ def observation_search(records):
     return R.search(seen, [F.desc("last")], 3, source_id="src-4").select("source_id", "segment", "n")
 
 
-@query("SELECT conv_id, turn, role FROM conversations ORDER BY conv_id, turn LIMIT 80", "conversations")
-def lineage_page(conversations):
-    return R.bounded(conversations.orderBy("conv_id", "turn"), 80).select("conv_id", "turn", "role")
-
-
 @query("SELECT quarantine_id FROM quarantine WHERE run_id IN (SELECT run_id FROM runs WHERE tenant_id = 'tenant-1')", "quarantine runs")
 def tenant_scope(quarantine, runs):
     return R.tenant_scope(quarantine, runs, "tenant-1").select("quarantine_id")
@@ -168,24 +166,29 @@ def operational_summary(transitions):
     return R.operational_summary(I.top_incidents(transitions, 50))
 
 
-GAUGES = """SELECT 'active_runs' AS gauge, count(*) AS value FROM runs WHERE state = 'RUNNING' UNION ALL SELECT 'due_schedules', count(*) FROM schedules WHERE state = 'ENABLED' AND next_run <= 500
+LEVELS = """, days AS (SELECT floor(epoch(next_attempt_at) / 86400) AS d, count(*) AS n FROM handoffs WHERE state <> 'ACKED' GROUP BY 1), numbered AS (SELECT row_number() OVER (ORDER BY d) AS k, n FROM days),
+ levels AS (SELECT CAST(0 AS BIGINT) AS k, 'NORMAL' AS s UNION ALL SELECT q.k, CASE WHEN q.n >= 40 THEN 'HARD' WHEN f.s IN ('HARD','RECOVERY') THEN CASE WHEN q.n <= 2 THEN 'NORMAL' ELSE 'RECOVERY' END WHEN q.n >= 5 THEN 'SOFT' WHEN f.s = 'SOFT' AND q.n > 2 THEN 'SOFT' ELSE 'NORMAL' END
+  FROM levels f JOIN numbered q ON q.k = f.k + 1)
+"""
+GAUGES = CIRCUITS + LEVELS + """SELECT 'active_runs' AS gauge, count(*) AS value FROM runs WHERE state = 'RUNNING' UNION ALL SELECT 'due_schedules', count(*) FROM schedules WHERE state = 'ENABLED' AND next_run <= 500
  UNION ALL SELECT 'outbox_backlog', count(*) FROM handoffs WHERE state <> 'ACKED' UNION ALL SELECT 'open_quarantine', count(*) FROM quarantine WHERE lifecycle_state = 'OPEN'
  UNION ALL SELECT 'replay_backlog', count(*) FROM replays WHERE state IN ('RETRY_WAIT','RUNNING') UNION ALL SELECT 'retry_attempts', CAST(sum(attempts) AS BIGINT) FROM replays
- UNION ALL SELECT 'open_circuits', count(*) FROM (SELECT source_id FROM attempt_log GROUP BY source_id HAVING arg_max(outcome, event_id) = 'TRANSIENT')
- UNION ALL SELECT 'pressure_level', CASE WHEN count(*) < 1000 THEN 0 WHEN count(*) < 5000 THEN 1 ELSE 3 END FROM handoffs WHERE state <> 'ACKED'
+ UNION ALL SELECT 'open_circuits', count(*) FROM (SELECT source_id, arg_max(status, k) AS status FROM fold GROUP BY 1) WHERE status = 'PAUSED'
+ UNION ALL SELECT 'pressure_level', (SELECT max(CASE s WHEN 'NORMAL' THEN 0 WHEN 'SOFT' THEN 1 WHEN 'RECOVERY' THEN 2 ELSE 3 END) FROM (SELECT arg_max(s, k) AS s FROM levels))
  UNION ALL SELECT 'watermark_max_age', CAST(floor(epoch(TIMESTAMP '2030-01-01' - min(next_attempt_at))) AS BIGINT) FROM handoffs WHERE state = 'ACKED'"""
 
 
 @query(GAUGES, "runs schedules handoffs quarantine replays attempt_log")
 def operational_gauges(runs, schedules, handoffs, quarantine, replays, attempt_log):
     n = F.count_if
-    last = attempt_log.groupBy("source_id").agg(F.max_by("outcome", "event_id").alias("outcome"))
-    backlog = n(F.col("state") != "ACKED")
+    circuits = health.circuit_states(attempt_log.select("source_id", F.unix_timestamp("happened_at").alias("at_seconds"), "event_id", "outcome"), window=86400)
+    open_ = handoffs.where("state <> 'ACKED'").groupBy(F.expr("unix_timestamp(next_attempt_at) div 86400").alias("at")).agg(F.count("*").alias("backlog"))
+    pressure = health.pressure_states(open_.withColumn("tenant_id", F.lit("all")), 5, 40, 2)
     committed = F.min(F.when(F.col("state") == "ACKED", F.unix_seconds(F.col("next_attempt_at").cast("timestamp"))))
     return R.gauges(
-        active_runs=(runs, n(F.col("state") == "RUNNING")), due_schedules=(schedules, n((F.col("state") == "ENABLED") & (F.col("next_run") <= 500))), outbox_backlog=(handoffs, backlog),
+        active_runs=(runs, n(F.col("state") == "RUNNING")), due_schedules=(schedules, n((F.col("state") == "ENABLED") & (F.col("next_run") <= 500))), outbox_backlog=(handoffs, n(F.col("state") != "ACKED")),
         open_quarantine=(quarantine, n(F.col("lifecycle_state") == "OPEN")), replay_backlog=(replays, n(F.col("state").isin("RETRY_WAIT", "RUNNING"))), retry_attempts=(replays, F.sum("attempts")),
-        open_circuits=(last, n(F.col("outcome") == "TRANSIENT")), pressure_level=(handoffs, R.pressure_level(backlog)), watermark_max_age=(handoffs, F.lit(1893456000) - committed),
+        open_circuits=(circuits, n(F.col("status") == "PAUSED")), pressure_level=(pressure, F.max(R.pressure_number(F.col("state")))), watermark_max_age=(handoffs, F.lit(1893456000) - committed),
     )
 
 

@@ -213,7 +213,7 @@ def next_due(runs):
     return out.select("schedule_id", F.date_format("due", "yyyy-MM-dd").alias("slot"), "run_id", iso_micros("next_due").alias("next_due"), "state")
 
 
-@query("""SELECT state, count(*) FILTER (phase = 'CATCH_UP') AS "CATCH_UP", count(*) FILTER (phase = 'DELTA') AS "DELTA", count(*) FILTER (phase = 'FULL_SNAPSHOT') AS "FULL_SNAPSHOT" FROM runs GROUP BY state""", "runs")
+@query("""SELECT tenant_id, state, count(*) FILTER (phase = 'CATCH_UP') AS "CATCH_UP", count(*) FILTER (phase = 'DELTA') AS "DELTA", count(*) FILTER (phase = 'FULL_SNAPSHOT') AS "FULL_SNAPSHOT" FROM runs GROUP BY tenant_id, state""", "runs")
 def run_completion_counts(runs):
     return governance.completion_counts(runs)
 
