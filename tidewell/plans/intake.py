@@ -195,7 +195,7 @@ def validate_contract_closed(records):
     return _validated(records.withColumn("doc", _doc({"a": F.lit(1), "extra": F.when(F.col("variant") % 4 == 0, "x")})), "ordinal", schema)
 
 
-@query(_contract_sql("ordinal", "records", "CASE WHEN variant % 5 = 0 THEN '$.list' WHEN variant % 5 = 1 THEN '$.list' WHEN variant % 5 = 2 THEN '$.list[]' END"), "records")
+@query(_contract_sql("ordinal", "records", "CASE WHEN variant % 5 = 0 THEN '$.list' WHEN variant % 5 = 1 THEN '$.list' WHEN variant % 5 = 2 THEN '$.list[1]' END"), "records")
 def validate_contract_array(records):
     schema = {"properties": {"list": {"type": "array", "minItems": 2, "uniqueItems": True, "items": {"type": "integer", "minimum": 0}}}}
     v = F.col("variant") % 5
