@@ -32,8 +32,8 @@ def held_rows(batch: DataFrame, path: str, schema: str, key: str, buckets: int =
     """
     spark = batch.sparkSession
     keys = batch.select(key).distinct()
-    numbers = [r.b for r in keys.select(bucket_of(key, buckets).alias("b")).distinct().collect()]
-    small = keys.limit(MOST_KEYS + 1).count() <= MOST_KEYS
+    about = keys.agg(F.collect_set(bucket_of(key, buckets)).alias("numbers"), F.count("*").alias("n")).first()
+    numbers, small = about.numbers, about.n <= MOST_KEYS
     table = held_at(spark, path, f"{schema}, bucket int").where(F.col("bucket").isin(numbers) if numbers else F.lit(False))
     return table.join(F.broadcast(keys) if small else keys, key, "left_semi").drop("bucket")
 

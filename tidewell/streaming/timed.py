@@ -163,30 +163,29 @@ LEASE = "handoff_id string, attempt long, lease_until timestamp"
 
 
 class _Leases(StatefulProcessor):
-    """lease: the attempt that is out for delivery and when its lease ends; none while there is no delivery."""
+    """lease: the latest attempt that a change told of, and when its lease ends; 0 while it is not out for delivery."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.lease = handle.getValueState("lease", "attempt long, until_us long")
-        self.latest = handle.getValueState("latest", "attempt long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        attempt, held = self.lease.get() if self.lease.exists() else (-1, 0)
+        until = held
         for r in pd.concat(list(rows)).sort_values("attempt").itertuples():
-            if self.latest.exists() and self.latest.get()[0] > r.attempt:
-                continue  # a change that a later one has overtaken
-            self.latest.update((int(r.attempt),))
-            for t in list(self.handle.listTimers()):
-                self.handle.deleteTimer(t)
-            self.lease.clear()
-            if r.state == "DELIVERING" and not pd.isna(r.until_us):
-                self.lease.update((int(r.attempt), int(r.until_us)))
-                self.handle.registerTimer(int(r.until_us) // 1000)
+            if r.attempt >= attempt:  # else a later change has overtaken this one
+                attempt, until = int(r.attempt), int(r.until_us) if r.state == "DELIVERING" and not pd.isna(r.until_us) else 0
+        self.lease.update((attempt, until))
+        if held and held != until:
+            self.handle.deleteTimer(held // 1000)
+        if until and held != until:
+            self.handle.registerTimer(until // 1000)
         yield self._frame([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.lease.exists():
-            attempt, until = self.lease.get()
-            self.lease.clear()
+        attempt, until = self.lease.get()
+        if until:
+            self.lease.update((attempt, 0))
             yield self._frame([(key[0], int(attempt), pd.Timestamp(until, unit="us"))])
 
     def close(self) -> None:
