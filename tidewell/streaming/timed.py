@@ -180,7 +180,7 @@ class _Leases(StatefulProcessor):
             self.handle.deleteTimer(held // 1000)
         if until and held != until:
             self.handle.registerTimer(until // 1000)
-        yield self._frame([])
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         attempt, until = self.lease.get()
