@@ -222,7 +222,37 @@ def test_odd_pages(page, text):
     assert main_text(page) == text
 
 
-@pytest.mark.parametrize("piece", ["<a b='", "<a b=\"x", "<a<a", "<p = = ", "<p title='x", "</", "<!"])
+POLISH = "Rada miasta postanowiła wczoraj, że most zostanie zamknięty na czas remontu. Mieszkańcy będą musieli korzystać z objazdu przez cały rok, co budzi wiele emocji. Burmistrz zapowiedział dodatkowe autobusy oraz bezpłatne przejazdy dla uczniów."
+RUSSIAN = "Городской совет вчера решил, что мост будет закрыт на время ремонта. Жителям придётся пользоваться объездом в течение всего года, что вызывает много споров. Мэр пообещал дополнительные автобусы и бесплатный проезд для школьников."
+CHINESE = "市议会昨天决定，这座桥在维修期间将会关闭。居民全年都需要绕行，这引起了很多争议。"
+LONG_ARTICLE = f"{ARTICLE} {ARTICLE}"
+UNMARKED_PAGES = [
+    (f"<form id='aspnet'><input type='hidden'><input><div>{LONG_ARTICLE}</div><p>{ARTICLE}</p></form>", [LONG_ARTICLE, ARTICLE]),
+    (f"<form><input><article><p>{ARTICLE}</p></article></form>", [ARTICLE]),
+    (f"<article><p>{ARTICLE}</p></article><form><p>Leave a reply. Your address will not be published.</p><input><textarea></textarea></form>", [ARTICLE]),
+    (f"<p>{LONG_ARTICLE}</p><form><p>Leave a reply. Your address will not be published.</p><input><textarea>x</textarea></form>", [LONG_ARTICLE]),
+    (f"<div class='post has-comments'><p>{LONG_ARTICLE}</p><p>{LONG_ARTICLE}</p></div>", [LONG_ARTICLE, LONG_ARTICLE]),
+    (f"<p>{LONG_ARTICLE}</p><div class='post-comments'><p>{LONG_ARTICLE}</p></div>", [LONG_ARTICLE]),
+    (f"<head><title>x</title><p>{LONG_ARTICLE}</p><p>{LONG_ARTICLE}</p>", [LONG_ARTICLE, LONG_ARTICLE]),
+    (f"<div><a href='/'>Home</a></div><p>{POLISH}</p><p>{POLISH}</p>", [POLISH, POLISH]),
+    (f"<p>{RUSSIAN}</p><p>{RUSSIAN}</p>", [RUSSIAN, RUSSIAN]),
+    (f"<p>{CHINESE}</p><p>{CHINESE}</p>", [CHINESE, CHINESE]),
+    ("<nav><a href='/'>Home</a></nav><p>Closed today.</p>", ["Closed today."]),
+    (f"<article><p>A teaser.</p></article><div><p>{LONG_ARTICLE}</p><p>{LONG_ARTICLE}</p></div>", ["A teaser.", LONG_ARTICLE, LONG_ARTICLE]),
+    (f"<p>{LONG_ARTICLE}</p><p>The mark © on the plate is old.</p><p>{LONG_ARTICLE}</p><p>© 2020 Us</p>", [LONG_ARTICLE, "The mark © on the plate is old.", LONG_ARTICLE]),
+    (f"<div class='nav'>Menu</div><h1>A title</h1><p>{LONG_ARTICLE}</p>", ["A title", LONG_ARTICLE]),
+    ("<div class='cookie-notice'><p>We use cookies on this site to make it better for you. Accept them.</p></div>", []),
+]
+
+
+@pytest.mark.parametrize("page, parts", UNMARKED_PAGES)
+def test_pages_whose_markup_does_not_tell_the_article(page, parts):
+    from tidewell.llm.html import main_text
+
+    assert main_text(page) == "\n\n".join(parts)
+
+
+@pytest.mark.parametrize("piece", ["<template>", "<svg>", "<svg><svg ", "<object>", "<select>", "<div></form>", "<div>", "<form><input>", "<a b='", "<a b=\"x", "<a<a", "<p = = ", "<p title='x", "</", "<!"])
 def test_broken_pages_take_linear_time(piece):
     import time
 
