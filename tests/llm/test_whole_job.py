@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from conftest import DATA
 
 
 def recurring_by_hand(rows):
@@ -261,3 +262,43 @@ def test_broken_pages_take_linear_time(piece):
     start = time.time()
     main_text(piece * 20_000)
     assert time.time() - start < 5
+
+
+def test_packing_keeps_the_order_of_training(spark, tmp_path):
+    """Sequences follow the positions that the mix gives, although the reader deals files over tasks by size."""
+    import corpus_pipeline
+    from tidewell.llm import mixing
+    from tidewell.llm.shared import staged
+
+    docs = spark.read.parquet(f"{DATA}/sf0.001/documents.parquet")
+    frame = staged(mixing.mixed_documents(docs, parts=16), "ordered")
+    assert len(frame.inputFiles()) == 16 and frame.rdd.getNumPartitions() < 16
+    wanted = [r.doc_id for f in sorted(frame.inputFiles()) for r in spark.read.parquet(f).select("doc_id").coalesce(1).collect()]
+    pieces = corpus_pipeline.packed(spark, frame, "").collect()
+    pieces.sort(key=lambda r: (r.sequence_id, r.offset))
+    assert [r.doc_id for r in pieces if r.start == 0] == wanted
+    ends = {}
+    for r in pieces:
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+    assert max(ends.values()) <= 2048
+
+
+def test_packing_of_splits_and_frames(spark, tmp_path):
+    """Splits of one file are streams in order; a frame that is no file is packed partition by partition."""
+    import corpus_pipeline
+
+    rows = [(i, "word " * 3000) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    path = f"{tmp_path}/t"
+    docs.write.option("parquet.block.size", 1 << 18).option("compression", "none").option("parquet.enable.dictionary", False).parquet(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 19))
+    try:
+        frame = spark.read.parquet(path)
+        assert frame.rdd.getNumPartitions() > 4
+        pieces = sorted(corpus_pipeline.packed(spark, frame, "").collect(), key=lambda r: (r.sequence_id, r.offset))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r.doc_id for r in pieces if r.start == 0] == list(range(400)) and len({(r.sequence_id, r.offset) for r in pieces}) == len(pieces)
+    assert sorted(r.doc_id for r in corpus_pipeline.packed(spark, docs, "").collect() if r.start == 0) == list(range(400))

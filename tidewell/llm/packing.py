@@ -13,7 +13,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from .shared import staged
 
 #: Costs of a cut in tokens of padding: inside a document after a sentence, and inside a sentence.
 SENTENCE, WORD = 8, 24
@@ -137,7 +141,7 @@ def allowed(ids: np.ndarray, ends: np.ndarray, closing: np.ndarray) -> tuple[np.
 def _pack(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int) -> Iterator[pa.RecordBatch]:
     words = words_of(path)
     closing = words.sentence_ends()
-    sequence = TaskContext.get().partitionId() << 36
+    sequence, stream = TaskContext.get().partitionId() << 36, None
     waiting: list[tuple] = []  # (doc_id, start, ids, doc_tokens) not yet in a window
     held = 0
 
@@ -163,11 +167,26 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int)
         ids = np.concatenate([x[2] for x in waiting])
         return cuts(*allowed(ids, np.cumsum([len(x[2]) for x in waiting]), closing), size)
 
+    def finish() -> list[int]:
+        """Where to cut all that waits; the last window is short: powers of two take no padding."""
+        stops = plan()
+        last = stops.pop()
+        at = stops[-1] if stops else 0
+        while at < last:
+            at += 1 << (last - at).bit_length() - 1
+            stops.append(at)
+        return stops
+
     for batch in batches:
         docs = batch.column(0).to_pylist()
+        streams = batch.column(2).to_pylist() if batch.num_columns > 2 else [None] * len(docs)
         for i in range(0, len(docs), 64):
             texts = [t or "" for t in batch.column(1).slice(i, 64).to_pylist()]
-            for doc, ids in zip(docs[i : i + 64], words(texts), strict=True):
+            for doc, own, ids in zip(docs[i : i + 64], streams[i : i + 64], words(texts), strict=True):
+                if own != stream:
+                    if waiting:
+                        yield emit(finish())
+                    stream, sequence = own, own << 24
                 ids = np.append(ids, np.uint32(end_id))
                 waiting.append((doc, 0, ids, len(ids)))
                 held += len(ids)
@@ -176,22 +195,50 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int)
                 if stops:
                     yield emit(stops)
     if waiting:
-        stops = plan()
-        # the last window is short: powers of two take no padding
-        last = stops.pop()
-        at = stops[-1] if stops else 0
-        while at < last:
-            at += 1 << (last - at).bit_length() - 1
-            stops.append(at)
-        yield emit(stops)
+        yield emit(finish())
+
 
+def _bytes(size: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)\s*([bkmgtp]?)[a-z]*", size.lower()).groups()
+    return int(number) << 10 * "bkmgtp".index(unit or "b")
 
-def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 1) -> DataFrame:
+
+#: Files of one table that file_streams can number.
+MAX_FILES = 1 << 20
+
+
+def file_streams(docs: DataFrame) -> DataFrame:
+    """docs with stream, a number that rises in the order of the names of the files that docs is read from, and of the splits within a file.
+
+    Files of one write have names of one shape, so that shorter names come first and those of one length by their
+    letters. One narrow row per file, at most MAX_FILES of them, is ranked and broadcast; no row of docs moves. A stream
+    number has 20 bits for the file and 19 for the split's first byte in units of 64 KB, so that splits have to be
+    longer than that and files shorter than 32 GB; anything else is an error. Docs that are not read from files
+    directly have a null stream: each partition is one.
+    """
+    try:
+        names = docs.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).distinct()
+    except AnalysisException:
+        return docs.withColumn("stream", F.lit(None).cast("long"))
+    names = staged(names, "files")
+    n, longest = names.agg(F.count("*"), F.coalesce(F.max("bytes"), F.lit(0))).first()
+    conf = docs.sparkSession.conf
+    if n > MAX_FILES or longest >= 1 << 35 or min(_bytes(conf.get(f"spark.sql.files.{k}")) for k in ("maxPartitionBytes", "openCostInBytes")) < 1 << 16:
+        raise ValueError("too many or too long files, or splits below 64 KB")
+    ranks = names.select(F.xxhash64("path").alias("__file"), (F.row_number().over(Window.orderBy(F.length("path"), "path")) - 1).cast("long").alias("__rank"))
+    placed = docs.withColumns({"__file": F.xxhash64("_metadata.file_path"), "__at": F.shiftright("_metadata.file_block_start", 16)})
+    stream = F.shiftleft("__rank", 19) + F.col("__at")
+    return placed.join(F.broadcast(ranks), "__file").withColumn("stream", stream).drop("__file", "__at", "__rank")
+
+
+def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 1, stream: str | None = None) -> DataFrame:
     """The token ids of each row's text, followed by end_id, as pieces of sequences of at most `size` tokens.
 
     One row per piece: doc_id, start (ids of its document before it), length, ids (little-endian unsigned 32-bit
     numbers), doc_tokens (ids of the document, end_id included), sequence_id, offset (place in its sequence).
     Each partition of docs is a stream in its own order, so that the order of a sorted table is kept and no row moves.
+    With `stream`, a column of numbers (see file_streams), a run of rows of one number is a stream, whose sequences come
+    after those of smaller numbers wherever it is read.
     A sequence that is not full is padded to `size`, unless its length is a power of two; the last window of a
     partition is split into such lengths.
 
@@ -199,4 +246,5 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 1) ->
     any length are cut as needed. Columns other than doc_id and text are not read. An empty table gives an empty result.
     `tokenizer` is a path that every executor can read.
     """
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(lambda it: _pack(it, tokenizer, size, end_id), SCHEMA)
+    own = [f"`{stream}` stream"] if stream else []
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text", *own).mapInArrow(lambda it: _pack(it, tokenizer, size, end_id), SCHEMA)
