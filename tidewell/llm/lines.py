@@ -155,12 +155,18 @@ def templates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def occurrences(lines: DataFrame, recurring: DataFrame) -> DataFrame:
-    """lines with first_doc, where they recur; no task gets all occurrences of a common line."""
-    if recurring.limit(FEW + 1).count() <= FEW:
+    """lines with first_doc, where they recur; no task gets all occurrences of a common line.
+
+    Fewer than FEW lines can stand in more than a share of 1 / FEW of all occurrences, so that what is broadcast has
+    fewer than FEW rows at any size, and no other line has more than that share.
+    """
+    n, held = recurring.agg(F.count("*"), F.coalesce(F.sum("docs"), F.lit(0))).first()
+    if n <= FEW:
         return lines.join(F.broadcast(recurring), "line")
-    # lines in more than COMMON documents are fewer than the table's lines divided by that
-    common, rare = recurring.where(F.col("docs") > COMMON), recurring.where(F.col("docs") <= COMMON)
-    return lines.join(F.broadcast(common), "line", "left_anti").join(rare, "line").unionByName(lines.join(F.broadcast(common), "line"))
+    most = max(COMMON, held // FEW)
+    common, rare = recurring.where(F.col("docs") > most), recurring.where(F.col("docs") <= most)
+    common = F.broadcast(common)
+    return lines.join(common, "line", "left_anti").join(rare, "line").unionByName(lines.join(common, "line"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
