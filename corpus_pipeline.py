@@ -21,7 +21,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def without(docs: DataFrame, ids: DataFrame, key: str, most: int = 1 << 20) -> DataFrame:
     """docs less the rows of these ids: by broadcast if they are counted to be at most `most`, else by a shuffle."""
     ids = staged(ids, "ids")
-    return docs.join(F.broadcast(ids) if ids.limit(most + 1).count() <= most else ids, F.col("doc_id") == F.col(key), "left_anti").select(*COLUMNS)
+    docs = docs.select(*COLUMNS)
+    return docs.join(F.broadcast(ids) if ids.limit(most + 1).count() <= most else ids, F.col("doc_id") == F.col(key), "left_anti")
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +51,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences of at most 2048."""
-    pieces = packing.pack(docs, tokenizer_path(), size=2048, end_id=1)
+    """Pieces of token sequences of at most 2048, in the order of training: the order of the files that mixing has written, however the reader deals them over tasks."""
+    pieces = packing.pack(packing.file_streams(docs), tokenizer_path(), size=2048, end_id=1, stream="stream")
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
