@@ -5,13 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import canonical_json, content_hash, version_parts, version_within
+from ..functions.scalar import canonical_json, content_hash, iso_duration_seconds, version_parts, version_within
 
 #: The access labels.
 LABELS = ("OPEN", "ANONYMOUS", "PERSONAL", "SENSITIVE", "RESTRICTED")
 #: The ranges of a synchronisation policy, in seconds, counts and days.
 SYNC_BOUNDS = {"poll": (60, 2678400), "timeout": (1, 300), "retries": (0, 100), "backoff": (1, 86400), "retention": (30, 3650)}
 
+#: The ranges of a published synchronisation profile, by their paths below it.
+PUBLISHED_BOUNDS = {
+    "operationalPolicy.misfireToleranceSeconds": (1, 86400),
+    "operationalPolicy.sourceTimeoutSeconds": (1, 300),
+    "operationalPolicy.maxRetryAttempts": (0, 100),
+    "retryBackoffSeconds": (1, 86400),
+    "operationalPolicy.maxRetryElapsedSeconds": (1, 86400),
+    "operationalPolicy.incidentDedupWindowSeconds": (1, 86400),
+    "operationalPolicy.operationalRetentionDays": (30, 3650),
+}
+#: The classes of visibility of operational data.
+VISIBILITY = ("PUBLIC_OPERATIONAL", "TENANT_OPERATIONAL", "RESTRICTED_OPERATIONAL", "SECURITY_SENSITIVE")
+
 
 def exact_bindings(refs: DataFrame, bindings: DataFrame, historical: bool = False) -> DataFrame:
     """(ref, state) over refs(ref) and bindings(ref, status): EXACT, UNBOUND, UNUSED, AMBIGUOUS (several bindings) or INACTIVE.
@@ -68,3 +81,54 @@ def configuration_hash(doc: Column) -> Column:
     """sha256 over a configuration with sorted keys, without its own checksum."""
     without = F.to_json(F.map_filter(F.try_variant_get(F.try_parse_json(doc), "$", "map<string,variant>"), lambda k, v: k != "checksum"))
     return content_hash(canonical_json(without))
+
+
+def activation_error(doc: Column, tenant: Column) -> Column:
+    """Error code of a published activation for `tenant`, a JSON text; null where it may be taken.
+
+    The first that holds counts: an envelope and bundle of different sources, tenants or versions, or a bundle that is
+    not ACTIVE; a checksum that is not the bundle's; an unknown status or mode. A managed source must have no poll
+    interval. A polled one needs one of whole seconds in its range, a time zone, all numbers of PUBLISHED_BOUNDS and a
+    class of VISIBILITY. Last the references, 1 to 100 of the form id@version, and a positive sequence number. Texts
+    that are blank, missing or of another type are as bad as wrong ones, as is what is no JSON.
+    """
+    v = F.try_parse_json(doc)
+    kind = lambda path: F.coalesce(F.schema_of_variant(F.try_variant_get(v, path, "variant")), F.lit("VOID"))
+
+    def text(path: str) -> Column:
+        return F.when((kind(path) == "STRING"), F.nullif(F.trim(F.try_variant_get(v, path, "string")), F.lit("")))
+
+    def number(path: str) -> Column:
+        n = F.try_variant_get(v, path, "double")
+        return F.when((kind(path) != "STRING") & (n == F.floor(n)), n.cast("long"))
+
+    def wrong(ok: Column) -> Column:
+        return ~F.coalesce(ok, F.lit(False))
+
+    sync, invalid = "$.bundle.syncProfile", "ING_PUBLICATION_INVALID"
+    source, version = text("$.sourceId") == text("$.bundle.source.sourceId"), text("$.onboardingVersionId") == text("$.bundle.createdFromOnboardingVersion")
+    own = (text("$.tenantId") == tenant) & source & version & (text("$.bundle.status") == "ACTIVE")
+    told = text("$.bundle.checksum")
+    actual = configuration_hash(F.to_json(F.try_variant_get(v, "$.bundle", "variant")))
+    mode, poll = text("$.bundle.source.acquisitionMode"), text(f"{sync}.pollInterval")
+    once = mode == "MANAGED"
+    shape = poll.rlike(r"^P(?=\d|T\d)(\d+D)?(T(?=\d)(\d+H)?(\d+M)?(\d+(\.\d{1,9})?S)?)?$")
+    zone = F.try_to_timestamp(F.concat(F.lit("2020-01-01 00:00:00 "), text(f"{sync}.operationalPolicy.timeZone"))).isNotNull()
+    ranges = [number(f"{sync}.{k}").between(*b) for k, b in PUBLISHED_BOUNDS.items()]
+    policy = zone & text(f"{sync}.operationalPolicy.operationalVisibilityClass").isin(*VISIBILITY)
+    for r in ranges:
+        policy = policy & r
+    refs = F.try_variant_get(v, "$.bundle.semanticRefs", "array<variant>")
+    exact = F.forall(refs, lambda x: (F.schema_of_variant(x) == "STRING") & F.coalesce(F.try_variant_get(x, "$", "string").rlike(r"^[^@\s]+@[^@\s]+$"), F.lit(False)))
+    return F.coalesce(
+        F.when(wrong(own) | told.isNull(), invalid),
+        F.when(wrong((told == actual) & (told == text("$.checksum"))), "ING_PUBLICATION_HASH_MISMATCH"),
+        F.when(wrong(text("$.sourceStatus").isin("REGISTERED", "ENABLED", "DISABLED")) | wrong(mode.isin("MANAGED", "PULL")) | ~kind(sync).startswith("OBJECT"), invalid),
+        F.when(once & (kind(f"{sync}.pollInterval") != "VOID"), "ING_MANAGED_POLLING_FORBIDDEN"),
+        F.when(~once & wrong(shape), invalid),
+        F.when(~once & iso_duration_seconds(poll).isNull(), "ING_PUBLICATION_CADENCE_INVALID"),
+        F.when(~once & wrong(policy), invalid),
+        F.when(wrong(F.size(refs).between(1, 100)), "ING_PREFLIGHT_REFS_REQUIRED"),
+        F.when(wrong(exact), "ING_PREFLIGHT_EXACT_REF_REQUIRED"),
+        F.when(wrong(number("$.publicationSequence") >= 1), invalid),
+    )

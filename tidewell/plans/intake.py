@@ -348,6 +348,33 @@ def policy_bounds(customer):
     return customer.select("c_custkey", F.array_join(order, ",").alias("violations"))
 
 
+@query("""SELECT ordinal, CASE ordinal % 16 WHEN 2 THEN 'ING_MANAGED_POLLING_FORBIDDEN' WHEN 3 THEN 'ING_PUBLICATION_CADENCE_INVALID' WHEN 7 THEN 'ING_PREFLIGHT_REFS_REQUIRED' WHEN 8 THEN 'ING_PREFLIGHT_EXACT_REF_REQUIRED'
+ WHEN 9 THEN 'ING_PUBLICATION_HASH_MISMATCH' WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 14 THEN NULL ELSE 'ING_PUBLICATION_INVALID' END AS error_code FROM records""", "records")
+def activation_errors(records):
+    """Published activations of which each ordinal of 16 has its own defect; 0, 1 (managed) and 14 (a value at its bound) have none."""
+    k = F.col("ordinal") % 16
+    one = lambda at, bad, good: F.when(k == at, F.lit(bad)).otherwise(F.lit(good))
+    once = k.isin(1, 2)
+    poll = F.when(k == 1, F.lit(None)).when(k == 3, "PT30S").when(k == 4, "daily").otherwise("PT1H")
+    policy = F.struct(
+        one(12, "Mars/Base", "Europe/Rome").alias("timeZone"), one(13, None, 60).alias("misfireToleranceSeconds"), one(14, 300, 30).alias("sourceTimeoutSeconds"), F.lit(3).alias("maxRetryAttempts"),
+        F.lit(600).alias("maxRetryElapsedSeconds"), F.lit(60).alias("incidentDedupWindowSeconds"), one(5, 29, 30).alias("operationalRetentionDays"), one(6, "SECRET", "TENANT_OPERATIONAL").alias("operationalVisibilityClass"),
+    )
+    sync = F.struct(poll.alias("pollInterval"), F.lit(5).alias("retryBackoffSeconds"), policy.alias("operationalPolicy"))
+    refs = F.when(k == 7, F.array().cast("array<string>")).when(k == 8, F.array(F.lit("model"))).otherwise(F.array(F.concat("segment", F.lit("@1"))))
+    refs = F.transform(refs, lambda r: F.regexp_replace(r, r"\s", "-"))
+    mode = F.when(k == 15, "PUSH").when(once, "MANAGED").otherwise("PULL")
+    source = F.struct(F.col("source_id").alias("sourceId"), mode.alias("acquisitionMode"))
+    parts = dict(source=source, status=F.lit("ACTIVE"), createdFromOnboardingVersion=F.lit("v1"), syncProfile=sync, semanticRefs=refs, bundleId=F.col("id"))
+    r = records.withColumn("plain", F.to_json(F.struct(*(c.alias(n) for n, c in parts.items()))))
+    r = r.withColumn("sum", F.when(k == 9, "sha256:0").otherwise(P.configuration_hash(F.col("plain"))))
+    envelope = dict(sourceId=F.col("source_id"), tenantId=F.lit("t"), onboardingVersionId=F.lit("v1"), sourceStatus=one(10, "PAUSED", "ENABLED"), publicationSequence=one(11, 0, 7), checksum=F.col("sum"))
+    bundle = F.concat(F.expr("substring(plain, 1, length(plain) - 1)"), F.lit(',"checksum":"'), F.col("sum"), F.lit('"}'))
+    head = F.to_json(F.struct(*(c.alias(n) for n, c in envelope.items())))
+    doc = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"bundle":'), bundle, F.lit("}"))
+    return r.select("ordinal", P.activation_error(doc, F.lit("t")).alias("error_code"))
+
+
 @query("""SELECT c_custkey, CASE WHEN c_nationkey % 4 = 0 THEN NULL WHEN c_nationkey % 4 = 1 THEN 'OPEN' ELSE 'OPEN,PERSONAL' END AS labels, CASE WHEN c_nationkey % 4 = 0 THEN 'ING_ACCESS_LABEL_INVALID' END AS code FROM customer""", "customer")
 def access_labels(customer):
     v = F.col("c_nationkey") % 4
