@@ -345,3 +345,17 @@ def test_page_chains(spark):
     assert chain([*line[:3], ("c", "a")])[-1] == ("c", 3, "ING_PAGE_CYCLE") and chain([(None, "gone")]) == [(None, 0, None)]
     assert chain([("a", "b")]) == [] and chain([(None, "a"), ("a", "a")])[-1] == ("a", 1, "ING_PAGE_CYCLE")
     assert chain([(None, "b"), (None, "a"), ("a", None), ("b", None)]) == [(None, 0, None), ("a", 1, None)]
+
+
+def test_history_violations_of_odd_rows(spark):
+    from tidewell.operators.reports import session_violations, transition_violations
+
+    kind = "session_id int, attempts int, state string, note string"
+    before = spark.createDataFrame([(1, 1, "ACTIVE", None), (2, 1, "ENDED", None), (3, 1, "ACTIVE", "a"), (4, None, None, "a"), (5, 2, "ACTIVE", "a"), (6, 1, "ACTIVE", None)], kind)
+    after = spark.createDataFrame([(1, 2, "ENDED", None), (2, 2, "ENDED", None), (3, 1, "ACTIVE", None), (4, 1, None, "a"), (5, None, "ACTIVE", "a"), (7, 0, "ENDED", "new")], kind)
+    assert sorted(map(tuple, session_violations(before, after).collect())) == [(2, "FROZEN"), (3, "CHANGED"), (4, "FROZEN"), (5, "LOWERED"), (6, "DELETED")]
+    assert session_violations(before, before).count() == 0 == session_violations(before.limit(0), after).count()
+    kind = "transition_id int, publication_revision int, published_at int, note string"
+    rows = lambda *r: spark.createDataFrame(r, kind)
+    got = transition_violations(rows((1, None, None, "a"), (2, 1, 1, "a"), (3, None, None, "a"), (4, 1, 1, "a")), rows((1, 5, 5, "a"), (2, 1, 2, "a"), (3, 5, None, "a"), (4, 1, 1, "a")))
+    assert sorted(map(tuple, got.collect())) == [(2, "REGAINED"), (3, "REGAINED")]

@@ -272,6 +272,43 @@ def audit_append_only(before: DataFrame, after: DataFrame, key: str, fixed: list
     return both.withColumn("violation", state).where("violation is not null").select(key, "violation")
 
 
+def history_violations(before: DataFrame, after: DataFrame, key: str, free: tuple[str, ...] = (), rising: tuple[str, ...] = (), ended: Column | None = None, once: tuple[str, ...] = ()) -> DataFrame:
+    """(key, violation) of the rows of a protected history that changed in a way that its rules forbid.
+
+    All columns of `before` but those named in free, rising and once are fixed. The rules, of which a row's first counts:
+    DELETED, the row is gone; REPEATED, its key came twice; CHANGED, a fixed column differs; LOWERED, a rising one fell
+    or was lost; FROZEN, any column differs although `ended` (over the row before) holds; REGAINED, columns of `once`
+    differ that were not all null before, or that are not all set now. Nulls are values. New rows are fine. One shuffle
+    of both tables by the key; a row travels as its own columns, and what is fixed as a hash of them.
+    """
+    fixed = [c for c in before.columns if c not in {key, *free, *rising, *once}]
+    digest = F.sha2(F.to_json(F.struct(*fixed), {"ignoreNullFields": "false"}), 256) if fixed else F.lit("")
+    told = [*free, *rising, *once]
+    old = before.select(key, digest.alias("__fixed"), F.struct(F.lit(1).alias("__is"), *told).alias("__old"), F.coalesce(ended if ended is not None else F.lit(False), F.lit(False)).alias("__ended"))
+    new = after.groupBy(key).agg(F.count("*").alias("__n"), F.first(F.struct(digest.alias("__fixed"), F.struct(F.lit(1).alias("__is"), *told).alias("__told"))).alias("__new"))
+    both = old.join(new, key, "left")
+    was, now = lambda c: F.col(f"__old.{c}"), lambda c: F.col(f"__new.__told.{c}")
+    any_of = lambda tests: F.exists(F.array(*tests), lambda x: x) if tests else F.lit(False)
+    differs = [~was(c).eqNullSafe(now(c)) for c in told]
+    lowered = any_of([F.coalesce(now(c) < was(c), was(c).isNotNull() & now(c).isNull()) for c in rising])
+    regained = any_of([~was(c).eqNullSafe(now(c)) for c in once]) & any_of([was(c).isNotNull() | now(c).isNull() for c in once])
+    state = (
+        F.when(F.col("__new").isNull(), "DELETED").when(F.col("__n") > 1, "REPEATED").when(F.col("__fixed") != F.col("__new.__fixed"), "CHANGED")
+        .when(lowered, "LOWERED").when(F.col("__ended") & any_of(differs), "FROZEN").when(regained, "REGAINED")
+    )
+    return both.select(key, state.alias("violation")).where("violation is not null")
+
+
+def session_violations(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Recovery sessions (session_id, attempts, state, ...): attempts only rise, the state alone may change besides, and only of ACTIVE ones."""
+    return history_violations(before, after, "session_id", free=("state",), rising=("attempts",), ended=~F.col("state").eqNullSafe(F.lit("ACTIVE")))
+
+
+def transition_violations(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Transitions of incidents (transition_id, publication_revision, published_at, ...): a revision and its time are gained once and together, all else is fixed."""
+    return history_violations(before, after, "transition_id", once=("publication_revision", "published_at"))
+
+
 def lineage_page(lineage: DataFrame, runs: DataFrame, tenant: str, run_id: str, limit: int = 200) -> DataFrame:
     """The first lineage records (lineage_id, source_object_id, bundle_ref, evidence, created_at) of a tenant's run by creation and id, with the contracts that their evidence names."""
     own = runs.where((F.col("tenant_id") == tenant) & (F.col("run_id") == run_id)).select("run_id")

@@ -243,6 +243,36 @@ def audit_append_only(events):
     return R.audit_append_only(events, after, "event_id", ["ts", "value", "event_type"])
 
 
+@query("""WITH s AS (SELECT run_id AS session_id, CASE WHEN state = 'RUNNING' THEN 'ACTIVE' ELSE 'ENDED' END AS state, control_version AS attempts, tenant_id, updated_at FROM runs),
+ n AS (SELECT session_id, CASE WHEN session_id % 7 = 3 THEN 'ENDED' ELSE state END AS state, attempts + CASE session_id % 7 WHEN 1 THEN -1 WHEN 2 THEN 1 ELSE 0 END AS attempts, CASE WHEN session_id % 7 = 4 THEN 'other' ELSE tenant_id END AS tenant_id FROM s WHERE session_id % 7 <> 5)
+ SELECT session_id, violation FROM (SELECT s.session_id, CASE WHEN n.session_id IS NULL THEN 'DELETED' WHEN n.tenant_id <> s.tenant_id THEN 'CHANGED' WHEN n.attempts < s.attempts THEN 'LOWERED'
+ WHEN s.state <> 'ACTIVE' AND (n.state <> s.state OR n.attempts <> s.attempts) THEN 'FROZEN' END AS violation FROM s LEFT JOIN n USING (session_id)) WHERE violation IS NOT NULL""", "runs")
+def recovery_session_history(runs):
+    before = runs.select(F.col("run_id").alias("session_id"), F.expr("if(state = 'RUNNING', 'ACTIVE', 'ENDED')").alias("state"), F.col("control_version").alias("attempts"), "tenant_id", "updated_at")
+    kind = F.col("session_id") % 7
+    after = before.where(kind != 5).withColumns({
+        "state": F.when(kind == 3, "ENDED").otherwise(F.col("state")),
+        "attempts": F.col("attempts") + F.when(kind == 1, -1).when(kind == 2, 1).otherwise(0),
+        "tenant_id": F.when(kind == 4, "other").otherwise(F.col("tenant_id")),
+    })
+    return R.session_violations(before, after)
+
+
+@query("""WITH t AS (SELECT transition_id, CASE WHEN issue_version % 2 = 0 THEN issue_version END AS rev, CASE WHEN issue_version % 2 = 0 THEN observed_at END AS at, transition_id % 8 AS k FROM transitions)
+ SELECT transition_id, violation FROM (SELECT transition_id, CASE WHEN k = 5 THEN 'DELETED' WHEN k = 6 THEN 'REPEATED' WHEN k = 4 THEN 'CHANGED' WHEN k IN (1, 2) AND rev IS NOT NULL THEN 'REGAINED' WHEN k = 3 AND rev IS NULL THEN 'REGAINED' END AS violation FROM t) WHERE violation IS NOT NULL""", "transitions")
+def transition_history(transitions):
+    """Of eight: 1 gains a revision and its time, 2 both anew, 3 a revision without a time, 4 another severity, 5 is gone, 6 comes twice."""
+    told = F.col("issue_version") % 2 == 0
+    before = transitions.withColumns({"publication_revision": F.when(told, F.col("issue_version")), "published_at": F.when(told, F.col("observed_at"))})
+    k = F.col("transition_id") % 8
+    after = before.where(k != 5).withColumns({
+        "publication_revision": F.when(k.isin(1, 2), F.lit(-1)).when((k == 3) & ~told, F.lit(-1)).otherwise(F.col("publication_revision")),
+        "published_at": F.when(k.isin(1, 2), F.col("observed_at")).otherwise(F.col("published_at")),
+        "severity": F.when(k == 4, F.concat("severity", F.lit("!"))).otherwise(F.col("severity")),
+    })
+    return R.transition_violations(before, after.unionByName(after.where(k == 6)))
+
+
 @query("SELECT event_type, severity, count(*) AS n FROM (SELECT concat('RUN_', state) AS event_type, 'INFO' AS severity FROM runs UNION ALL SELECT concat('HANDOFF_', state), CASE WHEN state LIKE 'FAILED%' THEN 'WARN' ELSE 'INFO' END FROM handoffs UNION ALL SELECT concat('QUARANTINE_', lifecycle_state), CASE WHEN lifecycle_state IN ('OPEN','REPROCESSING') THEN 'WARN' ELSE 'INFO' END FROM quarantine UNION ALL SELECT concat('REPLAY_', state), CASE state WHEN 'FAILED' THEN 'ERROR' WHEN 'RETRY_WAIT' THEN 'WARN' ELSE 'INFO' END FROM replays UNION ALL SELECT concat(CASE WHEN issue_code LIKE 'ING_SCHEMA_%' THEN 'SCHEMA_DRIFT_' ELSE 'ISSUE_' END, status), CASE severity WHEN 'ERROR' THEN 'ERROR' ELSE 'WARN' END FROM issues) GROUP BY ALL", "runs handoffs quarantine replays issues")
 def capture_operational_events(runs, handoffs, quarantine, replays, issues):
     from ..operators.oplog import capture_operational_events as capture
