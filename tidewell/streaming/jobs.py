@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,27 +50,50 @@ def pressure_monitor(stream: DataFrame, soft: int = 1000, hard: int = 5000, reco
     return _stateful(stream, "tenant_id", "tenant_id long, at long, state string", "state string", step)
 
 
-def ack_watermark_stream(stream: DataFrame) -> DataFrame:
+#: Groups of keys of a stream whose keys are many and small: a group is one call of Python and one row of state.
+GROUPS = 1024
+
+
+def ack_watermark_stream(stream: DataFrame, groups: int = GROUPS) -> DataFrame:
     """(run_id, partition_key, watermark) whenever changes (run_id, partition_key, sequence_no, state) move a key's acknowledged prefix on.
 
     Numbers may have gaps: a handoff is known once a change of any state told of it, and the watermark is the highest
     acknowledged number below the first known one that is open. The state holds the open numbers, and the acknowledged
-    ones above the first of them; both are bounded by what is out for delivery.
+    ones above the first of them; both are bounded by what is out for delivery. Keys are dealt by their hash to `groups`
+    groups (fixed for a checkpoint), whose keys are judged together; a batch writes the state of the groups that it meets.
     """
-
-    def step(held, rows):
-        mark, open_, acked = held or (-1, [], [])
-        still, done = set(open_), set(acked)
-        told = list(zip(rows["sequence_no"].tolist(), rows["state"].tolist(), strict=True))
-        done |= {n for n, state in told if state == "ACKED"}
-        still = (still | {n for n, _ in told}) - done
-        first = min(still, default=None)
-        below = [x for x in done if first is None or x < first]
-        new = max(below, default=mark)
-        new, moved = max(mark, new), new > mark
-        return (int(new), sorted(int(x) for x in still if x > new), sorted(int(x) for x in done if x > new)), pd.DataFrame({"watermark": [new] if moved else []})
-
-    return _stateful(stream, ["run_id", "partition_key"], "run_id long, partition_key string, watermark long", "mark long, still array<long>, done array<long>", step)
+    key = ["run_id", "partition_key"]
+
+    def step(_, batches: Iterator[pd.DataFrame], held) -> Iterator[pd.DataFrame]:
+        told = pd.concat(list(batches))
+        runs, parts, marks, sizes, numbers, done = held.get if held.exists else ([], [], [], [], [], [])
+        own = np.repeat(np.arange(len(sizes)), np.array(sizes, dtype="int64"))
+        keys = pd.DataFrame({"run_id": pd.concat([pd.Series(runs, dtype="Int64"), told["run_id"].astype("Int64")]), "partition_key": pd.concat([pd.Series(parts, dtype=object), told["partition_key"]])})
+        at = keys.groupby(key, sort=False, dropna=False).ngroup().to_numpy()
+        keys = keys[~keys.duplicated()]
+        marks = np.concatenate([np.array(marks, dtype="int64"), np.full(len(keys) - len(marks), -1)])
+        # a number is done once any change said so
+        rows = pd.DataFrame({
+            "k": np.concatenate([own, at[len(sizes) :]]), "number": np.concatenate([np.array(numbers, dtype="int64"), told["sequence_no"].to_numpy()]),
+            "done": np.concatenate([np.array(done, dtype=bool), (told["state"] == "ACKED").to_numpy(dtype=bool)]),
+        })
+        rows = rows.groupby(["k", "number"], as_index=False)["done"].max()
+        first = np.full(len(keys), np.iinfo("int64").max)
+        is_open = rows[~rows["done"]].groupby("k")["number"].min()
+        first[is_open.index] = is_open
+        below = rows[rows["done"] & (rows["number"].to_numpy() < first[rows["k"]])].groupby("k")["number"].max()
+        new = marks.copy()
+        new[below.index] = np.maximum(marks[below.index], below)
+        # in the order of keys; what lies at or below a key's mark is settled
+        left = rows[rows["number"].to_numpy() > new[rows["k"]]]
+        sizes = np.bincount(left["k"], minlength=len(keys))
+        held.update((keys["run_id"].astype(object).where(keys["run_id"].notna(), None).tolist(), keys["partition_key"].tolist(), new.tolist(), sizes.tolist(), left["number"].tolist(), left["done"].tolist()))
+        moved = new > marks
+        yield keys[moved].assign(watermark=new[moved])
+
+    rows = stream.select(F.pmod(F.xxhash64(*key), F.lit(groups)).cast("int").alias("group"), *key, "sequence_no", "state")
+    state = "runs array<long>, parts array<string>, marks array<long>, sizes array<long>, numbers array<long>, done array<boolean>"
+    return rows.groupBy("group").applyInPandasWithState(step, "run_id long, partition_key string, watermark long", state, "append", "NoTimeout")
 
 
 def open_issue_stream(stream: DataFrame) -> DataFrame:
