@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 from tidewell.operators import health
-from tidewell.plans.scratch import drained, streamed
+from tidewell.plans.scratch import drained, drained_by_clock, streamed
 from tidewell.streaming import jobs, timed
 
 
@@ -40,3 +40,14 @@ def test_watermarks_of_many_small_keys(spark, tmp_path):
     two = ids.where("run_id is null or run_id % 5 = 0").select("*", F.lit(3).cast("long").alias("sequence_no"), F.lit("ACKED").alias("state"))
     got = run(2, two)
     assert got == {(r.run_id, r.partition_key): 3 if r.run_id is None or r.run_id % 5 == 0 else 1 for r in ids.collect()}
+
+
+def test_leases_of_many_handoffs(spark):
+    """A group's handoffs share a row of state and a timer: each ends by its own lease and last attempt."""
+    h = spark.range(20_000).select(F.concat(F.lit("h"), F.col("id") % 10_000).alias("handoff_id"), F.when(F.col("id") < 10_000, 1).otherwise(2).cast("long").alias("attempt"), "id")
+    late = (F.col("id") >= 10_000) & (F.col("id") % 4 == 0)
+    state = F.when((F.col("id") >= 10_000) & (F.col("id") % 4 == 1), "ACKED").otherwise("DELIVERING").alias("state")
+    until = F.when(late, F.lit("2100-01-01").cast("timestamp")).otherwise(F.timestamp_seconds(F.col("id") + 1)).alias("lease_until")
+    got = drained_by_clock(timed.lease_expiry(streamed(h.select("handoff_id", "attempt", state, until), "leases"), groups=3), "expired")
+    got = sorted((r.handoff_id, r.attempt, r.at) for r in got.select("*", F.unix_seconds("lease_until").alias("at")).collect())
+    assert got == sorted((f"h{i}", 2, i + 10_001) for i in range(10_000) if i % 4 > 1)

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from .jobs import GROUPS
+
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DAY = 86_400
 
@@ -163,45 +166,53 @@ LEASE = "handoff_id string, attempt long, lease_until timestamp"
 
 
 class _Leases(StatefulProcessor):
-    """lease: the latest attempt that a change told of, and when its lease ends; 0 while it is not out for delivery."""
+    """leases: the handoffs of a group, with the latest attempt that a change told of and when its lease ends, 0 while it is not out for delivery; timer: the earliest end."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.lease = handle.getValueState("lease", "attempt long, until_us long")
+        self.leases = handle.getValueState("leases", "handoffs array<string>, attempts array<long>, until_us array<long>, timer long")
+
+    def _held(self) -> tuple[pd.DataFrame, int]:
+        handoffs, attempts, until, timer = self.leases.get() if self.leases.exists() else ([], [], [], 0)
+        return pd.DataFrame({"handoff_id": pd.Series(handoffs, dtype=object), "attempt": np.array(attempts, dtype="int64"), "until_us": np.array(until, dtype="int64")}), timer
+
+    def _keep(self, leases: pd.DataFrame, timer: int) -> None:
+        out = leases["until_us"][leases["until_us"] > 0]
+        first = int(out.min()) // 1000 if len(out) else 0
+        if timer and timer != first:
+            self.handle.deleteTimer(timer)
+        if first and timer != first:
+            self.handle.registerTimer(first)
+        self.leases.update((leases["handoff_id"].tolist(), leases["attempt"].tolist(), leases["until_us"].tolist(), first))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        attempt, held = self.lease.get() if self.lease.exists() else (-1, 0)
-        until = held
-        for r in pd.concat(list(rows)).sort_values("attempt").itertuples():
-            if r.attempt >= attempt:  # else a later change has overtaken this one
-                attempt, until = int(r.attempt), int(r.until_us) if r.state == "DELIVERING" and not pd.isna(r.until_us) else 0
-        self.lease.update((attempt, until))
-        if held and held != until:
-            self.handle.deleteTimer(held // 1000)
-        if until and held != until:
-            self.handle.registerTimer(until // 1000)
+        held, timer = self._held()
+        told = pd.concat(list(rows))
+        until = told["until_us"].astype("Int64").where(told["state"] == "DELIVERING").fillna(0).astype("int64")
+        told = pd.DataFrame({"handoff_id": told["handoff_id"], "attempt": told["attempt"].astype("int64"), "until_us": until})
+        # the last change of the latest attempt counts; one that a later attempt has overtaken does not
+        both = pd.concat([held, told], ignore_index=True).sort_values("attempt", kind="stable")
+        self._keep(both.drop_duplicates("handoff_id", keep="last"), timer)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        attempt, until = self.lease.get()
-        if until:
-            self.lease.update((attempt, 0))
-            yield self._frame([(key[0], int(attempt), pd.Timestamp(until, unit="us"))])
+        held, _ = self._held()
+        due = (held["until_us"] > 0) & (held["until_us"] // 1000 <= max(timerValues.getCurrentProcessingTimeInMs(), expiredTimerInfo.getExpiryTimeInMs()))
+        self._keep(held.assign(until_us=held["until_us"].where(~due, 0)), 0)  # this timer is gone
+        out = held[due]
+        yield pd.DataFrame({"handoff_id": out["handoff_id"], "attempt": out["attempt"], "lease_until": out["until_us"].astype("datetime64[us]")})
 
     def close(self) -> None:
         pass
 
-    @staticmethod
-    def _frame(out) -> pd.DataFrame:
-        frame = pd.DataFrame(out, columns=["handoff_id", "attempt", "lease_until"])
-        return frame.astype({"handoff_id": "object", "attempt": "int64", "lease_until": "datetime64[us]"})
-
 
-def lease_expiry(stream: DataFrame) -> DataFrame:
+def lease_expiry(stream: DataFrame, groups: int = GROUPS) -> DataFrame:
     """LEASE of changes (handoff_id, attempt, state, lease_until): a row when a delivery's lease has run out by the clock, and no change of the same or a later attempt came.
 
-    The handoff may then be claimed again. The state holds one lease a handoff, and its last attempt.
+    The handoff may then be claimed again. The state holds one lease a handoff, and its last attempt. Handoffs are dealt
+    by their hash to `groups` groups (fixed for a checkpoint) with a row of state and a timer each.
     """
     with_state_store(stream.sparkSession)
-    rows = stream.select("handoff_id", "attempt", "state", F.unix_micros(F.col("lease_until").cast("timestamp")).alias("until_us"))
-    return rows.groupBy("handoff_id").transformWithStateInPandas(_Leases(), LEASE, "append", "processingTime")
+    group = F.pmod(F.xxhash64("handoff_id"), F.lit(groups)).cast("int").alias("group")
+    rows = stream.select(group, "handoff_id", "attempt", "state", F.unix_micros(F.col("lease_until").cast("timestamp")).alias("until_us"))
+    return rows.groupBy("group").transformWithStateInPandas(_Leases(), LEASE, "append", "processingTime")
