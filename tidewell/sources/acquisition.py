@@ -184,6 +184,8 @@ LIMITS = {"maxPages": (1000, 1, 100_000), "maxRecords": (100_000, 1, 1_000_000),
 FORBIDDEN = "url|credential|password|secret|token"
 KNOWN = {"itemsPointer": "/items", "nextTokenPointer": "/nextPageToken"}
 START = {"pageToken": "", "pageOffset": 0, "recordIndex": 0}
+#: Pages of a chain that one task of a stream reads.
+TASK_PAGES = 64
 
 
 class PagedJson(DataSource):
@@ -192,7 +194,7 @@ class PagedJson(DataSource):
     An offset is, for each binding, the page's token, the place in the page and the number of records before: a stream
     that ends in the middle of a page goes on there when the page has grown, and so does a batch from a checkpoint of
     that form. A chain is read by one task in a batch, as each page tells of the next; many bindings are read by many. In
-    a stream the driver follows the tokens, one page at a time, and each page is a task.
+    a stream the driver follows the tokens, one page at a time, and a task reads TASK_PAGES pages.
     """
 
     @classmethod
@@ -261,16 +263,18 @@ class PagedJsonStream(DataSourceStreamReader):
             first, last = start.get(b, START), end.get(b, START)
             if first == last:
                 continue
-            out += [InputPartition((b, *span[:4])) for span in chain.spans(first, last) if span[1] < span[2]]
+            spans = [span[:4] for span in chain.spans(first, last) if span[1] < span[2]]
+            out += [InputPartition((b, spans[i : i + TASK_PAGES])) for i in range(0, len(spans), TASK_PAGES)]
         return out
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        b, token, place, stop, number = partition.value
+        b, spans = partition.value
         chain = self.chains[b]
-        items, _ = chain.fetch(token)
-        if stop > len(items):
-            raise AcquisitionError("ING_CHECKPOINT_OUT_OF_RANGE", "CONFIGURATION")
-        yield chain.rows(token, place, stop, number, items)
+        for token, place, stop, number in spans:
+            items, _ = chain.fetch(token)
+            if stop > len(items):
+                raise AcquisitionError("ING_CHECKPOINT_OUT_OF_RANGE", "CONFIGURATION")
+            yield chain.rows(token, place, stop, number, items)
 
 
 def paged_records(spark: SparkSession, bundle: Bundle, checkpoint: dict | None = None, stream: bool = False) -> DataFrame:
