@@ -368,3 +368,11 @@ def test_no_page_of_the_table_is_cut_off(spark, tmp_path):
     spark.range(100_500).selectExpr("id AS event_id", "'view' AS event_type").write.parquet(f"{tmp_path}/events.parquet")
     got = registry.queries()["json_page_records"](spark, str(tmp_path))
     assert got.where("event_id = ordinal and page = event_id div 100").count() == 100_500
+
+
+def test_the_whole_log_is_searched(spark, tmp_path):
+    """search_log gives the newest errors of all days."""
+    from tidewell.plans import registry
+
+    spark.range(100).selectExpr("id AS event_id", "timestamp_seconds(1704067200 + id * 86400) AS ts", "id AS user_id", "'error' AS event_type", "1.0 AS value").write.parquet(f"{tmp_path}/events.parquet")
+    assert {r.event_id for r in registry.queries()["search_log"](spark, str(tmp_path)).collect()} == set(range(80, 100))

@@ -58,12 +58,17 @@ def log_window(events: DataFrame, start: datetime.datetime, end: datetime.dateti
     return time_window(events, "occurred_at", start, end)
 
 
-def search_log(events: DataFrame, limit: int, start: datetime.datetime, end: datetime.datetime, purpose: str | None, **equal) -> DataFrame:
-    """Newest events of a window first; truncated says that there are exactly as many as the limit. See log_window() for what is refused."""
-    rows = search(log_window(events, start, end, purpose, equal.get("severity")), [F.desc("occurred_at"), F.desc("event_id")], limit, **equal)
+def newest_events(events: DataFrame, limit: int, **equal) -> DataFrame:
+    """Newest events first; truncated says that there are exactly as many as the limit."""
+    rows = search(events, [F.desc("occurred_at"), F.desc("event_id")], limit, **equal)
     return rows.withColumn("truncated", F.count("*").over(Window.partitionBy()) == max(1, min(limit, 200)))
 
 
+def search_log(events: DataFrame, limit: int, start: datetime.datetime, end: datetime.datetime, purpose: str | None, **equal) -> DataFrame:
+    """newest_events() of a window. See log_window() for what is refused."""
+    return newest_events(log_window(events, start, end, purpose, equal.get("severity")), limit, **equal)
+
+
 def aggregate_log(events: DataFrame, dimension: str, limit: int = 200, correlation_id: str | None = None, window: tuple[datetime.datetime, datetime.datetime] | None = None) -> DataFrame:
     """Counts by one dimension within a window of occurred_at; of the search filters only the correlation applies."""
     rows = optional_filters(events if window is None else time_window(events, "occurred_at", *window), correlation_id=correlation_id)

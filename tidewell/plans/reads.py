@@ -27,10 +27,9 @@ def run_history(runs):
     return R.search(runs, [F.desc("updated_at"), F.col("run_id")], 50, tenant_id="tenant-2", source_id="src-7").select("run_id", "state")
 
 
-@query("SELECT event_id, severity, count(*) OVER () = 20 AS truncated FROM (SELECT * FROM ops_events WHERE severity = 'ERROR' AND occurred_at >= TIMESTAMP '2024-01-05' AND occurred_at < TIMESTAMP '2024-01-06' ORDER BY occurred_at DESC, event_id DESC LIMIT 20)", "ops_events")
+@query("SELECT event_id, severity, count(*) OVER () = 20 AS truncated FROM (SELECT * FROM ops_events WHERE severity = 'ERROR' ORDER BY occurred_at DESC, event_id DESC LIMIT 20)", "ops_events")
 def search_log(ops_events):
-    day = datetime.datetime(2024, 1, 5)
-    return R.search_log(ops_events, 20, day, day + datetime.timedelta(days=1), "incident review", severity="ERROR", run_id=None).select("event_id", "severity", "truncated")
+    return R.newest_events(ops_events, 20, severity="ERROR", run_id=None).select("event_id", "severity", "truncated")
 
 
 @query("SELECT source_id AS key, count(*) AS n FROM ops_events WHERE correlation_id = 'corr-3' GROUP BY 1 ORDER BY n DESC, key LIMIT 15", "ops_events")
