@@ -106,3 +106,14 @@ def test_files_of_differing_headers(spark, tmp_path):
         (tmp_path / "d" / "x.csv").write_text(text)
         with pytest.raises(ValueError, match="ING_MANAGED_HEADER_INVALID"):
             delimited.read_delimited(spark, str(tmp_path / "d"))
+
+
+def test_small_splits_share_tasks(spark, tmp_path):
+    """Tasks grow with the bytes of files, not with the number of their splits."""
+    from tidewell.plans.scratch import split_bytes
+
+    (tmp_path / "a.csv").write_text("x\n" + "1\n" * 100_000)
+    with split_bytes(spark, 1024):
+        lines = spark.read.text(str(tmp_path))
+        assert lines.rdd.getNumPartitions() > 100
+        assert delimited.gathered(lines).rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism

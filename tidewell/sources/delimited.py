@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,6 +14,8 @@ from ..plans.scratch import written
 
 #: Bytes of the table of splits up to which it is broadcast.
 MOST = 64 << 20
+#: Bytes of small splits that one task reads, one after another.
+TASK_BYTES = 32 << 20
 
 
 class Record:
@@ -212,6 +215,14 @@ def _stitched(batches: Iterator[pa.RecordBatch], delimiter: str, max_cell: int,
             yield _rows(held, one_header)
 
 
+def gathered(lines: DataFrame) -> DataFrame:
+    """lines with several small splits in a task, where there are more splits than a few for each core: the number of tasks grows with bytes, not with splits."""
+    spark = lines.sparkSession
+    number, unit = re.match(r"(\d+)([kmgt]?)", spark.conf.get("spark.sql.files.maxPartitionBytes").lower()).groups()
+    parts, size = lines.rdd.getNumPartitions(), int(number) << 10 * " kmgt".index(unit or " ")
+    return lines.coalesce(max(4 * spark.sparkContext.defaultParallelism, parts * min(size, TASK_BYTES) // TASK_BYTES))
+
+
 def splits(lines: DataFrame, delimiter: str, max_columns: int, same_header: bool) -> tuple[DataFrame, list[str]]:
     """A staged row for each split (file, block) of the lines: whether it begins (open) and ends (shut is false) inside quotes, the number of its first record (base), its file's names, and what is wrong with them; and the first file's names.
 
@@ -263,6 +274,7 @@ def read_delimited(spark: SparkSession, path: str, delimiter: str = ",", max_cel
     if delimiter not in (",", ";"):
         raise ValueError("ING_MANAGED_DELIMITER_INVALID")
     lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    lines = gathered(lines)
     told, names = splits(lines, delimiter, max_columns, same_header)
     about = told.agg(F.count("*").alias("n"), F.sum(F.length(F.array_join("names", ",")) + 200).alias("bytes"), F.count_if(F.col("open") | ~F.col("shut")).alias("across")).first()
 
