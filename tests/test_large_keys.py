@@ -136,3 +136,15 @@ def test_a_batch_reads_its_buckets(spark, tmp_path):
     scan = plan[plan.index("FileScan parquet") :]
     assert "PartitionFilters: [bucket" in plan and "BroadcastHashJoin" in plan and "hashpartitioning(k" not in plan.split("BroadcastExchange")[0]
     assert scan
+
+
+def test_records_of_one_file_are_judged_by_all_cores(spark, tmp_path):
+    """A scan of few bytes is one task; the costly steps after it are not."""
+    from tidewell.operators import pipeline
+    from tidewell.plans import intake, registry
+
+    spark.range(400).selectExpr("id AS c_custkey", "concat('n', id) AS c_name", "'A' AS c_mktsegment", "cast(id % 25 AS int) AS c_nationkey").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    records = spark.read.parquet(f"{tmp_path}/customer.parquet").selectExpr("c_custkey AS ordinal", "'src-1' AS source_id", "cast(c_custkey AS string) AS id", "c_name AS name", "c_mktsegment AS segment", "cast(c_nationkey AS string) AS nation", "c_nationkey AS variant")
+    assert records.rdd.getNumPartitions() == 1
+    for df in (pipeline.judged(intake.commands(records), intake.config()), registry.queries()["activation_errors"](spark, str(tmp_path))):
+        assert df.select(F.spark_partition_id().alias("p")).distinct().count() > 1

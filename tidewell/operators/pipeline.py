@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import content_hash
+from ..plans.scratch import spread
 from . import mapping as M
 from .contracts import validate_contract
 
@@ -92,7 +93,7 @@ def judged(records: DataFrame, cfg: Config) -> DataFrame:
     elif cfg.change_mode == "PROPERTY_EVENTS":
         change_error = F.when(seq.isNull(), "ING_EVENT_SEQUENCE_REQUIRED")
     upsert = F.col("operation") == "UPSERT"
-    out = records.select(
+    out = spread(records).select(
         "*", op.alias("operation"), observed.alias("observed_at"), start.alias("valid_from"), end.alias("valid_to"), F.to_json("payload").alias("raw"),
         seen_error.alias("e1"), F.coalesce(drift, op_error, time_error, F.when(op == "UPSERT", map_error)).alias("e2"), change_error.alias("e3"), F.when(op == "UPSERT", mapped).alias("mapped"),
     )

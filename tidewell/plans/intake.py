@@ -11,7 +11,7 @@ from ..operators import pipeline
 from ..operators import policies as P
 from ..operators import reports as R
 from .registry import query
-from .scratch import written
+from .scratch import spread, written
 
 
 def payloads(records: DataFrame) -> DataFrame:
@@ -366,7 +366,7 @@ def activation_errors(records):
     mode = F.when(k == 15, "PUSH").when(once, "MANAGED").otherwise("PULL")
     source = F.struct(F.col("source_id").alias("sourceId"), mode.alias("acquisitionMode"))
     parts = dict(source=source, status=F.lit("ACTIVE"), createdFromOnboardingVersion=F.lit("v1"), syncProfile=sync, semanticRefs=refs, bundleId=F.col("id"))
-    r = records.withColumn("plain", F.to_json(F.struct(*(c.alias(n) for n, c in parts.items()))))
+    r = spread(records).withColumn("plain", F.to_json(F.struct(*(c.alias(n) for n, c in parts.items()))))
     r = r.withColumn("sum", F.when(k == 9, "sha256:0").otherwise(P.configuration_hash(F.col("plain"))))
     envelope = dict(sourceId=F.col("source_id"), tenantId=F.lit("t"), onboardingVersionId=F.lit("v1"), sourceStatus=one(10, "PAUSED", "ENABLED"), publicationSequence=one(11, 0, 7), checksum=F.col("sum"))
     bundle = F.concat(F.expr("substring(plain, 1, length(plain) - 1)"), F.lit(',"checksum":"'), F.col("sum"), F.lit('"}'))

@@ -28,6 +28,11 @@ def written(df: DataFrame, label: str) -> str:
     return path
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt to all cores alike: for rows that cost much to judge and lie in few bytes, of which a scan makes few tasks."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def streamed(df: DataFrame, label: str) -> DataFrame:
     """df, written and read again as a stream."""
     return df.sparkSession.readStream.schema(df.schema).parquet(written(df, label))
