@@ -25,35 +25,43 @@ CIRCUIT = "source_id long, at long, event_id long, action string, status string,
 
 
 class _Circuit(StatefulProcessor):
-    """budget: failures in a row, the retry window's beginning and its attempts; gates: the times of the next retry and of the probe."""
+    """circuits: the sources of a group, each with its failures in a row, the retry window's beginning and attempts, the last outcome's time, and the times of the next retry and of the probe; timer: the earliest probe or end."""
 
     def __init__(self, window: int, most: int, pause: int, idle: int):
         self.window, self.most, self.pause, self.idle = window, most, pause, idle
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.budget = handle.getValueState("budget", "failures int, began long, attempts int, at long")
-        self.gates = handle.getValueState("gates", "status string, retry_at long, open_until long")
+        self.circuits = handle.getValueState("circuits", "sources array<long>, failures array<int>, began array<long>, attempts array<int>, at array<long>, status array<string>, retry_at array<long>, open_until array<long>, timer long")
 
-    def _held(self) -> tuple:
-        failures, began, attempts, at = self.budget.get() if self.budget.exists() else (0, -1, 0, -1)
-        status, retry, until = self.gates.get() if self.gates.exists() else ("HEALTHY", 0, 0)
-        return failures, began, attempts, at, status, retry, until
+    def _held(self) -> tuple[dict, int]:
+        if not self.circuits.exists():
+            return {}, 0
+        sources, *columns, timer = self.circuits.get()
+        return dict(zip(sources, zip(*columns, strict=True), strict=True)), timer
 
-    def _keep(self, failures, began, attempts, at, status, retry, until) -> None:
-        self.budget.update((int(failures), int(began), int(attempts), int(at)))
-        self.gates.update((status, int(retry), int(until)))
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        self.handle.registerTimer(int((until if until else at + self.idle) * 1000))
+    def _due(self, circuit: tuple) -> int:
+        return 1000 * (circuit[6] or circuit[3] + self.idle)
+
+    def _keep(self, held: dict, timer: int) -> None:
+        first = min(map(self._due, held.values()), default=0)
+        if timer and timer != first:
+            self.handle.deleteTimer(timer)
+        if first and timer != first:
+            self.handle.registerTimer(first)
+        columns = zip(*held.values(), strict=True) if held else ((),) * 7
+        self.circuits.update((list(held), *map(list, columns), first))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        failures, began, attempts, at, status, retry, until = self._held()
+        held, timer = self._held()
         out = []
-        for r in pd.concat(list(rows)).sort_values(["at_seconds", "event_id"]).itertuples():
-            at = int(r.at_seconds)
+        told = pd.concat(list(rows)).sort_values(["at_seconds", "event_id"])
+        told = told.assign(source_id=told["source_id"].astype(object).where(told["source_id"].notna(), None))
+        for r in told.itertuples():
+            source, at = None if r.source_id is None else int(r.source_id), int(r.at_seconds)
+            failures, began, attempts, _, status, retry, until = held.get(source, (0, -1, 0, -1, "HEALTHY", 0, 0))
             if until and at >= until:  # its timer would have fired before this outcome
-                out.append((until, None, "PROBE", "PROBING", failures, attempts, retry, 0))
+                out.append((source, until, None, "PROBE", "PROBING", failures, attempts, retry, 0))
                 until = 0
             if r.outcome == "SUCCESS":
                 failures, began, attempts, status, retry, until = 0, -1, 0, "HEALTHY", 0, 0
@@ -65,48 +73,57 @@ class _Circuit(StatefulProcessor):
                 status, until = ("PAUSED", at + self.pause) if attempts >= self.most else ("DEGRADED", 0)
             else:
                 failures, status, retry, until = 0, "DEGRADED", 0, 0
-            out.append((at, int(r.event_id), "OUTCOME", status, failures, attempts, retry, until))
-        self._keep(failures, began, attempts, at, status, retry, until)
-        yield self._frame(key, out)
+            out.append((source, at, int(r.event_id), "OUTCOME", status, failures, attempts, retry, until))
+            held[source] = (failures, began, attempts, at, status, retry, until)
+        self._keep(held, timer)
+        yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        failures, began, attempts, at, status, retry, until = self._held()
-        due = expiredTimerInfo.getExpiryTimeInMs() // 1000
-        if until and due >= until:
-            self._keep(failures, began, attempts, due, "PROBING", retry, 0)
-            yield self._frame(key, [(until, None, "PROBE", "PROBING", failures, attempts, retry, 0)])
-        elif not until and due >= at + self.idle:
-            self.budget.clear()
-            self.gates.clear()
+        held, _ = self._held()
+        out = []
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        for source, circuit in list(held.items()):
+            if self._due(circuit) > now:
+                continue
+            failures, began, attempts, _, _, retry, until = circuit
+            if until:
+                held[source] = (failures, began, attempts, until, "PROBING", retry, 0)
+                out.append((source, until, None, "PROBE", "PROBING", failures, attempts, retry, 0))
+            else:
+                del held[source]
+        self._keep(held, 0)  # this timer is gone
+        yield self._frame(out)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        r = initialState.iloc[0]
-        self._keep(r.failures, r.began, r.attempts, r.at_seconds, r.status, r.retry_at, r.open_until)
+        held, timer = self._held()
+        for r in initialState.itertuples():
+            held[int(r.source_id)] = (int(r.failures), int(r.began), int(r.attempts), int(r.at_seconds), r.status, int(r.retry_at), int(r.open_until))
+        self._keep(held, timer)
 
     def close(self) -> None:
         pass
 
     @staticmethod
-    def _frame(key, out) -> pd.DataFrame:
-        names = ["at", "event_id", "action", "status", "failures", "attempts", "retry_at", "open_until"]
-        frame = pd.DataFrame(out, columns=names).astype({"event_id": "Int64"})
-        frame.insert(0, "source_id", key[0])
-        return frame
+    def _frame(out) -> pd.DataFrame:
+        names = ["source_id", "at", "event_id", "action", "status", "failures", "attempts", "retry_at", "open_until"]
+        return pd.DataFrame(out, columns=names).astype({"source_id": "Int64", "event_id": "Int64"})
 
 
-def circuit_breaker(stream: DataFrame, window: int = 900, most: int = 5, pause: int = 900, idle: int = 30 * DAY, initial: DataFrame | None = None) -> DataFrame:
+def circuit_breaker(stream: DataFrame, window: int = 900, most: int = 5, pause: int = 900, idle: int = 30 * DAY, initial: DataFrame | None = None, groups: int = GROUPS // 8) -> DataFrame:
     """CIRCUIT of outcomes (source_id, event_id, at_seconds, outcome, retry_after): a row after each outcome, and one PROBE when a paused source's time is up.
 
     The same rules as operators.health.circuit_states(). A timer on the watermark of at_seconds lets one probe go
     `pause` seconds after the source was paused, unless an outcome came before; what follows is an outcome like others.
     A source without outcomes for `idle` seconds is forgotten. initial: what circuit_states() gave for the history,
-    with at_seconds, the time of each source's last outcome.
+    with at_seconds, the time of each source's last outcome. Sources are dealt by their hash to `groups` groups (fixed
+    for a checkpoint) with a row of state and a timer each.
     """
     with_state_store(stream.sparkSession)
     rows = stream if "retry_after" in stream.columns else stream.withColumn("retry_after", F.lit(None).cast("long"))
-    rows = rows.select("source_id", "event_id", "at_seconds", "outcome", F.col("retry_after").cast("long").alias("retry_after"), F.timestamp_seconds("at_seconds").alias("seen_at")).withWatermark("seen_at", "0 seconds")
-    start = None if initial is None else initial.groupBy("source_id")
-    return rows.groupBy("source_id").transformWithStateInPandas(_Circuit(window, most, pause, idle), CIRCUIT, "append", "eventTime", initialState=start)
+    group = F.pmod(F.xxhash64(F.col("source_id").cast("long")), F.lit(groups)).cast("int").alias("group")
+    rows = rows.select(group, "source_id", "event_id", "at_seconds", "outcome", F.col("retry_after").cast("long").alias("retry_after"), F.timestamp_seconds("at_seconds").alias("seen_at")).withWatermark("seen_at", "0 seconds")
+    start = None if initial is None else initial.select(group, "*").groupBy("group")
+    return rows.groupBy("group").transformWithStateInPandas(_Circuit(window, most, pause, idle), CIRCUIT, "append", "eventTime", initialState=start)
 
 
 VERSION = "issue_id long, transition_id long, version long, last_updated long"
