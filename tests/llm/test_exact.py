@@ -292,3 +292,14 @@ def test_forest_finds_formats_that_it_was_not_shown(spark):
             held = [r.is_secret for r in out if r.doc_id // 1000 == j and len(r.value) >= 16]
             clean = [r.is_secret for r in out if r.doc_id >= 9000]
             assert len(held) == 50 and sum(held) >= 45 and sum(clean) <= 0.02 * len(clean)
+
+
+def test_all_trusted_documents_count(spark, monkeypatch):
+    """Labelled good documents beyond what is broadcast are counted all the same."""
+    from tidewell.llm import quality
+
+    docs = spark.createDataFrame([(i, f"word{i} again word{i}") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(10)], "doc_id long, quality int, toxic int")
+    whole = quality.log_ratios(docs, labels, 256)
+    monkeypatch.setattr(quality, "MAX_BROADCAST", 1)
+    assert quality.log_ratios(docs, labels, 256) == whole

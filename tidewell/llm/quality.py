@@ -20,8 +20,8 @@ TOKEN = r"[!-/:-@\[-`{-~]+|[^\x20\x09-\x0D!-/:-@\[-`{-~]+"
 #: A document whose mean log-likelihood ratio per n-gram lies below is not kept: text like the trusted one is near 0, and
 #: junk, whose signs and repeats the raw corpus has e times as often as the trusted documents or more, near -1 and below.
 THRESHOLD = -0.5
-#: Labelled good documents that are read at most (those of the smallest hashed doc_id), so that their ids can be broadcast.
-MAX_TRUSTED = 1 << 18
+#: Labelled good documents up to which their ids are broadcast; more are shuffled to their documents.
+MAX_BROADCAST = 1 << 18
 
 
 def words(c: str) -> Column:
@@ -82,9 +82,9 @@ def gram_buckets(hashes: Column, buckets: int) -> Column:
 def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """log(trusted / raw) of each bucket's share, smoothed: raw counts the n-grams of all documents, trusted those of labelled good ones."""
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("id")).distinct()
-    if good.limit(MAX_TRUSTED + 1).count() > MAX_TRUSTED:
-        good = good.orderBy(F.xxhash64("id"), "id").limit(MAX_TRUSTED)
-    good = F.broadcast(good.withColumn("good", F.lit(1)))
+    few = good.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
+    good = good.withColumn("good", F.lit(1))
+    good = F.broadcast(good) if few else good.hint("merge")
     marked = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(good, F.col("doc") == F.col("id"), "left")
     marked = marked.select("good", F.transform(tokens("text"), lambda w: F.xxhash64(w)).alias("hashes"))
     counts = marked.select("good", F.explode(gram_buckets(F.col("hashes"), buckets)).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("raw"), F.count("good").alias("good"))
