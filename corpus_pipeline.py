@@ -8,6 +8,9 @@ give empty tables. Columns other than COLUMNS do not pass.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +19,19 @@ from tidewell.llm.queries import tokenizer_path
 from tidewell.llm.shared import staged, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Rows of an Arrow batch: ten times as many texts, Spark's default, lie in the executor's JVM, in its stream and in each worker at once.
+ROWS = 1000
+
+
+def in_small_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage with Arrow batches of ROWS rows. They are set in the session and stay, because the last jobs of a stage run when its result is written."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run
 
 
 def without(docs: DataFrame, ids: DataFrame, key: str, most: int = 1 << 20) -> DataFrame:
@@ -25,6 +41,7 @@ def without(docs: DataFrame, ids: DataFrame, key: str, most: int = 1 << 20) -> D
     return docs.join(F.broadcast(ids) if ids.limit(most + 1).count() <= most else ids, F.col("doc_id") == F.col(key), "left_anti")
 
 
+@in_small_batches
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not reject. A score depends on the text alone; of rows that share a doc_id all go if one is rejected."""
     judged = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
@@ -32,6 +49,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return without(docs, bad, "__bad")
 
 
+@in_small_batches
 def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines whose templates recur; those of which no word is left go."""
     out = lines.dedup_lines(docs).where("n_dropped = 0 or new_text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
@@ -39,17 +57,20 @@ def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     return out.select("row.doc_id", text, "row.lang", "row.source", F.length("new_text").cast("long").alias("n_chars"))
 
 
+@in_small_batches
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest doc_id of each near-duplicate class on five-word shingles at a similarity of 0.8. A copy with one word in twenty changed is less similar than that."""
     gone = minhash.near_duplicates(docs, k=5, percent=80).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
     return without(docs, gone, "__gone")
 
 
+@in_small_batches
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in the order of training."""
     return mixing.mixed_documents(docs).select(*COLUMNS)
 
 
+@in_small_batches
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences of at most 2048, in the order of training: the order of the files that mixing has written, however the reader deals them over tasks."""
     pieces = packing.pack(packing.file_streams(docs), tokenizer_path(), size=2048, end_id=1, stream="stream")

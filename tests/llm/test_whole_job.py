@@ -302,3 +302,26 @@ def test_packing_of_splits_and_frames(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert [r.doc_id for r in pieces if r.start == 0] == list(range(400)) and len({(r.sequence_id, r.offset) for r in pieces}) == len(pieces)
     assert sorted(r.doc_id for r in corpus_pipeline.packed(spark, docs, "").collect() if r.start == 0) == list(range(400))
+
+
+def test_whole_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    """A batch of 10,000 whole texts takes memory three times: in the JVM, in its stream and in the worker."""
+    import corpus_pipeline
+    import pyarrow as pa
+    from tidewell.llm import toxicity
+
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(key)
+    for name in ("select_features", "vote_counts"):
+        monkeypatch.setattr(toxicity, name, lambda *a, f=getattr(toxicity, name): seen.append(int(spark.conf.get(key))) or f(*a))
+    docs = spark.range(400).selectExpr("id doc_id", "concat('word', id % 7, if(id % 5 = 0, ' you idiot', ' and more')) text")
+    assert toxicity.toxicity(docs, docs.selectExpr("doc_id", "int(doc_id % 5 = 0) toxic")).count() == 400
+    assert len(seen) == 4 and max(seen) <= 1000 and spark.conf.get(key) == before
+    rows = lambda it: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"]) for b in it)
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            assert stage.__wrapped__
+        sizes = corpus_pipeline.in_small_batches(lambda s, d, _: d.mapInArrow(rows, "n long"))(spark, spark.range(5000).coalesce(1), "").collect()
+        assert max(x.n for x in sizes) <= 1000 and sum(x.n for x in sizes) == 5000
+    finally:
+        spark.conf.set(key, before)

@@ -17,11 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import discard, staged
+from .shared import arrow_rows, discard, staged
 from .wordhash import Hasher, chunks, mix, spans
 
 #: Labelled rows that are read at most, and unlabelled ones that train the classifier beside them (those of the smallest hashed doc_id).
 MAX_LABELLED, MAX_UNLABELLED = 20_000, 20_000
+#: Rows of an Arrow batch: a batch of whole texts lies in the executor's JVM, in its stream and in the worker at once.
+ROWS = 1000
 #: Word beginnings of so many bytes are features beside whole words (0).
 KINDS = (0, 4, 5, 6, 7, 8)
 #: A beginning crowds a text if two distinct words or more have it and they make up such a share of its words.
@@ -268,38 +270,39 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, modulus
     """
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == held, F.lit(False))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = sampled(docs, labels, held_out)
-    mined = select_features(rows.where("toxic is not null"), "toxic")
-    if not len(mined):
-        return docs.select("doc_id", held_out.alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    voters = Voters(mined)
-    told = rows.where("toxic is not null").select("text", "toxic")
-    rest = docs.where(~held_out & F.col("text").isNotNull()).select("text", F.lit(None).cast("int").alias("toxic"))
-    seen = pd.concat([vote_counts(told, voters, "toxic"), vote_counts(rest, voters, "toxic")])
-    votes = np.stack([np.frombuffer(v, np.int8) for v in seen["votes"]])
-    model = LabelModel(votes[:, :-1].astype(float), votes[:, -1], seen["n"].to_numpy(float))
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p = model.posterior(_votes(batch, voters).astype(float))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p)], ["text", "posterior"])
-
-    judged = staged(with_patterns(rows).mapInArrow(judge, "text string, posterior double"), "judged")
-    chosen = select_features(judged, "posterior")
-    if not len(chosen):
-        chosen = mined
-    find = Finder(chosen)
-
-    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, place = find(batch.column(0))
-            at = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            yield pa.RecordBatch.from_arrays([pa.array([place[at[i] : at[i + 1]].astype(np.int32).tobytes() for i in range(batch.num_rows)], pa.binary()), batch.column(1)], ["hits", "posterior"])
-
-    train = judged.mapInArrow(hits, "hits binary, posterior double").toPandas()  # a bounded sample
-    ids = [np.frombuffer(h, np.int32) for h in train["hits"]]
-    w, b = fit_linear(np.repeat(np.arange(len(ids)), [len(x) for x in ids]), np.concatenate(ids).astype(np.int64), train["posterior"].to_numpy(), len(chosen))
-    discard(rows, judged)
+    with arrow_rows(docs.sparkSession, ROWS):
+        rows = sampled(docs, labels, held_out)
+        mined = select_features(rows.where("toxic is not null"), "toxic")
+        if not len(mined):
+            return docs.select("doc_id", held_out.alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+        voters = Voters(mined)
+        told = rows.where("toxic is not null").select("text", "toxic")
+        rest = docs.where(~held_out & F.col("text").isNotNull()).select("text", F.lit(None).cast("int").alias("toxic"))
+        seen = pd.concat([vote_counts(told, voters, "toxic"), vote_counts(rest, voters, "toxic")])
+        votes = np.stack([np.frombuffer(v, np.int8) for v in seen["votes"]])
+        model = LabelModel(votes[:, :-1].astype(float), votes[:, -1], seen["n"].to_numpy(float))
+
+        def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                p = model.posterior(_votes(batch, voters).astype(float))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p)], ["text", "posterior"])
+
+        judged = staged(with_patterns(rows).mapInArrow(judge, "text string, posterior double"), "judged")
+        chosen = select_features(judged, "posterior")
+        if not len(chosen):
+            chosen = mined
+        find = Finder(chosen)
+
+        def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                row, place = find(batch.column(0))
+                at = np.searchsorted(row, np.arange(batch.num_rows + 1))
+                yield pa.RecordBatch.from_arrays([pa.array([place[at[i] : at[i + 1]].astype(np.int32).tobytes() for i in range(batch.num_rows)], pa.binary()), batch.column(1)], ["hits", "posterior"])
+
+        train = judged.mapInArrow(hits, "hits binary, posterior double").toPandas()  # a bounded sample
+        ids = [np.frombuffer(h, np.int32) for h in train["hits"]]
+        w, b = fit_linear(np.repeat(np.arange(len(ids)), [len(x) for x in ids]), np.concatenate(ids).astype(np.int64), train["posterior"].to_numpy(), len(chosen))
+        discard(rows, judged)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
